@@ -221,3 +221,62 @@ SELECT * FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT * FROM orders WH
 def q_concat_parts(spark, d):
     o = fx.table(spark, d, "orders")
     return o.where(F.col("o_orderstatus") == "F").unionByName(o.where(F.col("o_orderstatus") != "F"))
+
+
+# ---------------------------------------------------------------- range planning
+from tidemark.operators.ranges import (  # noqa: E402
+    assign_ranges, fixed_chunks, keyset_page, ntile_ranges, range_begins,
+)
+
+_SQL_NTILE = """
+SELECT CAST(part AS BIGINT) AS part, min({c}) AS begin_part, max({c}) AS end_part, count(*) AS n_rows
+FROM (SELECT ntile({k}) OVER (ORDER BY {c}) AS part, {c} FROM orders) t GROUP BY part"""
+
+
+@register("ntile_ranges", _SQL_NTILE.format(c="o_orderdate", k=8))
+def q_ntile_ranges(spark, d):
+    return ntile_ranges(fx.table(spark, d, "orders"), "o_orderdate", 8)
+
+
+@register("ntile_ranges_key", _SQL_NTILE.format(c="o_orderkey", k=7))
+def q_ntile_ranges_key(spark, d):
+    return ntile_ranges(fx.table(spark, d, "orders"), "o_orderkey", 7)
+
+
+@register("ntile_ranges_dense", _SQL_NTILE.format(c="o_custkey", k=8))
+def q_ntile_ranges_dense(spark, d):
+    return ntile_ranges(fx.table(spark, d, "orders"), "o_custkey", 8)
+
+
+@register("range_read_once", """
+WITH b AS (SELECT part, min(o_orderdate) AS begin_part
+           FROM (SELECT ntile(8) OVER (ORDER BY o_orderdate) AS part, o_orderdate FROM orders) t GROUP BY part)
+SELECT o.*, (SELECT CAST(max(part) AS BIGINT) FROM b WHERE b.begin_part <= o.o_orderdate) AS range_id
+FROM orders o""")
+def q_range_read_once(spark, d):
+    orders = fx.table(spark, d, "orders")
+    begins = range_begins(ntile_ranges(orders, "o_orderdate", 8))
+    return assign_ranges(orders, "o_orderdate", begins)
+
+
+@register("keyset_page", "SELECT * FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 5000")
+def q_keyset_page(spark, d):
+    return keyset_page(fx.table(spark, d, "orders"), "o_orderkey", 1000, 5000)
+
+
+@register("keyset_page_ties", """
+SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate <= (
+  SELECT o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1996-01-01 00:00:00'
+  ORDER BY o_orderdate LIMIT 1 OFFSET 4999)""")
+def q_keyset_page_ties(spark, d):
+    import datetime as dt
+    return keyset_page(fx.table(spark, d, "orders"), "o_orderdate", dt.datetime(1996, 1, 1), 5000)
+
+
+@register("fixed_chunks", """
+WITH m AS (SELECT min(o_orderkey) AS m FROM orders),
+c AS (SELECT CAST(floor((o_orderkey - m.m) / 1000) AS BIGINT) AS chunk_id, m.m AS m FROM orders, m)
+SELECT chunk_id, count(*) AS n_rows, any_value(m) + chunk_id * 1000 AS chunk_lo,
+       any_value(m) + chunk_id * 1000 + 1000 AS chunk_hi FROM c GROUP BY chunk_id""")
+def q_fixed_chunks(spark, d):
+    return fixed_chunks(fx.table(spark, d, "orders"), "o_orderkey", 1000)
