@@ -42,7 +42,7 @@ def cast_columns(df: DataFrame, types: dict[str, str], *, safe: bool = True) ->
     if missing:
         raise ValueError(f"unknown columns in cast map: {missing}")
     return df.select(*[
-        (F.try_cast(F.col(c), types[c]) if safe else F.col(c).cast(types[c])).alias(c)
+        (F.col(c).try_cast(types[c]) if safe else F.col(c).cast(types[c])).alias(c)
         if c in types else F.col(c) for c in df.columns])
 
 

@@ -40,4 +40,4 @@ def checkpoint_text(col) -> Column:
 
 def to_float(col) -> Column:
     """Text -> double; empty or malformed text -> null instead of an error (C4)."""
-    return F.try_cast(F.nullif(F.trim(as_col(col)), F.lit("")), "double")
+    return F.nullif(F.trim(as_col(col)), F.lit("")).try_cast("double")

@@ -280,3 +280,377 @@ SELECT chunk_id, count(*) AS n_rows, any_value(m) + chunk_id * 1000 AS chunk_lo,
        any_value(m) + chunk_id * 1000 + 1000 AS chunk_hi FROM c GROUP BY chunk_id""")
 def q_fixed_chunks(spark, d):
     return fixed_chunks(fx.table(spark, d, "orders"), "o_orderkey", 1000)
+
+
+# ---------------------------------------------------------------- store-backed jobs
+from tidemark.functions.cleaning import apply_casing, cast_columns, clean_strings  # noqa: E402
+from tidemark.plans.cdc import SnapshotSync  # noqa: E402
+from tidemark.plans.copy import CopyJob, resumable_load  # noqa: E402
+from tidemark.plans.federated import ExportRequest, federated_query, frame_sql, single_export  # noqa: E402
+from tidemark.plans.upsert import VersionUpsert  # noqa: E402
+from tidemark.session import work_path  # noqa: E402
+from tidemark.sinks.parquet import export_parquet  # noqa: E402
+from tidemark.sinks.store import VersionedStore  # noqa: E402
+from tidemark.sources.files import read_filtered, read_parquet_dir  # noqa: E402
+from tidemark.sources.rates import lookup_rates, parse_rate_documents  # noqa: E402
+from tidemark.specs import LoadMode, SourceOptions, TableSpec, TargetOptions  # noqa: E402
+from tidemark.streaming.cdc_stream import start_cdc_stream  # noqa: E402
+
+
+def _wm_value(spark, d, num=fx.SNAPSHOT_NUM, den=fx.SNAPSHOT_DEN) -> int:
+    return spark.range(1).select(fx.fraction_of_max(spark, d, num, den)).first()[0]
+
+
+def _cdc_job(spark, d, bucket_width=None) -> SnapshotSync:
+    """Initial snapshot taken when the history ended at WM, then synced to the end."""
+    wm = fx.snapshot_watermark(spark, d)
+    spec = TableSpec(name="customer", key=["id"], bucket_width=bucket_width)
+    early = fx.history(spark, d).where(F.col("hist_id") <= wm)
+    job = SnapshotSync(spark, work_path(spark, "cdc"), spec,
+                       main=lambda: fx.main_table(spark, d), history=early)
+    assert job.run() == "init"
+    job.history = lambda: fx.history(spark, d)
+    return job
+
+
+@register("cdc_sync_job", SQL_CDC)
+def q_cdc_sync_job(spark, d):
+    job = _cdc_job(spark, d)
+    job.run()
+    return job.store.read()
+
+
+@register("cdc_sync_bucketed", f"""
+SELECT *, CAST(floor(id / {fx.BUCKET_WIDTH}) AS BIGINT) AS part_id FROM ({SQL_CDC}) m""")
+def q_cdc_sync_bucketed(spark, d):
+    job = _cdc_job(spark, d, bucket_width=fx.BUCKET_WIDTH)
+    job.run()
+    return job.store.read()
+
+
+@register("stream_cdc", SQL_CDC)
+def q_stream_cdc(spark, d):
+    """History after WM landed as three files (in history order), consumed as three
+    micro-batches by foreachBatch into the store."""
+    job = _cdc_job(spark, d)
+    landing = work_path(spark, "landing")
+    hist = fx.history(spark, d)
+    wm, wm2 = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
+    mx = hist.select(F.max("hist_id")).first()[0]
+    mid = (wm2 + mx) // 2
+    for lo, hi in ((wm, wm2), (wm2, mid), (mid, mx)):
+        (hist.where((F.col("hist_id") > lo) & (F.col("hist_id") <= hi))
+             .coalesce(1).write.mode("append").parquet(landing))
+    q = start_cdc_stream(spark, job, landing, hist.schema, max_files_per_trigger=1)
+    q.awaitTermination()
+    return job.store.read()
+
+
+_SQL_LATEST_EVENTS = """
+SELECT *, CAST(floor(user_id / 50) AS BIGINT) AS part_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY {o} DESC) = 1"""
+EVENTS_CUTOFF = "2024-01-20 00:00:00"
+
+
+@register("version_upsert", _SQL_LATEST_EVENTS.format(o="ts"))
+def q_version_upsert(spark, d):
+    """Keyed by user_id, versioned by ts: initial load of the state at a cut-off time,
+    then one incremental upsert of every later event into 50-id buckets."""
+    events = fx.table(spark, d, "events")
+    job = VersionUpsert(spark, work_path(spark, "upsert"), "user_id", "ts", bucket_width=50)
+    early = events.where(F.col("ts") <= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
+    job.init(keep_latest(early, "user_id", ["ts"]))
+    job.sync(events)
+    return job.store.read()
+
+
+@register("version_upsert_binary", _SQL_LATEST_EVENTS.format(o="event_id"))
+def q_version_upsert_binary(spark, d):
+    """Same with an 8-byte binary row version (byte-wise order, hex checkpoint)."""
+    events = fx.table(spark, d, "events").withColumn("rv", long_to_rowversion("event_id"))
+    job = VersionUpsert(spark, work_path(spark, "upsert_bin"), "user_id", "rv", bucket_width=50)
+    half = events.select(F.call_function("div", F.max("event_id"), F.lit(2))).scalar()
+    job.init(keep_latest(events.where(F.col("event_id") <= half), "user_id", ["rv"]))
+    job.sync(events)
+    return job.store.read().drop("rv")
+
+
+# ---------------------------------------------------------------- federated export
+def _lake_request(d: str, query: str) -> ExportRequest:
+    ds = {n: f"SELECT * FROM parquet.`{d}/{n}.parquet`" for n in ("nation", "region", "customer", "orders")}
+    return ExportRequest(datasets={"lake": ds}, query=query, connections={"lake": "spark"})
+
+
+FED_JOIN = """
+SELECT r.r_name, n.n_name, count(*) AS n_orders, round(sum(o.o_totalprice), 2) AS revenue
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY r.r_name, n.n_name"""
+
+FED_TOPN = """
+SELECT c.c_custkey, c.c_name, n.n_name, round(sum(o.o_totalprice), 2) AS total
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY c.c_custkey, c.c_name, n.n_name
+ORDER BY total DESC, c.c_custkey LIMIT 100"""
+
+
+@register("federated_join", FED_JOIN)
+def q_federated_join(spark, d):
+    return federated_query(spark, _lake_request(d, FED_JOIN))
+
+
+@register("federated_topn", FED_TOPN)
+def q_federated_topn(spark, d):
+    return federated_query(spark, _lake_request(d, FED_TOPN))
+
+
+@register("single_export", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
+def q_single_export(spark, d):
+    path = single_export(spark, "spark",
+                         f"SELECT * FROM parquet.`{d}/customer.parquet` WHERE c_mktsegment = 'BUILDING'",
+                         work_path(spark, "export"))
+    return read_parquet_dir(spark, path)
+
+
+@register("frame_sql", f"""
+SELECT *, CAST(floor(c_custkey / {fx.BUCKET_WIDTH}) AS BIGINT) AS part_id FROM customer""")
+def q_frame_sql(spark, d):
+    return frame_sql(fx.table(spark, d, "customer"),
+                     f"SELECT *, floor(c_custkey / {fx.BUCKET_WIDTH}) AS part_id FROM {{frame}}")
+
+
+@register("where_filter", "SELECT * FROM lineitem WHERE l_quantity > 45 AND l_discount < 0.05")
+def q_where_filter(spark, d):
+    return read_filtered(fx.table(spark, d, "lineitem"), "l_quantity > 45 AND l_discount < 0.05")
+
+
+# ---------------------------------------------------------------- round trips
+@register("parquet_roundtrip", "SELECT * FROM lineitem")
+def q_parquet_roundtrip(spark, d):
+    path = export_parquet(fx.table(spark, d, "lineitem"), work_path(spark, "lineitem"))
+    return read_parquet_dir(spark, path)
+
+
+@register("partitioned_roundtrip", "SELECT *, CAST(o_orderkey // 1000 AS BIGINT) AS chunk FROM orders")
+def q_partitioned_roundtrip(spark, d):
+    o = fx.table(spark, d, "orders").withColumn("chunk", bucket_id("o_orderkey", 1000))
+    path = export_parquet(o, work_path(spark, "orders_chunked"), partition_by="chunk",
+                          sort_within=["chunk", "o_orderkey"])
+    return read_parquet_dir(spark, path).withColumn("chunk", F.col("chunk").cast("long"))
+
+
+@register("versioned_roundtrip", "SELECT * FROM orders")
+def q_versioned_roundtrip(spark, d):
+    o = fx.table(spark, d, "orders")
+    wm = fx.snapshot_watermark(spark, d)
+    store = VersionedStore(spark, work_path(spark, "versioned"))
+    store.replace(o.where(F.col("o_orderkey") <= wm))
+    store.append(o.where(F.col("o_orderkey") > wm))
+    return store.read()
+
+
+@register("compacted_roundtrip", "SELECT *, CAST(o_orderkey // 1000 AS BIGINT) AS chunk FROM orders")
+def q_compacted_roundtrip(spark, d):
+    o = fx.table(spark, d, "orders").withColumn("chunk", bucket_id("o_orderkey", 1000))
+    store = VersionedStore(spark, work_path(spark, "compact"))
+    wm = fx.snapshot_watermark(spark, d)
+    store.replace(o.where(F.col("o_orderkey") <= wm).repartition(16), part_col="chunk")
+    store.append(o.where(F.col("o_orderkey") > wm).repartition(8))
+    store.compact(key="o_orderkey")
+    store.retain(2)
+    return store.read()
+
+
+@register("bulk_resume", "SELECT * FROM orders")
+def q_bulk_resume(spark, d):
+    """Keyset-paged bulk load stopped after two pages, then resumed to the end."""
+    orders = fx.table(spark, d, "orders")
+    n = orders.count()
+    page = max(1, n // 4 + 1)
+    store = VersionedStore(spark, work_path(spark, "bulk"))
+    resumable_load(spark, store, orders, "o_orderkey", page, max_pages=2)
+    resumable_load(spark, store, orders, "o_orderkey", page)
+    return store.read()
+
+
+@register("formats_roundtrip", "SELECT * FROM customer")
+def q_formats_roundtrip(spark, d):
+    from tidemark.sinks.parquet import write_files
+    from tidemark.sources.files import read_files
+    c = fx.table(spark, d, "customer")
+    path = write_files(c, work_path(spark, "customer_json"), TargetOptions(format="jsonlines"))
+    return read_files(spark, path, "jsonlines", SourceOptions(schema=c.schema.simpleString()[7:-1].replace(":", " ")))
+
+
+@register("rows_capped_export", "SELECT * FROM orders")
+def q_rows_capped_export(spark, d):
+    path = export_parquet(fx.table(spark, d, "orders"), work_path(spark, "capped"),
+                          max_records_per_file=1000)
+    return read_parquet_dir(spark, path)
+
+
+# ---------------------------------------------------------------- FX rates
+_RATE_BASE_DATE = "2024-01-01"
+
+
+def rate_documents(spark, d) -> DataFrame:
+    """Rate documents built from supplier and nation rows: one document per day for
+    every 20 suppliers; a negative balance leaves ForexBuying empty."""
+    s = fx.table(spark, d, "supplier").join(
+        fx.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    day = F.call_function("div", F.col("s_suppkey"), F.lit(20))
+    cur = F.concat(
+        F.lit('<Currency Kod="'), F.lit("c"), F.col("s_suppkey").cast("string"), F.lit('">'),
+        F.lit("<Isim>"), F.coalesce(F.col("n_name"), F.lit("")), F.lit(" "), F.col("s_name"), F.lit("</Isim>"),
+        F.lit("<ForexBuying>"),
+        F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal").cast("string")).otherwise(F.lit("")),
+        F.lit("</ForexBuying><ForexSelling>"), (F.col("s_acctbal") + F.lit(1.0)).cast("string"),
+        F.lit("</ForexSelling></Currency>"))
+    per_day = (s.select(day.alias("day"), F.col("s_suppkey"), cur.alias("cur"))
+                .groupBy("day").agg(F.array_join(F.transform(
+                    F.sort_array(F.collect_list(F.struct("s_suppkey", "cur"))), lambda x: x["cur"]), "")
+                    .alias("body")))
+    rate_date = F.date_add(F.lit(_RATE_BASE_DATE).cast("date"), F.col("day").cast("int"))
+    return per_day.select(F.concat(
+        F.lit('<Tarih_Date Tarih="'), F.date_format(rate_date, "dd.MM.yyyy"), F.lit('">'),
+        F.col("body"), F.lit("</Tarih_Date>")).alias("xml"))
+
+
+SQL_RATES = f"""
+SELECT DATE '{_RATE_BASE_DATE}' + CAST(s_suppkey // 20 AS INTEGER) AS rate_date, upper('c' || s_suppkey) AS code,
+       coalesce(n_name, '') || ' ' || s_name AS name, s_acctbal AS buy, s_acctbal + 1.0 AS sell
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal >= 0"""
+
+
+@register("rates_parse", SQL_RATES)
+def q_rates_parse(spark, d):
+    return parse_rate_documents(rate_documents(spark, d))
+
+
+@register("rates_lookup", f"""
+WITH r AS ({SQL_RATES}),
+q AS (SELECT s_suppkey, 'c' || s_suppkey AS code,
+             DATE '{_RATE_BASE_DATE}' + CAST(s_suppkey // 20 AS INTEGER) + CAST(k AS INTEGER) AS rate_date
+      FROM supplier, (SELECT unnest([0, 1000]) AS k))
+SELECT q.s_suppkey, q.code, q.rate_date, r.name AS rate_name, r.buy, r.sell
+FROM q LEFT JOIN r ON q.rate_date = r.rate_date AND upper(q.code) = r.code""")
+def q_rates_lookup(spark, d):
+    """Lower-case codes (case-insensitive match) on each supplier's day and on a day
+    with no document (null rates)."""
+    req = (fx.table(spark, d, "supplier")
+             .select("s_suppkey", F.concat(F.lit("c"), F.col("s_suppkey").cast("string")).alias("code"),
+                     F.explode(F.array(F.lit(0), F.lit(1000))).alias("k"))
+             .withColumn("rate_date", F.date_add(
+                 F.lit(_RATE_BASE_DATE).cast("date"),
+                 (F.call_function("div", F.col("s_suppkey"), F.lit(20)) + F.col("k")).cast("int")))
+             .drop("k"))
+    return lookup_rates(req, parse_rate_documents(rate_documents(spark, d)))
+
+
+# ---------------------------------------------------------------- load modes
+@register("mode_full_refresh", "SELECT * FROM orders")
+def q_mode_full_refresh(spark, d):
+    o = fx.table(spark, d, "orders")
+    path = work_path(spark, "full")
+    CopyJob(target_object=path, source=o.where(F.col("o_orderkey") <= fx.snapshot_watermark(spark, d)),
+            mode=LoadMode.FULL_REFRESH).run(spark)
+    CopyJob(target_object=path, source=o, mode=LoadMode.FULL_REFRESH).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_truncate", "SELECT * FROM orders")
+def q_mode_truncate(spark, d):
+    o = fx.table(spark, d, "orders")
+    path = work_path(spark, "truncate")
+    CopyJob(target_object=path, source=o.limit(0), mode=LoadMode.FULL_REFRESH).run(spark)
+    wider = o.select(*reversed(o.columns), F.lit("x").alias("extra"))
+    CopyJob(target_object=path, source=wider, mode=LoadMode.TRUNCATE).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+_SQL_UPSERT = """
+WITH ch AS (SELECT * FROM {hist} h WHERE {cond}),
+lat AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY id ORDER BY hist_id DESC) = 1)
+SELECT id, bal, hist_id FROM lat
+UNION ALL
+SELECT s.id, s.bal, s.hist_id FROM {snap} s WHERE NOT EXISTS (SELECT 1 FROM lat WHERE lat.id = s.id)"""
+
+
+def _snapshot_target(spark, d, path):
+    CopyJob(target_object=path, source=snapshot(spark, d).select("id", "bal", "hist_id"),
+            mode=LoadMode.FULL_REFRESH).run(spark)
+
+
+@register("mode_incremental", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT,
+                                                 cond=f"hist_id > {fx.SQL_WM}"))
+def q_mode_incremental(spark, d):
+    path = work_path(spark, "incremental")
+    _snapshot_target(spark, d, path)
+    CopyJob(target_object=path, source=fx.history(spark, d).select("id", "bal", "hist_id"),
+            mode=LoadMode.INCREMENTAL, primary_key=["id"], update_key="hist_id").run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_backfill", _SQL_UPSERT.format(
+    hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id >= {fx.SQL_WM} AND hist_id < {fx.SQL_WM2}"))
+def q_mode_backfill(spark, d):
+    path = work_path(spark, "backfill")
+    _snapshot_target(spark, d, path)
+    rng = (_wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN))
+    CopyJob(target_object=path, source=fx.history(spark, d).select("id", "bal", "hist_id"),
+            mode=LoadMode.BACKFILL, primary_key=["id"], update_key="hist_id",
+            backfill_range=rng).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_snapshot", """
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at FROM nation
+UNION ALL SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS loaded_at FROM nation""")
+def q_mode_snapshot(spark, d):
+    import datetime as dt
+    path = work_path(spark, "snapshot")
+    n = fx.table(spark, d, "nation")
+    for day in (1, 2):
+        CopyJob(target_object=path, source=n, mode=LoadMode.SNAPSHOT,
+                loaded_at=dt.datetime(2024, 1, day)).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("delete_missing", "SELECT * FROM (" + _SQL_UPSERT.format(
+    hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id > {fx.SQL_WM}")
+    + ") m WHERE id IN (SELECT o_custkey FROM orders)")
+def q_delete_missing(spark, d):
+    path = work_path(spark, "delete_missing")
+    _snapshot_target(spark, d, path)
+    CopyJob(target_object=path, source=fx.history(spark, d).select("id", "bal", "hist_id"),
+            mode=LoadMode.INCREMENTAL, primary_key=["id"], update_key="hist_id",
+            target_options=TargetOptions(delete_missing=True)).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+# ---------------------------------------------------------------- declared options
+@register("clean_strings", """
+SELECT conv_id, turn, nullif(trim(role), '') AS role, nullif(trim(text), '') AS text FROM conversations""")
+def q_clean_strings(spark, d):
+    return clean_strings(fx.table(spark, d, "conversations"), trim_space=True, empty_as_null=True)
+
+
+@register("cast_columns", """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
+def q_cast_columns(spark, d):
+    return cast_columns(fx.table(spark, d, "customer"),
+                        {"c_custkey": "int", "c_nationkey": "bigint", "c_acctbal": "string"})
+
+
+@register("json_extract", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def q_json_extract(spark, d):
+    from tidemark.sources.files import apply_source_options
+    e = fx.table(spark, d, "events")
+    return apply_source_options(e, SourceOptions(jmespath={"k": ("props", "$.k")})).select("event_id", "k")
+
+
+@register("column_casing", """
+SELECT n_nationkey AS N_NATIONKEY, n_name AS N_NAME, n_regionkey AS N_REGIONKEY FROM nation""")
+def q_column_casing(spark, d):
+    return apply_casing(fx.table(spark, d, "nation"), "upper")
