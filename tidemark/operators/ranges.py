@@ -5,9 +5,11 @@ task. Tile bounds only depend on the multiset of sorted values, so we compute th
 as exact order statistics instead:
 
 1. per-value counts (a partially aggregated ``groupBy``: a value held by a third of
-   all rows becomes one row per map task), written to the shared checkpoint folder;
-2. approximate quantile boundaries of the distinct values (``percentile_approx``,
-   one pass) split the value domain into coarse buckets;
+   all rows becomes one row per map task), written as a table in the shared folder;
+2. if there are few distinct values (``max_bucket_values``) they are ranked
+   directly; otherwise approximate quantile boundaries of the distinct values
+   (``percentile_approx``, one pass) split the domain into coarse buckets, with a
+   fan-out sized from the distinct count;
 3. exact per-bucket totals (one small aggregate, collected: at most ``fanout`` rows);
 4. only buckets that contain a wanted rank are ranked, with a running sum
    partitioned by bucket; a bucket that is still too large is split again.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.buckets import floor_div
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import work_path
 
 _QUANTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                    T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -70,100 +72,104 @@ def _in_interval(v: Column, iv: Interval, dtype) -> Column:
 class OrderStatistics:
     """Exact values at global ranks of one column, computed without a global sort."""
 
-    def __init__(self, df: DataFrame, col: str, *, fanout: int = 512,
-                 max_bucket_values: int = 4_000_000, accuracy: int = 100_000):
+    def __init__(self, df: DataFrame, col: str, *, max_bucket_values: int = 2_000_000,
+                 max_fanout: int = 1024, accuracy: int = 100_000):
         self.spark: SparkSession = df.sparkSession
-        ensure_checkpoint_dir(self.spark)
         self.col = col
         self.dtype = df.schema[col].dataType
-        self.fanout = max(2, fanout)
-        self.max_bucket_values = max_bucket_values
+        self.max_bucket_values = max(2, max_bucket_values)
+        self.max_fanout = max(2, max_fanout)
         self.accuracy = accuracy
+        self.v = F.col(col)
         counts = (df.where(F.col(col).isNotNull())
                     .groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")))
-        # Cut lineage: the counts are read several times (boundaries, totals, ranks).
-        self.counts = counts.checkpoint(eager=True)
-        self.v = F.col(col)
+        # The counts are read several times (sizes, boundaries, totals, ranks): write
+        # them once as a table in the shared folder and read that back.
+        path = work_path(self.spark, "order-stats")
+        counts.write.parquet(path)
+        self.counts = self.spark.read.schema(counts.schema).parquet(path)
+        row = self.counts.agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).first()
+        self.n_values, self.n_rows = int(row["nv"]), int(row["nr"] or 0)
+
+    def total_rows(self) -> int:
+        return self.n_rows
 
     # -- boundaries ----------------------------------------------------------------
-    def _boundaries(self, sub: DataFrame) -> list[str]:
-        fr = [i / self.fanout for i in range(1, self.fanout)]
+    def _boundaries(self, sub: DataFrame, fanout: int, n_values: int) -> list[str]:
+        fr = [i / fanout for i in range(1, fanout)]
         if isinstance(self.dtype, _QUANTILE_TYPES):
             row = sub.select(F.transform(F.percentile_approx(self.v, fr, self.accuracy),
                                          lambda x: x.cast("string")).alias("b")).first()
             vals = row["b"] or []
         else:
             # Types without quantiles (strings, binary): a seeded sample of distinct values.
-            n = sub.count()
-            if n == 0:
-                return []
-            frac = min(1.0, 20.0 * self.fanout / n)
+            frac = min(1.0, 20.0 * fanout / max(1, n_values))
             sample = (sub.sample(fraction=frac, seed=17).select(self.v.cast("string").alias("b"))
                          .orderBy("b").collect())
-            step = max(1, len(sample) // self.fanout)
+            step = max(1, len(sample) // fanout)
             vals = [r["b"] for r in sample[step - 1::step]]
-        # Distinct, in value order (compare through Spark's cast so order is the column's).
         out = []
         for s in vals:
             if s is not None and (not out or s != out[-1]):
                 out.append(s)
         return out
 
-    # -- one refinement level ----------------------------------------------------
-    def _bucket_totals(self, sub: DataFrame, bounds: list[str]):
-        lits = [_literal(b, self.dtype) for b in bounds]
-        bucket = _count_below(self.v, lits, strict=True)
-        rows = (sub.groupBy(bucket.alias("_b"))
-                   .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr"))
-                   .collect())
-        return bucket, {r["_b"]: (r["nv"], r["nr"]) for r in rows}
-
-    def total_rows(self) -> int:
-        return self.counts.agg(F.sum("_cnt")).first()[0] or 0
-
     def values_at(self, ranks: list[int]) -> dict[int, object]:
         """Map each 1-based global rank (among non-null values) to its value."""
+        ranks = sorted({int(r) for r in ranks if 1 <= r <= self.n_rows})
         result: dict[int, object] = {}
-        pending: list[tuple[Interval, list[int]]] = [(Interval(None, None, 0), sorted(set(ranks)))]
+        if not ranks:
+            return result
+        # (interval, distinct values in it, ranks wanted in it)
+        pending = [(Interval(None, None, 0), self.n_values, ranks)]
         while pending:
-            iv, rs = pending.pop()
+            iv, nv, rs = pending.pop()
             sub = self.counts.where(_in_interval(self.v, iv, self.dtype))
-            bounds = self._boundaries(sub)
-            bucket, totals = self._bucket_totals(sub, bounds)
-            # prefix sums of rows per bucket, in bucket order
-            order = sorted(totals)
+            if nv <= self.max_bucket_values:
+                result.update(self._rank_in_buckets(sub, F.lit(0), {0: rs}, {0: iv.offset}))
+                continue
+            fanout = min(self.max_fanout, max(2, -(-4 * nv // self.max_bucket_values)))
+            bounds = self._boundaries(sub, fanout, nv)
+            lits = [_literal(b, self.dtype) for b in bounds]
+            bucket = _count_below(self.v, lits, strict=True)
+            totals = {r["_b"]: (r["nv"], r["nr"]) for r in
+                      sub.groupBy(bucket.alias("_b"))
+                         .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).collect()}
             starts, acc = {}, iv.offset
-            for b in order:
+            for b in sorted(totals):
                 starts[b] = acc
                 acc += totals[b][1]
             wanted: dict[int, list[int]] = {}
             for r in rs:
-                for b in order:
+                for b in sorted(totals):
                     if starts[b] < r <= starts[b] + totals[b][1]:
                         wanted.setdefault(b, []).append(r)
                         break
-            small = {b: r for b, r in wanted.items() if totals[b][0] <= self.max_bucket_values
-                     or totals[b][0] <= 1 or len(bounds) == 0}
+            small = {}
             for b, r in wanted.items():
-                if b not in small:
+                if totals[b][0] <= self.max_bucket_values or not bounds:
+                    small[b] = r
+                else:
                     lo = iv.lo if b == 0 else bounds[b - 1]
                     hi = iv.hi if b == len(bounds) else bounds[b]
-                    pending.append((Interval(lo, hi, starts[b]), r))
+                    pending.append((Interval(lo, hi, starts[b]), totals[b][0], r))
             if small:
                 result.update(self._rank_in_buckets(sub, bucket, small, starts))
         return result
 
     def _rank_in_buckets(self, sub: DataFrame, bucket: Column, wanted: dict[int, list[int]],
                          starts: dict[int, int]) -> dict[int, object]:
-        # The wanted-rank table is bounded by the number of requested ranks.
+        # The wanted-rank table is bounded by the number of requested ranks, and every
+        # ranked bucket holds at most ``max_bucket_values`` distinct values.
         want = self.spark.createDataFrame(
             [(int(b), int(r), int(r - starts[b])) for b, rs in wanted.items() for r in rs],
             "_b long, _rank long, _local long")
         w = (Window.partitionBy("_b").orderBy(self.v)
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = (sub.withColumn("_b", bucket.cast("long"))
-                     .where(F.col("_b").isin(list(wanted)))
-                     .withColumn("_cum", F.sum("_cnt").over(w)))
+        ranked = sub.withColumn("_b", bucket.cast("long"))
+        if len(wanted) > 1 or 0 not in wanted:
+            ranked = ranked.where(F.col("_b").isin(list(wanted)))
+        ranked = ranked.withColumn("_cum", F.sum("_cnt").over(w))
         hits = (ranked.join(F.broadcast(want), "_b")
                       .where((F.col("_cum") - F.col("_cnt") < F.col("_local"))
                              & (F.col("_local") <= F.col("_cum")))
