@@ -35,9 +35,15 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fraction_of_max(spark: SparkSession, sf_dir: str, num: int, den: int) -> Column:
-    """``max(o_orderkey) * num div den`` as a lazy scalar subquery."""
+    """``max(o_orderkey) * num div den`` as a literal.
+
+    The value is one small aggregate evaluated on the driver side (the way a job reads
+    its watermark from the manifest), so the filter ``hist_id > WM`` is pushed into
+    the Parquet scan, where row-group statistics skip old history.
+    """
     o = table(spark, sf_dir, "orders")
-    return o.select(F.call_function("div", F.max("o_orderkey") * F.lit(num), F.lit(den))).scalar()
+    v = o.select(F.call_function("div", F.max("o_orderkey") * F.lit(num), F.lit(den))).first()[0]
+    return F.lit(v).cast("long")
 
 
 def snapshot_watermark(spark: SparkSession, sf_dir: str) -> Column:

@@ -1,12 +1,14 @@
 """Snapshot/change merges: CDC (M1), initial snapshot (M2), MERGE forms (M5-M7),
 append-only increments (M8).
 
-Every merge is keep-last over the change set followed by a left-anti join of the
-target against the changed keys and a union. The target is never shuffled by the
-merge itself when the change set is small: adaptive execution measures the reduced
-change set and broadcasts it to the anti join; for a large change set it stays a
-sort-merge join. The reduced change set feeds both branches from one shuffle
-(``ReusedExchange``).
+Every merge is keep-last over the change set, plus a left-anti join of the target
+against the *set of changed keys*, and a union. The key set is a pre-aggregated
+``distinct`` of the change keys (partial aggregation before its shuffle), so a key
+changed a million times costs one row per map task. The target is not shuffled when
+the key set is small: jobs pass ``max_broadcast_rows`` and the key set is broadcast
+after an exact row-count check; above the bound (or without it) Spark plans a
+sort-merge anti join, and adaptive execution may still switch to a broadcast when the
+measured key-set shuffle is small.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators._util import as_list, as_value_col
+from tidemark.operators.joins import join_small
 from tidemark.operators.latest import keep_latest
 
 AUTO = "auto"
@@ -44,6 +47,16 @@ def align_to_schema(df: DataFrame, schema: StructType, *, add_new_columns: bool
     return df.select(*cols)
 
 
+def without_keys(target: DataFrame, changes: DataFrame, keys: list[str],
+                 max_broadcast_rows: int | None = None) -> DataFrame:
+    """Target rows whose key is not among the changed keys (J1). Null target keys
+    never match, so they survive."""
+    changed = changes.select(*keys).distinct()
+    if max_broadcast_rows is not None:
+        return join_small(target, changed, keys, "left_anti", max_rows=max_broadcast_rows)
+    return target.join(changed, on=keys, how="left_anti")
+
+
 def init_snapshot(main: DataFrame, watermark, *, columns=None, hist_id: str = "hist_id",
                   op: str = "op") -> DataFrame:
     """Stamp every row of ``main`` with the load watermark and ``op = 1``.
@@ -67,7 +80,8 @@ def changes_after(changes: DataFrame, hist_id: str, watermark) -> DataFrame:
 
 
 def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "hist_id",
-              op: str = "op", watermark=AUTO, order=None, add_new_columns: bool = False) -> DataFrame:
+              op: str = "op", watermark=AUTO, order=None, add_new_columns: bool = False,
+              max_broadcast_rows: int | None = None) -> DataFrame:
     """Apply a history batch to a snapshot (M1).
 
     ``watermark``: ``"auto"`` takes ``max(hist_id)`` of the snapshot (as a lazy scalar
@@ -83,11 +97,12 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     ch = align_to_schema(ch, snapshot.schema, add_new_columns=add_new_columns)
     latest = keep_latest(ch, keys, order if order is not None else [hist_id])
     active = latest.where(F.col(op) > 0)
-    survivors = snapshot.join(latest.select(*keys), on=keys, how="left_anti")
+    survivors = without_keys(snapshot, ch, keys, max_broadcast_rows)
     return active.unionByName(survivors, allowMissingColumns=add_new_columns)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, key, order) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, key, order, *,
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """MERGE: matched -> update all, not matched -> insert all.
 
     Duplicate source keys are reduced to the newest row first (the reference's
@@ -96,8 +111,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, order) -> DataFrame:
     keys = as_list(key)
     src = align_to_schema(source, target.schema)
     latest = keep_latest(src, keys, order)
-    survivors = target.join(latest.select(*keys), on=keys, how="left_anti")
-    return latest.unionByName(survivors)
+    return latest.unionByName(without_keys(target, src, keys, max_broadcast_rows))
 
 
 def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "op",
@@ -116,7 +130,7 @@ def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "
     touched = latest.select(part_col).distinct()
     inside = target.join(touched, on=part_col, how="left_semi")
     outside = target.join(touched, on=part_col, how="left_anti")
-    survivors = inside.join(latest.select(part_col, *keys), on=[part_col] + keys, how="left_anti")
+    survivors = without_keys(inside, src, [part_col] + keys)
     return latest.where(F.col(op) > 0).unionByName(survivors).unionByName(outside)
 
 
@@ -131,8 +145,7 @@ def merge_keep_tombstones(snapshot: DataFrame, changes: DataFrame, key, *, hist_
     keys = as_list(key)
     ch = align_to_schema(changes_after(changes, hist_id, watermark), snapshot.schema)
     latest = keep_latest(ch, keys, [hist_id])
-    survivors = snapshot.join(latest.select(*keys), on=keys, how="left_anti")
-    return latest.unionByName(survivors)
+    return latest.unionByName(without_keys(snapshot, ch, keys))
 
 
 def append_incremental(target: DataFrame, source: DataFrame, order_col: str,

@@ -31,12 +31,15 @@ def _load(src: Source) -> DataFrame:
 
 class SnapshotSync:
     def __init__(self, spark: SparkSession, store: VersionedStore | str, spec: TableSpec,
-                 main: Source, history: Source):
+                 main: Source, history: Source, *, max_broadcast_keys: int = 10_000_000):
         self.spark = spark
         self.store = store if isinstance(store, VersionedStore) else VersionedStore(spark, store)
         self.spec = spec
         self.main = main
         self.history = history
+        # The staged change set's key count is checked before it is broadcast to the
+        # anti join; above this bound the snapshot is joined by sort-merge.
+        self.max_broadcast_keys = max_broadcast_keys
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         s = self.spec
@@ -93,10 +96,12 @@ class SnapshotSync:
             staged = self._with_bucket(staged)
             touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
             current = self.store.read(parts=touched)
-            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None)
+            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
+                               max_broadcast_rows=self.max_broadcast_keys)
             self.store.replace_parts(merged, touched, state=state_out)
         else:
-            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None)
+            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
+                               max_broadcast_rows=self.max_broadcast_keys)
             self.store.replace(merged, state=state_out)
         return True
 

@@ -117,7 +117,7 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
         newer = df.where((F.col(job.update_key) >= F.lit(lo).cast(dtype))
                          & (F.col(job.update_key) < F.lit(hi).cast(dtype)))
     staged = store.stage(align_to_schema(newer, target.schema, allow_missing=o.add_new_columns))
-    merged = merge_upsert(target, staged, keys, [job.update_key])
+    merged = merge_upsert(target, staged, keys, [job.update_key], max_broadcast_rows=10_000_000)
     if o.delete_missing:
         merged = merged.join(df.select(*keys), on=keys, how="left_semi")
     wm = staged.select(F.max(job.update_key)).first()[0]

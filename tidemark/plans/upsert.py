@@ -49,13 +49,15 @@ def checkpoint_literal(text: str | None, dtype: T.DataType):
 
 class VersionUpsert:
     def __init__(self, spark: SparkSession, store: VersionedStore | str, key, version_col: str,
-                 *, bucket_width: int = 1_000_000, part_col: str = "part_id"):
+                 *, bucket_width: int = 1_000_000, part_col: str = "part_id",
+                 max_broadcast_keys: int = 10_000_000):
         self.spark = spark
         self.store = store if isinstance(store, VersionedStore) else VersionedStore(spark, store)
         self.key = as_list(key)
         self.version_col = version_col
         self.bucket_width = bucket_width
         self.part_col = part_col
+        self.max_broadcast_keys = max_broadcast_keys
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.part_col, bucket_id(self.key[0], self.bucket_width))
@@ -82,7 +84,8 @@ class VersionUpsert:
         touched = [r[self.part_col] for r in per_part]
         new_cp = max(r["mx"] for r in per_part)
         current = self.store.read(parts=touched)
-        merged = merge_upsert(current, staged, self.key, [self.version_col])
+        merged = merge_upsert(current, staged, self.key, [self.version_col],
+                              max_broadcast_rows=self.max_broadcast_keys)
         self.store.replace_parts(merged, touched,
                                  state={"checkpoint": encode_checkpoint(new_cp, dtype)})
         return True
