@@ -72,6 +72,10 @@ class SnapshotSync:
         # Fallback for stores written without state: max over the data.
         return watermark_value(self.store.read(), self.spec.hist_id)
 
+    @staticmethod
+    def _staged_path(staged: DataFrame) -> str:
+        return _input_path(staged) or "/nonexistent"
+
     # M1
     def sync(self, changes: DataFrame | None = None, batch_id: int | None = None) -> bool:
         s = self.spec
@@ -98,7 +102,8 @@ class SnapshotSync:
             current = self.store.read(parts=touched)
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
                                max_broadcast_rows=self.max_broadcast_keys)
-            self.store.replace_parts(merged, touched, state=state_out)
+            tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
+            self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
         else:
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
                                max_broadcast_rows=self.max_broadcast_keys)
@@ -106,6 +111,11 @@ class SnapshotSync:
         return True
 
 
+def _input_path(df: DataFrame) -> str | None:
+    files = df.inputFiles()
+    return files[0].rsplit("/", 1)[0] if files else None
+
+
 def run_many(jobs: list[SnapshotSync], force_init: bool = False) -> dict[str, str]:
     """Several tables in one run, one spec each."""
     return {j.spec.name: j.run(force_init=force_init) for j in jobs}

@@ -86,6 +86,8 @@ class VersionUpsert:
         current = self.store.read(parts=touched)
         merged = merge_upsert(current, staged, self.key, [self.version_col],
                               max_broadcast_rows=self.max_broadcast_keys)
-        self.store.replace_parts(merged, touched,
+        staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
+        tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
+        self.store.replace_parts(merged, touched, key=self.key, tasks=tasks,
                                  state={"checkpoint": encode_checkpoint(new_cp, dtype)})
         return True

@@ -16,12 +16,18 @@ class HadoopFS:
         self.spark = spark
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._cache: dict = {}
 
     def _path(self, p: str):
         return self._jvm.org.apache.hadoop.fs.Path(p)
 
     def _fs(self, p: str):
-        return self._path(p).getFileSystem(self._conf)
+        # one FileSystem per scheme and authority (e.g. per bucket)
+        root = "/".join(p.split("/", 3)[:3]) if "://" in p else ""
+        fs = self._cache.get(root)
+        if fs is None:
+            fs = self._cache[root] = self._path(p).getFileSystem(self._conf)
+        return fs
 
     def exists(self, p: str) -> bool:
         return bool(self._fs(p).exists(self._path(p)))

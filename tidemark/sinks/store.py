@@ -138,10 +138,42 @@ class VersionedStore:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     # -------------------------------------------------------------- writing
+    @staticmethod
+    def cluster_for_parts(df: DataFrame, part_col: str, key=None, n: int | None = None) -> DataFrame:
+        """Range-partition on (part, key or row hash) before a partitioned write.
+
+        Without it every task writes a file into every part it meets (#tasks x #parts
+        small files). Range partitioning gives each task a contiguous run of parts,
+        splits a hot part over several tasks, and sorts rows by key inside each file
+        (tight row-group statistics). Without ``n`` adaptive execution sizes the tasks.
+        """
+        keys = [key] if isinstance(key, str) else list(key or [])
+        tie = [F.col(k) for k in keys] or [F.xxhash64(*[F.col(c) for c in df.columns])]
+        if n is None:
+            return df.repartitionByRange(F.col(part_col), *tie)
+        return df.repartitionByRange(n, F.col(part_col), *tie)
+
+    def write_tasks(self, parts, extra_bytes: int = 0, target_file_bytes: int = 256 << 20) -> int:
+        """Task count for rewriting ``parts``: one file of about ``target_file_bytes``
+        per task, and at least one task per part up to the cluster's parallelism."""
+        parts = list(parts)
+        m = self.manifest()
+        live = m["parts"] if m else {}
+        # One size call per version directory, scaled to the touched share of parts
+        # (an estimate; per-part calls would cost one round trip per part).
+        versions = sorted({v for vs in live.values() for v in vs})
+        table = sum(self.fs.size_bytes(f"{self.root}/v={v}") for v in versions)
+        share = len([p for p in parts if str(p) in live]) / max(1, len(live))
+        total = extra_bytes + int(table * share)
+        return max(1, math.ceil(total / target_file_bytes),
+                   min(len(parts), self.spark.sparkContext.defaultParallelism))
+
     def _write(self, df: DataFrame, path: str, part_col: str | None, options: dict | None,
-               sort_within=None) -> None:
+               sort_within=None, key=None, tasks: int | None = None) -> None:
         opts = dict(DEFAULT_WRITE_OPTIONS)
         opts.update(options or {})
+        if part_col:
+            df = self.cluster_for_parts(df, part_col, key, tasks)
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
         w = df.write.mode("errorifexists").options(**opts)
@@ -161,19 +193,20 @@ class VersionedStore:
         return T.StructType(fields + [df.schema[part_col]])
 
     def replace(self, df: DataFrame, *, part_col: str | None = None, state: dict | None = None,
-                options: dict | None = None, sort_within=None) -> dict:
+                options: dict | None = None, sort_within=None, key=None) -> dict:
         """Publish ``df`` as the whole table (full refresh, initial load)."""
         base = self.manifest()
         v = self._next_version(base)
         path = f"{self.root}/v={v}"
-        self._write(df, path, part_col, options, sort_within)
+        self._write(df, path, part_col, options, sort_within, key)
         parts = ({p: [v] for p in self._written_parts(path, part_col)} if part_col
                  else {ALL: [v]})
         return self._publish(parts=parts, schema=self._full_schema(df, part_col),
                              part_col=part_col, state=state, base=base)
 
     def replace_parts(self, df: DataFrame, touched, *, state: dict | None = None,
-                      options: dict | None = None, sort_within=None) -> dict:
+                      options: dict | None = None, sort_within=None, key=None,
+                      tasks: int | None = None) -> dict:
         """Rewrite only the ``touched`` parts from ``df`` (which must hold exactly the
         new content of those parts). A touched part that ``df`` leaves empty is
         dropped from the table."""
@@ -183,7 +216,7 @@ class VersionedStore:
         pc = base["part_col"]
         v = self._next_version(base)
         path = f"{self.root}/v={v}"
-        self._write(df, path, pc, options, sort_within)
+        self._write(df, path, pc, options, sort_within, key, tasks)
         written = set(self._written_parts(path, pc))
         parts = {p: list(vs) for p, vs in base["parts"].items()}
         for p in {str(t) for t in touched}:
@@ -193,17 +226,17 @@ class VersionedStore:
         return self._publish(parts=parts, schema=self.schema(), part_col=pc, state=state, base=base)
 
     def append(self, df: DataFrame, *, part_col: str | None = None, state: dict | None = None,
-               options: dict | None = None, sort_within=None) -> dict:
+               options: dict | None = None, sort_within=None, key=None) -> dict:
         """Add ``df``'s rows as new files (K6); creates the table when absent."""
         base = self.manifest()
         if base is None:
             return self.replace(df, part_col=part_col, state=state, options=options,
-                                sort_within=sort_within)
+                                sort_within=sort_within, key=key)
         pc = base["part_col"]
         v = self._next_version(base)
         path = f"{self.root}/v={v}"
         from tidemark.operators.merge import align_to_schema
-        self._write(align_to_schema(df, self.schema()), path, pc, options, sort_within)
+        self._write(align_to_schema(df, self.schema()), path, pc, options, sort_within, key)
         parts = {p: list(vs) for p, vs in base["parts"].items()}
         for p in (self._written_parts(path, pc) if pc else [ALL]):
             parts.setdefault(p, []).append(v)
@@ -232,12 +265,22 @@ class VersionedStore:
         df = self.read()
         pc = m["part_col"]
         if pc:
-            tie = [F.col(k) for k in ([key] if isinstance(key, str) else (key or []))] or \
-                  [F.xxhash64(*[F.col(c) for c in df.columns])]
-            df = df.repartitionByRange(n, F.col(pc), *tie)
+            # at most about one file per part and task; use the cores even when small
+            n = max(n, min(len(m["parts"]), self.spark.sparkContext.defaultParallelism))
+            df = self.cluster_for_parts(df, pc, key, n)
         else:
             df = df.repartition(n)
-        return self.replace(df, part_col=pc, state={"compacted_from": m["seq"]})
+        return self._replace_clustered(df, pc, {"compacted_from": m["seq"]}, key)
+
+    def _replace_clustered(self, df: DataFrame, pc: str | None, state: dict, key) -> dict:
+        base = self.manifest()
+        v = self._next_version(base)
+        path = f"{self.root}/v={v}"
+        opts = dict(DEFAULT_WRITE_OPTIONS)
+        w = df.write.mode("errorifexists").options(**opts)
+        (w.partitionBy(pc) if pc else w).parquet(path)
+        parts = ({p: [v] for p in self._written_parts(path, pc)} if pc else {ALL: [v]})
+        return self._publish(parts=parts, schema=self.schema(), part_col=pc, state=state, base=base)
 
     def retain(self, keep: int = 2) -> list[str]:
         """Drop version directories that none of the last ``keep`` manifests names."""
