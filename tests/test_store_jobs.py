@@ -23,6 +23,14 @@ def test_store_replace_parts_drops_emptied_bucket(spark, tmp_root):
     assert set(s.manifest()["parts"]) == {"1"}
 
 
+def test_data_column_named_like_layout_survives(spark, tmp_root):
+    s = VersionedStore(spark, tmp_root)
+    df = spark.createDataFrame([(1, 7, 0), (2, 8, 1)], "id long, v long, part_id long")
+    s.replace(df, part_col="part_id")
+    s.append(spark.createDataFrame([(3, 9, 1)], "id long, v long, part_id long"))
+    assert rows(s.read(), "id", "v", "part_id") == [(1, 7, 0), (2, 8, 1), (3, 9, 1)]
+
+
 def test_unreadable_manifest_is_an_error(spark, tmp_root):
     s = VersionedStore(spark, tmp_root)
     s.replace(spark.range(3))
@@ -43,7 +51,7 @@ def test_retain_keeps_backup_generation(spark, tmp_root):
     for i in range(4):
         s.replace(spark.range(i + 1))
     dropped = s.retain(2)
-    assert dropped == ["v=1", "v=2"]
+    assert dropped == ["ver-1", "ver-2"]
     assert s.read().count() == 4
 
 
@@ -51,7 +59,7 @@ def test_compaction_rewrites_small_files(spark, tmp_root):
     s = VersionedStore(spark, tmp_root)
     df = spark.range(0, 400).withColumn("part_id", F.col("id") % 3)
     s.replace(df.repartition(20), part_col="part_id")
-    before = s.fs.file_count(f"{tmp_root}/v=1")
+    before = s.fs.file_count(s.vdir(1))
     s.compact(key="id")
     after = sum(s.fs.file_count(p) for p in s.paths())
     assert after < before and s.read().count() == 400
@@ -166,3 +174,36 @@ def test_resumable_load_restarts_after_last_page(spark, tmp_root):
     n = resumable_load(spark, s, src, "o_orderkey", 600)
     assert n >= 1 and s.read().count() == src.count()
     assert int(s.state()["last_key"]) > int(first)
+
+
+def test_adjust_column_type_widens_target(spark, tmp_root):
+    t = spark.createDataFrame([(1, 1)], "id long, v int")
+    CopyJob(target_object=tmp_root, source=t).run(spark)
+    src = spark.createDataFrame([(1, 5_000_000_000), (2, 7)], "id long, v long")
+    CopyJob(target_object=tmp_root, source=src, mode=LoadMode.INCREMENTAL, primary_key=["id"],
+            update_key="v", target_options=TargetOptions(adjust_column_type=True)).run(spark)
+    out = VersionedStore(spark, tmp_root).read()
+    assert out.schema["v"].dataType.simpleString() == "bigint"
+    assert rows(out) == [(1, 5_000_000_000), (2, 7)]
+
+
+def test_chunked_backfill_resumes_after_last_window(spark, tmp_root):
+    from tidemark.specs import SourceOptions
+    t = spark.createDataFrame([(k, 0) for k in range(10)], "id long, ver long")
+    CopyJob(target_object=tmp_root, source=t).run(spark)
+    src = spark.createDataFrame([(k, 10 + k) for k in range(10)], "id long, ver long")
+    job = CopyJob(target_object=tmp_root, source=src, mode=LoadMode.BACKFILL, primary_key=["id"],
+                  update_key="ver", backfill_range=(10, 16), source_options=SourceOptions(chunk_size=4))
+    job.run(spark)
+    s = VersionedStore(spark, tmp_root)
+    assert s.state()["backfill_until"] == "16"
+    assert rows(s.read()) == sorted([(k, 10 + k) for k in range(6)] + [(k, 0) for k in range(6, 10)])
+    seq = s.manifest()["seq"]
+    job.run(spark)          # nothing left in the range: no new version
+    assert s.manifest()["seq"] == seq
+
+
+def test_file_max_bytes_splits_output(spark, tmp_root):
+    from tidemark.plans.copy import repartition_for_bytes
+    src = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    assert repartition_for_bytes(src, 20_000).rdd.getNumPartitions() > 1

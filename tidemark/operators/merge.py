@@ -24,6 +24,16 @@ from tidemark.operators.latest import keep_latest
 AUTO = "auto"
 
 
+def widened_schema(target: DataFrame, source: DataFrame) -> StructType:
+    """adjust_column_type: the target schema with each column widened to the common
+    type of target and source (int + long -> long, float + double -> double), as
+    UNION's type coercion decides."""
+    common = [c for c in target.columns if c in source.columns]
+    u = target.select(*common).limit(0).unionByName(source.select(*common).limit(0))
+    widened = {f.name: f for f in u.schema.fields}
+    return StructType([widened.get(f.name, f) for f in target.schema.fields])
+
+
 def align_to_schema(df: DataFrame, schema: StructType, *, add_new_columns: bool = False,
                     allow_missing: bool = False) -> DataFrame:
     """Cast ``df`` to ``schema`` by name.
@@ -115,7 +125,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, order, *,
 
 
 def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "op",
-                       order=None, part_col: str = "part_id") -> DataFrame:
+                       order=None, part_col: str = "part_id",
+                       max_touched_parts: int | None = 1_000_000) -> DataFrame:
     """MERGE restricted to touched partitions (M6).
 
     matched and op = 0 -> delete; matched and op > 0 -> update; not matched and
@@ -128,8 +139,14 @@ def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "
     src = align_to_schema(source, target.schema)
     latest = keep_latest(src, [part_col] + keys, order if order is not None else ["hist_id"])
     touched = latest.select(part_col).distinct()
-    inside = target.join(touched, on=part_col, how="left_semi")
-    outside = target.join(touched, on=part_col, how="left_anti")
+    if max_touched_parts is not None:
+        # the touched-part list is bounded by the number of parts: broadcast it after a
+        # count check so the target is never shuffled on its (possibly hot) part column
+        inside = join_small(target, touched, part_col, "left_semi", max_rows=max_touched_parts)
+        outside = join_small(target, touched, part_col, "left_anti", max_rows=max_touched_parts)
+    else:
+        inside = target.join(touched, on=part_col, how="left_semi")
+        outside = target.join(touched, on=part_col, how="left_anti")
     survivors = without_keys(inside, src, [part_col] + keys)
     return latest.where(F.col(op) > 0).unionByName(survivors).unionByName(outside)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import apply_casing
 from tidemark.operators._util import as_list
-from tidemark.operators.merge import align_to_schema, merge_upsert
+from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
 from tidemark.operators.ranges import keyset_page
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
@@ -61,7 +61,10 @@ class CopyJob:
                                       self.source_options)
         else:
             df = read_files(spark, self.src_stream, self.src_conn, self.source_options)
-        return apply_casing(df, self.target_options.column_casing)
+        df = apply_casing(df, self.target_options.column_casing)
+        if self.target_options.file_max_bytes:
+            df = repartition_for_bytes(df, self.target_options.file_max_bytes)
+        return df
 
     def run(self, spark: SparkSession) -> dict | None:
         self.validate()
@@ -102,7 +105,11 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
     target = store.read()
     if o.add_new_columns:
         target = target.unionByName(df.limit(0), allowMissingColumns=True)
+    if o.adjust_column_type:
+        target = align_to_schema(target, widened_schema(target, df))
     keys = as_list(job.primary_key)
+    if mode == LoadMode.BACKFILL and job.source_options.chunk_size:
+        return _backfill_in_windows(store, df, job, target, keys, writer)
     if mode == LoadMode.INCREMENTAL:
         last = store.state().get("incremental_watermark")
         upd = F.col(job.update_key)
@@ -125,6 +132,37 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
     return store.replace(merged, options=writer, state=state)
 
 
+def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, target: DataFrame,
+                         keys: list[str], writer) -> dict:
+    """Backfill ``[start, end)`` in windows of ``chunk_size``; each window is merged and
+    published with the end it reached, so a rerun resumes after the last window."""
+    lo, hi = job.backfill_range
+    step = job.source_options.chunk_size
+    done = store.state().get("backfill_until")
+    cur = lo if done is None else max(lo, type(lo)(done))
+    dtype = df.schema[job.update_key].dataType
+    m = store.manifest()
+    while cur < hi:
+        nxt = min(hi, cur + step)
+        window = df.where((F.col(job.update_key) >= F.lit(cur).cast(dtype))
+                          & (F.col(job.update_key) < F.lit(nxt).cast(dtype)))
+        staged = store.stage(align_to_schema(window, target.schema))
+        merged = merge_upsert(store.read(), staged, keys, [job.update_key],
+                              max_broadcast_rows=10_000_000)
+        m = store.replace(merged, options=writer, state={"backfill_until": str(nxt)})
+        cur = nxt
+    return m
+
+
+def repartition_for_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
+    """file_max_bytes: split output so files stay under about ``max_bytes``, using the
+    size of the input files as the estimate (file sources)."""
+    from tidemark.sinks.fs import HadoopFS
+    fs = HadoopFS(df.sparkSession)
+    total = sum(fs.size_bytes(f) for f in df.inputFiles())
+    return df.repartition(max(1, -(-total // max_bytes))) if total else df
+
+
 def delete_missing(target: DataFrame, source: DataFrame, key) -> DataFrame:
     """Drop target rows whose key no longer exists in the source (semi join)."""
     keys = as_list(key)

@@ -3,11 +3,14 @@
 
 Layout::
 
-    root/v=<n>/                      data of version n (unpartitioned), or
-    root/v=<n>/<part_col>=<m>/       data of part m written in version n
+    root/ver-<n>/                    data of version n (unpartitioned), or
+    root/ver-<n>/<part_col>=<m>/     data of part m written in version n
     root/_manifest/<seq>.json        manifest; the highest sequence is current
     root/_staging/<run>/             staged inputs of a run (change sets)
 
+Version directories are deliberately not named ``k=v``: partition discovery would
+turn them into a column and shadow a data column of the same name.
+
 A manifest names, for every live part, the versions whose files make up that part,
 plus the table schema and a free-form ``state`` (watermarks, checkpoints, processed
 batch ids). A job writes its data into a new version directory first and publishes
@@ -32,6 +35,7 @@ from pyspark.sql import types as T
 from tidemark.sinks.fs import HadoopFS
 
 ALL = "*"
+VERSION_PREFIX = "ver-"
 
 # Fixed writer defaults of the reference's exports: zstd, 100,000-row row groups.
 DEFAULT_WRITE_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
@@ -99,9 +103,17 @@ class VersionedStore:
         return m
 
     def _next_version(self, base: dict | None) -> int:
-        used = [int(n[2:]) for n in self.fs.list_names(self.root, dirs_only=True) if n.startswith("v=")]
+        used = [self._version_of(n) for n in self.fs.list_names(self.root, dirs_only=True)
+                if n.startswith(VERSION_PREFIX)]
         return max([0] + used + ([base["seq"]] if base else [])) + 1
 
+    @staticmethod
+    def _version_of(name: str) -> int:
+        return int(name[len(VERSION_PREFIX):])
+
+    def vdir(self, v: int) -> str:
+        return f"{self.root}/{VERSION_PREFIX}{v}"
+
     # -------------------------------------------------------------- reading
     def schema(self) -> T.StructType:
         m = self.manifest()
@@ -120,22 +132,35 @@ class VersionedStore:
             if wanted is not None and p not in wanted:
                 continue
             for v in versions:
-                out.append(f"{self.root}/v={v}" if pc is None else f"{self.root}/v={v}/{pc}={p}")
+                out.append(self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
         return out
 
     def read(self, parts=None) -> DataFrame:
         """The current table (only the named parts when ``parts`` is given: the other
-        directories are never listed or opened)."""
+        directories are never listed or opened). Each version directory is read with
+        itself as ``basePath`` (so only ``part_col`` is discovered from paths) and the
+        versions are unioned; compaction brings the table back to one version."""
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
         schema = T.StructType.fromJson(json.loads(m["schema"]))
-        paths = self.paths(parts, m)
-        if not paths:
+        pc = m["part_col"]
+        wanted = None if parts is None else {str(p) for p in parts}
+        by_version: dict[int, list[str]] = {}
+        for p, versions in sorted(m["parts"].items()):
+            if wanted is not None and p not in wanted:
+                continue
+            for v in versions:
+                by_version.setdefault(int(v), []).append(
+                    self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
+        if not by_version:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", self.root)
-        df = reader.parquet(*paths)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        out = None
+        for v, paths in sorted(by_version.items()):
+            df = (self.spark.read.schema(schema).option("basePath", self.vdir(v))
+                  .parquet(*paths).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
+            out = df if out is None else out.unionByName(df)
+        return out
 
     # -------------------------------------------------------------- writing
     @staticmethod
@@ -162,7 +187,7 @@ class VersionedStore:
         # One size call per version directory, scaled to the touched share of parts
         # (an estimate; per-part calls would cost one round trip per part).
         versions = sorted({v for vs in live.values() for v in vs})
-        table = sum(self.fs.size_bytes(f"{self.root}/v={v}") for v in versions)
+        table = sum(self.fs.size_bytes(self.vdir(v)) for v in versions)
         share = len([p for p in parts if str(p) in live]) / max(1, len(live))
         total = extra_bytes + int(table * share)
         return max(1, math.ceil(total / target_file_bytes),
@@ -197,7 +222,7 @@ class VersionedStore:
         """Publish ``df`` as the whole table (full refresh, initial load)."""
         base = self.manifest()
         v = self._next_version(base)
-        path = f"{self.root}/v={v}"
+        path = self.vdir(v)
         self._write(df, path, part_col, options, sort_within, key)
         parts = ({p: [v] for p in self._written_parts(path, part_col)} if part_col
                  else {ALL: [v]})
@@ -215,7 +240,7 @@ class VersionedStore:
             raise ManifestError("replace_parts needs an existing partitioned table")
         pc = base["part_col"]
         v = self._next_version(base)
-        path = f"{self.root}/v={v}"
+        path = self.vdir(v)
         self._write(df, path, pc, options, sort_within, key, tasks)
         written = set(self._written_parts(path, pc))
         parts = {p: list(vs) for p, vs in base["parts"].items()}
@@ -234,7 +259,7 @@ class VersionedStore:
                                 sort_within=sort_within, key=key)
         pc = base["part_col"]
         v = self._next_version(base)
-        path = f"{self.root}/v={v}"
+        path = self.vdir(v)
         from tidemark.operators.merge import align_to_schema
         self._write(align_to_schema(df, self.schema()), path, pc, options, sort_within, key)
         parts = {p: list(vs) for p, vs in base["parts"].items()}
@@ -275,7 +300,7 @@ class VersionedStore:
     def _replace_clustered(self, df: DataFrame, pc: str | None, state: dict, key) -> dict:
         base = self.manifest()
         v = self._next_version(base)
-        path = f"{self.root}/v={v}"
+        path = self.vdir(v)
         opts = dict(DEFAULT_WRITE_OPTIONS)
         w = df.write.mode("errorifexists").options(**opts)
         (w.partitionBy(pc) if pc else w).parquet(path)
@@ -294,7 +319,8 @@ class VersionedStore:
         dropped = []
         newest = max(live) if live else 0
         for name in self.fs.list_names(self.root, dirs_only=True):
-            if name.startswith("v=") and int(name[2:]) not in live and int(name[2:]) < newest:
+            if name.startswith(VERSION_PREFIX) and self._version_of(name) not in live \
+                    and self._version_of(name) < newest:
                 self.fs.delete(f"{self.root}/{name}")
                 dropped.append(name)
         for s in seqs[:-keep]:

@@ -26,6 +26,14 @@ def read_parquet_dir(spark: SparkSession, path: str, columns=None, where: str |
     return df
 
 
+def register_parquet_views(spark: SparkSession, folder: str, names) -> list[str]:
+    """Register ``folder/<name>.parquet`` (file or folder of files) as temp views for
+    ad-hoc SQL (S12, F5)."""
+    for n in names:
+        read_parquet_dir(spark, f"{folder.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)
+    return list(names)
+
+
 def read_filtered(df: DataFrame, where: str | None = None, limit: int | None = None,
                   order_by=None) -> DataFrame:
     """User predicate and limit as two arguments (P6, P9). The reference spliced both

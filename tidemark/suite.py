@@ -654,3 +654,41 @@ def q_json_extract(spark, d):
 SELECT n_nationkey AS N_NATIONKEY, n_name AS N_NAME, n_regionkey AS N_REGIONKEY FROM nation""")
 def q_column_casing(spark, d):
     return apply_casing(fx.table(spark, d, "nation"), "upper")
+
+
+# ---------------------------------------------------------------- catalog, ad-hoc SQL
+@register("catalog_roundtrip", "SELECT * FROM orders")
+def q_catalog_roundtrip(spark, d):
+    """CTAS with the rows up to WM, then INSERT ... SELECT of the rest (K8)."""
+    import uuid
+    from tidemark.sinks.catalog import create_table_as, insert_select, read_catalog_table
+    o = fx.table(spark, d, "orders")
+    wm = fx.snapshot_watermark(spark, d)
+    name = f"tidemark_orders_{uuid.uuid4().hex[:10]}"
+    create_table_as(o.where(F.col("o_orderkey") <= wm), name, work_path(spark, "catalog"))
+    insert_select(o.where(F.col("o_orderkey") > wm), name)
+    return read_catalog_table(spark, name)
+
+
+@register("adhoc_sql", """
+SELECT o_orderstatus, count(*) AS n_orders, min(o_orderdate) AS first_order, max(o_totalprice) AS max_total
+FROM orders GROUP BY o_orderstatus""")
+def q_adhoc_sql(spark, d):
+    """Every Parquet file of a folder registered as a view, then ad-hoc SQL."""
+    from tidemark.sources.files import register_parquet_views
+    register_parquet_views(spark, d, ["orders"])
+    return spark.sql("""SELECT o_orderstatus, count(*) AS n_orders, min(o_orderdate) AS first_order,
+                        max(o_totalprice) AS max_total FROM orders GROUP BY o_orderstatus""")
+
+
+@register("mode_backfill_chunked", _SQL_UPSERT.format(
+    hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id >= {fx.SQL_WM} AND hist_id < {fx.SQL_WM2}"))
+def q_mode_backfill_chunked(spark, d):
+    """Backfill of [WM, WM2) in windows of a quarter of the range each."""
+    path = work_path(spark, "backfill_chunked")
+    _snapshot_target(spark, d, path)
+    lo, hi = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
+    CopyJob(target_object=path, source=fx.history(spark, d).select("id", "bal", "hist_id"),
+            mode=LoadMode.BACKFILL, primary_key=["id"], update_key="hist_id", backfill_range=(lo, hi),
+            source_options=SourceOptions(chunk_size=max(1, (hi - lo) // 4 + 1))).run(spark)
+    return VersionedStore(spark, path).read()
