@@ -174,6 +174,16 @@ def test_resumable_load_restarts_after_last_page(spark, tmp_root):
     n = resumable_load(spark, s, src, "o_orderkey", 600)
     assert n >= 1 and s.read().count() == src.count()
     assert int(s.state()["last_key"]) > int(first)
+    assert resumable_load(spark, s, src, "o_orderkey", 600) == 0     # nothing left
+
+
+def test_resumable_load_pages_closed_on_ties(spark, tmp_root):
+    from tidemark.plans.copy import page_plan
+    src = spark.createDataFrame([(k,) for k in [1, 2, 2, 2, 2, 3, 4, 5, 5]], "k long")
+    assert page_plan(src, "k", 2) == ["2", "3", "5"]
+    s = VersionedStore(spark, tmp_root)
+    assert resumable_load(spark, s, src, "k", 2) == 3
+    assert rows(s.read()) == rows(src)
 
 
 def test_adjust_column_type_widens_target(spark, tmp_root):

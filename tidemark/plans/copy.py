@@ -169,23 +169,50 @@ def delete_missing(target: DataFrame, source: DataFrame, key) -> DataFrame:
     return target.join(source.select(*keys), on=keys, how="left_semi")
 
 
+def page_plan(source: DataFrame, order_col: str, page_rows: int) -> list[str]:
+    """Page end keys for a bulk load: the keys at ranks page_rows, 2*page_rows, ...
+    and the last rank, from one order-statistics pass (no pass per page). Returned as
+    text so the plan can be stored in the manifest."""
+    from tidemark.operators.ranges import OrderStatistics
+    st = OrderStatistics(source.select(order_col), order_col)
+    n = st.total_rows()
+    if n == 0:
+        return []
+    ranks = list(range(page_rows, n, page_rows)) + [n]
+    ends = st.values_at(ranks)
+    out: list[str] = []
+    for r in ranks:                       # ties can make neighbouring ends equal
+        txt = str(ends[r])
+        if not out or out[-1] != txt:
+            out.append(txt)
+    return out
+
+
 def resumable_load(spark: SparkSession, store: VersionedStore, source: DataFrame, order_col: str,
                    page_rows: int, max_pages: int | None = None) -> int:
-    """Bulk load in keyset pages, resumable across runs.
-
-    Each page is the next ``page_rows`` rows after the last loaded key (closed on
-    ties) and is appended as one version together with its last key, so a restart
-    resumes after the last published page. Spark retries failed tasks within a page.
+    """Bulk load in key-range pages, resumable across runs.
+
+    The page plan (end key of every page, about ``page_rows`` rows each, closed on
+    ties) is computed once and kept in the manifest. Page i holds the keys in
+    ``(end_{i-1}, end_i]``, so every row is loaded exactly once; each page is
+    appended as one version together with its end key, and a restart continues after
+    the last published page. Spark retries failed tasks within a page. Null keys are
+    not in any page (as with the reference's keyset reads).
     """
+    state = store.state() if store.exists() else {}
+    plan = state.get("page_plan")
+    if plan is None:
+        plan = page_plan(source, order_col, page_rows)
+    dtype = source.schema[order_col].dataType
+    done = state.get("pages_done", 0)
     pages = 0
-    while max_pages is None or pages < max_pages:
-        last = store.state().get("last_key") if store.exists() else None
-        dtype = source.schema[order_col].dataType
-        last_val = None if last is None else spark.range(1).select(F.lit(last).cast(dtype)).first()[0]
-        page = store.stage(keyset_page(source, order_col, last_val, page_rows), "page")
-        top = page.select(F.max(order_col)).first()[0]
-        if top is None:
-            break
-        store.append(page, state={"last_key": str(top)})
+    while done < len(plan) and (max_pages is None or pages < max_pages):
+        hi = F.lit(plan[done]).cast(dtype)
+        cond = F.col(order_col) <= hi
+        if done > 0:
+            cond = cond & (F.col(order_col) > F.lit(plan[done - 1]).cast(dtype))
+        store.append(source.where(cond),
+                     state={"page_plan": plan, "pages_done": done + 1, "last_key": plan[done]})
+        done += 1
         pages += 1
     return pages
