@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators._util import as_list
 
@@ -15,17 +16,28 @@ def _newest_first(order) -> list[Column]:
     return out
 
 
-def keep_latest(df: DataFrame, keys, order, *, rank_col: str = "__tm_rank") -> DataFrame:
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row's hashable columns: a last, deterministic tie-breaker."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*cols) if cols else F.lit(0)
+
+
+def keep_latest(df: DataFrame, keys, order, *, rank_col: str = "__tm_rank",
+                deterministic: bool = True) -> DataFrame:
     """One row per key: the newest by ``order`` (names sort descending, Columns as given).
 
     Planned as ``row_number() = 1``: Spark inserts a partial WindowGroupLimit *before*
     the shuffle, so every map task forwards at most one row per key. A key that holds
     a third of all rows therefore moves one row per task, not a third of the data.
-    ``order`` must be unique within a key for a deterministic result (add tie-breakers).
-    Null keys form one group, as a sort-then-unique does.
+    Rows tied on ``order`` are decided by a hash of the whole row, so a task that is
+    recomputed after an executor loss picks the same row (``deterministic=False``
+    leaves ties to Spark). Null keys form one group, as a sort-then-unique does.
     """
     keys = as_list(keys)
-    w = Window.partitionBy(*keys).orderBy(*_newest_first(order))
+    ordering = _newest_first(order)
+    if deterministic:
+        ordering.append(_row_hash(df).desc())
+    w = Window.partitionBy(*keys).orderBy(*ordering)
     return (df.withColumn(rank_col, F.row_number().over(w))
               .where(F.col(rank_col) == 1)
               .drop(rank_col))
