@@ -58,10 +58,11 @@ def align_to_schema(df: DataFrame, schema: StructType, *, add_new_columns: bool
 
 
 def without_keys(target: DataFrame, changes: DataFrame, keys: list[str],
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, unique: bool = False) -> DataFrame:
     """Target rows whose key is not among the changed keys (J1). Null target keys
-    never match, so they survive."""
-    changed = changes.select(*keys).distinct()
+    never match, so they survive. ``unique``: the changes hold one row per key
+    already, so no ``distinct`` is needed."""
+    changed = changes.select(*keys) if unique else changes.select(*keys).distinct()
     if max_broadcast_rows is not None:
         return join_small(target, changed, keys, "left_anti", max_rows=max_broadcast_rows)
     return target.join(changed, on=keys, how="left_anti")
@@ -91,7 +92,7 @@ def changes_after(changes: DataFrame, hist_id: str, watermark) -> DataFrame:
 
 def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "hist_id",
               op: str = "op", watermark=AUTO, order=None, add_new_columns: bool = False,
-              max_broadcast_rows: int | None = None) -> DataFrame:
+              max_broadcast_rows: int | None = None, changes_reduced: bool = False) -> DataFrame:
     """Apply a history batch to a snapshot (M1).
 
     ``watermark``: ``"auto"`` takes ``max(hist_id)`` of the snapshot (as a lazy scalar
@@ -99,20 +100,22 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     Keep-last per key by ``order`` (default ``hist_id``); the newest change decides:
     ``op > 0`` upserts the row, ``op = 0`` deletes it. Delete-only batches are
     applied (D2). Untouched snapshot rows survive, including null and duplicate keys.
+    ``changes_reduced``: the changes are already one row per key (a staged, reduced
+    change set), so keep-last and the key ``distinct`` are skipped.
     """
     keys = as_list(key)
     if isinstance(watermark, str) and watermark == AUTO:
         watermark = snapshot.select(F.max(hist_id)).scalar()
     ch = changes_after(changes, hist_id, watermark)
     ch = align_to_schema(ch, snapshot.schema, add_new_columns=add_new_columns)
-    latest = keep_latest(ch, keys, order if order is not None else [hist_id])
+    latest = ch if changes_reduced else keep_latest(ch, keys, order if order is not None else [hist_id])
     active = latest.where(F.col(op) > 0)
-    survivors = without_keys(snapshot, ch, keys, max_broadcast_rows)
+    survivors = without_keys(snapshot, ch, keys, max_broadcast_rows, unique=changes_reduced)
     return active.unionByName(survivors, allowMissingColumns=add_new_columns)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key, order, *,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, source_reduced: bool = False) -> DataFrame:
     """MERGE: matched -> update all, not matched -> insert all.
 
     Duplicate source keys are reduced to the newest row first (the reference's
@@ -120,8 +123,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, order, *,
     """
     keys = as_list(key)
     src = align_to_schema(source, target.schema)
-    latest = keep_latest(src, keys, order)
-    return latest.unionByName(without_keys(target, src, keys, max_broadcast_rows))
+    latest = src if source_reduced else keep_latest(src, keys, order)
+    return latest.unionByName(without_keys(target, src, keys, max_broadcast_rows,
+                                           unique=source_reduced))
 
 
 def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "op",

@@ -101,12 +101,12 @@ class SnapshotSync:
             touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
             current = self.store.read(parts=touched)
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys)
+                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True)
             tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
             self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
         else:
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys)
+                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True)
             self.store.replace(merged, state=state_out)
         return True
 

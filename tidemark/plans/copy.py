@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import apply_casing
 from tidemark.operators._util import as_list
+from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
 from tidemark.operators.ranges import keyset_page
 from tidemark.sinks.store import VersionedStore
@@ -123,8 +124,10 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
         dtype = df.schema[job.update_key].dataType
         newer = df.where((F.col(job.update_key) >= F.lit(lo).cast(dtype))
                          & (F.col(job.update_key) < F.lit(hi).cast(dtype)))
-    staged = store.stage(align_to_schema(newer, target.schema, allow_missing=o.add_new_columns))
-    merged = merge_upsert(target, staged, keys, [job.update_key], max_broadcast_rows=10_000_000)
+    staged = store.stage(keep_latest(align_to_schema(newer, target.schema, allow_missing=o.add_new_columns),
+                                     keys, [job.update_key]))
+    merged = merge_upsert(target, staged, keys, [job.update_key], max_broadcast_rows=10_000_000,
+                          source_reduced=True)
     if o.delete_missing:
         merged = merged.join(df.select(*keys), on=keys, how="left_semi")
     wm = staged.select(F.max(job.update_key)).first()[0]
@@ -146,9 +149,9 @@ def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, tar
         nxt = min(hi, cur + step)
         window = df.where((F.col(job.update_key) >= F.lit(cur).cast(dtype))
                           & (F.col(job.update_key) < F.lit(nxt).cast(dtype)))
-        staged = store.stage(align_to_schema(window, target.schema))
+        staged = store.stage(keep_latest(align_to_schema(window, target.schema), keys, [job.update_key]))
         merged = merge_upsert(store.read(), staged, keys, [job.update_key],
-                              max_broadcast_rows=10_000_000)
+                              max_broadcast_rows=10_000_000, source_reduced=True)
         m = store.replace(merged, options=writer, state={"backfill_until": str(nxt)})
         cur = nxt
     return m

@@ -85,7 +85,7 @@ class VersionUpsert:
         new_cp = max(r["mx"] for r in per_part)
         current = self.store.read(parts=touched)
         merged = merge_upsert(current, staged, self.key, [self.version_col],
-                              max_broadcast_rows=self.max_broadcast_keys)
+                              max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
         staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
         tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
         self.store.replace_parts(merged, touched, key=self.key, tasks=tasks,
