@@ -19,3 +19,14 @@ def as_col(x) -> Column:
 def as_value_col(x) -> Column:
     """A literal, or a Column (for example a lazy scalar subquery), as a Column."""
     return x if isinstance(x, Column) else F.lit(x)
+
+
+def typed_lit(value, dtype) -> Column:
+    """A literal of ``dtype``. Dates and timestamps go through ISO text, so the value
+    does not depend on the Python process or session time zone."""
+    import datetime as dt
+    if isinstance(value, dt.datetime):
+        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dtype)
+    if isinstance(value, dt.date):
+        return F.lit(value.isoformat()).cast(dtype)
+    return F.lit(value).cast(dtype)

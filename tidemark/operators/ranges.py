@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators._util import typed_lit
 from tidemark.operators.buckets import floor_div
 from tidemark.session import work_path
 
@@ -224,7 +225,7 @@ def assign_ranges(df: DataFrame, col: str, begins: list, *, range_col: str = "ra
     gets a null range id so no row is lost.
     """
     dtype = df.schema[col].dataType
-    lits = [F.lit(b).cast(dtype) if not isinstance(b, str) else _literal(b, dtype) for b in begins]
+    lits = [typed_lit(b, dtype) for b in begins]
     rid = _count_below(F.col(col), lits, strict=False)
     return df.withColumn(range_col, F.when(F.col(col).isNull(), F.lit(None))
                          .otherwise(F.greatest(rid, F.lit(1))).cast("long"))
@@ -255,13 +256,13 @@ def keyset_page(df: DataFrame, col: str, last, limit: int, **kw) -> DataFrame:
     The cut-off key is found as an exact order statistic instead of a global sort
     with a limit, so large pages do not funnel through one task.
     """
-    rest = df if last is None else df.where(F.col(col) > F.lit(last).cast(df.schema[col].dataType))
+    rest = df if last is None else df.where(F.col(col) > typed_lit(last, df.schema[col].dataType))
     stats = OrderStatistics(rest.select(col), col, **kw)
     n = stats.total_rows()
     if n == 0:
         return rest.limit(0)
     cut = stats.values_at([min(limit, n)])[min(limit, n)]
-    return rest.where(F.col(col) <= F.lit(cut).cast(df.schema[col].dataType))
+    return rest.where(F.col(col) <= typed_lit(cut, df.schema[col].dataType))
 
 
 def fixed_chunks(df: DataFrame, key: str, width: int) -> DataFrame:

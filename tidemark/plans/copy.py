@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import apply_casing
-from tidemark.operators._util import as_list
+from tidemark.operators._util import as_list, typed_lit
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
 from tidemark.operators.ranges import keyset_page
@@ -93,14 +93,14 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
 
     if mode == LoadMode.FULL_REFRESH or not store.exists():
         if mode == LoadMode.SNAPSHOT:
-            df = df.withColumn("loaded_at", F.lit(job.loaded_at or dt.datetime.now()).cast("timestamp_ntz"))
+            df = df.withColumn("loaded_at", typed_lit(job.loaded_at or dt.datetime.now(), "timestamp_ntz"))
         return store.replace(df, options=writer)
 
     if mode == LoadMode.TRUNCATE:
         return store.replace(align_to_schema(df, store.schema()), options=writer)
 
     if mode == LoadMode.SNAPSHOT:
-        stamped = df.withColumn("loaded_at", F.lit(job.loaded_at or dt.datetime.now()).cast("timestamp_ntz"))
+        stamped = df.withColumn("loaded_at", typed_lit(job.loaded_at or dt.datetime.now(), "timestamp_ntz"))
         return store.append(stamped, options=writer)
 
     target = store.read()
@@ -122,8 +122,8 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
     else:  # BACKFILL: [start, end) of the update column
         lo, hi = job.backfill_range
         dtype = df.schema[job.update_key].dataType
-        newer = df.where((F.col(job.update_key) >= F.lit(lo).cast(dtype))
-                         & (F.col(job.update_key) < F.lit(hi).cast(dtype)))
+        newer = df.where((F.col(job.update_key) >= typed_lit(lo, dtype))
+                         & (F.col(job.update_key) < typed_lit(hi, dtype)))
     staged = store.stage(keep_latest(align_to_schema(newer, target.schema, allow_missing=o.add_new_columns),
                                      keys, [job.update_key]))
     merged = merge_upsert(target, staged, keys, [job.update_key], max_broadcast_rows=10_000_000,
@@ -147,8 +147,8 @@ def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, tar
     m = store.manifest()
     while cur < hi:
         nxt = min(hi, cur + step)
-        window = df.where((F.col(job.update_key) >= F.lit(cur).cast(dtype))
-                          & (F.col(job.update_key) < F.lit(nxt).cast(dtype)))
+        window = df.where((F.col(job.update_key) >= typed_lit(cur, dtype))
+                          & (F.col(job.update_key) < typed_lit(nxt, dtype)))
         staged = store.stage(keep_latest(align_to_schema(window, target.schema), keys, [job.update_key]))
         merged = merge_upsert(store.read(), staged, keys, [job.update_key],
                               max_broadcast_rows=10_000_000, source_reduced=True)
