@@ -88,6 +88,10 @@ def test_rate_documents_and_lookup(spark, tmp_root):
     assert sorted(rows(r, "code", "buy", "sell")) == [("EUR", 33.0, 33.5), ("USD", 30.1, 30.2)]
     req = spark.createDataFrame([("usd", "2024-01-02"), ("usd", "2024-01-03"), ("zzz", "2024-01-02")],
                                 "code string, d string").withColumn("rate_date", F.to_date("d"))
+    wrapped = "<Kurlar>" + doc + "\n" + doc.replace("02.01.2024", "03.01.2024") + "</Kurlar>"
+    spark.createDataFrame([(wrapped,)], "value string").coalesce(1).write.text(tmp_root + "/wrapped")
+    both = read_rate_files(spark, tmp_root + "/wrapped")
+    assert sorted(str(d) for d, in rows(both.select("rate_date").distinct())) == ["2024-01-02", "2024-01-03"]
     out = lookup_rates(req, r, max_broadcast_rows=0)   # forces the non-broadcast path
     assert sorted(rows(out, "code", "d", "buy"), key=repr) == sorted(
         [("usd", "2024-01-02", 30.1), ("usd", "2024-01-03", None), ("zzz", "2024-01-02", None)], key=repr)

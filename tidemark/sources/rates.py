@@ -18,6 +18,7 @@ from tidemark.operators.joins import join_small
 RATE_SCHEMA = ("_Tarih string, _Date string, "
                "Currency array<struct<_Kod:string, Isim:string, ForexBuying:string, ForexSelling:string>>")
 DOC_DATE_FORMAT = "dd.MM.yyyy"
+ROW_TAG = "Tarih_Date"
 
 
 def parse_rate_documents(docs: DataFrame, xml_col: str = "xml", date_col: str | None = None) -> DataFrame:
@@ -27,11 +28,18 @@ def parse_rate_documents(docs: DataFrame, xml_col: str = "xml", date_col: str |
     rates are parsed with ``try_cast`` (bad text -> null, not a failed job). The
     date comes from ``date_col`` when given, else from the document's ``Tarih``.
     """
-    parsed = docs.select(
-        *([F.col(date_col).alias("_d")] if date_col else []),
-        F.from_xml(F.col(xml_col), RATE_SCHEMA).alias("doc"))
-    rate_date = F.col("_d") if date_col else F.to_date(F.col("doc._Tarih"), DOC_DATE_FORMAT)
-    cur = parsed.select(rate_date.alias("rate_date"), F.explode("doc.Currency").alias("c"))
+    parsed = docs.select(F.from_xml(F.col(xml_col), RATE_SCHEMA).alias("doc"),
+                         *([F.col(date_col).alias("_d")] if date_col else []))
+    flat = parsed.select("doc.*", *(["_d"] if date_col else []))
+    if date_col:   # an explicit date wins over the document's own
+        flat = flat.withColumn("_Tarih", F.date_format("_d", DOC_DATE_FORMAT)).drop("_d")
+    return rate_rows(flat)
+
+
+def rate_rows(parsed: DataFrame) -> DataFrame:
+    """Rows of parsed documents (``_Tarih``, ``Currency`` columns) -> rate rows."""
+    rate_date = F.to_date(F.col("_Tarih"), DOC_DATE_FORMAT)
+    cur = parsed.select(rate_date.alias("rate_date"), F.explode("Currency").alias("c"))
 
     def present(c):
         return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
@@ -43,10 +51,14 @@ def parse_rate_documents(docs: DataFrame, xml_col: str = "xml", date_col: str |
 
 
 def read_rate_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed rate files (one document per file) -> rows. The date is read from the
-    document itself, so file names carry no meaning."""
-    docs = spark.read.text(path, wholetext=True).withColumnRenamed("value", "xml")
-    return parse_rate_documents(docs)
+    """Landed rate files -> rows, with Spark's XML source (S14): every
+    ``Tarih_Date`` element is a row. A file holds one document (as published, one per
+    day), or several wrapped in one root element; several bare top-level documents in
+    one file are not well-formed XML and the reader returns them as corrupt records.
+    The date comes from the document itself, so file names carry no meaning."""
+    docs = (spark.read.format("xml").option("rowTag", ROW_TAG).schema(RATE_SCHEMA)
+            .load(path))
+    return rate_rows(docs)
 
 
 def lookup_rates(requests: DataFrame, rates: DataFrame, *, date_col: str = "rate_date",

@@ -154,6 +154,14 @@ def q_keep_latest(spark, d):
     return keep_latest(fx.table(spark, d, "events"), "user_id", ["event_id"])
 
 
+@register("keep_latest_tiebreak", """
+SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
+def q_keep_latest_tiebreak(spark, d):
+    """Newest order per customer by date, ties broken by order key: one row per key,
+    where the max-over-key filter keeps every tied row (D9)."""
+    return keep_latest(fx.table(spark, d, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
 @register("max_over_keep_ties", """
 SELECT * FROM orders QUALIFY o_orderdate = max(o_orderdate) OVER (PARTITION BY o_custkey)""")
 def q_max_over_keep_ties(spark, d):
@@ -479,7 +487,8 @@ def q_formats_roundtrip(spark, d):
     from tidemark.sources.files import read_files
     c = fx.table(spark, d, "customer")
     path = write_files(c, work_path(spark, "customer_json"), TargetOptions(format="jsonlines"))
-    return read_files(spark, path, "jsonlines", SourceOptions(schema=c.schema.simpleString()[7:-1].replace(":", " ")))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in c.schema.fields)
+    return read_files(spark, path, "jsonlines", SourceOptions(schema=ddl))
 
 
 @register("rows_capped_export", "SELECT * FROM orders")
@@ -511,7 +520,7 @@ def rate_documents(spark, d) -> DataFrame:
                     F.sort_array(F.collect_list(F.struct("s_suppkey", "cur"))), lambda x: x["cur"]), "")
                     .alias("body")))
     rate_date = F.date_add(F.lit(_RATE_BASE_DATE).cast("date"), F.col("day").cast("int"))
-    return per_day.select(F.concat(
+    return per_day.select("day", F.concat(
         F.lit('<Tarih_Date Tarih="'), F.date_format(rate_date, "dd.MM.yyyy"), F.lit('">'),
         F.col("body"), F.lit("</Tarih_Date>")).alias("xml"))
 
@@ -527,6 +536,16 @@ def q_rates_parse(spark, d):
     return parse_rate_documents(rate_documents(spark, d))
 
 
+@register("rates_files", SQL_RATES)
+def q_rates_files(spark, d):
+    """The same documents landed as XML files, one document per file (one folder per
+    day), read back with Spark's XML source."""
+    from tidemark.sources.rates import read_rate_files
+    path = work_path(spark, "rates_landed")
+    rate_documents(spark, d).repartition("day").write.partitionBy("day").text(path)
+    return read_rate_files(spark, path)
+
+
 @register("rates_lookup", f"""
 WITH r AS ({SQL_RATES}),
 q AS (SELECT s_suppkey, 'c' || s_suppkey AS code,
