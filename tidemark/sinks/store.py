@@ -165,18 +165,20 @@ class VersionedStore:
     # -------------------------------------------------------------- writing
     @staticmethod
     def cluster_for_parts(df: DataFrame, part_col: str, key=None, n: int | None = None) -> DataFrame:
-        """Range-partition on (part, key or row hash) before a partitioned write.
+        """Group rows by part before a partitioned write, with the REBALANCE hint.
 
         Without it every task writes a file into every part it meets (#tasks x #parts
-        small files). Range partitioning gives each task a contiguous run of parts,
-        splits a hot part over several tasks, and sorts rows by key inside each file
-        (tight row-group statistics). Without ``n`` adaptive execution sizes the tasks.
+        small files). REBALANCE hashes on the part column and lets adaptive execution
+        coalesce small partitions and split a skewed (hot) part into several tasks; it
+        needs no sampling pass, so the merge feeding the write runs once (a range
+        repartition would execute it twice). ``n`` sets the initial partition count
+        (from stored bytes when known). Rows are then sorted by part and key inside
+        each task, which is the writer's required order and gives tight row-group
+        statistics on the key.
         """
         keys = [key] if isinstance(key, str) else list(key or [])
-        tie = [F.col(k) for k in keys] or [F.xxhash64(*[F.col(c) for c in df.columns])]
-        if n is None:
-            return df.repartitionByRange(F.col(part_col), *tie)
-        return df.repartitionByRange(n, F.col(part_col), *tie)
+        out = df.hint("rebalance", n, part_col) if n else df.hint("rebalance", part_col)
+        return out.sortWithinPartitions(part_col, *keys)
 
     def write_tasks(self, parts, extra_bytes: int = 0, target_file_bytes: int = 256 << 20) -> int:
         """Task count for rewriting ``parts``: one file of about ``target_file_bytes``
