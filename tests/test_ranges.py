@@ -91,3 +91,16 @@ def test_keyset_page_closed_on_ties(spark):
     nxt = keyset_page(df, "k", 2, 3)
     assert rows(nxt) == [(3,), (4,), (4,)]
     assert keyset_page(df, "k", 5, 3).count() == 0
+
+
+def test_jdbc_range_predicates_plan_is_balanced_and_exact(spark):
+    from tidemark.sources.jdbc import plan_range_predicates, sql_literal
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    assert sql_literal("O'Brien") == "'O''Brien'"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{SF01}/orders.parquet'")
+    for col in ("o_orderdate", "o_orderkey", "o_orderpriority"):
+        preds = plan_range_predicates(o, col, 6)
+        counts = [con.execute(f"SELECT count(*) FROM orders WHERE {p}").fetchone()[0] for p in preds]
+        assert sum(counts) == 15000, col
+        assert max(counts[:-1]) <= 2 * (15000 // 6) + 1, (col, counts)

@@ -7,6 +7,9 @@ partition per predicate (range plans) or Spark's stride partitioning on bounds.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,6 +33,42 @@ def read_ranges(spark: SparkSession, url: str, table: str, predicates: list[str]
     return spark.read.jdbc(url, table, predicates=predicates, properties=props)
 
 
+def sql_literal(v) -> str:
+    """A value as an ANSI SQL literal for a pushed-down predicate."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "1" if v else "0"
+    if isinstance(v, (int, float, decimal.Decimal)):
+        return repr(v) if isinstance(v, float) else str(v)
+    if isinstance(v, dt.datetime):
+        return "'" + v.strftime("%Y-%m-%d %H:%M:%S.%f") + "'"
+    if isinstance(v, dt.date):
+        return "'" + v.isoformat() + "'"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def plan_range_predicates(keys: DataFrame, column: str, k: int) -> list[str]:
+    """Balanced, half-open predicates for ``k`` parallel reads (S3 + S4).
+
+    ``keys`` is the key column as a DataFrame (for a database: a one-column JDBC
+    query); tile bounds are exact NTILE bounds computed by Spark, and the predicates
+    cover every row exactly once, nulls included (D1).
+    """
+    from tidemark.operators.ranges import ntile_ranges, range_begins, range_predicates
+    begins = range_begins(ntile_ranges(keys.select(column), column, k))
+    return range_predicates(column, begins, quote=sql_literal)
+
+
+def read_balanced(spark: SparkSession, url: str, table: str, column: str, k: int, *,
+                  fetchsize: int = 100_000, properties: dict | None = None) -> DataFrame:
+    """Read ``table`` as ``k`` key ranges of about equal row counts, in parallel."""
+    keys = read_query(spark, url, f"SELECT {column} FROM {table}", fetchsize=fetchsize,
+                      properties=properties)
+    preds = plan_range_predicates(keys, column, k)
+    return read_ranges(spark, url, table, preds, fetchsize=fetchsize, properties=properties)
+
+
 def read_bounded(spark: SparkSession, url: str, table: str, column: str, lower, upper,
                  num_partitions: int, *, fetchsize: int = 100_000,
                  properties: dict | None = None) -> DataFrame:
