@@ -217,3 +217,13 @@ def test_file_max_bytes_splits_output(spark, tmp_root):
     from tidemark.plans.copy import repartition_for_bytes
     src = spark.read.parquet(f"{SF001}/lineitem.parquet")
     assert repartition_for_bytes(src, 20_000).rdd.getNumPartitions() > 1
+
+
+def test_checkpoint_filter_reaches_the_scan(spark, tmp_root):
+    from pyspark.sql import types as T
+    src_path = tmp_root + "/src"
+    spark.createDataFrame([(1, 5), (2, 9)], "id long, ver long").write.parquet(src_path)
+    src = spark.read.parquet(src_path)
+    lit = checkpoint_literal("7", T.LongType())
+    plan = src.where(F.col("ver") > lit)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ver,7)" in plan

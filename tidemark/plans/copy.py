@@ -17,7 +17,6 @@ from tidemark.functions.cleaning import apply_casing
 from tidemark.operators._util import as_list, typed_lit
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
-from tidemark.operators.ranges import keyset_page
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
 from tidemark.sources.jdbc import read_query, write_table
