@@ -68,6 +68,24 @@ def without_keys(target: DataFrame, changes: DataFrame, keys: list[str],
     return target.join(changed, on=keys, how="left_anti")
 
 
+def drop_stale(latest: DataFrame, snapshot: DataFrame, keys: list[str], hist_id: str,
+               max_broadcast_rows: int | None = None) -> DataFrame:
+    """Changes that are not newer than the snapshot row of their key are dropped.
+
+    Makes re-reading a tail of the history safe: a re-delivered or late-seen older
+    change can never override a newer snapshot row. The (small) reduced change set
+    is joined to the snapshot's (key, version) columns; the snapshot is only scanned.
+    """
+    snap = snapshot.select(*keys, F.col(hist_id).alias("__snap_ver"))
+    cur = latest.select(*keys, F.col(hist_id).alias("__chg_ver"))
+    if max_broadcast_rows is not None:
+        both = join_small(snap, cur, keys, "inner", max_rows=max_broadcast_rows)
+    else:
+        both = snap.join(cur, keys, "inner")
+    stale = both.where(F.col("__snap_ver") >= F.col("__chg_ver")).select(*keys)
+    return latest.join(stale, keys, "left_anti")
+
+
 def init_snapshot(main: DataFrame, watermark, *, columns=None, hist_id: str = "hist_id",
                   op: str = "op") -> DataFrame:
     """Stamp every row of ``main`` with the load watermark and ``op = 1``.
@@ -92,7 +110,8 @@ def changes_after(changes: DataFrame, hist_id: str, watermark) -> DataFrame:
 
 def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "hist_id",
               op: str = "op", watermark=AUTO, order=None, add_new_columns: bool = False,
-              max_broadcast_rows: int | None = None, changes_reduced: bool = False) -> DataFrame:
+              max_broadcast_rows: int | None = None, changes_reduced: bool = False,
+              guard_versions: bool = False) -> DataFrame:
     """Apply a history batch to a snapshot (M1).
 
     ``watermark``: ``"auto"`` takes ``max(hist_id)`` of the snapshot (as a lazy scalar
@@ -102,6 +121,8 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     applied (D2). Untouched snapshot rows survive, including null and duplicate keys.
     ``changes_reduced``: the changes are already one row per key (a staged, reduced
     change set), so keep-last and the key ``distinct`` are skipped.
+    ``guard_versions``: a change only applies when it is newer than the snapshot row
+    of its key (needed when a tail of the history is re-read, see ``drop_stale``).
     """
     keys = as_list(key)
     if isinstance(watermark, str) and watermark == AUTO:
@@ -109,6 +130,9 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     ch = changes_after(changes, hist_id, watermark)
     ch = align_to_schema(ch, snapshot.schema, add_new_columns=add_new_columns)
     latest = ch if changes_reduced else keep_latest(ch, keys, order if order is not None else [hist_id])
+    if guard_versions:
+        latest = drop_stale(latest, snapshot, keys, hist_id, max_broadcast_rows)
+        ch, changes_reduced = latest, True
     active = latest.where(F.col(op) > 0)
     survivors = without_keys(snapshot, ch, keys, max_broadcast_rows, unique=changes_reduced)
     return active.unionByName(survivors, allowMissingColumns=add_new_columns)

@@ -83,11 +83,12 @@ class SnapshotSync:
         if batch_id is not None and state.get("last_batch") is not None and batch_id <= state["last_batch"]:
             return False          # re-delivered micro-batch: already applied
         wm = self.current_watermark()
+        read_from = wm - s.overlap if (s.overlap and wm is not None) else wm
         src = _load(self.history) if changes is None else changes
         current = self.store.read()
         # Literal watermark: pushed into the Parquet or JDBC scan.
         data_schema = T.StructType([f for f in current.schema.fields if f.name != s.part_col])
-        ch = align_to_schema(changes_after(src, s.hist_id, wm), data_schema)
+        ch = align_to_schema(changes_after(src, s.hist_id, read_from), data_schema)
         staged = self.store.stage(keep_latest(ch, s.key, [s.hist_id]), "changes")
         new_wm = watermark_value(staged, s.hist_id)
         extra = {} if batch_id is None else {"last_batch": batch_id}
@@ -95,18 +96,22 @@ class SnapshotSync:
             if extra:
                 self.store.set_state(extra)
             return False
+        if wm is not None:
+            new_wm = max(new_wm, wm)          # a re-read tail never moves the watermark back
         state_out = {"watermark": new_wm, **extra}
         if s.bucket_width:
             staged = self._with_bucket(staged)
             touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
             current = self.store.read(parts=touched)
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True)
+                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
+                               guard_versions=bool(s.overlap))
             tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
             self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
         else:
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True)
+                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
+                               guard_versions=bool(s.overlap))
             self.store.replace(merged, state=state_out)
         return True
 

@@ -17,6 +17,9 @@ class TableSpec:
     op: str = "op"                        # 1 = insert/update, 0 = delete
     bucket_width: int | None = None       # key-range buckets; None = one unpartitioned table
     part_col: str = "part_id"
+    overlap: int = 0                      # re-read history ids in (wm - overlap, wm]: catches
+                                          # changes committed out of id order; merges then
+                                          # compare versions so re-read rows never win
 
     def __post_init__(self):
         if isinstance(self.key, str):
