@@ -242,7 +242,9 @@ def test_overlap_rereads_tail_without_overriding_newer_rows(spark, tmp_root):
     # key 7 (id 3 < watermark 4) is caught by the overlap; keys 1, 2 are not overridden
     assert rows(job.store.read(), "id", "bal", "hist_id") == [(1, 11.0, 4), (2, 20.0, 2), (7, 7.0, 3)]
     assert job.store.state()["watermark"] == 4
-    job.run()   # re-reading the same tail again changes nothing
+    seq = job.store.manifest()["seq"]
+    assert job.run() == "no-changes"   # re-reading the same tail again changes nothing
+    assert job.store.manifest()["seq"] == seq
     assert rows(job.store.read(), "id", "bal", "hist_id") == [(1, 11.0, 4), (2, 20.0, 2), (7, 7.0, 3)]
 
 

@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from tidemark.operators.aggregates import watermark_value
 from tidemark.operators.buckets import bucket_id
 from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import align_to_schema, cdc_merge, changes_after, init_snapshot
+from tidemark.operators.merge import (
+    align_to_schema, cdc_merge, changes_after, drop_stale, init_snapshot,
+)
 from tidemark.sinks.store import VersionedStore
 from tidemark.specs import TableSpec
 
@@ -99,6 +101,14 @@ class SnapshotSync:
         if wm is not None:
             new_wm = max(new_wm, wm)          # a re-read tail never moves the watermark back
         state_out = {"watermark": new_wm, **extra}
+        if s.overlap:
+            # only re-read rows that are already applied: nothing to publish
+            effective = drop_stale(staged, self.store.read(), s.key, s.hist_id,
+                                   self.max_broadcast_keys)
+            if effective.isEmpty():
+                if new_wm != wm or extra:
+                    self.store.set_state(state_out)
+                return False
         if s.bucket_width:
             staged = self._with_bucket(staged)
             touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
