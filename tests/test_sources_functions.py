@@ -122,3 +122,21 @@ def test_driver_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
+
+
+def test_federated_requests_are_isolated(spark):
+    ds = {"lake": {"zz_nation": f"SELECT * FROM parquet.`{SF001}/nation.parquet`"}}
+    out = federated_query(spark, ExportRequest(ds, "SELECT count(*) AS n FROM zz_nation", {"lake": "spark"}))
+    assert out.first()["n"] == 25
+    assert not spark.catalog.tableExists("zz_nation")
+
+
+def test_table_reader_falls_back_to_parquet_and_sql_literals(spark, tmp_root):
+    import datetime as dt
+    from tidemark.sources.files import read_table
+    from tidemark.sources.jdbc import sql_literal
+    spark.range(3).write.parquet(tmp_root + "/t")
+    assert read_table(spark, tmp_root + "/t", columns=["id"]).count() == 3
+    assert sql_literal(dt.datetime(2024, 1, 2, 3, 4, 5)) == "'2024-01-02 03:04:05.000000'"
+    assert sql_literal(dt.date(2024, 1, 2)) == "'2024-01-02'"
+    assert sql_literal(None) == "NULL" and sql_literal(5) == "5"

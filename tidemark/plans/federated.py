@@ -64,10 +64,16 @@ def register_datasets(spark: SparkSession, request: ExportRequest,
 
 
 def federated_query(spark: SparkSession, request: ExportRequest,
-                    configured: dict[str, str] | None = None) -> DataFrame:
-    """The final query over the registered datasets."""
-    register_datasets(spark, request, configured)
-    return spark.sql(request.query)
+                    configured: dict[str, str] | None = None, *, isolate: bool = True) -> DataFrame:
+    """The final query over the registered datasets.
+
+    With ``isolate`` the datasets are registered in ``spark.newSession()``: same
+    cluster and cache, separate temporary views, so concurrent requests cannot see or
+    replace each other's dataset names, and the caller's session is untouched.
+    """
+    session = spark.newSession() if isolate else spark
+    register_datasets(session, request, configured)
+    return session.sql(request.query)
 
 
 def federated_export(spark: SparkSession, request: ExportRequest, path: str,
