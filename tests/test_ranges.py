@@ -104,3 +104,21 @@ def test_jdbc_range_predicates_plan_is_balanced_and_exact(spark):
         counts = [con.execute(f"SELECT count(*) FROM orders WHERE {p}").fetchone()[0] for p in preds]
         assert sum(counts) == 15000, col
         assert max(counts[:-1]) <= 2 * (15000 // 6) + 1, (col, counts)
+
+
+def brute_ntile(values, k):
+    vals = sorted(v for v in values if v is not None)
+    out = []
+    for t, a, b in tile_ranks(len(vals), k):
+        out.append((t, vals[a - 1], vals[b - 1], b - a + 1))
+    return out
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-20, 20)), min_size=0, max_size=60),
+       st.integers(1, 9), st.integers(2, 12))
+def test_ntile_property_matches_brute_force(spark, values, k, maxv):
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = [tuple(r) for r in ntile_ranges(df, "v", k, max_bucket_values=maxv, max_fanout=4)
+           .orderBy("part").collect()]
+    assert got == brute_ntile(values, k)
