@@ -254,3 +254,17 @@ def test_guard_versions_drops_stale_changes(spark):
     ch = spark.createDataFrame([(1, 9.0, 8, 1), (2, 0.0, 6, 0), (3, 3.0, 7, 1)], HIST)
     out = cdc_merge(snap, ch, "id", watermark=None, guard_versions=True)
     assert rows(out, "id", "bal") == [(1, 1.0), (3, 3.0)]
+
+
+def test_timestamp_checkpoint_rereads_the_boundary_instant(spark, tmp_root):
+    first = spark.sql("SELECT 1L AS id, TIMESTAMP_NTZ'2024-01-01 00:00:05' AS ts")
+    job = VersionUpsert(spark, tmp_root, "id", "ts", bucket_width=100)
+    job.init(first)
+    seq = job.store.manifest()["seq"]
+    assert not job.sync(first)                     # boundary row already applied
+    assert job.store.manifest()["seq"] == seq
+    # a second row with the same instant arrives late: ">=" still picks it up
+    late = spark.sql("""SELECT * FROM VALUES (1L, TIMESTAMP_NTZ'2024-01-01 00:00:05'),
+                        (2L, TIMESTAMP_NTZ'2024-01-01 00:00:05') AS t(id, ts)""")
+    assert job.sync(late)
+    assert rows(job.store.read(), "id") == [(1,), (2,)]

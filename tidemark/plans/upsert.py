@@ -6,6 +6,12 @@ together with the data, so data and checkpoint commit at once. A run pulls rows
 newest row per key, stages them in the shared folder, rewrites only the touched
 buckets (pruned read of exactly those part directories) and publishes.
 Inserts and updates only; deletes are not visible through a version column.
+
+Timestamp versions are read with ``>=`` by default: several rows may share the
+checkpoint instant (or differ below the microsecond kept in the checkpoint), and
+a strict ``>`` would skip the ones that arrive later. The boundary rows that are
+re-read are already applied, so the upsert is idempotent, and a run that only
+re-reads them publishes nothing.
 """
 
 from __future__ import annotations
@@ -50,7 +56,7 @@ def checkpoint_literal(text: str | None, dtype: T.DataType):
 class VersionUpsert:
     def __init__(self, spark: SparkSession, store: VersionedStore | str, key, version_col: str,
                  *, bucket_width: int = 1_000_000, part_col: str = "part_id",
-                 max_broadcast_keys: int = 10_000_000):
+                 max_broadcast_keys: int = 10_000_000, inclusive: bool | None = None):
         self.spark = spark
         self.store = store if isinstance(store, VersionedStore) else VersionedStore(spark, store)
         self.key = as_list(key)
@@ -58,6 +64,7 @@ class VersionUpsert:
         self.bucket_width = bucket_width
         self.part_col = part_col
         self.max_broadcast_keys = max_broadcast_keys
+        self.inclusive = inclusive
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.part_col, bucket_id(self.key[0], self.bucket_width))
@@ -74,7 +81,12 @@ class VersionUpsert:
         dtype = source.schema[self.version_col].dataType
         state = self.store.state()
         lit = checkpoint_literal(state.get("checkpoint"), dtype)
-        newer = source if lit is None else source.where(F.col(self.version_col) > lit)
+        inclusive = self.inclusive
+        if inclusive is None:
+            inclusive = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+        inclusive = inclusive and state.get("checkpoint") is not None
+        v = F.col(self.version_col)
+        newer = source if lit is None else source.where(v >= lit if inclusive else v > lit)
         latest = self._bucketed(keep_latest(newer, self.key, [self.version_col]))
         staged = self.store.stage(latest, "upsert")
         per_part = (staged.groupBy(self.part_col)
@@ -84,6 +96,12 @@ class VersionUpsert:
         touched = [r[self.part_col] for r in per_part]
         new_cp = max(r["mx"] for r in per_part)
         current = self.store.read(parts=touched)
+        if inclusive:
+            # boundary rows re-read by ">=" that are already applied change nothing
+            fresh = staged.join(current.select(*self.key, self.version_col),
+                                [*self.key, self.version_col], "left_anti")
+            if fresh.isEmpty():
+                return False
         merged = merge_upsert(current, staged, self.key, [self.version_col],
                               max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
         staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
