@@ -88,7 +88,7 @@ class OrderStatistics:
         # them once as a table in the shared folder and read that back. Sorting inside
         # each file keeps row-group min/max tight, so the interval filters of deeper
         # refinement levels skip most row groups.
-        path = work_path(self.spark, "order-stats")
+        path = self.path = work_path(self.spark, "order-stats")
         counts.sortWithinPartitions(col).write.parquet(path)
         self.counts = self.spark.read.schema(counts.schema).parquet(path)
         row = self.counts.agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).first()
@@ -97,6 +97,11 @@ class OrderStatistics:
     def total_rows(self) -> int:
         return self.n_rows
 
+    def close(self) -> None:
+        """Delete the staged counts table (results already returned do not use it)."""
+        from tidemark.sinks.fs import HadoopFS
+        HadoopFS(self.spark).delete(self.path)
+
     # -- boundaries ----------------------------------------------------------------
     def _boundaries(self, sub: DataFrame, fanout: int, n_values: int) -> list[str]:
         fr = [i / fanout for i in range(1, fanout)]
@@ -206,6 +211,7 @@ def ntile_ranges(df: DataFrame, col: str, k: int, **kw) -> DataFrame:
     plan = tile_ranks(stats.total_rows(), k)
     ranks = sorted({r for _, a, b in plan for r in (a, b)})
     values = stats.values_at(ranks) if ranks else {}
+    stats.close()
     schema = T.StructType([T.StructField("part", T.LongType()),
                            T.StructField("begin_part", df.schema[col].dataType),
                            T.StructField("end_part", df.schema[col].dataType),
@@ -261,9 +267,10 @@ def keyset_page(df: DataFrame, col: str, last, limit: int, **kw) -> DataFrame:
     rest = df if last is None else df.where(F.col(col) > typed_lit(last, df.schema[col].dataType))
     stats = OrderStatistics(rest.select(col), col, **kw)
     n = stats.total_rows()
+    cut = stats.values_at([min(limit, n)])[min(limit, n)] if n else None
+    stats.close()
     if n == 0:
         return rest.limit(0)
-    cut = stats.values_at([min(limit, n)])[min(limit, n)]
     return rest.where(F.col(col) <= typed_lit(cut, df.schema[col].dataType))
 
 

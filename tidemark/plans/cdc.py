@@ -95,6 +95,7 @@ class SnapshotSync:
         new_wm = watermark_value(staged, s.hist_id)
         extra = {} if batch_id is None else {"last_batch": batch_id}
         if new_wm is None:
+            self.store.drop_staging()
             if extra:
                 self.store.set_state(extra)
             return False
@@ -106,6 +107,7 @@ class SnapshotSync:
             effective = drop_stale(staged, self.store.read(), s.key, s.hist_id,
                                    self.max_broadcast_keys)
             if effective.isEmpty():
+                self.store.drop_staging()
                 if new_wm != wm or extra:
                     self.store.set_state(state_out)
                 return False
@@ -118,11 +120,13 @@ class SnapshotSync:
                                guard_versions=bool(s.overlap))
             tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
             self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
+            self.store.drop_staging()
         else:
             merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
                                max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
                                guard_versions=bool(s.overlap))
             self.store.replace(merged, state=state_out)
+            self.store.drop_staging()
         return True
 
 

@@ -131,7 +131,9 @@ def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
         merged = merged.join(df.select(*keys), on=keys, how="left_semi")
     wm = staged.select(F.max(job.update_key)).first()[0]
     state = {} if wm is None or mode == LoadMode.BACKFILL else {"incremental_watermark": str(wm)}
-    return store.replace(merged, options=writer, state=state)
+    m = store.replace(merged, options=writer, state=state)
+    store.drop_staging()
+    return m
 
 
 def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, target: DataFrame,
@@ -152,6 +154,7 @@ def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, tar
         merged = merge_upsert(store.read(), staged, keys, [job.update_key],
                               max_broadcast_rows=10_000_000, source_reduced=True)
         m = store.replace(merged, options=writer, state={"backfill_until": str(nxt)})
+        store.drop_staging()
         cur = nxt
     return m
 
@@ -182,6 +185,7 @@ def page_plan(source: DataFrame, order_col: str, page_rows: int) -> list[str]:
         return []
     ranks = list(range(page_rows, n, page_rows)) + [n]
     ends = st.values_at(ranks)
+    st.close()
     out: list[str] = []
     for r in ranks:                       # ties can make neighbouring ends equal
         txt = str(ends[r])

@@ -92,6 +92,7 @@ class VersionUpsert:
         per_part = (staged.groupBy(self.part_col)
                           .agg(F.max(self.version_col).alias("mx")).collect())
         if not per_part:
+            self.store.drop_staging()
             return False
         touched = [r[self.part_col] for r in per_part]
         new_cp = max(r["mx"] for r in per_part)
@@ -101,6 +102,7 @@ class VersionUpsert:
             fresh = staged.join(current.select(*self.key, self.version_col),
                                 [*self.key, self.version_col], "left_anti")
             if fresh.isEmpty():
+                self.store.drop_staging()
                 return False
         merged = merge_upsert(current, staged, self.key, [self.version_col],
                               max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
@@ -108,4 +110,5 @@ class VersionUpsert:
         tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
         self.store.replace_parts(merged, touched, key=self.key, tasks=tasks,
                                  state={"checkpoint": encode_checkpoint(new_cp, dtype)})
+        self.store.drop_staging()
         return True

@@ -330,6 +330,11 @@ class VersionedStore:
         return dropped
 
     # -------------------------------------------------------------- staging
+    def drop_staging(self) -> None:
+        """Delete staged inputs once the version built from them is published (the
+        store has a single writer, so no other run is using them)."""
+        self.fs.delete(f"{self.root}/_staging")
+
     def stage(self, df: DataFrame, name: str = "changes") -> DataFrame:
         """Write ``df`` to a staging table in the shared folder and read it back.
 
