@@ -166,7 +166,8 @@ def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "
     keys = as_list(key)
     src = align_to_schema(source, target.schema)
     latest = keep_latest(src, [part_col] + keys, order if order is not None else ["hist_id"])
-    touched = latest.select(part_col).distinct()
+    # the touched parts are the source's parts: no keep-last needed to list them
+    touched = src.select(part_col).distinct()
     if max_touched_parts is not None:
         # the touched-part list is bounded by the number of parts: broadcast it after a
         # count check so the target is never shuffled on its (possibly hot) part column
