@@ -20,6 +20,7 @@ at the wanted ranks.
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -143,16 +144,17 @@ class OrderStatistics:
             totals = {r["_b"]: (r["nv"], r["nr"]) for r in
                       sub.groupBy(bucket.alias("_b"))
                          .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).collect()}
-            starts, acc = {}, iv.offset
-            for b in sorted(totals):
+            order = sorted(totals)
+            starts, ends, acc = {}, [], iv.offset
+            for b in order:
                 starts[b] = acc
                 acc += totals[b][1]
+                ends.append(acc)
             wanted: dict[int, list[int]] = {}
-            for r in rs:
-                for b in sorted(totals):
-                    if starts[b] < r <= starts[b] + totals[b][1]:
-                        wanted.setdefault(b, []).append(r)
-                        break
+            for r in rs:                      # binary search: O(ranks x log buckets)
+                i = bisect.bisect_left(ends, r)
+                if i < len(order):
+                    wanted.setdefault(order[i], []).append(r)
             small = {}
             for b, r in wanted.items():
                 if totals[b][0] <= self.max_bucket_values or not bounds:
