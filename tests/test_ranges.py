@@ -122,3 +122,13 @@ def test_ntile_property_matches_brute_force(spark, values, k, maxv):
     got = [tuple(r) for r in ntile_ranges(df, "v", k, max_bucket_values=maxv, max_fanout=4)
            .orderBy("part").collect()]
     assert got == brute_ntile(values, k)
+
+
+def test_ntile_on_binary_rowversions(spark):
+    from tidemark.functions.encode import long_to_rowversion
+    e = spark.read.parquet(f"{SF01}/events.parquet").select(long_to_rowversion("event_id").alias("rv"))
+    vals = sorted(bytes(r[0]) for r in e.collect())
+    got = [tuple(r) for r in ntile_ranges(e, "rv", 5, max_bucket_values=300, max_fanout=4)
+           .orderBy("part").collect()]
+    want = [(t, vals[a - 1], vals[b - 1], b - a + 1) for t, a, b in tile_ranks(len(vals), 5)]
+    assert [(t, bytes(x), bytes(y), n) for t, x, y, n in got] == want

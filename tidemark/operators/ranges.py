@@ -103,68 +103,110 @@ class OrderStatistics:
         from tidemark.sinks.fs import HadoopFS
         HadoopFS(self.spark).delete(self.path)
 
-    # -- boundaries ----------------------------------------------------------------
-    def _boundaries(self, sub: DataFrame, fanout: int, n_values: int) -> list[str]:
+    # -- value <-> text (boundaries travel to the driver and back as text) ----------
+    def _as_text(self, c: Column) -> Column:
+        # hex keeps byte order for binary; other types round-trip through a cast
+        return F.hex(c) if isinstance(self.dtype, T.BinaryType) else c.cast("string")
+
+    def _lit(self, text: str) -> Column:
+        if isinstance(self.dtype, T.BinaryType):
+            return F.unhex(F.lit(text))
+        return _literal(text, self.dtype)
+
+    # -- one refinement level for all oversized intervals at once ------------------
+    def _level_boundaries(self, sub: DataFrame, level: list, fanout: int) -> dict[int, list[str]]:
+        """Approximate quantiles of the distinct values inside every interval, in one
+        pass (grouped by interval). Strings and binary use a seeded sample instead."""
         fr = [i / fanout for i in range(1, fanout)]
+        out: dict[int, list[str]] = {}
         if isinstance(self.dtype, _QUANTILE_TYPES):
-            row = sub.select(F.transform(F.percentile_approx(self.v, fr, self.accuracy),
-                                         lambda x: x.cast("string")).alias("b")).first()
-            vals = row["b"] or []
+            for r in (sub.groupBy("_iid")
+                         .agg(F.transform(F.percentile_approx(self.v, fr, self.accuracy),
+                                          lambda x: x.cast("string")).alias("b")).collect()):
+                out[r["_iid"]] = r["b"] or []
         else:
-            # Types without quantiles (strings, binary): a seeded sample of distinct values.
-            frac = min(1.0, 20.0 * fanout / max(1, n_values))
-            sample = (sub.sample(fraction=frac, seed=17).select(self.v.cast("string").alias("b"))
-                         .orderBy("b").collect())
-            step = max(1, len(sample) // fanout)
-            vals = [r["b"] for r in sample[step - 1::step]]
-        out = []
-        for s in vals:
-            if s is not None and (not out or s != out[-1]):
-                out.append(s)
+            smallest = min(nv for _, nv, _ in level)
+            frac = min(1.0, 20.0 * fanout / max(1, smallest))
+            rows = (sub.sample(fraction=frac, seed=17)
+                       .select("_iid", self._as_text(self.v).alias("b")).collect())
+            per: dict[int, list[str]] = {}
+            for r in rows:
+                per.setdefault(r["_iid"], []).append(r["b"])
+            for i, vals in per.items():
+                vals.sort()          # text order equals value order for strings / hex
+                step = max(1, len(vals) // fanout)
+                out[i] = vals[step - 1::step]
         return out
 
     def values_at(self, ranks: list[int]) -> dict[int, object]:
-        """Map each 1-based global rank (among non-null values) to its value."""
+        """Map each 1-based global rank (among non-null values) to its value.
+
+        Each refinement level costs a fixed number of passes over the counts table,
+        however many intervals it refines: grouped quantiles, per-bucket totals, and
+        one ranking job for every bucket small enough to rank.
+        """
         ranks = sorted({int(r) for r in ranks if 1 <= r <= self.n_rows})
         result: dict[int, object] = {}
         if not ranks:
             return result
-        # (interval, distinct values in it, ranks wanted in it)
-        pending = [(Interval(None, None, 0), self.n_values, ranks)]
-        while pending:
-            iv, nv, rs = pending.pop()
-            sub = self.counts.where(_in_interval(self.v, iv, self.dtype))
-            if nv <= self.max_bucket_values:
-                result.update(self._rank_in_buckets(sub, F.lit(0), {0: rs}, {0: iv.offset}))
-                continue
-            fanout = min(self.max_fanout, max(2, -(-4 * nv // self.max_bucket_values)))
-            bounds = self._boundaries(sub, fanout, nv)
-            lits = [_literal(b, self.dtype) for b in bounds]
-            bucket = _count_below(self.v, lits, strict=True)
-            totals = {r["_b"]: (r["nv"], r["nr"]) for r in
-                      sub.groupBy(bucket.alias("_b"))
-                         .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).collect()}
-            order = sorted(totals)
-            starts, ends, acc = {}, [], iv.offset
-            for b in order:
-                starts[b] = acc
-                acc += totals[b][1]
-                ends.append(acc)
-            wanted: dict[int, list[int]] = {}
-            for r in rs:                      # binary search: O(ranks x log buckets)
-                i = bisect.bisect_left(ends, r)
-                if i < len(order):
-                    wanted.setdefault(order[i], []).append(r)
-            small = {}
-            for b, r in wanted.items():
-                if totals[b][0] <= self.max_bucket_values or not bounds:
-                    small[b] = r
-                else:
-                    lo = iv.lo if b == 0 else bounds[b - 1]
-                    hi = iv.hi if b == len(bounds) else bounds[b]
-                    pending.append((Interval(lo, hi, starts[b]), totals[b][0], r))
+        if self.n_values <= self.max_bucket_values:
+            result.update(self._rank_in_buckets(self.counts, F.lit(0), {0: ranks}, {0: 0}))
+            return result
+        # intervals (lo, hi] in value order, each with its distinct count and ranks
+        level = [(Interval(None, None, 0), self.n_values, ranks)]
+        while level:
+            los = [iv.lo for iv, _, _ in level if iv.lo is not None]
+            his = [iv.hi for iv, _, _ in level if iv.hi is not None]
+            first_open = level[0][0].lo is None
+            iid = _count_below(self.v, [self._lit(x) for x in los], strict=True) \
+                + F.lit(1 if first_open else 0) - F.lit(1)
+            inside = iid == _count_below(self.v, [self._lit(x) for x in his], strict=True)
+            sub = self.counts.withColumn("_iid", iid).where(inside)
+            fanout = max(2, self.max_fanout // len(level))
+            inner = self._level_boundaries(sub, level, fanout)
+            # one global boundary list: each interval's inner boundaries, then its upper
+            # bound, so no bucket straddles two intervals
+            glob: list[str] = []
+            for i, (iv, _, _) in enumerate(level):
+                for b in inner.get(i, []):
+                    if b is not None and b != iv.hi and (not glob or b != glob[-1]):
+                        glob.append(b)
+                if iv.hi is not None and (not glob or glob[-1] != iv.hi):
+                    glob.append(iv.hi)
+            bucket = _count_below(self.v, [self._lit(x) for x in glob], strict=True)
+            totals = sorted((r["_b"], r["_iid"], r["nv"], r["nr"]) for r in
+                            sub.groupBy(bucket.alias("_b"), F.col("_iid"))
+                               .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr"))
+                               .collect())
+            per_iv: dict[int, list[tuple[int, int, int]]] = {}
+            for b, i, nv, nr in totals:
+                per_iv.setdefault(i, []).append((b, nv, nr))
+            starts: dict[int, int] = {}
+            small: dict[int, list[int]] = {}
+            nxt = []
+            for i, (iv, _, rs) in enumerate(level):
+                buckets = per_iv.get(i, [])
+                ends, acc = [], iv.offset
+                for b, _, nr in buckets:
+                    starts[b] = acc
+                    acc += nr
+                    ends.append(acc)
+                wanted: dict[int, list[int]] = {}
+                for r in rs:
+                    k = bisect.bisect_left(ends, r)
+                    if k < len(buckets):
+                        wanted.setdefault(k, []).append(r)
+                for k, rr in wanted.items():
+                    b, nv, _ = buckets[k]
+                    if nv <= self.max_bucket_values or len(buckets) == 1:
+                        small[b] = rr          # rankable, or cannot be split further
+                    else:
+                        lo = iv.lo if k == 0 else glob[b - 1]
+                        hi = glob[b] if b < len(glob) else iv.hi
+                        nxt.append((Interval(lo, hi, starts[b]), nv, rr))
             if small:
                 result.update(self._rank_in_buckets(sub, bucket, small, starts))
+            level = nxt
         return result
 
     def _rank_in_buckets(self, sub: DataFrame, bucket: Column, wanted: dict[int, list[int]],
