@@ -178,7 +178,7 @@ def test_resumable_load_restarts_after_last_page(spark, tmp_root):
 
 
 def test_resumable_load_pages_closed_on_ties(spark, tmp_root):
-    from tidemark.plans.copy import page_plan
+    from tidemark.operators.ranges import page_plan
     src = spark.createDataFrame([(k,) for k in [1, 2, 2, 2, 2, 3, 4, 5, 5]], "k long")
     assert page_plan(src, "k", 2) == ["2", "3", "5"]
     s = VersionedStore(spark, tmp_root)

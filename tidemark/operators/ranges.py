@@ -330,3 +330,41 @@ def fixed_chunks(df: DataFrame, key: str, width: int) -> DataFrame:
               .withColumn("chunk_lo", mn + F.col("chunk_id") * F.lit(width))
               .withColumn("chunk_hi", F.col("chunk_lo") + F.lit(width)))
 
+
+
+def page_plan(source: DataFrame, order_col: str, page_rows: int, last=None) -> list[str]:
+    """Page end keys for paged reads: the keys at ranks page_rows, 2*page_rows, ...
+    and the last rank (after ``last`` when given), from one order-statistics pass
+    instead of one pass per page. Returned as text so a plan can be stored."""
+    rest = source if last is None else source.where(
+        F.col(order_col) > typed_lit(last, source.schema[order_col].dataType))
+    st = OrderStatistics(rest.select(order_col), order_col)
+    n = st.total_rows()
+    if n == 0:
+        st.close()
+        return []
+    ranks = list(range(page_rows, n, page_rows)) + [n]
+    ends = st.values_at(ranks)
+    st.close()
+    out: list[str] = []
+    for r in ranks:                       # ties can make neighbouring ends equal
+        txt = str(ends[r])
+        if not out or out[-1] != txt:
+            out.append(txt)
+    return out
+
+
+def iter_pages(df: DataFrame, col: str, page_rows: int, last=None):
+    """Keyset pages as ``(last_key_text, page)`` pairs (S5), about ``page_rows`` rows
+    each and closed on ties, in key order; resume with ``last=<last_key>``. The page
+    ends are planned once; each page is a range filter that reaches the scan (or the
+    database query) as pushed predicates."""
+    dtype = df.schema[col].dataType
+    prev = last
+    for end in page_plan(df, col, page_rows, last):
+        cond = F.col(col) <= _literal(end, dtype)
+        if prev is not None:
+            cond = cond & (F.col(col) > (_literal(prev, dtype) if isinstance(prev, str)
+                                         else typed_lit(prev, dtype)))
+        yield end, df.where(cond)
+        prev = end

@@ -17,6 +17,7 @@ from tidemark.functions.cleaning import apply_casing
 from tidemark.operators._util import as_list, typed_lit
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
+from tidemark.operators.ranges import page_plan
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
 from tidemark.sources.jdbc import read_query, write_table
@@ -174,26 +175,6 @@ def delete_missing(target: DataFrame, source: DataFrame, key) -> DataFrame:
     return target.join(source.select(*keys), on=keys, how="left_semi")
 
 
-def page_plan(source: DataFrame, order_col: str, page_rows: int) -> list[str]:
-    """Page end keys for a bulk load: the keys at ranks page_rows, 2*page_rows, ...
-    and the last rank, from one order-statistics pass (no pass per page). Returned as
-    text so the plan can be stored in the manifest."""
-    from tidemark.operators.ranges import OrderStatistics
-    st = OrderStatistics(source.select(order_col), order_col)
-    n = st.total_rows()
-    if n == 0:
-        return []
-    ranks = list(range(page_rows, n, page_rows)) + [n]
-    ends = st.values_at(ranks)
-    st.close()
-    out: list[str] = []
-    for r in ranks:                       # ties can make neighbouring ends equal
-        txt = str(ends[r])
-        if not out or out[-1] != txt:
-            out.append(txt)
-    return out
-
-
 def resumable_load(spark: SparkSession, store: VersionedStore, source: DataFrame, order_col: str,
                    page_rows: int, max_pages: int | None = None) -> int:
     """Bulk load in key-range pages, resumable across runs.
