@@ -97,8 +97,8 @@ class VersionUpsert:
         touched = [r[self.part_col] for r in per_part]
         new_cp = max(r["mx"] for r in per_part)
         current = self.store.read(parts=touched)
-        if inclusive:
-            # boundary rows re-read by ">=" that are already applied change nothing
+        if inclusive and encode_checkpoint(new_cp, dtype) == state.get("checkpoint"):
+            # only boundary rows were re-read by ">=": if all are applied, nothing changed
             fresh = staged.join(current.select(*self.key, self.version_col),
                                 [*self.key, self.version_col], "left_anti")
             if fresh.isEmpty():
