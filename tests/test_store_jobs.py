@@ -268,3 +268,16 @@ def test_timestamp_checkpoint_rereads_the_boundary_instant(spark, tmp_root):
                         (2L, TIMESTAMP_NTZ'2024-01-01 00:00:05') AS t(id, ts)""")
     assert job.sync(late)
     assert rows(job.store.read(), "id") == [(1,), (2,)]
+
+
+def test_overlap_on_bucketed_store(spark, tmp_root):
+    job = _job(spark, tmp_root, [(1, 1.0), (150, 2.0)], [], overlap=5, bucket_width=100)
+    job.run()
+    job.history = spark.createDataFrame([(1, 10.0, 1, 1), (150, 0.0, 2, 0)], HIST)
+    assert job.run() == "sync"
+    seq = job.store.manifest()["seq"]
+    assert job.run() == "no-changes"          # same tail re-read: nothing published
+    assert job.store.manifest()["seq"] == seq
+    job.history = spark.createDataFrame([(1, 10.0, 1, 1), (150, 0.0, 2, 0), (151, 5.0, 3, 1)], HIST)
+    assert job.run() == "sync"
+    assert rows(job.store.read(), "id", "bal") == [(1, 10.0), (151, 5.0)]

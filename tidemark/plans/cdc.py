@@ -102,31 +102,28 @@ class SnapshotSync:
         if wm is not None:
             new_wm = max(new_wm, wm)          # a re-read tail never moves the watermark back
         state_out = {"watermark": new_wm, **extra}
+        touched = None
+        if s.bucket_width:
+            staged = self._with_bucket(staged)
+            touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
+            current = self.store.read(parts=touched)     # only the touched part directories
         if s.overlap:
             # only re-read rows that are already applied: nothing to publish
-            effective = drop_stale(staged, self.store.read(), s.key, s.hist_id,
-                                   self.max_broadcast_keys)
+            effective = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
             if effective.isEmpty():
                 self.store.drop_staging()
                 if new_wm != wm or extra:
                     self.store.set_state(state_out)
                 return False
-        if s.bucket_width:
-            staged = self._with_bucket(staged)
-            touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
-            current = self.store.read(parts=touched)
-            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
-                               guard_versions=bool(s.overlap))
+        merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
+                           max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
+                           guard_versions=bool(s.overlap))
+        if touched is not None:
             tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
             self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
-            self.store.drop_staging()
         else:
-            merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
-                               max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
-                               guard_versions=bool(s.overlap))
             self.store.replace(merged, state=state_out)
-            self.store.drop_staging()
+        self.store.drop_staging()
         return True
 
 
