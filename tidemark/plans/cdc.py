@@ -13,10 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import watermark_value
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.joins import join_small
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import (
     align_to_schema, cdc_merge, changes_after, drop_stale, init_snapshot,
@@ -110,7 +112,12 @@ class SnapshotSync:
         if s.overlap:
             # only re-read rows that are already applied: nothing to publish
             effective = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
-            if effective.isEmpty():
+            upserts = effective.where(F.col(s.op) > 0)
+            # a delete only has an effect while its key still exists
+            deletes = join_small(current.select(*s.key),
+                                 effective.where(F.col(s.op) == 0).select(*s.key), s.key,
+                                 "left_semi", max_rows=self.max_broadcast_keys)
+            if upserts.isEmpty() and deletes.isEmpty():
                 self.store.drop_staging()
                 if new_wm != wm or extra:
                     self.store.set_state(state_out)
