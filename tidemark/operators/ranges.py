@@ -125,9 +125,9 @@ class OrderStatistics:
                                           lambda x: x.cast("string")).alias("b")).collect()):
                 out[r["_iid"]] = r["b"] or []
         else:
-            smallest = min(nv for _, nv, _ in level)
-            frac = min(1.0, 20.0 * fanout / max(1, smallest))
-            rows = (sub.sample(fraction=frac, seed=17)
+            # about 20 samples per wanted boundary in every interval, whatever its size
+            fractions = {i: min(1.0, 20.0 * fanout / max(1, nv)) for i, (_, nv, _) in enumerate(level)}
+            rows = (sub.sampleBy("_iid", fractions, seed=17)
                        .select("_iid", self._as_text(self.v).alias("b")).collect())
             per: dict[int, list[str]] = {}
             for r in rows:
