@@ -94,7 +94,15 @@ class SnapshotSync:
         data_schema = T.StructType([f for f in current.schema.fields if f.name != s.part_col])
         ch = align_to_schema(changes_after(src, s.hist_id, read_from), data_schema)
         staged = self.store.stage(keep_latest(ch, s.key, [s.hist_id]), "changes")
-        new_wm = watermark_value(staged, s.hist_id)
+        touched = None
+        if s.bucket_width:
+            # touched parts and the new watermark from one small aggregate
+            staged = self._with_bucket(staged)
+            per_part = (staged.groupBy(s.part_col).agg(F.max(s.hist_id).alias("mx")).collect())
+            touched = [r[s.part_col] for r in per_part]
+            new_wm = max((r["mx"] for r in per_part if r["mx"] is not None), default=None)
+        else:
+            new_wm = watermark_value(staged, s.hist_id)
         extra = {} if batch_id is None else {"last_batch": batch_id}
         if new_wm is None:
             self.store.drop_staging()
@@ -104,10 +112,7 @@ class SnapshotSync:
         if wm is not None:
             new_wm = max(new_wm, wm)          # a re-read tail never moves the watermark back
         state_out = {"watermark": new_wm, **extra}
-        touched = None
-        if s.bucket_width:
-            staged = self._with_bucket(staged)
-            touched = [r[0] for r in staged.select(s.part_col).distinct().collect()]
+        if touched is not None:
             current = self.store.read(parts=touched)     # only the touched part directories
         if s.overlap:
             # only re-read rows that are already applied: nothing to publish
