@@ -137,9 +137,10 @@ class VersionedStore:
 
     def read(self, parts=None) -> DataFrame:
         """The current table (only the named parts when ``parts`` is given: the other
-        directories are never listed or opened). Each version directory is read with
-        itself as ``basePath`` (so only ``part_col`` is discovered from paths) and the
-        versions are unioned; compaction brings the table back to one version."""
+        directories are never listed or opened). Unpartitioned tables are one scan over
+        all their version directories. For partitioned tables each version directory is
+        read with itself as ``basePath`` (so only ``part_col`` is discovered from paths)
+        and the versions are unioned; compaction brings the table back to one version."""
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
@@ -155,6 +156,11 @@ class VersionedStore:
                     self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
         if not by_version:
             return self.spark.createDataFrame([], schema)
+        if pc is None:
+            # no partition columns to discover: one scan over every version directory
+            paths = [p for _, ps in sorted(by_version.items()) for p in ps]
+            return (self.spark.read.schema(schema).parquet(*paths)
+                    .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
         out = None
         for v, paths in sorted(by_version.items()):
             df = (self.spark.read.schema(schema).option("basePath", self.vdir(v))
