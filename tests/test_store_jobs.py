@@ -281,3 +281,16 @@ def test_overlap_on_bucketed_store(spark, tmp_root):
     job.history = spark.createDataFrame([(1, 10.0, 1, 1), (150, 0.0, 2, 0), (151, 5.0, 3, 1)], HIST)
     assert job.run() == "sync"
     assert rows(job.store.read(), "id", "bal") == [(1, 10.0), (151, 5.0)]
+
+
+def test_many_versions_read_in_one_scan(spark, tmp_root, monkeypatch):
+    import tidemark.sinks.store as store_mod
+    s = VersionedStore(spark, tmp_root)
+    s.replace(spark.createDataFrame([(1, 0), (150, 1)], "id long, part_id long"), part_col="part_id")
+    s.append(spark.createDataFrame([(-5, -1), (151, 1)], "id long, part_id long"))
+    union_rows = rows(s.read())
+    plan = s.read().where("part_id = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_id" in plan       # real partition column
+    monkeypatch.setattr(store_mod, "MAX_UNION_VERSIONS", 1)
+    assert rows(s.read()) == union_rows == [(-5, -1), (1, 0), (150, 1), (151, 1)]
+    assert rows(s.read(parts=[1])) == [(150, 1), (151, 1)]

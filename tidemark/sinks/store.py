@@ -36,6 +36,7 @@ from tidemark.sinks.fs import HadoopFS
 
 ALL = "*"
 VERSION_PREFIX = "ver-"
+MAX_UNION_VERSIONS = 64
 
 # Fixed writer defaults of the reference's exports: zstd, 100,000-row row groups.
 DEFAULT_WRITE_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
@@ -138,9 +139,9 @@ class VersionedStore:
     def read(self, parts=None) -> DataFrame:
         """The current table (only the named parts when ``parts`` is given: the other
         directories are never listed or opened). Unpartitioned tables are one scan over
-        all their version directories. For partitioned tables each version directory is
-        read with itself as ``basePath`` (so only ``part_col`` is discovered from paths)
-        and the versions are unioned; compaction brings the table back to one version."""
+        their version directories; partitioned tables are one scan per live version
+        (keeping ``part_col`` a partition column) up to ``MAX_UNION_VERSIONS``, beyond
+        that one scan over all live part directories."""
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
@@ -156,17 +157,29 @@ class VersionedStore:
                     self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
         if not by_version:
             return self.spark.createDataFrame([], schema)
+        paths = [p for _, ps in sorted(by_version.items()) for p in ps]
         if pc is None:
             # no partition columns to discover: one scan over every version directory
-            paths = [p for _, ps in sorted(by_version.items()) for p in ps]
             return (self.spark.read.schema(schema).parquet(*paths)
                     .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-        out = None
-        for v, paths in sorted(by_version.items()):
-            df = (self.spark.read.schema(schema).option("basePath", self.vdir(v))
-                  .parquet(*paths).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-            out = df if out is None else out.unionByName(df)
-        return out
+        if len(by_version) <= MAX_UNION_VERSIONS:
+            # Each version directory read with itself as basePath: part_col is a real
+            # partition column (partition filters and dynamic pruning apply).
+            out = None
+            for v, ps in sorted(by_version.items()):
+                df = (self.spark.read.schema(schema).option("basePath", self.vdir(v)).parquet(*ps)
+                      .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
+                out = df if out is None else out.unionByName(df)
+            return out
+        # Live data spread over many versions: one scan over all part directories (each
+        # given directly) with the part value taken from the file path, so the plan does
+        # not grow one scan per version. Prune with ``parts=``; ``compact`` restores one
+        # version.
+        data_schema = T.StructType([f for f in schema.fields if f.name != pc])
+        part = F.regexp_extract(F.col("_metadata.file_path"), f"/{pc}=([^/]+)/[^/]*$", 1)
+        df = self.spark.read.schema(data_schema).parquet(*paths).withColumn(
+            pc, part.cast(schema[pc].dataType))
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     # -------------------------------------------------------------- writing
     @staticmethod
