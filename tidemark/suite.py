@@ -309,10 +309,10 @@ def _wm_value(spark, d, num=fx.SNAPSHOT_NUM, den=fx.SNAPSHOT_DEN) -> int:
     return spark.range(1).select(fx.fraction_of_max(spark, d, num, den)).first()[0]
 
 
-def _cdc_job(spark, d, bucket_width=None) -> SnapshotSync:
+def _cdc_job(spark, d, bucket_width=None, overlap=0) -> SnapshotSync:
     """Initial snapshot taken when the history ended at WM, then synced to the end."""
     wm = fx.snapshot_watermark(spark, d)
-    spec = TableSpec(name="customer", key=["id"], bucket_width=bucket_width)
+    spec = TableSpec(name="customer", key=["id"], bucket_width=bucket_width, overlap=overlap)
     early = fx.history(spark, d).where(F.col("hist_id") <= wm)
     job = SnapshotSync(spark, work_path(spark, "cdc"), spec,
                        main=lambda: fx.main_table(spark, d), history=early)
@@ -336,6 +336,20 @@ def q_cdc_sync_bucketed(spark, d):
     return job.store.read()
 
 
+@register("cdc_sync_overlap", SQL_CDC)
+def q_cdc_sync_overlap(spark, d):
+    """Sync to WM2, then sync to the end re-reading a tail of already applied history
+    (overlap); version-guarded merges make the re-read harmless."""
+    wm, wm2 = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
+    job = _cdc_job(spark, d, overlap=max(1, (wm2 - wm) // 2))
+    hist = fx.history(spark, d)
+    job.history = hist.where(F.col("hist_id") <= wm2)
+    job.run()
+    job.history = hist
+    job.run()
+    return job.store.read()
+
+
 @register("stream_cdc", SQL_CDC)
 def q_stream_cdc(spark, d):
     """History after WM landed as three files (in history order), consumed as three
