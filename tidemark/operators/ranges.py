@@ -368,3 +368,13 @@ def iter_pages(df: DataFrame, col: str, page_rows: int, last=None):
                                          else typed_lit(prev, dtype)))
         yield end, df.where(cond)
         prev = end
+
+
+def assign_pages(df: DataFrame, col: str, ends: list, *, page_col: str = "page_id") -> DataFrame:
+    """Tag every row with its keyset page (1-based) from a page plan: the number of
+    page ends strictly below the value, plus one (pages are closed on ties). One pass,
+    no shuffle; null keys get a null page."""
+    dtype = df.schema[col].dataType
+    lits = [_literal(e, dtype) if isinstance(e, str) else typed_lit(e, dtype) for e in ends]
+    pid = _count_below(F.col(col), lits, strict=True) + F.lit(1)
+    return df.withColumn(page_col, F.when(F.col(col).isNull(), F.lit(None)).otherwise(pid).cast("long"))

@@ -281,6 +281,20 @@ def q_keyset_page_ties(spark, d):
     return keyset_page(fx.table(spark, d, "orders"), "o_orderdate", dt.datetime(1996, 1, 1), 5000)
 
 
+@register("keyset_pages_all", """
+WITH r AS (SELECT o_orderdate, row_number() OVER (ORDER BY o_orderdate) AS rn FROM orders),
+n AS (SELECT count(*) AS n FROM orders),
+ends AS (SELECT DISTINCT o_orderdate AS e FROM r, n WHERE r.rn = n.n OR r.rn % 4000 = 0)
+SELECT o.*, CAST((SELECT count(*) FROM ends WHERE ends.e < o.o_orderdate) + 1 AS BIGINT) AS page_id
+FROM orders o""")
+def q_keyset_pages_all(spark, d):
+    """Every row tagged with its keyset page of about 4,000 rows (closed on ties), the
+    page plan computed once from order statistics."""
+    from tidemark.operators.ranges import assign_pages, page_plan
+    orders = fx.table(spark, d, "orders")
+    return assign_pages(orders, "o_orderdate", page_plan(orders, "o_orderdate", 4000))
+
+
 @register("fixed_chunks", """
 WITH m AS (SELECT min(o_orderkey) AS m FROM orders),
 c AS (SELECT CAST(floor((o_orderkey - m.m) / 1000) AS BIGINT) AS chunk_id, m.m AS m FROM orders, m)
