@@ -149,3 +149,13 @@ def test_iter_pages_cover_table_in_key_order(spark):
     # resuming after the first page gives the remaining pages
     rest = list(iter_pages(o, "o_orderdate", 4000, last=pages[0][0]))
     assert sum(p.count() for _, p in rest) == o.count() - counts[0]
+
+
+def test_assign_pages_ties_and_nulls(spark):
+    from tidemark.operators.ranges import assign_pages, page_plan
+    df = spark.createDataFrame([(k,) for k in [1, 2, 2, 2, 3, None, 4, 5, 5]], "k long")
+    ends = page_plan(df, "k", 2)
+    assert ends == ["2", "3", "5"]
+    got = rows(assign_pages(df, "k", ends), "k", "page_id")
+    assert got == sorted([(1, 1), (2, 1), (2, 1), (2, 1), (3, 2), (None, None), (4, 3), (5, 3), (5, 3)],
+                         key=repr)
