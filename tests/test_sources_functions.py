@@ -140,3 +140,14 @@ def test_table_reader_falls_back_to_parquet_and_sql_literals(spark, tmp_root):
     assert sql_literal(dt.datetime(2024, 1, 2, 3, 4, 5)) == "'2024-01-02 03:04:05.000000'"
     assert sql_literal(dt.date(2024, 1, 2)) == "'2024-01-02'"
     assert sql_literal(None) == "NULL" and sql_literal(5) == "5"
+
+
+def test_row_capped_export_files(spark, tmp_root):
+    import pyarrow.parquet as pq
+    from tidemark.sinks.fs import HadoopFS
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    path = export_parquet(o.coalesce(1), tmp_root + "/capped", max_records_per_file=100)
+    names = [n for n in HadoopFS(spark).list_names(path) if n.endswith(".parquet")]
+    assert len(names) >= o.count() // 100
+    local = path.replace("file:", "")
+    assert max(pq.ParquetFile(f"{local}/{n}").metadata.num_rows for n in names) <= 100
