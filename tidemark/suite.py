@@ -739,3 +739,13 @@ def q_mode_backfill_chunked(spark, d):
             mode=LoadMode.BACKFILL, primary_key=["id"], update_key="hist_id", backfill_range=(lo, hi),
             source_options=SourceOptions(chunk_size=max(1, (hi - lo) // 4 + 1))).run(spark)
     return VersionedStore(spark, path).read()
+
+
+@register("json_flatten", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props__k FROM events""")
+def q_json_flatten(spark, d):
+    """JSON text parsed to a struct, then the flatten option (nested -> parent__child)."""
+    from tidemark.sources.files import apply_source_options
+    e = fx.table(spark, d, "events").select(
+        "event_id", F.from_json("props", "k long").alias("props"))
+    return apply_source_options(e, SourceOptions(flatten=True))
