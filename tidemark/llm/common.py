@@ -69,3 +69,19 @@ def slices(batches: Iterable, rows: int = 512):
 def held_out(doc_id):
     """True for rows whose labels must not be learnt: crc32(doc_id as text) mod 4 = 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def chance(*cols, seed: int = 5):
+    """A number in [0, 1) fixed by the columns' values."""
+    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 30)) / float(1 << 30)
+
+
+def lowest(df: DataFrame, n: int, *cols: str, seed: int = 5) -> DataFrame:
+    """About the ``n`` rows of lowest hash, never more: a bounded sample that reruns repeat.
+
+    The count sets a hash limit that some 2n rows pass, so the last sort sees a few rows
+    whatever the size of the table.
+    """
+    total = df.count()
+    few = df.where(chance(*cols, seed=seed) < (2 * n + 100) / total) if total > 2 * n + 100 else df
+    return few.orderBy(chance(*cols, seed=seed), *cols).limit(n)

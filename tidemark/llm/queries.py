@@ -44,6 +44,43 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return contamination(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
 
 
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity of all documents, learnt from confirmed and unlabelled texts."""
+    from tidemark.llm.toxicity import toxicity
+    return toxicity(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "labels", "doc_id", "toxic"))
+
+
+def op6_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Licence phrases and expressions of all documents."""
+    from tidemark.llm.licenses import license_scan
+    return license_scan(table(spark, d, "documents", "doc_id", "text"))
+
+
+def op7_near_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    from tidemark.llm.vectors import near_vectors
+    return near_vectors(table(spark, d, "embeddings", "vec_id", "embedding"))
+
+
+def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    """Classes, links and components of all documents at Jaccard 0.8 over five-word shingles."""
+    from tidemark.llm.ngram_join import ngram_join
+    return ngram_join(table(spark, d, "documents", "doc_id", "text"))
+
+
+def op9_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in all documents: checked patterns, and what the tagger adds."""
+    from tidemark.llm.pii import pii_digest
+    return pii_digest(table(spark, d, "documents", "doc_id", "text"))
+
+
+def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Language of all documents by hyperdimensional profiles."""
+    from tidemark.llm.langid import identify
+    return identify(table(spark, d, "documents", "doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination)}
+    f.__name__: f for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination, op5_toxicity, op6_license_scan,
+                            op7_near_vectors, op8_ngram_join, op9_pii, op10_language_id)}
 ORACLES: dict[str, str] = {}
