@@ -18,6 +18,7 @@ empty table gives no blocks; long documents make long blocks of their own.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -86,42 +87,84 @@ def open_block(payload: bytes) -> tuple[int, list, np.ndarray, memoryview]:
     return bits, [None if z else int(d) for d, z in zip(doc_ids, null)], offsets, memoryview(payload)[at + 9 * n + 8 * (n + 1):]
 
 
-class PieceEncoder:
-    """The tokenizer, with the ids of pieces it has met kept by piece.
+def uneven(text: str) -> bool:
+    """White space beside a space, or a space at either end: cuts at spaces would not be cuts of the pattern.
 
-    Byte-level BPE never merges across the pieces of its own splitting pattern, so the ids
-    of a text are those of its pieces one after another. The memory is emptied at
-    ``limit`` pieces.
+    Of texts that pass ``PLAIN``, which hold no other white space than these four.
     """
+    return "  " in text or "\n " in text or " \n" in text or "\t" in text or "\r" in text or text[0] == " " or text[-1] == " "
+
+
+class Generations:
+    """A memory of two generations: what is not used while ``limit`` new entries come is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
 
-    def __init__(self, path: str, pattern: str, limit: int = 400_000):
-        import re
+    def turn(self) -> None:
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
 
+    def find(self, key, make):
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = make(key)
+            self.young[key] = value
+        return value
+
+
+class PieceEncoder:
+    """The tokenizer, with the ids of what it has met kept.
+
+    A single space between two other characters always begins a piece of byte-level BPE's
+    splitting pattern, and merges never cross pieces. So a text is cut at such spaces, a
+    chunk that is new is cut by the pattern, and a piece that is new goes to the
+    tokenizer's model. Texts with other white space around a space are cut by the pattern
+    as a whole, texts of unusual characters or with special tokens go to the tokenizer.
+
+    What was not met for a while is forgotten, so memory is bounded (a long text may exceed it once).
+    """
+
+    def __init__(self, path: str, pattern: str, limit: int = 250_000):
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
         self.cut, self.odd, self.limit = regex.compile(pattern).findall, re.compile(PLAIN).search, limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        # byte-level BPE writes bytes as characters: printable ones as themselves, the others from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.byte_chars = {b: 256 + i for i, b in enumerate(hidden)}
+        self.pieces, self.chunks = Generations(limit), Generations(limit)
+
+    def _new_piece(self, piece: str) -> bytes:
+        tokens = self.model(piece.encode().decode("latin-1").translate(self.byte_chars))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _by_pieces(self, text: str) -> bytes:
+        find, new = self.pieces.find, self._new_piece
+        return b"".join([find(p, new) for p in self.cut(text)])
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _new_chunk(self, chunk: str) -> bytes:
+        return self._by_pieces(" " + chunk)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
+        self.pieces.turn()
         if self.odd(text) or any(s in text for s in self.special):
-            return np.array(self.whole([text])[0], np.uint32)
-        pieces, known = self.cut(text), self.known
-        try:
-            return np.frombuffer(b"".join([known[p] for p in pieces]), "<u4")
-        except KeyError:
-            if len(known) > self.limit:
-                known.clear()
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-            for p, ids in zip(new, self.whole(new)):
-                known[p] = struct.pack(f"<{len(ids)}I", *ids)
-            return np.frombuffer(b"".join([known[p] for p in pieces]), "<u4")
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        if uneven(text):
+            return np.frombuffer(self._by_pieces(text), "<u4")
+        first, *rest = text.split(" ")
+        chunks = self.chunks
+        chunks.turn()
+        get = chunks.young.get
+        out = [get(c) or chunks.find(c, self._new_chunk) for c in rest]  # kept without the space before them
+        return np.frombuffer(b"".join([self._by_pieces(first), *out]), "<u4")
 
 
 def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, pattern: str | None = None,

@@ -22,11 +22,8 @@ def as_value_col(x) -> Column:
 
 
 def typed_lit(value, dtype) -> Column:
-    """A literal of ``dtype``. Dates and timestamps go through ISO text, so the value
-    does not depend on the Python process or session time zone."""
-    import datetime as dt
-    if isinstance(value, dt.datetime):
-        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dtype)
-    if isinstance(value, dt.date):
-        return F.lit(value.isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
+    """A literal of ``dtype`` (a type or its name), see ``control.literal``."""
+    from pyspark.sql import types as T
+
+    from tidemark.operators.control import literal
+    return literal(value, T.DataType.fromDDL(dtype) if isinstance(dtype, str) else dtype)

@@ -1,232 +1,148 @@
 """Range planning for parallel, resumable reads.
 
 ``NTILE(k) OVER (ORDER BY c)`` has no PARTITION BY, so Spark would run it in a single
-task. Tile bounds only depend on the multiset of sorted values, so we compute them
-as exact order statistics instead:
-
-1. per-value counts (a partially aggregated ``groupBy``: a value held by a third of
-   all rows becomes one row per map task), written as a table in the shared folder;
-2. if there are few distinct values (``max_bucket_values``) they are ranked
-   directly; otherwise approximate quantile boundaries of the distinct values
-   (``percentile_approx``, one pass) split the domain into coarse buckets, with a
-   fan-out sized from the distinct count;
-3. exact per-bucket totals (one small aggregate, collected: at most ``fanout`` rows);
-4. only buckets that contain a wanted rank are ranked, with a running sum
-   partitioned by bucket; a bucket that is still too large is split again.
-
-Only control values reach the driver: boundaries, per-bucket totals and the values
-at the wanted ranks.
+task. Tile bounds only depend on the multiset of sorted values, so we compute them as
+exact order statistics instead, without moving the column:
+
+1. approximate quantiles (``percentile_approx``, one pass, partial aggregates; a seeded
+   sample for text and binary) become boundaries. Every boundary is a bucket of its own,
+   what lies between two boundaries is another: a value held by a third of all rows is a
+   boundary and never has to be ranked;
+2. exact row counts per bucket (one small aggregate);
+3. a wanted rank in a boundary's bucket is that boundary. Only buckets between boundaries
+   that hold a wanted rank are ranked, by a running sum over their values; one that still
+   holds more than ``max_bucket_values`` rows is split again.
+
+The column is read three times per level, so the input must not change meanwhile: stage
+the key column of a database first. Only control values reach the driver, as lossless
+text (see ``control``).
 """
 
 from __future__ import annotations
 
 import bisect
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators._util import typed_lit
 from tidemark.operators.buckets import floor_div
-from tidemark.session import work_path
+from tidemark.operators.control import Bounds, from_text, literal, to_text
 
 _QUANTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                    T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-@dataclass(frozen=True)
-class Interval:
-    """Values v with lo < v <= hi (None = unbounded) and the number of rows before lo."""
-    lo: object
-    hi: object
-    offset: int
-
-
-def _count_below(v: Column, bounds: list[Column], strict: bool, lo: int = 0, hi: int | None = None) -> Column:
-    """Number of ``bounds`` (sorted literals) below ``v`` (``b < v`` if strict, else
-    ``b <= v``) as a balanced CASE tree: log2(len(bounds)) comparisons per row."""
-    if hi is None:
-        hi = len(bounds)
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    below = (bounds[mid] < v) if strict else (bounds[mid] <= v)
-    return F.when(below, _count_below(v, bounds, strict, mid + 1, hi)).otherwise(
-        _count_below(v, bounds, strict, lo, mid))
-
-
-def _literal(value_text: str, dtype: T.DataType) -> Column:
-    # Boundaries travel as text and are cast back, so timestamp literals keep the
-    # column's exact type (no time-zone shift between driver and session).
-    return F.lit(value_text).cast(dtype)
-
-
-def _in_interval(v: Column, iv: Interval, dtype) -> Column:
-    cond = F.lit(True)
-    if iv.lo is not None:
-        cond = cond & (v > _literal(iv.lo, dtype))
-    if iv.hi is not None:
-        cond = cond & (v <= _literal(iv.hi, dtype))
-    return cond
-
-
 class OrderStatistics:
     """Exact values at global ranks of one column, computed without a global sort."""
 
-    def __init__(self, df: DataFrame, col: str, *, max_bucket_values: int = 2_000_000,
-                 max_fanout: int = 1024, accuracy: int = 100_000):
+    def __init__(self, df: DataFrame, col: str, *, max_bucket_values: int = 500_000, max_fanout: int = 512):
         self.spark: SparkSession = df.sparkSession
-        self.col = col
         self.dtype = df.schema[col].dataType
-        self.max_bucket_values = max(2, max_bucket_values)
+        self.max_bucket_values = max(1, max_bucket_values)
         self.max_fanout = max(2, max_fanout)
-        self.accuracy = accuracy
-        self.v = F.col(col)
-        counts = (df.where(F.col(col).isNotNull())
-                    .groupBy(col).agg(F.count(F.lit(1)).alias("_cnt")))
-        # The counts are read several times (sizes, boundaries, totals, ranks): write
-        # them once as a table in the shared folder and read that back. Sorting inside
-        # each file keeps row-group min/max tight, so the interval filters of deeper
-        # refinement levels skip most row groups.
-        path = self.path = work_path(self.spark, "order-stats")
-        counts.sortWithinPartitions(col).write.parquet(path)
-        self.counts = self.spark.read.schema(counts.schema).parquet(path)
-        row = self.counts.agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr")).first()
-        self.n_values, self.n_rows = int(row["nv"]), int(row["nr"] or 0)
+        self.v = F.col("_v")
+        self.values = df.select(F.col(col).alias("_v")).where(self.v.isNotNull())
+        self.n_rows = self.values.count()
 
     def total_rows(self) -> int:
         return self.n_rows
 
-    def close(self) -> None:
-        """Delete the staged counts table (results already returned do not use it)."""
-        from tidemark.sinks.fs import HadoopFS
-        HadoopFS(self.spark).delete(self.path)
-
-    # -- value <-> text (boundaries travel to the driver and back as text) ----------
-    def _as_text(self, c: Column) -> Column:
-        # hex keeps byte order for binary; other types round-trip through a cast
-        return F.hex(c) if isinstance(self.dtype, T.BinaryType) else c.cast("string")
-
-    def _lit(self, text: str) -> Column:
-        if isinstance(self.dtype, T.BinaryType):
-            return F.unhex(F.lit(text))
-        return _literal(text, self.dtype)
-
-    # -- one refinement level for all oversized intervals at once ------------------
-    def _level_boundaries(self, sub: DataFrame, level: list, fanout: int) -> dict[int, list[str]]:
-        """Approximate quantiles of the distinct values inside every interval, in one
-        pass (grouped by interval). Strings and binary use a seeded sample instead."""
-        fr = [i / fanout for i in range(1, fanout)]
-        out: dict[int, list[str]] = {}
+    def _boundaries(self, sub: DataFrame, sizes: list[int], level: int) -> list[list[str]]:
+        """Sorted boundaries inside every open interval of a level, as control text."""
+        fanout = max(2, self.max_fanout // len(sizes))
+        out: list[list[str]] = [[] for _ in sizes]
         if isinstance(self.dtype, _QUANTILE_TYPES):
-            for r in (sub.groupBy("_iid")
-                         .agg(F.transform(F.percentile_approx(self.v, fr, self.accuracy),
-                                          lambda x: x.cast("string")).alias("b")).collect()):
-                out[r["_iid"]] = r["b"] or []
-        else:
-            # about 20 samples per wanted boundary in every interval, whatever its size
-            fractions = {i: min(1.0, 20.0 * fanout / max(1, nv)) for i, (_, nv, _) in enumerate(level)}
-            rows = (sub.sampleBy("_iid", fractions, seed=17)
-                       .select("_iid", self._as_text(self.v).alias("b")).collect())
-            per: dict[int, list[str]] = {}
-            for r in rows:
-                per.setdefault(r["_iid"], []).append(r["b"])
-            for i, vals in per.items():
-                vals.sort()          # text order equals value order for strings / hex
-                step = max(1, len(vals) // fanout)
-                out[i] = vals[step - 1::step]
+            cuts = [i / fanout for i in range(1, fanout)]
+            at = F.percentile_approx(self.v, cuts, 20 * fanout)
+            for i, b in sub.groupBy("_iid").agg(F.transform(at, lambda x: to_text(x, self.dtype))).collect():
+                out[i] = list(dict.fromkeys(b))
+            return out
+        # text and binary: about 20 samples per wanted boundary; the least value makes sure of progress
+        shares = {i: min(1.0, 20.0 * fanout / max(1, n)) for i, n in enumerate(sizes)}
+        picked = sub.sampleBy("_iid", shares, seed=17 + level).select("_iid", to_text(self.v, self.dtype).alias("b")).collect()
+        least = sub.groupBy("_iid").agg(to_text(F.min("_v"), self.dtype).alias("b")).collect()
+        per: dict[int, list[str]] = {}
+        for i, b in picked:
+            per.setdefault(i, []).append(b)
+        for i, low in least:
+            some = sorted(per.get(i, []), key=lambda x: x.encode())   # byte order is Spark's order
+            out[i] = list(dict.fromkeys([low, *some[max(0, len(some) // fanout - 1)::max(1, len(some) // fanout)]]))
         return out
 
-    def values_at(self, ranks: list[int]) -> dict[int, object]:
-        """Map each 1-based global rank (among non-null values) to its value.
+    def texts_at(self, ranks: list[int]) -> dict[int, str]:
+        """Map each 1-based global rank (among non-null values) to its value as control text.
 
-        Each refinement level costs a fixed number of passes over the counts table,
-        however many intervals it refines: grouped quantiles, per-bucket totals, and
-        one ranking job for every bucket small enough to rank.
+        A level costs three passes, however many intervals it refines.
         """
         ranks = sorted({int(r) for r in ranks if 1 <= r <= self.n_rows})
-        result: dict[int, object] = {}
-        if not ranks:
-            return result
-        if self.n_values <= self.max_bucket_values:
-            result.update(self._rank_in_buckets(self.counts, F.lit(0), {0: ranks}, {0: 0}))
-            return result
-        # intervals (lo, hi] in value order, each with its distinct count and ranks
-        level = [(Interval(None, None, 0), self.n_values, ranks)]
-        while level:
-            los = [iv.lo for iv, _, _ in level if iv.lo is not None]
-            his = [iv.hi for iv, _, _ in level if iv.hi is not None]
-            first_open = level[0][0].lo is None
-            iid = _count_below(self.v, [self._lit(x) for x in los], strict=True) \
-                + F.lit(1 if first_open else 0) - F.lit(1)
-            inside = iid == _count_below(self.v, [self._lit(x) for x in his], strict=True)
-            sub = self.counts.withColumn("_iid", iid).where(inside)
-            fanout = max(2, self.max_fanout // len(level))
-            inner = self._level_boundaries(sub, level, fanout)
-            # one global boundary list: each interval's inner boundaries, then its upper
-            # bound, so no bucket straddles two intervals
-            glob: list[str] = []
-            for i, (iv, _, _) in enumerate(level):
-                for b in inner.get(i, []):
-                    if b is not None and b != iv.hi and (not glob or b != glob[-1]):
-                        glob.append(b)
-                if iv.hi is not None and (not glob or glob[-1] != iv.hi):
-                    glob.append(iv.hi)
-            bucket = _count_below(self.v, [self._lit(x) for x in glob], strict=True)
-            totals = sorted((r["_b"], r["_iid"], r["nv"], r["nr"]) for r in
-                            sub.groupBy(bucket.alias("_b"), F.col("_iid"))
-                               .agg(F.count(F.lit(1)).alias("nv"), F.sum("_cnt").alias("nr"))
-                               .collect())
-            per_iv: dict[int, list[tuple[int, int, int]]] = {}
-            for b, i, nv, nr in totals:
-                per_iv.setdefault(i, []).append((b, nv, nr))
-            starts: dict[int, int] = {}
-            small: dict[int, list[int]] = {}
-            nxt = []
-            for i, (iv, _, rs) in enumerate(level):
-                buckets = per_iv.get(i, [])
-                ends, acc = [], iv.offset
-                for b, _, nr in buckets:
-                    starts[b] = acc
-                    acc += nr
+        result: dict[int, str] = {}
+        # open intervals in value order: (bound below, bound above, rows up to its start, rows, ranks)
+        todo = [(None, None, 0, self.n_rows, ranks)] if ranks else []
+        level = 0
+        while todo:
+            lows = Bounds([t[0] for t in todo if t[0] is not None], self.dtype)
+            highs = Bounds([t[1] for t in todo if t[1] is not None], self.dtype)
+            iid = lows.count_below(self.v) + F.lit(int(todo[0][0] is None) - 1)
+            sub = self.values.withColumn("_iid", iid).where(F.col("_iid") == highs.count_below(self.v, strict=False))
+            inner = self._boundaries(sub, [t[3] for t in todo], level)
+            first, every = [], []      # boundaries of interval i begin at first[i] in the list of all
+            for b in inner:
+                first.append(len(every))
+                every += b
+            bounds = Bounds(every, self.dtype)
+            below = bounds.count_below(self.v)
+            # odd: the boundary itself; even: between two boundaries, told apart by interval at the ends
+            bucket = below * 2 + (bounds.count_below(self.v, strict=False) > below).cast("int")
+            sub = sub.withColumn("_b", F.col("_iid").cast("long") * (4 * len(every) + 4) + bucket)
+            counts = {(i, b): (k, n) for i, b, k, n in sub.groupBy("_iid", bucket.alias("x"), F.col("_b").alias("k")).count()
+                      .select("_iid", "x", "k", "count").collect()}
+            buckets: dict[int, list[int]] = {}
+            for i, b in sorted(counts):
+                buckets.setdefault(i, []).append(b)
+            small: dict[int, list[tuple[int, int]]] = {}
+            after = []
+            for i, (low, high, start, _, wanted) in enumerate(todo):
+                mine = buckets.get(i, [])
+                ends, acc = [], start
+                for b in mine:
+                    acc += counts[i, b][1]
                     ends.append(acc)
-                wanted: dict[int, list[int]] = {}
-                for r in rs:
-                    k = bisect.bisect_left(ends, r)
-                    if k < len(buckets):
-                        wanted.setdefault(k, []).append(r)
-                for k, rr in wanted.items():
-                    b, nv, _ = buckets[k]
-                    if nv <= self.max_bucket_values or len(buckets) == 1:
-                        small[b] = rr          # rankable, or cannot be split further
+                per: dict[int, list[int]] = {}
+                for r in wanted:
+                    per.setdefault(bisect.bisect_left(ends, r), []).append(r)
+                for k, rs in per.items():
+                    b = mine[k]
+                    key, n = counts[i, b]
+                    if b % 2:
+                        result.update((r, every[b // 2]) for r in rs)
+                    elif n <= self.max_bucket_values:
+                        small[key] = [(r, r - (ends[k] - n)) for r in rs]
                     else:
-                        lo = iv.lo if k == 0 else glob[b - 1]
-                        hi = glob[b] if b < len(glob) else iv.hi
-                        nxt.append((Interval(lo, hi, starts[b]), nv, rr))
+                        c = b // 2
+                        lo = every[c - 1] if c > first[i] else low
+                        hi = every[c] if c < first[i] + len(inner[i]) else high
+                        after.append((lo, hi, ends[k] - n, n, rs))
             if small:
-                result.update(self._rank_in_buckets(sub, bucket, small, starts))
-            level = nxt
+                result.update(self._ranked(sub, small))
+            todo, level = after, level + 1
         return result
 
-    def _rank_in_buckets(self, sub: DataFrame, bucket: Column, wanted: dict[int, list[int]],
-                         starts: dict[int, int]) -> dict[int, object]:
-        # The wanted-rank table is bounded by the number of requested ranks, and every
-        # ranked bucket holds at most ``max_bucket_values`` distinct values.
-        want = self.spark.createDataFrame(
-            [(int(b), int(r), int(r - starts[b])) for b, rs in wanted.items() for r in rs],
-            "_b long, _rank long, _local long")
-        w = (Window.partitionBy("_b").orderBy(self.v)
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = sub.withColumn("_b", bucket.cast("long"))
-        if len(wanted) > 1 or 0 not in wanted:
-            ranked = ranked.where(F.col("_b").isin(list(wanted)))
-        ranked = ranked.withColumn("_cum", F.sum("_cnt").over(w))
-        hits = (ranked.join(F.broadcast(want), "_b")
-                      .where((F.col("_cum") - F.col("_cnt") < F.col("_local"))
-                             & (F.col("_local") <= F.col("_cum")))
-                      .select("_rank", self.col).collect())
-        return {r["_rank"]: r[self.col] for r in hits}
+    def _ranked(self, sub: DataFrame, small: dict[int, list[tuple[int, int]]]) -> dict[int, str]:
+        """Values at local ranks of buckets that hold at most ``max_bucket_values`` rows each."""
+        want = self.spark.createDataFrame([(b, r, at) for b, rs in small.items() for r, at in rs], "_b long, _rank long, _at long")
+        kept = sub.where(F.col("_b").isin(list(small))) if len(small) <= 10_000 else sub
+        runs = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = kept.groupBy("_b", "_v").agg(F.count("*").alias("_n")).withColumn("_end", F.sum("_n").over(runs))
+        hits = (sums.join(F.broadcast(want), "_b")     # as many rows as ranks were asked for
+                .where((F.col("_end") - F.col("_n") < F.col("_at")) & (F.col("_at") <= F.col("_end"))))
+        return dict(hits.select("_rank", to_text(self.v, self.dtype)).collect())
+
+    def values_at(self, ranks: list[int]) -> dict[int, object]:
+        """Map each rank to its value as a Python object (timestamps in the process's zone)."""
+        texts = list(self.texts_at(ranks).items())
+        df = self.spark.createDataFrame(texts, "r long, t string")
+        return dict(df.select("r", from_text(F.col("t"), self.dtype)).collect())
 
 
 def tile_ranks(n: int, k: int) -> list[tuple[int, int, int]]:
@@ -253,20 +169,17 @@ def ntile_ranges(df: DataFrame, col: str, k: int, **kw) -> DataFrame:
     of one tile and the begin of the next."""
     stats = OrderStatistics(df.select(col), col, **kw)
     plan = tile_ranks(stats.total_rows(), k)
-    ranks = sorted({r for _, a, b in plan for r in (a, b)})
-    values = stats.values_at(ranks) if ranks else {}
-    stats.close()
-    schema = T.StructType([T.StructField("part", T.LongType()),
-                           T.StructField("begin_part", df.schema[col].dataType),
-                           T.StructField("end_part", df.schema[col].dataType),
-                           T.StructField("n_rows", T.LongType())])
-    rows = [(t, values[a], values[b], b - a + 1) for t, a, b in plan]
-    return df.sparkSession.createDataFrame(rows, schema)
+    texts = stats.texts_at(sorted({r for _, a, b in plan for r in (a, b)}))
+    out = df.sparkSession.createDataFrame([(t, texts[a], texts[b], b - a + 1) for t, a, b in plan],
+                                          "part long, b string, e string, n_rows long")
+    return out.select("part", from_text(F.col("b"), stats.dtype).alias("begin_part"),
+                      from_text(F.col("e"), stats.dtype).alias("end_part"), "n_rows")
 
 
-def range_begins(plan: DataFrame) -> list:
-    """Tile begin values from a plan (k rows), in tile order."""
-    return [r["begin_part"] for r in plan.orderBy("part").select("begin_part").collect()]
+def range_begins(plan: DataFrame) -> list[str]:
+    """Tile begin values from a plan (k rows), in tile order, as control text."""
+    dtype = plan.schema["begin_part"].dataType
+    return [r[0] for r in plan.orderBy("part").select(to_text(F.col("begin_part"), dtype)).collect()]
 
 
 def assign_ranges(df: DataFrame, col: str, begins: list, *, range_col: str = "range_id") -> DataFrame:
@@ -276,11 +189,8 @@ def assign_ranges(df: DataFrame, col: str, begins: list, *, range_col: str = "ra
     across two tiles is read once (D1). One pass over ``df``, no shuffle; a null value
     gets a null range id so no row is lost.
     """
-    dtype = df.schema[col].dataType
-    lits = [typed_lit(b, dtype) for b in begins]
-    rid = _count_below(F.col(col), lits, strict=False)
-    return df.withColumn(range_col, F.when(F.col(col).isNull(), F.lit(None))
-                         .otherwise(F.greatest(rid, F.lit(1))).cast("long"))
+    rid = Bounds(begins, df.schema[col].dataType).count_below(F.col(col), strict=False)
+    return df.withColumn(range_col, F.when(F.col(col).isNotNull(), F.greatest(rid, F.lit(1))).cast("long"))
 
 
 def range_predicates(col: str, begins: list, quote=repr) -> list[str]:
@@ -306,16 +216,14 @@ def keyset_page(df: DataFrame, col: str, last, limit: int, **kw) -> DataFrame:
     the next page can resume with ``> last key`` without losing rows).
 
     The cut-off key is found as an exact order statistic instead of a global sort
-    with a limit, so large pages do not funnel through one task.
+    with a limit, so large pages do not funnel through one task. ``last`` is a value
+    or control text.
     """
-    rest = df if last is None else df.where(F.col(col) > typed_lit(last, df.schema[col].dataType))
+    dtype = df.schema[col].dataType
+    rest = df if last is None else df.where(F.col(col) > literal(last, dtype))
     stats = OrderStatistics(rest.select(col), col, **kw)
-    n = stats.total_rows()
-    cut = stats.values_at([min(limit, n)])[min(limit, n)] if n else None
-    stats.close()
-    if n == 0:
-        return rest.limit(0)
-    return rest.where(F.col(col) <= typed_lit(cut, df.schema[col].dataType))
+    n = min(limit, stats.total_rows())
+    return rest.where(F.col(col) <= literal(stats.texts_at([n])[n], dtype)) if n else rest.limit(0)
 
 
 def fixed_chunks(df: DataFrame, key: str, width: int) -> DataFrame:
@@ -331,27 +239,16 @@ def fixed_chunks(df: DataFrame, key: str, width: int) -> DataFrame:
               .withColumn("chunk_hi", F.col("chunk_lo") + F.lit(width)))
 
 
-
 def page_plan(source: DataFrame, order_col: str, page_rows: int, last=None) -> list[str]:
     """Page end keys for paged reads: the keys at ranks page_rows, 2*page_rows, ...
     and the last rank (after ``last`` when given), from one order-statistics pass
-    instead of one pass per page. Returned as text so a plan can be stored."""
-    rest = source if last is None else source.where(
-        F.col(order_col) > typed_lit(last, source.schema[order_col].dataType))
+    instead of one pass per page, as control text."""
+    rest = source if last is None else source.where(F.col(order_col) > literal(last, source.schema[order_col].dataType))
     st = OrderStatistics(rest.select(order_col), order_col)
     n = st.total_rows()
-    if n == 0:
-        st.close()
-        return []
-    ranks = list(range(page_rows, n, page_rows)) + [n]
-    ends = st.values_at(ranks)
-    st.close()
-    out: list[str] = []
-    for r in ranks:                       # ties can make neighbouring ends equal
-        txt = str(ends[r])
-        if not out or out[-1] != txt:
-            out.append(txt)
-    return out
+    ranks = [*range(page_rows, n, page_rows), n] if n else []
+    ends = st.texts_at(ranks)
+    return list(dict.fromkeys(ends[r] for r in ranks))      # ties can make neighbouring ends equal
 
 
 def iter_pages(df: DataFrame, col: str, page_rows: int, last=None):
@@ -362,10 +259,9 @@ def iter_pages(df: DataFrame, col: str, page_rows: int, last=None):
     dtype = df.schema[col].dataType
     prev = last
     for end in page_plan(df, col, page_rows, last):
-        cond = F.col(col) <= _literal(end, dtype)
+        cond = F.col(col) <= literal(end, dtype)
         if prev is not None:
-            cond = cond & (F.col(col) > (_literal(prev, dtype) if isinstance(prev, str)
-                                         else typed_lit(prev, dtype)))
+            cond = cond & (F.col(col) > literal(prev, dtype))
         yield end, df.where(cond)
         prev = end
 
@@ -374,7 +270,5 @@ def assign_pages(df: DataFrame, col: str, ends: list, *, page_col: str = "page_i
     """Tag every row with its keyset page (1-based) from a page plan: the number of
     page ends strictly below the value, plus one (pages are closed on ties). One pass,
     no shuffle; null keys get a null page."""
-    dtype = df.schema[col].dataType
-    lits = [_literal(e, dtype) if isinstance(e, str) else typed_lit(e, dtype) for e in ends]
-    pid = _count_below(F.col(col), lits, strict=True) + F.lit(1)
-    return df.withColumn(page_col, F.when(F.col(col).isNull(), F.lit(None)).otherwise(pid).cast("long"))
+    below = Bounds(ends, df.schema[col].dataType).count_below(F.col(col))
+    return df.withColumn(page_col, (below + 1).cast("long"))
