@@ -119,6 +119,7 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     Keep-last per key by ``order`` (default ``hist_id``); the newest change decides:
     ``op > 0`` upserts the row, ``op = 0`` deletes it. Delete-only batches are
     applied (D2). Untouched snapshot rows survive, including null and duplicate keys.
+    Changes without a key are left out (jobs count them).
     ``changes_reduced``: the changes are already one row per key (a staged, reduced
     change set), so keep-last and the key ``distinct`` are skipped.
     ``guard_versions``: a change only applies when it is newer than the snapshot row
@@ -128,7 +129,7 @@ def cdc_merge(snapshot: DataFrame, changes: DataFrame, key, *, hist_id: str = "h
     if isinstance(watermark, str) and watermark == AUTO:
         watermark = snapshot.select(F.max(hist_id)).scalar()
     ch = changes_after(changes, hist_id, watermark)
-    ch = align_to_schema(ch, snapshot.schema, add_new_columns=add_new_columns)
+    ch = align_to_schema(ch, snapshot.schema, add_new_columns=add_new_columns).dropna(subset=keys)
     latest = ch if changes_reduced else keep_latest(ch, keys, order if order is not None else [hist_id])
     if guard_versions:
         latest = drop_stale(latest, snapshot, keys, hist_id, max_broadcast_rows)
@@ -153,31 +154,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, order, *,
 
 
 def merge_three_clause(target: DataFrame, source: DataFrame, key, *, op: str = "op",
-                       order=None, part_col: str = "part_id",
-                       max_touched_parts: int | None = 1_000_000) -> DataFrame:
-    """MERGE restricted to touched partitions (M6).
+                       order=None, part_col: str = "part_id") -> DataFrame:
+    """MERGE on (partition, key) (M6).
 
     matched and op = 0 -> delete; matched and op > 0 -> update; not matched and
-    op > 0 -> insert. Only target partitions named by the source take part in the
-    merge (semi join on ``part_col``: dynamic partition pruning on a partitioned
-    scan); the rest pass through untouched. ``order`` defaults to ``op``-free
-    ``hist_id``.
+    op > 0 -> insert. The result is the whole table, so the target is scanned once; jobs
+    that rewrite touched partitions only read just those (``VersionedStore.read(parts=)``).
+    ``order`` defaults to ``op``-free ``hist_id``.
     """
-    keys = as_list(key)
-    src = align_to_schema(source, target.schema)
-    latest = keep_latest(src, [part_col] + keys, order if order is not None else ["hist_id"])
-    # the touched parts are the source's parts: no keep-last needed to list them
-    touched = src.select(part_col).distinct()
-    if max_touched_parts is not None:
-        # the touched-part list is bounded by the number of parts: broadcast it after a
-        # count check so the target is never shuffled on its (possibly hot) part column
-        inside = join_small(target, touched, part_col, "left_semi", max_rows=max_touched_parts)
-        outside = join_small(target, touched, part_col, "left_anti", max_rows=max_touched_parts)
-    else:
-        inside = target.join(touched, on=part_col, how="left_semi")
-        outside = target.join(touched, on=part_col, how="left_anti")
-    survivors = without_keys(inside, src, [part_col] + keys)
-    return latest.where(F.col(op) > 0).unionByName(survivors).unionByName(outside)
+    keys = [part_col, *as_list(key)]
+    latest = keep_latest(align_to_schema(source, target.schema), keys, order if order is not None else ["hist_id"])
+    return latest.where(F.col(op) > 0).unionByName(without_keys(target, latest, keys, unique=True))
 
 
 def purge_tombstones(df: DataFrame, op: str = "op") -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from tidemark.operators.buckets import bucket_id
 from tidemark.operators.joins import join_small
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import (
-    align_to_schema, cdc_merge, changes_after, drop_stale, init_snapshot,
+    align_to_schema, cdc_merge, changes_after, drop_stale, init_snapshot, purge_tombstones, without_keys,
 )
 from tidemark.sinks.store import VersionedStore
 from tidemark.specs import TableSpec
@@ -65,10 +65,15 @@ class SnapshotSync:
                                                hist_id=s.hist_id, op=s.op))
         if snap.isEmpty():
             return False
-        self.store.replace(snap, part_col=s.part_col if s.bucket_width else None,
+        self.store.replace(snap, part_col=s.part_col if s.bucket_width else None, key=s.key, fresh=True,
                            state={"watermark": wm, "table": s.name})
+        self.store.retain(2)
         return True
 
+    def read(self) -> DataFrame:
+        """The snapshot without the deletes that a streamed store keeps (``op = 0``)."""
+        return purge_tombstones(self.store.read(), self.spec.op)
+
     def current_watermark(self):
         state = self.store.state()
         if "watermark" in state:
@@ -81,39 +86,68 @@ class SnapshotSync:
         return _input_path(staged) or "/nonexistent"
 
     # M1
-    def sync(self, changes: DataFrame | None = None, batch_id: int | None = None) -> bool:
+    def sync(self, changes: DataFrame | None = None, batch_id: int | None = None, stream: str = "default") -> bool:
+        """Apply the history after the watermark, or a micro-batch ``changes`` of ``stream``.
+
+        A micro-batch is new by its stream's offsets, whatever its history ids: no watermark
+        filter applies. Batches may come in any order, so each key's versions are compared and
+        deletes stay in the store as rows with ``op = 0``: an older change cannot bring a
+        deleted key back. Read such a store through ``read``.
+
+        Changes without a key are left out and counted in the state (``rejected_null_keys``).
+        """
+        with self.store.pinned():
+            done = self._sync_batch(changes, batch_id, stream) if changes is not None else self._sync_history()
+            if done:
+                self.store.retain(2)      # the live table and one generation before it
+            return done
+
+    def _staged_changes(self, changes: DataFrame, current: DataFrame) -> tuple[DataFrame, int]:
+        """One staged row per key, and the number of changes without a key."""
         s = self.spec
-        state = self.store.state()
-        if batch_id is not None and state.get("last_batch") is not None and batch_id <= state["last_batch"]:
-            return False          # re-delivered micro-batch: already applied
-        wm = self.current_watermark()
-        read_from = wm - s.overlap if (s.overlap and wm is not None) else wm
-        src = _load(self.history) if changes is None else changes
-        current = self.store.read()
-        # Literal watermark: pushed into the Parquet or JDBC scan.
         data_schema = T.StructType([f for f in current.schema.fields if f.name != s.part_col])
-        ch = align_to_schema(changes_after(src, s.hist_id, read_from), data_schema)
+        no_key = F.lit(False)
+        for k in s.key:
+            no_key = no_key | F.col(k).isNull()
+        seen = Observation()
+        ch = align_to_schema(changes, data_schema).observe(seen, F.count(F.when(no_key, 1)).alias("n")).where(~no_key)
         staged = self.store.stage(keep_latest(ch, s.key, [s.hist_id]), "changes")
-        touched = None
-        if s.bucket_width:
-            # touched parts and the new watermark from one small aggregate
-            staged = self._with_bucket(staged)
-            per_part = (staged.groupBy(s.part_col).agg(F.max(s.hist_id).alias("mx")).collect())
-            touched = [r[s.part_col] for r in per_part]
-            new_wm = max((r["mx"] for r in per_part if r["mx"] is not None), default=None)
+        return self._with_bucket(staged), seen.get["n"]
+
+    def _touched(self, staged: DataFrame) -> tuple[list | None, int | None]:
+        """Touched parts and the newest history id, from one small aggregate."""
+        s = self.spec
+        if not s.bucket_width:
+            return None, watermark_value(staged, s.hist_id)
+        per_part = staged.groupBy(s.part_col).agg(F.max(s.hist_id).alias("mx")).collect()
+        return [r[s.part_col] for r in per_part], max((r["mx"] for r in per_part if r["mx"] is not None), default=None)
+
+    def _publish(self, merged: DataFrame, staged: DataFrame, touched: list | None, state: dict) -> None:
+        if touched is not None:
+            tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
+            self.store.replace_parts(merged, touched, state=state, key=self.spec.key, tasks=tasks)
         else:
-            new_wm = watermark_value(staged, s.hist_id)
-        extra = {} if batch_id is None else {"last_batch": batch_id}
+            self.store.replace(merged, state=state)
+        self.store.drop_staging()
+
+    def _counted(self, rejected: int) -> dict:
+        n = self.store.state().get("rejected_null_keys", 0) + rejected
+        return {"rejected_null_keys": n} if n else {}
+
+    def _sync_history(self) -> bool:
+        s = self.spec
+        wm = self.current_watermark()
+        read_from = wm - s.overlap if (s.overlap and wm is not None) else wm
+        # Literal watermark: pushed into the Parquet or JDBC scan.
+        staged, rejected = self._staged_changes(changes_after(_load(self.history), s.hist_id, read_from), self.store.read())
+        touched, new_wm = self._touched(staged)
         if new_wm is None:
             self.store.drop_staging()
-            if extra:
-                self.store.set_state(extra)
             return False
         if wm is not None:
             new_wm = max(new_wm, wm)          # a re-read tail never moves the watermark back
-        state_out = {"watermark": new_wm, **extra}
-        if touched is not None:
-            current = self.store.read(parts=touched)     # only the touched part directories
+        state = {"watermark": new_wm, **self._counted(rejected)}
+        current = self.store.read(parts=touched)     # only the touched part directories
         if s.overlap:
             # only re-read rows that are already applied: nothing to publish
             effective = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
@@ -124,18 +158,36 @@ class SnapshotSync:
                                  "left_semi", max_rows=self.max_broadcast_keys)
             if upserts.isEmpty() and deletes.isEmpty():
                 self.store.drop_staging()
-                if new_wm != wm or extra:
-                    self.store.set_state(state_out)
+                if new_wm != wm:
+                    self.store.set_state(state)
                 return False
         merged = cdc_merge(current, staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
                            max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True,
                            guard_versions=bool(s.overlap))
-        if touched is not None:
-            tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(self._staged_path(staged)))
-            self.store.replace_parts(merged, touched, state=state_out, key=s.key, tasks=tasks)
-        else:
-            self.store.replace(merged, state=state_out)
-        self.store.drop_staging()
+        self._publish(merged, staged, touched, state)
+        return True
+
+    def _sync_batch(self, changes: DataFrame, batch_id: int | None, stream: str) -> bool:
+        s = self.spec
+        batches = dict(self.store.state().get("batches") or {})
+        if batch_id is not None and batch_id <= batches.get(stream, -1):
+            return False          # re-delivered micro-batch: already applied
+        staged, rejected = self._staged_changes(changes, self.store.read())
+        touched, new_wm = self._touched(staged)
+        if batch_id is not None:
+            batches[stream] = batch_id
+        state = {"batches": batches, **self._counted(rejected)}
+        wm = self.current_watermark()
+        if new_wm is not None:
+            state["watermark"] = new_wm if wm is None else max(wm, new_wm)
+        current = self.store.read(parts=touched)
+        newer = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
+        if new_wm is None or newer.isEmpty():
+            self.store.drop_staging()
+            self.store.set_state(state)
+            return False
+        merged = newer.unionByName(without_keys(current, newer, s.key, self.max_broadcast_keys, unique=True))
+        self._publish(merged, staged, touched, state)
         return True
 
 

@@ -27,12 +27,14 @@ from tidemark.functions.encode import (
 )
 from tidemark.operators._util import as_list
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.control import literal, max_text
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import merge_upsert
 from tidemark.sinks.store import VersionedStore
 
 
 def encode_checkpoint(value, dtype: T.DataType) -> str | None:
+    """Checkpoint text of a Python value; jobs take theirs from Spark (``control.max_text``)."""
     if value is None:
         return None
     if isinstance(dtype, T.BinaryType):
@@ -44,13 +46,13 @@ def encode_checkpoint(value, dtype: T.DataType) -> str | None:
 
 def checkpoint_literal(text: str | None, dtype: T.DataType):
     """Typed literal Column for a stored checkpoint (default when none stored)."""
-    if isinstance(dtype, T.BinaryType):
-        return F.lit(bytearray(parse_rowversion_hex(text or ZERO_ROWVERSION)))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.lit(text or DEFAULT_TIMESTAMP_CHECKPOINT).cast(dtype)
     if text is None:
+        if isinstance(dtype, T.BinaryType):
+            return F.lit(bytearray(parse_rowversion_hex(ZERO_ROWVERSION)))
+        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.lit(DEFAULT_TIMESTAMP_CHECKPOINT).cast(dtype)
         return None
-    return F.lit(text).cast(dtype)
+    return literal(text, dtype)
 
 
 class VersionUpsert:
@@ -72,32 +74,43 @@ class VersionUpsert:
     def init(self, source: DataFrame) -> dict:
         """Full load, bucketed per row (D5), with the checkpoint taken before the load
         so the first sync continues from it (D8)."""
-        dtype = source.schema[self.version_col].dataType
-        cp = source.select(F.max(self.version_col)).first()[0]
-        return self.store.replace(self._bucketed(source), part_col=self.part_col,
-                                  state={"checkpoint": encode_checkpoint(cp, dtype)})
+        cp = max_text(source, self.version_col)
+        m = self.store.replace(self._bucketed(source), part_col=self.part_col, key=self.key, fresh=True, state={"checkpoint": cp})
+        self.store.retain(2)
+        return m
 
     def sync(self, source: DataFrame) -> bool:
+        """Upsert what is newer than the checkpoint; without a table yet, everything from the default checkpoint."""
+        with self.store.pinned():
+            done = self._sync(source)
+            if done:
+                self.store.retain(2)      # the live table and one generation before it
+            return done
+
+    def _sync(self, source: DataFrame) -> bool:
         dtype = source.schema[self.version_col].dataType
-        state = self.store.state()
-        lit = checkpoint_literal(state.get("checkpoint"), dtype)
+        checkpoint = self.store.state().get("checkpoint")
+        lit = checkpoint_literal(checkpoint, dtype)
         inclusive = self.inclusive
         if inclusive is None:
             inclusive = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
-        inclusive = inclusive and state.get("checkpoint") is not None
+        inclusive = inclusive and checkpoint is not None
         v = F.col(self.version_col)
         newer = source if lit is None else source.where(v >= lit if inclusive else v > lit)
         latest = self._bucketed(keep_latest(newer, self.key, [self.version_col]))
         staged = self.store.stage(latest, "upsert")
-        per_part = (staged.groupBy(self.part_col)
-                          .agg(F.max(self.version_col).alias("mx")).collect())
-        if not per_part:
+        new_cp = max_text(staged, self.version_col)
+        touched = [r[0] for r in staged.select(self.part_col).distinct().collect()]
+        if not touched:
             self.store.drop_staging()
             return False
-        touched = [r[self.part_col] for r in per_part]
-        new_cp = max(r["mx"] for r in per_part)
+        state = {"checkpoint": new_cp if new_cp is not None else checkpoint}
+        if not self.store.exists():
+            self.store.replace(staged, part_col=self.part_col, key=self.key, fresh=True, state=state)
+            self.store.drop_staging()
+            return True
         current = self.store.read(parts=touched)
-        if inclusive and encode_checkpoint(new_cp, dtype) == state.get("checkpoint"):
+        if inclusive and new_cp == checkpoint:
             # only boundary rows were re-read by ">=": if all are applied, nothing changed
             fresh = staged.join(current.select(*self.key, self.version_col),
                                 [*self.key, self.version_col], "left_anti")
@@ -108,7 +121,6 @@ class VersionUpsert:
                               max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
         staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
         tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
-        self.store.replace_parts(merged, touched, key=self.key, tasks=tasks,
-                                 state={"checkpoint": encode_checkpoint(new_cp, dtype)})
+        self.store.replace_parts(merged, touched, key=self.key, tasks=tasks, state=state)
         self.store.drop_staging()
         return True

@@ -3,13 +3,13 @@
 
 Layout::
 
-    root/ver-<n>/                    data of version n (unpartitioned), or
-    root/ver-<n>/<part_col>=<m>/     data of part m written in version n
-    root/_manifest/<seq>.json        manifest; the highest sequence is current
-    root/_staging/<run>/             staged inputs of a run (change sets)
+    root/tm_version=<n>/                    data of version n (unpartitioned), or
+    root/tm_version=<n>/<part_col>=<m>/     data of part m written in version n
+    root/_manifest/<seq>.json               manifest; the highest sequence is current
+    root/_staging/<run>/                    staged inputs of a run (change sets)
 
-Version directories are deliberately not named ``k=v``: partition discovery would
-turn them into a column and shadow a data column of the same name.
+The version is a partition column like the part, so any number of versions is one scan
+with pruning on the part; the name ``tm_version`` is reserved.
 
 A manifest names, for every live part, the versions whose files make up that part,
 plus the table schema and a free-form ``state`` (watermarks, checkpoints, processed
@@ -23,6 +23,7 @@ without deleting anything in place.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import json
 import math
@@ -35,13 +36,23 @@ from pyspark.sql import types as T
 from tidemark.sinks.fs import HadoopFS
 
 ALL = "*"
-VERSION_PREFIX = "ver-"
-MAX_UNION_VERSIONS = 64
+VERSION_COL = "tm_version"
+VERSION_PREFIX = f"{VERSION_COL}="
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+#: Characters that partition directories write as percent and two hex digits (fixed values of the layout).
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 # Fixed writer defaults of the reference's exports: zstd, 100,000-row row groups.
 DEFAULT_WRITE_OPTIONS = {"compression": "zstd", "parquet.block.row.count.limit": "100000"}
 
 
+def part_name(value) -> str:
+    """The directory name of a part value."""
+    if value is None:
+        return NULL_PART
+    return "".join(f"%{ord(c):02X}" if c < " " or c in ESCAPED else c for c in str(value))
+
+
 class ManifestError(RuntimeError):
     pass
 
@@ -51,6 +62,18 @@ class VersionedStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = HadoopFS(spark)
+        self._pinned: list = []
+
+    @contextlib.contextmanager
+    def pinned(self):
+        """One consistent view for a run: the manifest is read once, then follows what the
+        run itself publishes. A store has a single writer."""
+        outer = self._pinned
+        self._pinned = outer or [self.manifest()]
+        try:
+            yield self
+        finally:
+            self._pinned = outer
 
     # -------------------------------------------------------------- manifest
     @property
@@ -70,6 +93,8 @@ class VersionedStore:
         An unreadable manifest is an error: silently starting over would reload or,
         worse, skip data (M10).
         """
+        if self._pinned:
+            return self._pinned[0]
         seqs = self._seqs()
         if not seqs:
             return None
@@ -87,20 +112,30 @@ class VersionedStore:
         return dict(m.get("state") or {}) if m else {}
 
     def _publish(self, *, parts: dict, schema: T.StructType, part_col: str | None,
-                 state: dict | None, base: dict | None) -> dict:
+                 state: dict | None, base: dict | None, fresh: bool = False, written: dict | None = None,
+                 pending: list | None = None) -> dict:
+        """``fresh`` starts with no state but ``state`` (a reload); otherwise ``state`` adds to the old
+        one, and a value of None removes an entry. ``written``: part directories of new versions.
+        ``pending``: versions of an unfinished load, kept but not read."""
         seq = (base["seq"] + 1) if base else 1
-        merged_state = dict(base.get("state") or {}) if base else {}
-        merged_state.update(state or {})
+        kept = {} if fresh or not base else dict(base.get("state") or {})
+        kept.update(state or {})
+        live = {v for vs in parts.values() for v in vs}
+        known = {**((base or {}).get("written") or {}), **{str(v): n for v, n in (written or {}).items()}}
         m = {
             "seq": seq,
             "schema": schema.json(),
             "part_col": part_col,
             "parts": {str(k): sorted(set(v)) for k, v in parts.items() if v},
-            "state": merged_state,
+            "written": {v: n for v, n in known.items() if int(v) in live},
+            "pending": pending or [],
+            "state": {k: v for k, v in kept.items() if v is not None or k in ("watermark", "checkpoint")},
             "created": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         self.fs.mkdirs(self.manifest_dir)
         self.fs.write_text_atomic(f"{self.manifest_dir}/{seq:012d}.json", json.dumps(m, default=str))
+        if self._pinned:
+            self._pinned[0] = m
         return m
 
     def _next_version(self, base: dict | None) -> int:
@@ -123,63 +158,38 @@ class VersionedStore:
         return T.StructType.fromJson(json.loads(m["schema"]))
 
     def paths(self, parts=None, manifest: dict | None = None) -> list[str]:
+        """Directories of the live data: a version's own where all its parts are live, else one per part."""
         m = manifest or self.manifest()
         if m is None:
             return []
         pc = m["part_col"]
-        wanted = None if parts is None else {str(p) for p in parts}
-        out = []
+        wanted = None if parts is None else {part_name(p) for p in parts}
+        by_version: dict[int, list[str]] = {}
         for p, versions in sorted(m["parts"].items()):
-            if wanted is not None and p not in wanted:
-                continue
-            for v in versions:
-                out.append(self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
+            if wanted is None or p in wanted:
+                for v in versions:
+                    by_version.setdefault(int(v), []).append(p)
+        out = []
+        for v, ps in sorted(by_version.items()):
+            if pc is None or len(ps) == (m.get("written") or {}).get(str(v)):
+                out.append(self.vdir(v))
+            else:
+                out += [f"{self.vdir(v)}/{pc}={p}" for p in ps]
         return out
 
     def read(self, parts=None) -> DataFrame:
-        """The current table (only the named parts when ``parts`` is given: the other
-        directories are never listed or opened). Unpartitioned tables are one scan over
-        their version directories; partitioned tables are one scan per live version
-        (keeping ``part_col`` a partition column) up to ``MAX_UNION_VERSIONS``, beyond
-        that one scan over all live part directories."""
+        """The current table, or only the named parts: the other directories are never listed or
+        opened. One scan however many versions are live; ``part_col`` is a partition column of it."""
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
         schema = T.StructType.fromJson(json.loads(m["schema"]))
-        pc = m["part_col"]
-        wanted = None if parts is None else {str(p) for p in parts}
-        by_version: dict[int, list[str]] = {}
-        for p, versions in sorted(m["parts"].items()):
-            if wanted is not None and p not in wanted:
-                continue
-            for v in versions:
-                by_version.setdefault(int(v), []).append(
-                    self.vdir(v) if pc is None else f"{self.vdir(v)}/{pc}={p}")
-        if not by_version:
+        paths = self.paths(parts, m)
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        paths = [p for _, ps in sorted(by_version.items()) for p in ps]
-        if pc is None:
-            # no partition columns to discover: one scan over every version directory
-            return (self.spark.read.schema(schema).parquet(*paths)
-                    .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-        if len(by_version) <= MAX_UNION_VERSIONS:
-            # Each version directory read with itself as basePath: part_col is a real
-            # partition column (partition filters and dynamic pruning apply).
-            out = None
-            for v, ps in sorted(by_version.items()):
-                df = (self.spark.read.schema(schema).option("basePath", self.vdir(v)).parquet(*ps)
-                      .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-                out = df if out is None else out.unionByName(df)
-            return out
-        # Live data spread over many versions: one scan over all part directories (each
-        # given directly) with the part value taken from the file path, so the plan does
-        # not grow one scan per version. Prune with ``parts=``; ``compact`` restores one
-        # version.
-        data_schema = T.StructType([f for f in schema.fields if f.name != pc])
-        part = F.regexp_extract(F.col("_metadata.file_path"), f"/{pc}=([^/]+)/[^/]*$", 1)
-        df = self.spark.read.schema(data_schema).parquet(*paths).withColumn(
-            pc, part.cast(schema[pc].dataType))
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        whole = T.StructType([*schema.fields, T.StructField(VERSION_COL, T.LongType())])
+        return (self.spark.read.schema(whole).option("basePath", self.root).parquet(*paths)
+                .select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
 
     # -------------------------------------------------------------- writing
     @staticmethod
@@ -209,7 +219,7 @@ class VersionedStore:
         # (an estimate; per-part calls would cost one round trip per part).
         versions = sorted({v for vs in live.values() for v in vs})
         table = sum(self.fs.size_bytes(self.vdir(v)) for v in versions)
-        share = len([p for p in parts if str(p) in live]) / max(1, len(live))
+        share = len([p for p in parts if part_name(p) in live]) / max(1, len(live))
         total = extra_bytes + int(table * share)
         return max(1, math.ceil(total / target_file_bytes),
                    min(len(parts), self.spark.sparkContext.defaultParallelism))
@@ -233,60 +243,89 @@ class VersionedStore:
 
     @staticmethod
     def _full_schema(df: DataFrame, part_col: str | None) -> T.StructType:
+        if any(f.name.lower() == VERSION_COL for f in df.schema.fields):
+            raise ValueError(f"column name {VERSION_COL} is reserved")
         if part_col is None:
             return df.schema
         fields = [f for f in df.schema.fields if f.name != part_col]
         return T.StructType(fields + [df.schema[part_col]])
 
-    def replace(self, df: DataFrame, *, part_col: str | None = None, state: dict | None = None,
-                options: dict | None = None, sort_within=None, key=None) -> dict:
-        """Publish ``df`` as the whole table (full refresh, initial load)."""
-        base = self.manifest()
+    def _new_version(self, df, base, part_col, options, sort_within, key, tasks=None) -> tuple[int, list[str]]:
+        """Write ``df`` as the next version; its number and its part names."""
         v = self._next_version(base)
         path = self.vdir(v)
-        self._write(df, path, part_col, options, sort_within, key)
-        parts = ({p: [v] for p in self._written_parts(path, part_col)} if part_col
-                 else {ALL: [v]})
-        return self._publish(parts=parts, schema=self._full_schema(df, part_col),
-                             part_col=part_col, state=state, base=base)
+        self._write(df, path, part_col, options, sort_within, key, tasks)
+        return v, self._written_parts(path, part_col) if part_col else [ALL]
+
+    def replace(self, df: DataFrame, *, part_col: str | None = None, state: dict | None = None, fresh: bool = False,
+                options: dict | None = None, sort_within=None, key=None) -> dict:
+        """Publish ``df`` as the whole table. ``fresh``: a reload, whose state starts anew."""
+        base = self.manifest()
+        schema = self._full_schema(df, part_col)
+        v, parts = self._new_version(df, base, part_col, options, sort_within, key)
+        return self._publish(parts={p: [v] for p in parts}, schema=schema, part_col=part_col, state=state, base=base,
+                             fresh=fresh, written={v: len(parts)})
 
     def replace_parts(self, df: DataFrame, touched, *, state: dict | None = None,
                       options: dict | None = None, sort_within=None, key=None,
-                      tasks: int | None = None) -> dict:
+                      tasks: int | None = None, schema: T.StructType | None = None) -> dict:
         """Rewrite only the ``touched`` parts from ``df`` (which must hold exactly the
         new content of those parts). A touched part that ``df`` leaves empty is
-        dropped from the table."""
+        dropped from the table. ``schema``: the table's schema with new columns."""
         base = self.manifest()
         if base is None or not base["part_col"]:
             raise ManifestError("replace_parts needs an existing partitioned table")
         pc = base["part_col"]
-        v = self._next_version(base)
-        path = self.vdir(v)
-        self._write(df, path, pc, options, sort_within, key, tasks)
-        written = set(self._written_parts(path, pc))
-        parts = {p: list(vs) for p, vs in base["parts"].items()}
-        for p in {str(t) for t in touched}:
-            parts.pop(p, None)
-        for p in written:
-            parts[p] = [v]
-        return self._publish(parts=parts, schema=self.schema(), part_col=pc, state=state, base=base)
+        v, names = self._new_version(df, base, pc, options, sort_within, key, tasks)
+        gone = {part_name(t) for t in touched}
+        parts = {p: list(vs) for p, vs in base["parts"].items() if p not in gone}
+        parts.update({p: [v] for p in names})
+        return self._publish(parts=parts, schema=schema or self.schema(), part_col=pc, state=state, base=base, written={v: len(names)})
 
     def append(self, df: DataFrame, *, part_col: str | None = None, state: dict | None = None,
-               options: dict | None = None, sort_within=None, key=None) -> dict:
-        """Add ``df``'s rows as new files (K6); creates the table when absent."""
+               options: dict | None = None, sort_within=None, key=None, add_new_columns: bool = False) -> dict:
+        """Add ``df``'s rows as new files (K6); creates the table when absent. With
+        ``add_new_columns`` the schema grows; older files give null for the new ones."""
+        from tidemark.operators.merge import align_to_schema
         base = self.manifest()
         if base is None:
             return self.replace(df, part_col=part_col, state=state, options=options,
                                 sort_within=sort_within, key=key)
         pc = base["part_col"]
-        v = self._next_version(base)
-        path = self.vdir(v)
-        from tidemark.operators.merge import align_to_schema
-        self._write(align_to_schema(df, self.schema()), path, pc, options, sort_within, key)
+        schema = self.schema()
+        if add_new_columns:
+            known = {f.name.lower() for f in schema.fields}
+            schema = T.StructType([*schema.fields, *[f for f in df.schema.fields if f.name.lower() not in known]])
+        self._full_schema(df, None)
+        v, names = self._new_version(align_to_schema(df, schema, allow_missing=add_new_columns), base, pc, options, sort_within, key)
         parts = {p: list(vs) for p, vs in base["parts"].items()}
-        for p in (self._written_parts(path, pc) if pc else [ALL]):
+        for p in names:
             parts.setdefault(p, []).append(v)
-        return self._publish(parts=parts, schema=self.schema(), part_col=pc, state=state, base=base)
+        return self._publish(parts=parts, schema=schema, part_col=pc, state=state, base=base, written={v: len(names)})
+
+    # -------------------------------------------------------------- loads in progress
+    def append_pending(self, df: DataFrame, state: dict, options: dict | None = None) -> dict:
+        """Add rows that stay invisible until ``publish_pending`` (K9): readers see the table as it was."""
+        base = self.manifest()
+        if base and base["part_col"]:
+            raise ManifestError("pending loads are for unpartitioned tables")
+        schema = self._full_schema(df, None)
+        if base:
+            from tidemark.operators.merge import align_to_schema
+            schema = self.schema()
+            df = align_to_schema(df, schema)
+        v, _ = self._new_version(df, base, None, options, None, None)
+        return self._publish(parts=base["parts"] if base else {}, schema=schema, part_col=None, state=state, base=base,
+                             pending=[*((base or {}).get("pending") or []), v])
+
+    def publish_pending(self, state: dict | None = None) -> dict:
+        """Make all pending rows visible at once."""
+        base = self.manifest()
+        if base is None:
+            raise ManifestError(f"no table at {self.root}")
+        new = base.get("pending") or []
+        return self._publish(parts={ALL: [*base["parts"].get(ALL, []), *new]}, schema=self.schema(), part_col=None, state=state,
+                             base=base, written=dict.fromkeys(new, 1))
 
     def set_state(self, state: dict) -> dict:
         """Publish a manifest that only changes ``state`` (same data)."""
@@ -294,19 +333,21 @@ class VersionedStore:
         if base is None:
             raise ManifestError("no table to attach state to")
         return self._publish(parts=base["parts"], schema=self.schema(), part_col=base["part_col"],
-                             state=state, base=base)
+                             state=state, base=base, pending=base.get("pending"))
 
     # -------------------------------------------------------------- maintenance
     def compact(self, *, target_file_bytes: int = 256 << 20, key=None) -> dict:
         """Rewrite the live table into files of about ``target_file_bytes``.
 
-        Partitioned tables are range-partitioned on (part, key or row hash): a hot
-        part is split over several tasks while each task still writes few parts.
+        Partitioned tables are rebalanced on the part: a hot part is split over several
+        tasks while each task still writes few parts.
         """
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
-        total = sum(self.fs.size_bytes(p) for p in self.paths(manifest=m))
+        # one call per version, also where only some of its parts are live: an upper bound
+        versions = sorted({v for vs in m["parts"].values() for v in vs})
+        total = sum(self.fs.size_bytes(self.vdir(v)) for v in versions)
         n = max(1, math.ceil(total / max(1, target_file_bytes)))
         df = self.read()
         pc = m["part_col"]
@@ -322,11 +363,11 @@ class VersionedStore:
         base = self.manifest()
         v = self._next_version(base)
         path = self.vdir(v)
-        opts = dict(DEFAULT_WRITE_OPTIONS)
-        w = df.write.mode("errorifexists").options(**opts)
+        w = df.write.mode("errorifexists").options(**DEFAULT_WRITE_OPTIONS)
         (w.partitionBy(pc) if pc else w).parquet(path)
-        parts = ({p: [v] for p in self._written_parts(path, pc)} if pc else {ALL: [v]})
-        return self._publish(parts=parts, schema=self.schema(), part_col=pc, state=state, base=base)
+        parts = self._written_parts(path, pc) if pc else [ALL]
+        return self._publish(parts={p: [v] for p in parts}, schema=self.schema(), part_col=pc, state=state, base=base,
+                             written={v: len(parts)}, pending=base.get("pending"))
 
     def retain(self, keep: int = 2) -> list[str]:
         """Drop version directories that none of the last ``keep`` manifests names."""
@@ -335,7 +376,7 @@ class VersionedStore:
         live = set()
         for s in keep_seqs:
             m = json.loads(self.fs.read_text(f"{self.manifest_dir}/{s:012d}.json"))
-            for vs in m["parts"].values():
+            for vs in [*m["parts"].values(), m.get("pending") or []]:
                 live.update(int(v) for v in vs)
         dropped = []
         newest = max(live) if live else 0

@@ -1,10 +1,12 @@
 """CDC as a stream: landed history files -> ``foreachBatch`` -> snapshot merge.
 
 The reference polls a history table; here the history arrives as files and every
-micro-batch is merged into the versioned store by ``SnapshotSync.sync``. The batch
-id is recorded in the manifest together with the data, so a micro-batch replayed
-after a failure is skipped (exactly-once effect on the store). Structured
-Streaming's own checkpoint lives under the store root (shared storage).
+micro-batch is merged into the versioned store by ``SnapshotSync.sync``. Files may land
+in any order: versions are compared per key. The batch id is recorded in the manifest per
+stream together with the data, so a micro-batch replayed after a failure is skipped
+(exactly-once effect on the store). Structured Streaming's own checkpoint lives under the
+store root (shared storage). Only bucketed stores are streamed into: without buckets every
+micro-batch would rewrite the whole table.
 """
 
 from __future__ import annotations
@@ -18,17 +20,19 @@ from tidemark.plans.cdc import SnapshotSync
 
 def start_cdc_stream(spark: SparkSession, job: SnapshotSync, history_path: str, schema: StructType,
                      *, available_now: bool = True, max_files_per_trigger: int | None = None,
-                     processing_time: str | None = None) -> StreamingQuery:
+                     processing_time: str | None = None, name: str = "default") -> StreamingQuery:
+    if not job.spec.bucket_width:
+        raise ValueError("a stream needs a table spec with bucket_width")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(history_path)
 
     def apply(batch_df, batch_id):
-        job.sync(changes=batch_df, batch_id=int(batch_id))
+        job.sync(changes=batch_df, batch_id=int(batch_id), stream=name)
 
     w = (stream.writeStream.foreachBatch(apply)
-         .option("checkpointLocation", f"{job.store.root}/_stream_checkpoint"))
+         .option("checkpointLocation", f"{job.store.root}/_stream_checkpoint/{name}"))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
