@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import fresh, held_out, lowest, slices, text_bytes, words
+from tidemark.llm.common import fresh, held_out, lowest, slices, stage, text_bytes, words
 
 
 #: Lengths in bytes of the word beginnings that are features.
@@ -80,24 +80,8 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 400, rate:
     return w[:-1], float(w[-1])
 
 
-def select_features(pos: list[set], unl: list[set], lift: float, least: float, most: int) -> list[bytes]:
-    """Features that positives hold clearly more often (likelihood ratio of at least ``least``), the most telling first."""
-    cp, cu = Counter(f for s in pos for f in s), Counter(f for s in unl for f in s)
-    n, m = len(pos), len(unl)
-    scored = []
-    for f, k in cp.items():
-        both = (k + cu[f]) / (n + m)
-        if k < 3 or k / n < lift * (cu[f] + 0.5) / (m + 0.5):
-            continue
-        ratio = 2 * sum(x * np.log(x / e) for x, e in (
-            (k, n * both), (n - k, n * (1 - both)), (cu[f], m * both), (m - cu[f], m * (1 - both))) if x)
-        if ratio >= least:
-            scored.append((-ratio, f))
-    return [f for _, f in sorted(scored)[:most]]
-
-
-def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_positive: int, max_unlabelled: int) -> tuple[list, list]:
-    """Feature sets of the confirmed and of the unlabelled sample."""
+def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_positive: int, max_unlabelled: int) -> DataFrame:
+    """(y, doc, features) of the confirmed (y = 1) and of the unlabelled sample, staged."""
     pos = lowest(labels.where("toxic = 1").select("id").distinct(), max_positive, "id").withColumn("y", F.lit(1))
     ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id"))).distinct()
     unl = lowest(ids, max_unlabelled, "id").withColumn("y", F.lit(0))
@@ -110,8 +94,23 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max
             yield pa.RecordBatch.from_arrays([
                 b.column(1), pa.array([sorted(features(t)) for t in text_bytes(b, "t")], pa.list_(pa.binary()))], ["y", "f"])
 
-    rows = d.mapInArrow(found, "y int, f array<binary>").collect()
-    return [set(map(bytes, f)) for y, f in rows if y], [set(map(bytes, f)) for y, f in rows if not y]
+    return stage(d.mapInArrow(found, "y int, f array<binary>").withColumn("doc", F.monotonically_increasing_id()), "tox-sample")
+
+
+def select_features(sample: DataFrame, n: int, m: int, lift: float, least: float, most: int) -> list[bytes]:
+    """Features that the n positives hold clearly more often than the m unlabelled (likelihood ratio of
+    at least ``least``), the most telling first; counted on the executors."""
+    counts = sample.select("y", F.explode("f").alias("f")).groupBy("f").agg(
+        F.sum("y").alias("k"), F.sum(1 - F.col("y")).alias("u"))
+    both = (F.col("k") + F.col("u")) / (n + m)
+
+    def part(x, expected):
+        return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+
+    k, u = F.col("k").cast("double"), F.col("u").cast("double")
+    ratio = 2 * (part(k, n * both) + part(n - k, n * (1 - both)) + part(u, m * both) + part(m - u, m * (1 - both)))
+    kept = counts.where((k >= 3) & (k / n >= lift * (u + 0.5) / (m + 0.5))).withColumn("g", ratio).where(F.col("g") >= least)
+    return [bytes(r.f) for r in kept.orderBy(F.desc("g"), "f").limit(most).collect()]
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_positive: int = 1500,
@@ -120,23 +119,26 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Feature weights and bias, from rows that are not held out."""
     known = labels.select(F.col(id_col).alias("id"), F.col("toxic")).where(
         F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
-    n, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
+    labelled, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
     if not toxic:
         return {}, -np.inf
-    prior = min(max(toxic / n, 0.01), 0.9)
-    pos, unl = _sampled(docs, known, id_col, text_col, max_positive, max_unlabelled)
-    names = select_features(pos, unl, lift, least_ratio, max_features) if pos and unl else []
+    prior = min(max(toxic / labelled, 0.01), 0.9)
+    sample = _sampled(docs, known, id_col, text_col, max_positive, max_unlabelled)
+    sizes = dict(sample.groupBy("y").count().collect())
+    n, m = sizes.get(1, 0), sizes.get(0, 0)
+    names = select_features(sample, n, m, lift, least_ratio, max_features) if n and m else []
     if not names:
         return {}, float(np.log(prior / (1 - prior)))
     place = {f: i for i, f in enumerate(names)}
-
-    def matrix(sets):
-        x = np.zeros((len(sets), len(names)), np.float32)
-        for i, s in enumerate(sets):
-            x[i, [place[f] for f in s if f in place]] = 1
-        return x
-
-    w, bias = fit_nnpu(matrix(pos), matrix(unl), prior)
+    chosen = docs.sparkSession.createDataFrame([(bytearray(f), i) for f, i in place.items()], "f binary, i int")
+    cells = (sample.select("y", "doc", F.explode("f").alias("f")).join(F.broadcast(chosen), "f")
+             .groupBy("y", "doc").agg(F.collect_list("i").alias("i")).orderBy("y", "doc").collect())
+    x = {1: np.zeros((n, len(names)), np.float32), 0: np.zeros((m, len(names)), np.float32)}
+    at = {1: 0, 0: 0}          # documents without any of the features are the rows of zeros left over
+    for y, _, some in cells:
+        x[y][at[y], some] = 1
+        at[y] += 1
+    w, bias = fit_nnpu(x[1], x[0], prior)
     return {f: float(a) for f, a in zip(names, w)}, bias
 
 
