@@ -207,7 +207,7 @@ def test_chunked_backfill_resumes_after_last_window(spark, tmp_root):
                   update_key="ver", backfill_range=(10, 16), source_options=SourceOptions(chunk_size=4))
     job.run(spark)
     s = VersionedStore(spark, tmp_root)
-    assert s.state()["backfill_until"] == "16"
+    assert not [k for k in s.state() if k.startswith("backfill")]      # a finished range leaves no mark
     assert rows(s.read()) == sorted([(k, 10 + k) for k in range(6)] + [(k, 0) for k in range(6, 10)])
     seq = s.manifest()["seq"]
     job.run(spark)          # nothing left in the range: no new version
@@ -295,3 +295,166 @@ def test_many_versions_read_in_one_scan(spark, tmp_root):
     assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(part" in plan
     assert rows(s.read(parts=["x:y", None])) == sorted([r for r in want if r[1] in ("x:y", None)], key=repr)
     assert s.paths()[1:] and all("part=" not in p for p in s.paths())      # whole versions are live
+
+
+def _copy(root, src, mode, **kw):
+    return CopyJob(target_object=root, source=src, mode=mode, primary_key=["id"], update_key="ver", **kw)
+
+
+def test_backfill_two_ranges_later_first(spark, tmp_root):
+    from tidemark.specs import SourceOptions
+    src = spark.createDataFrame([(k, k * 10) for k in range(20)], "id long, ver long")
+    for rng in ((100, 200), (0, 100)):
+        _copy(tmp_root, src, LoadMode.BACKFILL, backfill_range=rng, source_options=SourceOptions(chunk_size=30)).run(spark)
+    assert rows(VersionedStore(spark, tmp_root).read()) == rows(src)
+
+
+def test_chunked_backfill_of_datetimes_resumes(spark, tmp_root, monkeypatch):
+    import datetime as dt
+    from tidemark.plans import copy
+    from tidemark.specs import SourceOptions
+    src = spark.range(40).selectExpr("id", "timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,id) AS ver")
+    job = _copy(tmp_root, src, LoadMode.BACKFILL, backfill_range=(dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 30)),
+                source_options=SourceOptions(chunk_size=dt.timedelta(days=10)))
+    once, calls = copy._upsert, []
+
+    def stops(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return once(*a, **k)
+    monkeypatch.setattr(copy, "_upsert", stops)
+    with pytest.raises(RuntimeError):
+        job.run(spark)
+    monkeypatch.setattr(copy, "_upsert", once)
+    store = VersionedStore(spark, tmp_root)
+    assert [v for k, v in store.state().items() if k.startswith("backfill")] == [1]
+    job.run(spark)
+    assert rows(store.read(), "id") == sorted([(i,) for i in range(2, 29)], key=repr)
+
+
+def test_modes_on_an_absent_target(spark, tmp_root):
+    src = spark.createDataFrame([(1, 5), (1, 7), (2, 250)], "id long, ver long")
+    _copy(tmp_root + "/b", src, LoadMode.BACKFILL, backfill_range=(0, 100)).run(spark)
+    _copy(tmp_root + "/i", src, LoadMode.INCREMENTAL).run(spark)
+    assert rows(VersionedStore(spark, tmp_root + "/b").read()) == [(1, 7)]
+    i = VersionedStore(spark, tmp_root + "/i")
+    assert rows(i.read()) == [(1, 7), (2, 250)] and i.state()["incremental_watermark"] == "250"
+
+
+def test_incremental_ties_and_empty_increment(spark, tmp_root):
+    first = spark.createDataFrame([(1, 5), (2, 9)], "id long, ver long")
+    _copy(tmp_root, first, LoadMode.INCREMENTAL).run(spark)
+    _copy(tmp_root, first.union(spark.createDataFrame([(3, 9)], first.schema)), LoadMode.INCREMENTAL).run(spark)
+    store = VersionedStore(spark, tmp_root)
+    assert rows(store.read()) == [(1, 5), (2, 9), (3, 9)]
+    seq = store.manifest()["seq"]
+    _copy(tmp_root, store.read(), LoadMode.INCREMENTAL).run(spark)
+    assert store.manifest()["seq"] == seq
+
+
+def test_incremental_on_binary_and_zoned_timestamps(spark, tmp_root, monkeypatch):
+    import time
+    monkeypatch.setenv("TZ", "Europe/Istanbul")      # process zone; the session's is UTC
+    time.tzset()
+    try:
+        for name, expr in (("bin", "unhex(lpad(hex(v), 16, '0'))"), ("ltz", "timestamp_micros(v * 3600000000)")):
+            def frame(vals):
+                return spark.createDataFrame(vals, "id long, v long").selectExpr("id", f"{expr} AS ver")
+            a = [(1, 1), (2, 2)]
+            for more in ([], [(3, 3)], [(4, 4)]):
+                a = a + more
+                _copy(f"{tmp_root}/{name}", frame(a), LoadMode.INCREMENTAL).run(spark)
+            assert rows(VersionedStore(spark, f"{tmp_root}/{name}").read(), "id") == [(i,) for i, _ in a]
+            up = VersionUpsert(spark, f"{tmp_root}/{name}-up", "id", "ver", bucket_width=10)
+            up.init(frame(a))
+            assert up.sync(frame([*a, (5, 5)])) and rows(up.store.read(), "id") == [(i,) for i in range(1, 6)]
+            load = VersionedStore(spark, f"{tmp_root}/{name}-load")
+            assert resumable_load(spark, load, frame(a), "ver", 2, max_pages=1) == 1
+            assert load.read().count() == 0      # unfinished: invisible
+            assert resumable_load(spark, load, frame(a), "ver", 2) == 1 and rows(load.read(), "id") == [(i,) for i, _ in a]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_full_refresh_starts_a_fresh_state(spark, tmp_root):
+    _copy(tmp_root, spark.createDataFrame([(1, 1000)], "id long, ver long"), LoadMode.INCREMENTAL).run(spark)
+    _copy(tmp_root, spark.createDataFrame([(1, 10)], "id long, ver long"), LoadMode.FULL_REFRESH).run(spark)
+    _copy(tmp_root, spark.createDataFrame([(2, 500)], "id long, ver long"), LoadMode.INCREMENTAL).run(spark)
+    assert rows(VersionedStore(spark, tmp_root).read()) == [(1, 10), (2, 500)]
+
+
+def test_bucketed_copy_rewrites_touched_parts_only(spark, tmp_root):
+    src = spark.range(100).selectExpr("id", "id AS ver")
+    _copy(tmp_root, src, LoadMode.FULL_REFRESH, bucket_width=10).run(spark)
+    store = VersionedStore(spark, tmp_root)
+    before = store.manifest()["parts"]
+    _copy(tmp_root, spark.createDataFrame([(55, 700), (105, 701)], "id long, ver long"), LoadMode.INCREMENTAL, bucket_width=10).run(spark)
+    after = store.manifest()["parts"]
+    assert {p for p in after if after[p] != before.get(p)} == {"5", "10"} and store.read().count() == 101
+
+
+def test_snapshot_adds_new_columns(spark, tmp_root):
+    import datetime as dt
+    for day, df in ((1, spark.createDataFrame([(1, 2)], "id long, ver long")), (2, spark.createDataFrame([(1, 3, "x")], "id long, ver long, more string"))):
+        _copy(tmp_root, df, LoadMode.SNAPSHOT, loaded_at=dt.datetime(2024, 1, day), target_options=TargetOptions(add_new_columns=True)).run(spark)
+    assert rows(VersionedStore(spark, tmp_root).read(), "id", "ver", "more") == [(1, 2, None), (1, 3, "x")]
+
+
+def test_combinations_that_would_widen_a_load_are_rejected(spark, tmp_root):
+    from tidemark.specs import SourceOptions
+    df = spark.createDataFrame([(1, 2)], "id long, ver long")
+    with pytest.raises(ValueError, match="delete_missing"):
+        _copy(tmp_root, df, LoadMode.INCREMENTAL, source_options=SourceOptions(limit=1, order_by=["id"]),
+              target_options=TargetOptions(delete_missing=True)).run(spark)
+    with pytest.raises(ValueError, match="tgt_conn"):
+        _copy("t", df, LoadMode.BACKFILL, backfill_range=(0, 1), tgt_conn="jdbc:none:").run(spark)
+
+
+def test_database_target_gets_the_stamped_frame(spark, monkeypatch):
+    from tidemark.plans import copy
+    seen = []
+    monkeypatch.setattr(copy, "write_table", lambda df, url, table, **kw: seen.append((df.columns, table, kw["mode"])))
+    df = spark.createDataFrame([(1, 2)], "id long, ver long")
+    _copy("t", df, LoadMode.SNAPSHOT, tgt_conn="jdbc:none:").run(spark)
+    _copy("t", df, LoadMode.TRUNCATE, tgt_conn="jdbc:none:").run(spark)
+    assert seen == [(["id", "ver", "loaded_at"], "t", "append"), (["id", "ver"], "t", "overwrite")]
+
+
+def test_resumable_load_reads_on_and_loads_null_keys(spark, tmp_root):
+    store = VersionedStore(spark, tmp_root)
+    src = spark.createDataFrame([(k,) for k in [*range(8), None]], "k long")
+    assert resumable_load(spark, store, src, "k", 3, max_pages=2, pages_per_job=1) == 2 and store.read().count() == 0
+    grown = src.union(spark.createDataFrame([(k,) for k in range(8, 12)], "k long"))
+    resumable_load(spark, store, grown, "k", 3)
+    assert rows(store.read()) == rows(grown)
+    assert "page_plan" not in store.state()
+    more = grown.union(spark.createDataFrame([(99,)], "k long"))
+    assert resumable_load(spark, store, more, "k", 3) == 1 and rows(store.read()) == rows(more)
+
+
+def test_first_sync_append_and_merge_jobs(spark, tmp_root):
+    from tidemark.plans.copy import append_job, merge_job
+    src = spark.createDataFrame([(1, 3), (1, 5), (2, 4)], "id long, ver long")
+    up = VersionUpsert(spark, tmp_root + "/u", "id", "ver", bucket_width=10)
+    assert up.sync(src) and rows(up.store.read(), "id", "ver") == [(1, 5), (2, 4)] and not up.sync(src)
+    a = VersionedStore(spark, tmp_root + "/a")
+    assert append_job(a, src, "ver") == 3 and append_job(a, src, "ver") == 0
+    assert append_job(a, src.union(spark.createDataFrame([(9, 9)], src.schema)), "ver") == 1 and a.read().count() == 4
+    m = VersionedStore(spark, tmp_root + "/m")
+    merge_job(m, src, "id", "ver")
+    merge_job(m, src.union(spark.createDataFrame([(2, 8), (3, 1)], src.schema)), "id", "ver")
+    assert rows(m.read()) == [(1, 5), (2, 8)]      # (3, 1) is older than the last key
+
+
+def test_read_table_knows_its_own_store_and_refuses_bare_delta(spark, tmp_root):
+    from tidemark.sources.files import read_table
+    s = VersionedStore(spark, tmp_root + "/s")
+    s.replace(spark.range(3))
+    s.replace(spark.range(5))
+    assert read_table(spark, tmp_root + "/s").count() == 5
+    spark.range(4).write.parquet(tmp_root + "/d")
+    s.fs.mkdirs(tmp_root + "/d/_delta_log")
+    with pytest.raises(Exception, match="(?i)delta"):
+        read_table(spark, tmp_root + "/d").count()

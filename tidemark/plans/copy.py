@@ -1,27 +1,36 @@
-"""Copy jobs with load modes (M13, M14, S15, K5) and the resumable bulk load.
+"""Copy jobs with load modes (M13, M14, S15, K5, M8, M5) and the resumable bulk load.
 
 A copy job moves one source (a DataFrame, a database query or files) into a target
-(a versioned Parquet store, or a database table) under a load mode. Arguments are
-validated before anything is read (D11).
+(a versioned Parquet store, a folder of files, or a database table) under a load mode.
+Arguments are validated before anything is read (D11); a combination that a target cannot
+keep exactly is an error, never a wider load.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import apply_casing
+from tidemark.functions.cleaning import apply_casing, round_fractional
 from tidemark.operators._util import as_list, typed_lit
+from tidemark.operators.buckets import bucket_id
+from tidemark.operators.control import literal, max_text
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
 from tidemark.operators.ranges import page_plan
+from tidemark.sinks.parquet import write_files
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
 from tidemark.sources.jdbc import read_query, write_table
-from tidemark.specs import LoadMode, SourceOptions, TargetOptions
+from tidemark.specs import Compression, FileFormat, LoadMode, SourceOptions, TargetOptions
+
+RELOADS = (LoadMode.FULL_REFRESH, LoadMode.TRUNCATE)
+KEYED = (LoadMode.INCREMENTAL, LoadMode.BACKFILL)
 
 
 @dataclass
@@ -30,31 +39,48 @@ class CopyJob:
     source: DataFrame | None = None                # S15: a ready DataFrame
     src_conn: str | None = None                    # jdbc url, or a file format name
     src_stream: str | None = None                  # query / table / path
-    tgt_conn: str | None = None                    # jdbc url -> database target
+    tgt_conn: str | None = None                    # jdbc url -> database table, file format -> files
     mode: LoadMode = LoadMode.FULL_REFRESH
     primary_key: list[str] | None = None
     update_key: str | None = None
     backfill_range: tuple | None = None            # [start, end) of update_key
     loaded_at: dt.datetime | None = None           # snapshot mode stamp
+    bucket_width: int | None = None                # key-range buckets of the target store
+    part_col: str = "part_id"
     source_options: SourceOptions = field(default_factory=SourceOptions)
     target_options: TargetOptions = field(default_factory=TargetOptions)
 
+    @property
+    def _database(self) -> bool:
+        return bool(self.tgt_conn) and self.tgt_conn.startswith("jdbc:")
+
     def validate(self) -> None:
+        mode, o, src = LoadMode(self.mode), self.target_options, self.source_options
         if not self.target_object:
-            raise ValueError("target_object is required: target table or path")
-        if self.source is None:
-            if not self.src_conn:
-                raise ValueError("src_conn is required when no source DataFrame is given")
-            if not self.src_stream:
-                raise ValueError("src_stream is required: source table, file path or SQL query")
-        m = LoadMode(self.mode)
-        if m in (LoadMode.INCREMENTAL, LoadMode.BACKFILL):
-            if not self.primary_key or not self.update_key:
-                raise ValueError(f"{m.value} needs primary_key and update_key")
-        if m == LoadMode.BACKFILL and not self.backfill_range:
-            raise ValueError("backfill needs backfill_range=(start, end)")
+            raise ValueError("no destination: set target_object to a table name or a folder")
+        if self.source is None and not self.src_conn:
+            raise ValueError("nothing to read from: set source, or src_conn to a JDBC address or file format")
+        if self.source is None and not self.src_stream:
+            raise ValueError("src_stream is empty: name the table, query or path that src_conn should read")
+        if mode in KEYED and not (self.primary_key and self.update_key):
+            raise ValueError(f"mode {mode.value} merges rows: set primary_key and update_key")
+        if mode == LoadMode.BACKFILL and not self.backfill_range:
+            raise ValueError("mode backfill loads a range: set backfill_range=(start, end)")
+        if self.tgt_conn and mode in KEYED:
+            raise ValueError(f"mode {mode.value} merges by key, which only a store can do: leave tgt_conn unset")
+        if o.delete_missing and (src.limit is not None or src.offset):
+            raise ValueError("delete_missing with limit or offset would delete all rows outside the slice")
+        if o.delete_missing and mode not in KEYED:
+            raise ValueError("delete_missing belongs to modes that merge: incremental and backfill")
+        if self.bucket_width and not self.primary_key:
+            raise ValueError("bucket_width needs primary_key: buckets are ranges of its first column")
+        if o.compression:
+            Compression(o.compression)
+        if not self.tgt_conn and FileFormat(o.format) != FileFormat.PARQUET:
+            raise ValueError("a store holds Parquet: for other formats set tgt_conn to the format")
 
     def read_source(self, spark: SparkSession) -> DataFrame:
+        o = self.target_options
         if self.source is not None:
             df = apply_source_options(self.source, self.source_options)
         elif self.src_conn.startswith("jdbc:"):
@@ -62,101 +88,161 @@ class CopyJob:
                                       self.source_options)
         else:
             df = read_files(spark, self.src_stream, self.src_conn, self.source_options)
-        df = apply_casing(df, self.target_options.column_casing)
-        if self.target_options.file_max_bytes:
-            df = repartition_for_bytes(df, self.target_options.file_max_bytes)
+        df = apply_casing(df, o.column_casing)
+        if o.max_decimals is not None:
+            df = round_fractional(df, o.max_decimals)
+        if o.file_max_bytes:
+            df = repartition_for_bytes(df, o.file_max_bytes)
         return df
 
+    def stamped(self, df: DataFrame) -> DataFrame:
+        """Rows of a snapshot load carry the time of the load."""
+        if LoadMode(self.mode) != LoadMode.SNAPSHOT:
+            return df
+        return df.withColumn("loaded_at", typed_lit(self.loaded_at or dt.datetime.now(), "timestamp_ntz"))
+
     def run(self, spark: SparkSession) -> dict | None:
         self.validate()
         df = self.read_source(spark)
-        if self.tgt_conn:
-            o = self.target_options
-            mode = "overwrite" if LoadMode(self.mode) in (LoadMode.FULL_REFRESH, LoadMode.TRUNCATE) else "append"
-            if o.ignore_existing:
-                mode = "ignore"
-            props = {"truncate": "true"} if LoadMode(self.mode) == LoadMode.TRUNCATE else {}
-            write_table(df, self.tgt_conn, self.target_object, mode=mode,
-                        batchsize=o.batch_limit or 10_000, num_partitions=o.concurrency,
-                        column_types=o.table_ddl, properties=props)
+        if not self.tgt_conn:
+            return load_into_store(VersionedStore(spark, self.target_object), df, self)
+        o, reload = self.target_options, LoadMode(self.mode) in RELOADS
+        mode = "ignore" if o.ignore_existing else "overwrite" if reload else "append"
+        if not self._database:
+            o.format = FileFormat(self.tgt_conn).value
+            write_files(self.stamped(df), self.target_object, o, mode=mode)
             return None
-        return load_into_store(VersionedStore(spark, self.target_object), df, self)
+        write_table(self.stamped(df), self.tgt_conn, self.target_object, mode=mode,
+                    batchsize=o.batch_limit or 10_000, num_partitions=o.concurrency,
+                    column_types=o.table_ddl,
+                    properties={"truncate": "true"} if LoadMode(self.mode) == LoadMode.TRUNCATE else {})
+        return None
 
 
 def load_into_store(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
-    """Apply one load mode to a versioned Parquet target."""
-    o = job.target_options
-    mode = LoadMode(job.mode)
-    if o.ignore_existing and store.exists():
+    """Apply one load mode to a versioned Parquet target and keep one generation as backup."""
+    if job.target_options.ignore_existing and store.exists():
         return store.manifest()
-    writer = {"maxRecordsPerFile": str(o.file_max_rows)} if o.file_max_rows else None
+    with store.pinned():
+        m = _load(store, df, job)
+        store.retain(2)
+        return m
 
-    if mode == LoadMode.FULL_REFRESH or not store.exists():
-        if mode == LoadMode.SNAPSHOT:
-            df = df.withColumn("loaded_at", typed_lit(job.loaded_at or dt.datetime.now(), "timestamp_ntz"))
-        return store.replace(df, options=writer)
 
-    if mode == LoadMode.TRUNCATE:
-        return store.replace(align_to_schema(df, store.schema()), options=writer)
+def _writer(o: TargetOptions) -> dict:
+    out = {"parquet.block.row.count.limit": str(o.row_group_rows), **o.extra}
+    if o.file_max_rows:
+        out["maxRecordsPerFile"] = str(o.file_max_rows)
+    if o.compression and o.compression != Compression.AUTO:
+        out["compression"] = o.compression
+    return out
 
-    if mode == LoadMode.SNAPSHOT:
-        stamped = df.withColumn("loaded_at", typed_lit(job.loaded_at or dt.datetime.now(), "timestamp_ntz"))
-        return store.append(stamped, options=writer)
 
-    target = store.read()
-    if o.add_new_columns:
-        target = target.unionByName(df.limit(0), allowMissingColumns=True)
-    if o.adjust_column_type:
-        target = align_to_schema(target, widened_schema(target, df))
+def _load(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
+    o, mode, there = job.target_options, LoadMode(job.mode), store.exists()
     keys = as_list(job.primary_key)
-    if mode == LoadMode.BACKFILL and job.source_options.chunk_size:
-        return _backfill_in_windows(store, df, job, target, keys, writer)
+    part = job.part_col if job.bucket_width else None
+    if part:
+        df = df.withColumn(part, bucket_id(keys[0], job.bucket_width))
+    how = {"options": _writer(o), **({"key": keys} if part else {})}
+    if mode in RELOADS or (mode == LoadMode.SNAPSHOT and not there):
+        if mode == LoadMode.TRUNCATE and there:
+            df = align_to_schema(df, store.schema())
+        return store.replace(job.stamped(df), part_col=part, fresh=True, **how)
+    if mode == LoadMode.SNAPSHOT:
+        new = job.stamped(df)
+        if o.adjust_column_type:
+            old = store.read()
+            schema = widened_schema(old, new)
+            if schema != old.schema:        # files of other types cannot be read together: rewrite once
+                new = align_to_schema(old, schema).unionByName(
+                    align_to_schema(new, schema, add_new_columns=o.add_new_columns), allowMissingColumns=o.add_new_columns)
+                return store.replace(new, part_col=store.manifest()["part_col"], **how)
+        return store.append(new, add_new_columns=o.add_new_columns, **how)
     if mode == LoadMode.INCREMENTAL:
-        last = store.state().get("incremental_watermark")
-        upd = F.col(job.update_key)
-        if last is None:   # no recorded watermark: the target's max (A1)
-            mx = target.select(F.max(job.update_key)).scalar()
-            newer = df.where(mx.isNull() | (upd > mx))
-        else:
-            newer = df.where(upd > F.lit(last).cast(df.schema[job.update_key].dataType))
-    else:  # BACKFILL: [start, end) of the update column
-        lo, hi = job.backfill_range
-        dtype = df.schema[job.update_key].dataType
-        newer = df.where((F.col(job.update_key) >= typed_lit(lo, dtype))
-                         & (F.col(job.update_key) < typed_lit(hi, dtype)))
-    staged = store.stage(keep_latest(align_to_schema(newer, target.schema, allow_missing=o.add_new_columns),
-                                     keys, [job.update_key]))
-    merged = merge_upsert(target, staged, keys, [job.update_key], max_broadcast_rows=10_000_000,
-                          source_reduced=True)
+        return _incremental(store, df, job, keys, part, how)
+    return _backfill(store, df, job, keys, part, how)
+
+
+def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob, keys: list[str], part: str | None, how: dict,
+            state: Callable[[DataFrame], dict]) -> dict:
+    """Merge the newest of ``rows`` per key into the store; publish nothing if nothing changes.
+
+    A bucketed store has its touched parts rewritten, others the whole table.
+    """
+    o = job.target_options
+    staged = store.stage(keep_latest(rows, keys, [job.update_key]))
+    if not store.exists():
+        m = store.replace(staged, part_col=part, fresh=True, state=state(staged), **how)
+        store.drop_staging()
+        return m
+    base = store.manifest()
+    pc = base["part_col"]
+    touched = [r[0] for r in staged.select(pc).distinct().collect()] if pc and not o.delete_missing else None
+    target = store.read(parts=touched)
+    wide = target.unionByName(staged.limit(0), allowMissingColumns=True) if o.add_new_columns else target
+    if o.adjust_column_type:
+        wide = align_to_schema(wide, widened_schema(wide, staged))
+    changed = wide.schema != target.schema
+    if changed and touched is not None:      # types of other parts change with it
+        touched, target = None, store.read()
+        wide = align_to_schema(target, wide.schema, allow_missing=True)
+    new = align_to_schema(staged, wide.schema, allow_missing=o.add_new_columns)
+    merged = merge_upsert(wide, new, keys, [job.update_key], max_broadcast_rows=1_000_000, source_reduced=True)
     if o.delete_missing:
-        merged = merged.join(df.select(*keys), on=keys, how="left_semi")
-    wm = staged.select(F.max(job.update_key)).first()[0]
-    state = {} if wm is None or mode == LoadMode.BACKFILL else {"incremental_watermark": str(wm)}
-    m = store.replace(merged, options=writer, state=state)
+        merged = merged.join(df.select(*keys).distinct(), on=keys, how="left_semi")
+    elif not changed:
+        # rows re-read at the watermark that the table holds as they are
+        same = [a.eqNullSafe(b) for a, b in ((new[c], target[c]) for c in [*keys, job.update_key])]
+        if new.join(target, same, "left_anti").isEmpty():
+            # nothing to do again: a backfill's mark is only moved on or removed, not begun
+            now = base.get("state") or {}
+            after = {k: v for k, v in state(staged).items() if k in now or not k.startswith("backfill")}
+            store.drop_staging()
+            return store.set_state(after) if any(now.get(k) != v for k, v in after.items()) else base
+    if touched is not None:
+        m = store.replace_parts(merged, touched, state=state(staged), tasks=store.write_tasks(touched), **how)
+    else:
+        m = store.replace(merged, part_col=pc, state=state(staged), **how)
     store.drop_staging()
     return m
 
 
-def _backfill_in_windows(store: VersionedStore, df: DataFrame, job: CopyJob, target: DataFrame,
-                         keys: list[str], writer) -> dict:
-    """Backfill ``[start, end)`` in windows of ``chunk_size``; each window is merged and
-    published with the end it reached, so a rerun resumes after the last window."""
+def _incremental(store, df, job, keys, part, how) -> dict:
+    """Rows at or above the watermark: later rows may share its instant (as in ``VersionUpsert``)."""
+    dtype = df.schema[job.update_key].dataType
+    last = store.state().get("incremental_watermark") if store.exists() else None
+    if last is None and store.exists():      # no recorded watermark: the target's max (A1)
+        last = max_text(store.read(), job.update_key)
+    newer = df if last is None else df.where(F.col(job.update_key) >= literal(last, dtype))
+
+    def state(staged):
+        wm = max_text(staged, job.update_key)
+        return {"incremental_watermark": wm if wm is not None else last}
+
+    return _upsert(store, df, newer, job, keys, part, how, state)
+
+
+def _backfill(store, df, job, keys, part, how) -> dict:
+    """``[start, end)`` of the update column, in windows of ``chunk_size`` if given.
+
+    Each window is published with its number, under the range, the window width and the column; a
+    rerun resumes after the last one, and a finished range leaves no trace in the state.
+    """
     lo, hi = job.backfill_range
     step = job.source_options.chunk_size
-    done = store.state().get("backfill_until")
-    cur = lo if done is None else max(lo, type(lo)(done))
-    dtype = df.schema[job.update_key].dataType
+    dtype, c = df.schema[job.update_key].dataType, F.col(job.update_key)
+    name = f"backfill {job.update_key} {lo!s} {hi!s} {step!s}"
+    i = (store.state().get(name) or 0) if store.exists() else 0
     m = store.manifest()
-    while cur < hi:
-        nxt = min(hi, cur + step)
-        window = df.where((F.col(job.update_key) >= typed_lit(cur, dtype))
-                          & (F.col(job.update_key) < typed_lit(nxt, dtype)))
-        staged = store.stage(keep_latest(align_to_schema(window, target.schema), keys, [job.update_key]))
-        merged = merge_upsert(store.read(), staged, keys, [job.update_key],
-                              max_broadcast_rows=10_000_000, source_reduced=True)
-        m = store.replace(merged, options=writer, state={"backfill_until": str(nxt)})
-        store.drop_staging()
-        cur = nxt
+    start = lo if step is None else lo + i * step
+    while start < hi:
+        end = hi if step is None else min(hi, start + step)
+        i += 1
+        done = None if end >= hi else i
+        window = df.where((c >= literal(start, dtype)) & (c < literal(end, dtype)))
+        m = _upsert(store, df, window, job, keys, part, how, lambda _: {name: done})  # noqa: B023
+        start = end
     return m
 
 
@@ -165,41 +251,85 @@ def repartition_for_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
     size of the input files as the estimate (file sources)."""
     from tidemark.sinks.fs import HadoopFS
     fs = HadoopFS(df.sparkSession)
-    total = sum(fs.size_bytes(f) for f in df.inputFiles())
+    # one call per folder; files of a folder that are not read make the estimate larger, the files smaller
+    total = sum(fs.size_bytes(d) for d in {f.rsplit("/", 1)[0] for f in df.inputFiles()})
     return df.repartition(max(1, -(-total // max_bytes))) if total else df
 
 
-def delete_missing(target: DataFrame, source: DataFrame, key) -> DataFrame:
-    """Drop target rows whose key no longer exists in the source (semi join)."""
-    keys = as_list(key)
-    return target.join(source.select(*keys), on=keys, how="left_semi")
+def append_job(store: VersionedStore, source: DataFrame, order_col: str, *, state_key: str = "append_last") -> int:
+    """Append-only increment as a job (M8): rows above the last key of the target become new files.
+
+    Returns the number of rows appended; nothing is published when there are none.
+    """
+    with store.pinned():
+        dtype = source.schema[order_col].dataType
+        last = store.state().get(state_key) if store.exists() else None
+        if last is None and store.exists():
+            last = max_text(store.read(), order_col)
+        newer = source if last is None else source.where(F.col(order_col) > literal(last, dtype))
+        staged = store.stage(newer, "append")
+        n = staged.count()
+        if n:
+            end = max_text(staged, order_col)
+            store.append(staged, state={state_key: end if end is not None else last})
+        store.drop_staging()
+        return n
+
+
+def merge_job(store: VersionedStore, source: DataFrame, key, order_col: str, *, bucket_width: int | None = None) -> dict:
+    """Read what is newer than the last key of the target and merge it (M5): an incremental copy job."""
+    return CopyJob(target_object=store.root, source=source, mode=LoadMode.INCREMENTAL, primary_key=as_list(key),
+                   update_key=order_col, bucket_width=bucket_width).run(store.spark)
 
 
 def resumable_load(spark: SparkSession, store: VersionedStore, source: DataFrame, order_col: str,
-                   page_rows: int, max_pages: int | None = None) -> int:
-    """Bulk load in key-range pages, resumable across runs.
-
-    The page plan (end key of every page, about ``page_rows`` rows each, closed on
-    ties) is computed once and kept in the manifest. Page i holds the keys in
-    ``(end_{i-1}, end_i]``, so every row is loaded exactly once; each page is
-    appended as one version together with its end key, and a restart continues after
-    the last published page. Spark retries failed tasks within a page. Null keys are
-    not in any page (as with the reference's keyset reads).
+                   page_rows: int, max_pages: int | None = None, pages_per_job: int = 8) -> int:
+    """Bulk load in key-range pages, resumable across runs (M11); returns the pages loaded.
+
+    The page plan (end key of every page, about ``page_rows`` rows each, closed on ties) is
+    computed once and kept in a file beside the store. ``pages_per_job`` neighbouring pages
+    are one range ``(end_a, end_b]``, one Spark job and one version, written together with
+    the last key; a restart continues there. What is loaded stays invisible (K9) until the
+    source holds no key above the last one: used-up plans are followed by new ones, then by
+    one page of rows without a key, and all is published at once. A later run loads what
+    has come since.
     """
-    state = store.state() if store.exists() else {}
-    plan = state.get("page_plan")
-    if plan is None:
-        plan = page_plan(source, order_col, page_rows)
-    dtype = source.schema[order_col].dataType
-    done = state.get("pages_done", 0)
+    dtype, c = source.schema[order_col].dataType, F.col(order_col)
+    side = f"{store.root}/_load"
     pages = 0
-    while done < len(plan) and (max_pages is None or pages < max_pages):
-        hi = F.lit(plan[done]).cast(dtype)
-        cond = F.col(order_col) <= hi
-        if done > 0:
-            cond = cond & (F.col(order_col) > F.lit(plan[done - 1]).cast(dtype))
-        store.append(source.where(cond),
-                     state={"page_plan": plan, "pages_done": done + 1, "last_key": plan[done]})
-        done += 1
-        pages += 1
+    while max_pages is None or pages < max_pages:
+        state = store.state() if store.exists() else {}
+        last, name, done = state.get("last_key"), state.get("plan"), state.get("pages_done", 0)
+        ends = json.loads(store.fs.read_text(f"{side}/{name}")) if name else []
+        if done >= len(ends):
+            ends, done = page_plan(source, order_col, page_rows, last), 0
+            if not ends:
+                break
+            name = f"plan-{state.get('plans', 0) + 1}.json"
+            store.fs.mkdirs(side)
+            store.fs.delete(f"{side}/{name}", recursive=False)
+            store.fs.write_text_atomic(f"{side}/{name}", json.dumps(ends))
+        n = min(pages_per_job, len(ends) - done)
+        if max_pages is not None:
+            n = min(n, max_pages - pages)
+        until = ends[done + n - 1]
+        cond = c <= literal(until, dtype)
+        if last is not None:
+            cond = cond & (c > literal(last, dtype))
+        store.append_pending(source.where(cond), state={
+            "last_key": until, "plan": name, "plans": int(name[5:-5]), "pages_done": done + n})
+        pages += n
+    else:
+        return pages
+    # no key above the last one
+    state = store.state() if store.exists() else {}
+    if not state.get("null_page"):
+        empty = source.where(c.isNull())
+        if not empty.isEmpty():
+            store.append_pending(empty, state={"null_page": True})
+            pages += 1
+        elif store.exists():
+            store.set_state({"null_page": True})
+    if store.exists() and store.manifest().get("pending"):
+        store.publish_pending()
     return pages

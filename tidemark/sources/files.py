@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import cast_columns, clean_strings, round_fractional
 from tidemark.sinks.fs import HadoopFS
-from tidemark.specs import SourceOptions
+from tidemark.specs import Compression, FileFormat, SourceOptions
 
 
 def read_parquet_dir(spark: SparkSession, path: str, columns=None, where: str | None = None) -> DataFrame:
@@ -47,19 +47,30 @@ def read_filtered(df: DataFrame, where: str | None = None, limit: int | None = N
 
 
 def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """Delta table if the Delta reader is on the classpath, else the Parquet folder
-    (S13). Column projection is pushed to the scan."""
-    try:
+    """A table folder by what it holds (S13): this library's own store, a Delta table, or
+    plain Parquet. A Delta table without a Delta reader is an error: its files alone would
+    bring back deleted rows. Column projection is pushed to the scan."""
+    from tidemark.sinks.fs import HadoopFS
+    from tidemark.sinks.store import VersionedStore
+    fs = HadoopFS(spark)
+    if fs.exists(f"{path.rstrip('/')}/_delta_log"):
         df = spark.read.format("delta").load(path)
-    except Exception:  # noqa: BLE001 - no Delta reader here: plain Parquet
+    elif fs.exists(f"{path.rstrip('/')}/_manifest"):
+        df = VersionedStore(spark, path).read()
+    else:
         df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
 def read_files(spark: SparkSession, path: str, fmt: str, opts: SourceOptions | None = None) -> DataFrame:
-    """csv / json / jsonlines / xml / parquet / orc / text / avro."""
+    """csv / json / jsonlines / xml / parquet / orc / text / avro.
+
+    ``json``: every file is one document (an object or an array of objects), read whole by
+    one task; ``jsonlines``: one object a line, split over tasks.
+    """
     o = opts or SourceOptions()
-    fmt = {"jsonlines": "json"}.get(fmt, fmt)
+    whole = FileFormat(o.format or fmt) == FileFormat.JSON      # json: one document a file; jsonlines: one a line
+    fmt = {"jsonlines": "json"}.get(FileFormat(fmt).value, fmt)
     r = spark.read
     if o.schema:
         r = r.schema(o.schema)
@@ -69,11 +80,14 @@ def read_files(spark: SparkSession, path: str, fmt: str, opts: SourceOptions | N
             r = r.option("timestampFormat", o.datetime_format)
     elif fmt == "json" and o.datetime_format:
         r = r.option("timestampFormat", o.datetime_format)
-    if fmt == "json" and o.format == "json":      # whole-file JSON documents
+    if fmt == "json" and whole:
         r = r.option("multiLine", "true")
-    if o.compression and o.compression not in ("auto", "none"):
+    if o.compression and Compression(o.compression) not in (Compression.AUTO, Compression.NONE):
         r = r.option("compression", o.compression)
-    return apply_source_options(r.format(fmt).load(path), o)
+    df = r.format(fmt).load(path)
+    if fmt == "text" and o.skip_blank_lines:
+        df = df.where(F.trim("value") != "")
+    return apply_source_options(df, o)
 
 
 def apply_source_options(df: DataFrame, o: SourceOptions) -> DataFrame:

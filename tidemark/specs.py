@@ -62,7 +62,7 @@ class SourceOptions:
     header: bool = True
     delimiter: str = ","
     datetime_format: str | None = None
-    skip_blank_lines: bool = True
+    skip_blank_lines: bool = True              # text files; csv and json readers always skip them
     flatten: bool = False
     jmespath: dict[str, tuple[str, str]] | None = None   # new column -> (json column, JSONPath)
     compression: str | None = None
@@ -93,7 +93,7 @@ class TargetOptions:
     column_casing: str | None = None
     add_new_columns: bool = False
     adjust_column_type: bool = False
-    table_keys: list[str] | None = None
+    max_decimals: int | None = None
     table_ddl: str | None = None
     row_group_rows: int = 100_000
     extra: dict = field(default_factory=dict)
