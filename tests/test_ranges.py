@@ -99,7 +99,9 @@ def test_jdbc_range_predicates_plan_is_balanced_and_exact(spark):
     assert sql_literal("O'Brien") == "'O''Brien'"
     con = duckdb.connect()
     con.execute(f"CREATE VIEW orders AS SELECT * FROM '{SF01}/orders.parquet'")
-    for col in ("o_orderdate", "o_orderkey", "o_orderpriority"):
+    with pytest.raises(ValueError, match="collation"):
+        plan_range_predicates(o, "o_orderpriority", 6)
+    for col in ("o_orderdate", "o_orderkey", "o_totalprice"):
         preds = plan_range_predicates(o, col, 6)
         counts = [con.execute(f"SELECT count(*) FROM orders WHERE {p}").fetchone()[0] for p in preds]
         assert sum(counts) == 15000, col
@@ -159,3 +161,48 @@ def test_assign_pages_ties_and_nulls(spark):
     got = rows(assign_pages(df, "k", ends), "k", "page_id")
     assert got == sorted([(1, 1), (2, 1), (2, 1), (2, 1), (3, 2), (None, None), (4, 2), (5, 3), (5, 3)],
                          key=repr)
+
+
+def test_control_values_with_another_process_zone(spark, monkeypatch):
+    import time
+    from pyspark.sql import types as T
+    from tidemark.operators.ranges import assign_pages, iter_pages, page_plan
+    from tidemark.sources.jdbc import control_sql
+    monkeypatch.setenv("TZ", "Europe/Istanbul")
+    time.tzset()
+    try:
+        for expr in ("timestamp_micros(id * 3600000001)", "unhex(lpad(hex(id), 16, '0'))", "date_add(date'2024-01-01', int(id))",
+                     "cast(id as decimal(20,3)) / 8", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id), 0, 0.000001)"):
+            df = spark.range(10).selectExpr("id", f"{expr} AS v")
+            assert keyset_page(df, "v", None, 3).count() == 3
+            pages = [p.count() for _, p in iter_pages(df, "v", 4)]
+            assert pages == [4, 4, 2], (expr, pages)
+            tagged = assign_pages(df, "v", page_plan(df, "v", 4)).orderBy("id").collect()
+            assert [r.page_id for r in tagged] == [1] * 4 + [2] * 4 + [3] * 2
+            first = next(iter(iter_pages(df, "v", 4)))[0]
+            assert keyset_page(df, "v", first, 3).count() == 3
+            ranges = assign_ranges(df, "v", range_begins(ntile_ranges(df, "v", 5))).groupBy("range_id").count().collect()
+            assert sorted(tuple(r) for r in ranges) == [(i, 2) for i in range(1, 6)]
+        assert control_sql("1704067200000000", T.TimestampType()) == "'2024-01-01T00:00:00.000Z'"
+        assert control_sql("2024-01-01 00:00:00.5", T.TimestampNTZType()) == "'2024-01-01 00:00:00.500'"
+        assert control_sql("0x00ff", T.BinaryType()) == "0x00ff" and control_sql("12", T.LongType()) == "12"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_ten_thousand_pages(spark):
+    import time
+    from tidemark.operators.ranges import assign_pages, page_plan
+    df = spark.range(200_000).repartition(4)
+    t = time.time()
+    ends = page_plan(df, "id", 20)
+    assert len(ends) == 10_000 and assign_pages(df, "id", ends).groupBy("page_id").count().where("count = 20").count() == 10_000
+    assert time.time() - t < 60      # on a busy machine; some seconds on an idle one
+
+
+def test_tile_plan_of_the_database(spark):
+    from tidemark.sources.jdbc import tile_sql
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{SF01}/orders.parquet'")
+    assert sorted((a, b, c, n) for a, b, c, n in con.execute(tile_sql("orders", "o_custkey", 6)).fetchall()) == duck_ntile("o_custkey", 6)

@@ -343,11 +343,13 @@ def test_modes_on_an_absent_target(spark, tmp_root):
 
 
 def test_incremental_ties_and_empty_increment(spark, tmp_root):
-    first = spark.createDataFrame([(1, 5), (2, 9)], "id long, ver long")
+    import datetime as dt
+    day = lambda n: dt.date(2024, 1, n)
+    first = spark.createDataFrame([(1, day(5)), (2, day(9))], "id long, ver date")
     _copy(tmp_root, first, LoadMode.INCREMENTAL).run(spark)
-    _copy(tmp_root, first.union(spark.createDataFrame([(3, 9)], first.schema)), LoadMode.INCREMENTAL).run(spark)
+    _copy(tmp_root, first.union(spark.createDataFrame([(3, day(9))], first.schema)), LoadMode.INCREMENTAL).run(spark)
     store = VersionedStore(spark, tmp_root)
-    assert rows(store.read()) == [(1, 5), (2, 9), (3, 9)]
+    assert rows(store.read()) == [(1, day(5)), (2, day(9)), (3, day(9))]
     seq = store.manifest()["seq"]
     _copy(tmp_root, store.read(), LoadMode.INCREMENTAL).run(spark)
     assert store.manifest()["seq"] == seq

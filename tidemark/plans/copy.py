@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.cleaning import apply_casing, round_fractional
 from tidemark.operators._util import as_list, typed_lit
@@ -209,12 +210,15 @@ def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob,
 
 
 def _incremental(store, df, job, keys, part, how) -> dict:
-    """Rows at or above the watermark: later rows may share its instant (as in ``VersionUpsert``)."""
-    dtype = df.schema[job.update_key].dataType
+    """Rows above the watermark; at it as well for times and dates, which later rows may share (as in
+    ``VersionUpsert``)."""
+    dtype, c = df.schema[job.update_key].dataType, F.col(job.update_key)
+    shared = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
     last = store.state().get("incremental_watermark") if store.exists() else None
     if last is None and store.exists():      # no recorded watermark: the target's max (A1)
         last = max_text(store.read(), job.update_key)
-    newer = df if last is None else df.where(F.col(job.update_key) >= literal(last, dtype))
+    at = None if last is None else literal(last, dtype)
+    newer = df if at is None else df.where(c >= at if shared else c > at)
 
     def state(staged):
         wm = max_text(staged, job.update_key)

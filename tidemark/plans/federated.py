@@ -68,10 +68,16 @@ def federated_query(spark: SparkSession, request: ExportRequest,
     """The final query over the registered datasets.
 
     With ``isolate`` the datasets are registered in ``spark.newSession()``: same
-    cluster and cache, separate temporary views, so concurrent requests cannot see or
-    replace each other's dataset names, and the caller's session is untouched.
+    cluster, cache and settings, separate temporary views, so concurrent requests cannot
+    see or replace each other's dataset names, and the caller's session is untouched.
     """
-    session = spark.newSession() if isolate else spark
+    session = spark
+    if isolate:
+        session = spark.newSession()
+        # a new session starts from the cluster's settings: take over the caller's
+        for row in spark.sql("SET").collect():
+            if session.conf.isModifiable(row["key"]) and session.conf.get(row["key"], None) != row["value"]:
+                session.conf.set(row["key"], row["value"])
     register_datasets(session, request, configured)
     return session.sql(request.query)
 

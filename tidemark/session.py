@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():

@@ -41,6 +41,8 @@ def sql_literal(v) -> str:
         return "1" if v else "0"
     if isinstance(v, (int, float, decimal.Decimal)):
         return repr(v) if isinstance(v, float) else str(v)
+    if isinstance(v, (bytes, bytearray)):
+        return "0x" + bytes(v).hex()
     if isinstance(v, dt.datetime):
         return "'" + v.strftime("%Y-%m-%d %H:%M:%S.%f") + "'"
     if isinstance(v, dt.date):
@@ -48,6 +50,22 @@ def sql_literal(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+def control_sql(text: str, dtype) -> str:
+    """Control text (see ``operators.control``) as a SQL literal: numbers as they are, ``0x...`` for
+    binary, ISO text otherwise, with three fractional digits where no more are needed."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, (T.BinaryType, T.NumericType)):
+        return text
+    if isinstance(dtype, T.TimestampType):
+        micros = int(text)
+        at = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+        return "'" + at.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3 if micros % 1000 == 0 else None] + "Z'"
+    if isinstance(dtype, T.TimestampNTZType):
+        text, _, fraction = text.partition(".")
+        return f"'{text}.{fraction.ljust(3, '0')}'" if fraction else f"'{text}'"
+    return sql_literal(text)
+
+
 def plan_range_predicates(keys: DataFrame, column: str, k: int) -> list[str]:
     """Balanced, half-open predicates for ``k`` parallel reads (S3 + S4).
 
@@ -55,17 +73,30 @@ def plan_range_predicates(keys: DataFrame, column: str, k: int) -> list[str]:
     query); tile bounds are exact NTILE bounds computed by Spark, and the predicates
     cover every row exactly once, nulls included (D1).
     """
+    from pyspark.sql import types as T
+
     from tidemark.operators.ranges import ntile_ranges, range_begins, range_predicates
+    dtype = keys.schema[column].dataType
+    if isinstance(dtype, T.StringType):
+        raise ValueError("text keys: the database's collation may order otherwise than Spark; use a numeric, date or binary key")
     begins = range_begins(ntile_ranges(keys.select(column), column, k))
-    return range_predicates(column, begins, quote=sql_literal)
+    return range_predicates(column, begins, quote=lambda t: control_sql(t, dtype))
+
+
+def tile_sql(table: str, column: str, k: int) -> str:
+    """The tile plan as a query for the source database: k rows come back instead of the key column."""
+    return (f"SELECT part, MIN({column}) AS begin_part, MAX({column}) AS end_part, COUNT(*) AS n_rows FROM "
+            f"(SELECT {column}, NTILE({k}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL) t GROUP BY part")
 
 
 def read_balanced(spark: SparkSession, url: str, table: str, column: str, k: int, *,
                   fetchsize: int = 100_000, properties: dict | None = None) -> DataFrame:
-    """Read ``table`` as ``k`` key ranges of about equal row counts, in parallel."""
-    keys = read_query(spark, url, f"SELECT {column} FROM {table}", fetchsize=fetchsize,
-                      properties=properties)
-    preds = plan_range_predicates(keys, column, k)
+    """Read ``table`` as ``k`` key ranges of about equal row counts, in parallel. The database
+    computes the tile plan and orders by its own collation, so any key type is safe."""
+    from tidemark.operators.ranges import range_begins, range_predicates
+    plan = read_query(spark, url, tile_sql(table, column, k), properties=properties)
+    dtype = plan.schema["begin_part"].dataType
+    preds = range_predicates(column, range_begins(plan), quote=lambda t: control_sql(t, dtype))
     return read_ranges(spark, url, table, preds, fetchsize=fetchsize, properties=properties)
 
 

@@ -343,9 +343,10 @@ def q_cdc_sync_job(spark, d):
 
 
 @register("cdc_sync_bucketed", f"""
-SELECT *, CAST(floor(id / {fx.BUCKET_WIDTH}) AS BIGINT) AS part_id FROM ({SQL_CDC}) m""")
+WITH w AS (SELECT (max(c_custkey) - min(c_custkey)) // 16 + 1 AS w FROM customer)
+SELECT m.*, CAST(floor(id / w.w) AS BIGINT) AS part_id FROM ({SQL_CDC}) m, w""")
 def q_cdc_sync_bucketed(spark, d):
-    job = _cdc_job(spark, d, bucket_width=fx.BUCKET_WIDTH)
+    job = _cdc_job(spark, d, bucket_width=_width(spark, d))
     job.run()
     return job.store.read()
 
@@ -364,22 +365,35 @@ def q_cdc_sync_overlap(spark, d):
     return job.store.read()
 
 
-@register("stream_cdc", SQL_CDC)
-def q_stream_cdc(spark, d):
-    """History after WM landed as three files (in history order), consumed as three
-    micro-batches by foreachBatch into the store."""
-    job = _cdc_job(spark, d)
+def _streamed_job(spark, d, shares) -> SnapshotSync:
+    """The history after the snapshot landed in slices ``(from, to]`` of the ids, each as several
+    files, consumed one file per micro-batch."""
+    job = _cdc_job(spark, d, bucket_width=_width(spark, d))
     landing = work_path(spark, "landing")
     hist = fx.history(spark, d)
-    wm, wm2 = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
-    mx = hist.select(F.max("hist_id")).first()[0]
-    mid = (wm2 + mx) // 2
-    for lo, hi in ((wm, wm2), (wm2, mid), (mid, mx)):
-        (hist.where((F.col("hist_id") > lo) & (F.col("hist_id") <= hi))
-             .coalesce(1).write.mode("append").parquet(landing))
-    q = start_cdc_stream(spark, job, landing, hist.schema, max_files_per_trigger=1)
-    q.awaitTermination()
-    return job.store.read()
+    for lo, hi in shares:
+        (hist.where((F.col("hist_id") > fx.fraction_of_max(spark, d, lo, 60)) & (F.col("hist_id") <= fx.fraction_of_max(spark, d, hi, 60)))
+             .repartition(2, "id").write.mode("append").parquet(landing))
+    start_cdc_stream(spark, job, landing, hist.schema, max_files_per_trigger=1).awaitTermination()
+    return job
+
+
+def _width(spark, d, column: str = "c_custkey", table: str = "customer", parts: int = 16) -> int:
+    """A bucket width that makes about ``parts`` buckets at any scale."""
+    lo, hi = fx.table(spark, d, table).agg(F.min(column), F.max(column)).first()
+    return max(1, (hi - lo) // parts + 1)
+
+
+@register("stream_cdc", SQL_CDC)
+def q_stream_cdc(spark, d):
+    """History after WM landed in history order, consumed by foreachBatch into the store."""
+    return _streamed_job(spark, d, ((54, 57), (57, 60))).read().drop("part_id")
+
+
+@register("stream_cdc_unordered", SQL_CDC)
+def q_stream_cdc_unordered(spark, d):
+    """The same with the newest slice landed first: versions are compared per key."""
+    return _streamed_job(spark, d, ((58, 60), (56, 58), (54, 56))).read().drop("part_id")
 
 
 _SQL_LATEST_EVENTS = """
@@ -475,40 +489,84 @@ def q_partitioned_roundtrip(spark, d):
     return read_parquet_dir(spark, path).withColumn("chunk", F.col("chunk").cast("long"))
 
 
-@register("versioned_roundtrip", "SELECT * FROM orders")
+_VERSION_OF_FILE = r"tm_version=([0-9]+)/"
+
+
+@register("versioned_roundtrip", f"SELECT *, CASE WHEN o_orderkey <= {fx.SQL_WM} THEN '1' ELSE '2' END AS version FROM orders")
 def q_versioned_roundtrip(spark, d):
+    """Every row with the version whose files hold it."""
     o = fx.table(spark, d, "orders")
     wm = fx.snapshot_watermark(spark, d)
     store = VersionedStore(spark, work_path(spark, "versioned"))
     store.replace(o.where(F.col("o_orderkey") <= wm))
     store.append(o.where(F.col("o_orderkey") > wm))
+    return store.read().withColumn("version", F.regexp_extract(F.input_file_name(), _VERSION_OF_FILE, 1))
+
+
+@register("many_versions", """
+SELECT o_orderkey, o_orderpriority, CASE o_orderkey % 4 WHEN 0 THEN 'a b' WHEN 1 THEN 'x:y' WHEN 2 THEN 'p%q' END AS part FROM orders""")
+def q_many_versions(spark, d):
+    """A table of 70 versions with null and special-character parts, read in one scan."""
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.expr(
+        "CASE o_orderkey % 4 WHEN 0 THEN 'a b' WHEN 1 THEN 'x:y' WHEN 2 THEN 'p%q' END").alias("part"))
+    store = VersionedStore(spark, work_path(spark, "many"))
+    store.replace(o.where("o_orderkey % 70 = 0"), part_col="part")
+    for i in range(1, 70):
+        store.append(o.where(f"o_orderkey % 70 = {i}"))
     return store.read()
 
 
-@register("compacted_roundtrip", "SELECT *, CAST(o_orderkey // 1000 AS BIGINT) AS chunk FROM orders")
+@register("compacted_roundtrip", """
+WITH w AS (SELECT (max(o_orderkey) - min(o_orderkey)) // 16 + 1 AS w FROM orders)
+SELECT o.*, CAST(o_orderkey // w.w AS BIGINT) AS chunk, 1 AS n_versions FROM orders o, w""")
 def q_compacted_roundtrip(spark, d):
-    o = fx.table(spark, d, "orders").withColumn("chunk", bucket_id("o_orderkey", 1000))
+    """Two versions compacted into one: every row with the number of versions its part has files in."""
+    from pyspark.sql import Window
+    o = fx.table(spark, d, "orders").withColumn("chunk", bucket_id("o_orderkey", _width(spark, d, "o_orderkey", "orders")))
     store = VersionedStore(spark, work_path(spark, "compact"))
     wm = fx.snapshot_watermark(spark, d)
     store.replace(o.where(F.col("o_orderkey") <= wm).repartition(16), part_col="chunk")
     store.append(o.where(F.col("o_orderkey") > wm).repartition(8))
     store.compact(key="o_orderkey")
     store.retain(2)
-    return store.read()
+    file = F.regexp_extract(F.input_file_name(), _VERSION_OF_FILE, 1)
+    tagged = store.read().withColumn("v", file)
+    versions = tagged.groupBy("chunk").agg(F.countDistinct("v").cast("int").alias("n_versions"))
+    return tagged.drop("v").join(versions, "chunk").select(*o.columns, "n_versions")
 
 
 @register("bulk_resume", "SELECT * FROM orders")
 def q_bulk_resume(spark, d):
-    """Keyset-paged bulk load stopped after two pages, then resumed to the end."""
+    """Keyset-paged bulk load stopped after two pages (nothing visible), then resumed to the end."""
     orders = fx.table(spark, d, "orders")
-    n = orders.count()
-    page = max(1, n // 4 + 1)
+    page = max(1, orders.count() // 4 + 1)
     store = VersionedStore(spark, work_path(spark, "bulk"))
     resumable_load(spark, store, orders, "o_orderkey", page, max_pages=2)
+    assert store.read().isEmpty()
     resumable_load(spark, store, orders, "o_orderkey", page)
     return store.read()
 
 
+@register("bulk_resume_growing", "SELECT * FROM orders")
+def q_bulk_resume_growing(spark, d):
+    """The source grows while the load is interrupted: it reads on past its first plan."""
+    orders = fx.table(spark, d, "orders")
+    page = max(1, orders.count() // 6 + 1)
+    store = VersionedStore(spark, work_path(spark, "bulk_growing"))
+    resumable_load(spark, store, orders.where(F.col("o_orderkey") <= fx.snapshot_watermark(spark, d)), "o_orderkey", page, max_pages=2)
+    resumable_load(spark, store, orders, "o_orderkey", page)
+    return store.read()
+
+
+@register("bulk_resume_nulls", "SELECT nullif(o_custkey, 7) AS k, * FROM orders")
+def q_bulk_resume_nulls(spark, d):
+    """Rows without a key are one more page."""
+    orders = fx.table(spark, d, "orders").select(F.nullif("o_custkey", F.lit(7)).alias("k"), "*")
+    store = VersionedStore(spark, work_path(spark, "bulk_nulls"))
+    resumable_load(spark, store, orders, "k", max(1, orders.count() // 5 + 1))
+    return store.read()
+
+
 @register("formats_roundtrip", "SELECT * FROM customer")
 def q_formats_roundtrip(spark, d):
     from tidemark.sinks.parquet import write_files
@@ -519,11 +577,14 @@ def q_formats_roundtrip(spark, d):
     return read_files(spark, path, "jsonlines", SourceOptions(schema=ddl))
 
 
-@register("rows_capped_export", "SELECT * FROM orders")
+@register("rows_capped_export", "SELECT *, TRUE AS file_within_cap FROM orders")
 def q_rows_capped_export(spark, d):
+    """Every row, and whether its file holds at most the cap of 1,000 rows."""
     path = export_parquet(fx.table(spark, d, "orders"), work_path(spark, "capped"),
                           max_records_per_file=1000)
-    return read_parquet_dir(spark, path)
+    out = read_parquet_dir(spark, path).withColumn("file", F.input_file_name())
+    sizes = out.groupBy("file").agg((F.count("*") <= 1000).alias("file_within_cap"))
+    return out.join(sizes, "file").drop("file")
 
 
 # ---------------------------------------------------------------- FX rates
@@ -722,8 +783,10 @@ SELECT o_orderstatus, count(*) AS n_orders, min(o_orderdate) AS first_order, max
 FROM orders GROUP BY o_orderstatus""")
 def q_adhoc_sql(spark, d):
     """Every Parquet file of a folder registered as a view, then ad-hoc SQL."""
+    from tidemark.sinks.fs import HadoopFS
     from tidemark.sources.files import register_parquet_views
-    register_parquet_views(spark, d, ["orders"])
+    names = [n.removesuffix(".parquet") for n in HadoopFS(spark).list_names(d) if n.endswith(".parquet")]
+    register_parquet_views(spark, d, names)
     return spark.sql("""SELECT o_orderstatus, count(*) AS n_orders, min(o_orderdate) AS first_order,
                         max(o_totalprice) AS max_total FROM orders GROUP BY o_orderstatus""")
 
@@ -749,3 +812,149 @@ def q_json_flatten(spark, d):
     e = fx.table(spark, d, "events").select(
         "event_id", F.from_json("props", "k long").alias("props"))
     return apply_source_options(e, SourceOptions(flatten=True))
+
+
+# ---------------------------------------------------------------- control values, modes and jobs
+@register("version_upsert_ltz", _SQL_LATEST_EVENTS.format(o="ts"))
+def q_version_upsert_ltz(spark, d):
+    """Versioned by a timestamp with zone; the first sync finds no table yet."""
+    events = fx.table(spark, d, "events")
+    zoned = events.withColumn("ts", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))))
+    job = VersionUpsert(spark, work_path(spark, "upsert_ltz"), "user_id", "ts", bucket_width=50)
+    job.sync(zoned.where(F.col("ts") <= F.lit(EVENTS_CUTOFF).cast("timestamp")))
+    job.sync(zoned)
+    out = job.store.read()
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("version_upsert_first_sync", _SQL_LATEST_EVENTS.format(o="event_id"))
+def q_version_upsert_first_sync(spark, d):
+    """No initial load: the first sync writes the buckets from the default checkpoint."""
+    job = VersionUpsert(spark, work_path(spark, "upsert_first"), "user_id", "event_id", bucket_width=50)
+    job.sync(fx.table(spark, d, "events"))
+    return job.store.read()
+
+
+@register("mode_incremental_binary", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id > {fx.SQL_WM}"))
+def q_mode_incremental_binary(spark, d):
+    """Two increments on a binary row version: the watermark is kept byte for byte."""
+    path = work_path(spark, "incremental_bin")
+
+    def versioned(df):
+        return df.select("id", "bal", "hist_id", long_to_rowversion("hist_id").alias("rv"))
+    CopyJob(target_object=path, source=versioned(snapshot(spark, d))).run(spark)
+    hist = versioned(fx.history(spark, d))
+    for part in (hist.where(F.col("hist_id") <= fx.fraction_of_max(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)), hist):
+        CopyJob(target_object=path, source=part.where(F.col("hist_id") > fx.snapshot_watermark(spark, d)),
+                mode=LoadMode.INCREMENTAL, primary_key=["id"], update_key="rv").run(spark)
+    return VersionedStore(spark, path).read().drop("rv")
+
+
+_SQL_PAGES = """
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)
+SELECT o.*, CAST((r.rn - 1) // 4000 + 1 AS BIGINT) AS page_id FROM orders o JOIN r USING (o_orderkey)"""
+
+
+@register("keyset_pages_binary", _SQL_PAGES)
+def q_keyset_pages_binary(spark, d):
+    from tidemark.operators.ranges import assign_pages, page_plan
+    o = fx.table(spark, d, "orders").withColumn("rv", long_to_rowversion("o_orderkey"))
+    return assign_pages(o, "rv", page_plan(o, "rv", 4000)).drop("rv")
+
+
+@register("keyset_page_ltz", "SELECT * FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 5000")
+def q_keyset_page_ltz(spark, d):
+    o = fx.table(spark, d, "orders").withColumn("at", F.timestamp_micros(F.col("o_orderkey") * 3_600_000_001))
+    return keyset_page(o, "at", str(1000 * 3_600_000_001), 5000).drop("at")
+
+
+def _history_copy(spark, d, path, mode, **kw):
+    CopyJob(target_object=path, source=fx.history(spark, d).select("id", "bal", "hist_id"), mode=mode,
+            primary_key=["id"], update_key="hist_id", **kw).run(spark)
+
+
+@register("mode_backfill_two_ranges", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id >= {fx.SQL_WM}"))
+def q_mode_backfill_two_ranges(spark, d):
+    """The later range first, in windows; then the earlier one must not be taken as done.
+
+    Ranges are disjoint by hist_id, and a key changed in both keeps what was loaded last,
+    so the newer range runs a second time at the end.
+    """
+    path = work_path(spark, "backfill_two")
+    _snapshot_target(spark, d, path)
+    lo, mid = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
+    hi = _wm_value(spark, d, 1, 1) + 1
+    for a, b in ((mid, hi), (lo, mid), (mid, hi)):
+        _history_copy(spark, d, path, LoadMode.BACKFILL, backfill_range=(a, b), source_options=SourceOptions(chunk_size=max(1, (b - a) // 2 + 1)))
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_backfill_absent_target", f"""
+SELECT id, bal, hist_id FROM {fx.SQL_HIST} h WHERE hist_id >= {fx.SQL_WM} AND hist_id < {fx.SQL_WM2}
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY hist_id DESC) = 1""")
+def q_mode_backfill_absent_target(spark, d):
+    path = work_path(spark, "backfill_absent")
+    rng = (_wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN))
+    _history_copy(spark, d, path, LoadMode.BACKFILL, backfill_range=rng)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_incremental_first_load", f"""
+SELECT id, bal, hist_id FROM {fx.SQL_HIST} h QUALIFY row_number() OVER (PARTITION BY id ORDER BY hist_id DESC) = 1""")
+def q_mode_incremental_first_load(spark, d):
+    path = work_path(spark, "incremental_first")
+    _history_copy(spark, d, path, LoadMode.INCREMENTAL)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_incremental_ties", "SELECT o_orderkey, o_orderdate FROM orders")
+def q_mode_incremental_ties(spark, d):
+    """Half the rows of every date first; the rows that share the watermark's date come later."""
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    path = work_path(spark, "incremental_ties")
+    last = o.agg(F.max("o_orderdate").alias("m"))
+    for part in (o.join(last, o.o_orderdate < last.m, "left_semi").unionByName(o.join(last, o.o_orderdate == last.m, "left_semi").where("o_orderkey % 2 = 0")), o):
+        CopyJob(target_object=path, source=part, mode=LoadMode.INCREMENTAL, primary_key=["o_orderkey"], update_key="o_orderdate").run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("mode_snapshot_new_column", """
+SELECT n_nationkey, n_name, CAST(NULL AS BIGINT) AS n_regionkey, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at FROM nation
+UNION ALL SELECT n_nationkey, n_name, n_regionkey, TIMESTAMP '2024-01-02 00:00:00' AS loaded_at FROM nation""")
+def q_mode_snapshot_new_column(spark, d):
+    import datetime as dt
+    path = work_path(spark, "snapshot_new")
+    n = fx.table(spark, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").cast("long").alias("n_regionkey"))
+    for day, df in ((1, n.drop("n_regionkey")), (2, n)):
+        CopyJob(target_object=path, source=df, mode=LoadMode.SNAPSHOT, loaded_at=dt.datetime(2024, 1, day),
+                target_options=TargetOptions(add_new_columns=True)).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("refresh_then_incremental", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id > {fx.SQL_WM}"))
+def q_refresh_then_incremental(spark, d):
+    """A load up to the end, a full refresh with older rows, then an increment from the refreshed table."""
+    path = work_path(spark, "refreshed")
+    _history_copy(spark, d, path, LoadMode.INCREMENTAL)
+    _snapshot_target(spark, d, path)
+    _history_copy(spark, d, path, LoadMode.INCREMENTAL)
+    return VersionedStore(spark, path).read()
+
+
+@register("append_job", "SELECT * FROM orders")
+def q_append_job(spark, d):
+    from tidemark.plans.copy import append_job
+    o = fx.table(spark, d, "orders")
+    store = VersionedStore(spark, work_path(spark, "append_job"))
+    for part in (o.where(F.col("o_orderkey") <= fx.snapshot_watermark(spark, d)), o, o):
+        append_job(store, part, "o_orderkey")
+    return store.read()
+
+
+@register("merge_job", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id > {fx.SQL_WM}"))
+def q_merge_job(spark, d):
+    from tidemark.plans.copy import merge_job
+    store = VersionedStore(spark, work_path(spark, "merge_job"))
+    _snapshot_target(spark, d, store.root)
+    merge_job(store, fx.history(spark, d).select("id", "bal", "hist_id"), "id", "hist_id")
+    return store.read()
