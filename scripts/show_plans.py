@@ -1,7 +1,7 @@
 """Write the physical plans of the headline queries to PLANS.md.
 
 usage: python scripts/show_plans.py [sf_dir]
-Plans are taken after execution (adaptive execution's final plan).
+Plans are those before adaptive execution changes them (`isFinalPlan=false`).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[4]", shuffle_partitions=8)
     out = ["# Physical plans of headline queries", "",
-           f"Generated by `scripts/show_plans.py` at `{sf}` (final adaptive plans).", ""]
+           f"Generated by `scripts/show_plans.py` at `{sf}` (plans before adaptive execution changes them).", ""]
     for name, note in NOTES.items():
         df = QUERIES[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()

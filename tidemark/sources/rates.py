@@ -36,6 +36,15 @@ def parse_rate_documents(docs: DataFrame, xml_col: str = "xml", date_col: str |
     return rate_rows(flat)
 
 
+def count_malformed(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """(n_documents, n_malformed): documents that ``parse_rate_documents`` can read nothing from
+    because they are not well-formed XML."""
+    doc = F.from_xml(F.col(xml_col), RATE_SCHEMA + ", _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    bad = F.col("doc").isNull() | F.col("doc._bad").isNotNull()
+    return (docs.where(F.col(xml_col).isNotNull()).select(doc.alias("doc"))
+            .agg(F.count("*").alias("n_documents"), F.count(F.when(bad, 1)).alias("n_malformed")))
+
+
 def rate_rows(parsed: DataFrame) -> DataFrame:
     """Rows of parsed documents (``_Tarih``, ``Currency`` columns) -> rate rows."""
     rate_date = F.to_date(F.col("_Tarih"), DOC_DATE_FORMAT)

@@ -958,3 +958,14 @@ def q_merge_job(spark, d):
     _snapshot_target(spark, d, store.root)
     merge_job(store, fx.history(spark, d).select("id", "bal", "hist_id"), "id", "hist_id")
     return store.read()
+
+
+@register("rates_malformed", """
+SELECT count(DISTINCT s_suppkey // 20) AS n_documents, count(DISTINCT s_suppkey // 20) FILTER ((s_suppkey // 20) % 3 = 0) AS n_malformed
+FROM supplier""")
+def q_rates_malformed(spark, d):
+    """Every third rate document cut short: counted, not silently empty."""
+    from tidemark.sources.rates import count_malformed
+    docs = rate_documents(spark, d)
+    cut = F.when(F.col("day") % 3 == 0, F.expr("left(xml, length(xml) - 20)")).otherwise(F.col("xml"))
+    return count_malformed(docs.withColumn("xml", cut))
