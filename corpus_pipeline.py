@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.binpack import tokenize_to_files
-from tidemark.llm.common import stage, table
+from tidemark.llm.common import bounded_batches, stage, table
 from tidemark.llm.decontam import remove_contamination
 from tidemark.llm.langid import keep_identified
 from tidemark.llm.mixing import mix_documents
@@ -25,27 +25,32 @@ from tidemark.llm.queries import TOKENIZER, VOCABULARY
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language: those without letters or unlike every language go."""
+    bounded_batches(spark)
     return keep_identified(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    bounded_batches(spark)
     return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly such passages go."""
+    bounded_batches(spark)
     clean = remove_contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    bounded_batches(spark)
     return mix_documents(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids, read back from the files."""
+    bounded_batches(spark)
     return tokenize_to_files(docs, public_tokenizers.path(TOKENIZER), VOCABULARY)
 
 
