@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import give_back, stage
 
 
 def distinct_buckets(members: DataFrame) -> DataFrame:
@@ -62,6 +62,7 @@ def links(carriers: DataFrame, similar: Callable, chunk: int, chunk_weight: int)
                 out = []
         if out:
             yield _batch(pa, out)
+        give_back()
 
     return m.mapInArrow(run, "id long, links long, root long")
 

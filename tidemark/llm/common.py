@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send at most ``rows`` rows to Python at once: texts are long, and a batch is held whole on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it from there.
 
@@ -59,11 +66,23 @@ def text_bytes(batch, col: str) -> list[bytes | None]:
     return c.cast(kind).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are reused and would keep the most they ever held."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable, rows: int = 512):
     """Arrow batches in slices of a few rows, so that what is made of them stays small."""
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
+    give_back()
 
 
 def held_out(doc_id):

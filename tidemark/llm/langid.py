@@ -134,7 +134,7 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, per_language: int) -> t
 
 
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str, pred: str, score: str,
-            rows: int = 256, size: int = 2 << 20) -> DataFrame:
+            rows: int = 256, size: int = 1 << 20) -> DataFrame:
     """``docs`` with the predicted language and its score; texts are scored up to ``size`` bytes at a time."""
 
     def run(batches: Iterator) -> Iterator:

@@ -38,7 +38,7 @@ class WordHashes(dict):
     """64-bit hashes of words, computed once; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

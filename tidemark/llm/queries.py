@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import bounded_batches, table
 
 #: byte_bpe_50k.json: 50,257 ids with the special one
 TOKENIZER, VOCABULARY = "byte_bpe_50k.json", 50_257
@@ -80,7 +81,15 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify(table(spark, d, "documents", "doc_id", "text", "lang"))
 
 
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, d)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination, op5_toxicity, op6_license_scan,
+    f.__name__: _bounded(f) for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination, op5_toxicity, op6_license_scan,
                             op7_near_vectors, op8_ngram_join, op9_pii, op10_language_id)}
 ORACLES: dict[str, str] = {}
