@@ -41,7 +41,7 @@ def test_block_round_trip():
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60) | st.text("ab 'stREre1\n\t.é  ,", max_size=80))
 def test_pieces_equal_whole_text(text):
-    enc = test_pieces_equal_whole_text.__dict__.setdefault("enc", PieceEncoder(PATH, public_tokenizers.PATTERN, 50))
+    enc = test_pieces_equal_whole_text.__dict__.setdefault("enc", PieceEncoder(PATH, 50))
     assert enc.encode(text).tolist() == TOK.encode(text, add_special_tokens=False).ids
 
 

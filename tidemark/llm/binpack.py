@@ -34,8 +34,7 @@ MAGIC = b"TMP1"
 HEAD = struct.Struct("<4sB3xIQ")
 BLOCK_IDS = 1 << 18
 
-# Texts of these characters are cut into pieces by the pattern below exactly as the
-# tokenizer does it; any other text goes to the tokenizer as a whole.
+# Texts of other characters than these go to the tokenizer whole.
 PLAIN = r"[^\t\n\r\x20-\x7e\xa1-ʯЀ-ҁ]"
 
 
@@ -95,84 +94,71 @@ def uneven(text: str) -> bool:
     return "  " in text or "\n " in text or " \n" in text or "\t" in text or "\r" in text or text[0] == " " or text[-1] == " "
 
 
-class Generations:
-    """A memory of two generations: what is not used while ``limit`` new entries come is forgotten."""
-
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def turn(self) -> None:
-        if len(self.young) >= self.limit:
-            self.young, self.old = {}, self.young
-
-    def find(self, key, make):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is None:
-                value = make(key)
-            self.young[key] = value
-        return value
-
-
 class PieceEncoder:
-    """The tokenizer, with the ids of what it has met kept.
+    """The tokenizer, with the ids of text chunks it has met kept.
 
     A single space between two other characters always begins a piece of byte-level BPE's
-    splitting pattern, and merges never cross pieces. So a text is cut at such spaces, a
-    chunk that is new is cut by the pattern, and a piece that is new goes to the
-    tokenizer's model. Texts with other white space around a space are cut by the pattern
-    as a whole, texts of unusual characters or with special tokens go to the tokenizer.
+    splitting pattern, and merges never cross pieces. So a text may be cut at such spaces;
+    the new chunks of a text go to the tokenizer together, and the tokens that begin with
+    the space tell where each begins. Texts with other white space around a space, of
+    unusual characters or with special tokens go to the tokenizer whole.
 
-    What was not met for a while is forgotten, so memory is bounded (a long text may exceed it once).
+    Memory holds two generations of about ``limit`` chunks: what is not met while that many
+    new ones come is forgotten.
     """
 
-    def __init__(self, path: str, pattern: str, limit: int = 250_000):
-        import regex
+    def __init__(self, path: str, limit: int = 150_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model.tokenize
-        self.cut, self.odd, self.limit = regex.compile(pattern).findall, re.compile(PLAIN).search, limit
+        self.odd, self.limit = re.compile(PLAIN).search, limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # byte-level BPE writes bytes as characters: printable ones as themselves, the others from 256 on
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.byte_chars = {b: 256 + i for i, b in enumerate(hidden)}
-        self.pieces, self.chunks = Generations(limit), Generations(limit)
-
-    def _new_piece(self, piece: str) -> bytes:
-        tokens = self.model(piece.encode().decode("latin-1").translate(self.byte_chars))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-
-    def _by_pieces(self, text: str) -> bytes:
-        find, new = self.pieces.find, self._new_piece
-        return b"".join([find(p, new) for p in self.cut(text)])
-
-    def _new_chunk(self, chunk: str) -> bytes:
-        return self._by_pieces(" " + chunk)
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte-level sign of a space
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Keep the ids of chunks, each with a space before it."""
+        ids = self._whole(" " + " ".join(chunks))
+        start = np.flatnonzero(self.spaced[ids]).tolist()
+        if len(start) != len(chunks):
+            raise RuntimeError("chunks and the tokens that begin them differ in number")
+        raw = ids.astype("<u4").tobytes()
+        for c, i, j in zip(chunks, start, [*start[1:], len(ids)]):
+            self.young[c] = raw[4 * i:4 * j]
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        self.pieces.turn()
-        if self.odd(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if uneven(text):
-            return np.frombuffer(self._by_pieces(text), "<u4")
+        if self.odd(text) or uneven(text) or any(s in text for s in self.special):
+            return self._whole(text)
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
         first, *rest = text.split(" ")
-        chunks = self.chunks
-        chunks.turn()
-        get = chunks.young.get
-        out = [get(c) or chunks.find(c, self._new_chunk) for c in rest]  # kept without the space before them
-        return np.frombuffer(b"".join([self._by_pieces(first), *out]), "<u4")
-
-
-def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, pattern: str | None = None,
-                 id_col: str = "doc_id", text_col: str = "text") -> None:
+        young = self.young
+        out = [young.get(c) for c in rest]      # chunks are kept without the space before them
+        if None in out:
+            missing = dict.fromkeys([c for c, x in zip(rest, out) if x is None])
+            new = []
+            for c in missing:
+                ids = self.old.get(c)
+                if ids is None:
+                    new.append(c)
+                else:
+                    young[c] = ids
+            if new:
+                self._learn(new)
+            out = [young[c] if x is None else x for c, x in zip(rest, out)]
+        return np.frombuffer(b"".join([self._whole(first).astype("<u4").tobytes(), *out]), "<u4")
+
+
+def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id",
+                 text_col: str = "text") -> None:
     """Encode all texts in ascending id order and write the block table to ``path``."""
-    if pattern is None:
-        import public_tokenizers
-        pattern = public_tokenizers.PATTERN
     bits = bits_for(vocabulary)
 
     def encode(batches: Iterator) -> Iterator:
@@ -181,7 +167,7 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
         import pyarrow as pa
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        enc, part, no = PieceEncoder(tokenizer, pattern), TaskContext.get().partitionId(), 0
+        enc, part, no = PieceEncoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         held: list[tuple] = []
         size = 0
