@@ -338,15 +338,16 @@ def training_set(docs: DataFrame, train_documents: int, train_windows: int) -> t
     return x, y
 
 
-def train(x: np.ndarray, y: np.ndarray, seed: int = 4) -> Tagger | None:
-    """A tagger for labelled windows, half of them with digits redrawn; None without any span."""
+def train(x: np.ndarray, y: np.ndarray, seed: int = 4, steps: int = 240) -> Tagger | None:
+    """A tagger for labelled windows, half of them with digits redrawn, after about ``steps`` batches; None
+    without any span."""
     if not y.any():
         return None
     rng = np.random.default_rng(seed)
     digit = (x >= 48) & (x <= 57)
     redrawn = np.where(digit, rng.integers(48, 58, x.shape), x).astype(np.uint8)
     tagger = Tagger()
-    tagger.fit(np.concatenate([x, redrawn]), np.concatenate([y, y]))
+    tagger.fit(np.concatenate([x, redrawn]), np.concatenate([y, y]), epochs=-(-steps // -(-2 * len(x) // 128)))
     return tagger
 
 
