@@ -22,6 +22,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -156,6 +157,12 @@ class PieceEncoder:
         return np.frombuffer(b"".join([self._whole(first).astype("<u4").tobytes(), *out]), "<u4")
 
 
+@cache
+def encoder(path: str) -> PieceEncoder:
+    """One encoder per Python worker, which keeps what it has met from task to task."""
+    return PieceEncoder(path)
+
+
 def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
     """Encode all texts in ascending id order and write the block table to ``path``."""
@@ -167,7 +174,7 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
         import pyarrow as pa
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        enc, part, no = PieceEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, no = encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         held: list[tuple] = []
         size = 0
