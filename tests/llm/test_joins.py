@@ -7,7 +7,7 @@ import pytest
 from cases import awkward
 from tidemark.llm import blocks
 from tidemark.llm.components import components
-from tidemark.llm.ngram_join import WordHashes, drop_near_copies, jaccard_links, ngram_join, runs_for, shingles
+from tidemark.llm.ngram_join import WIDER, WordHashes, drop_near_copies, jaccard_links, ngram_join, runs_for, shingles
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.vectors import hadamard, near_vectors, plan
 
@@ -98,6 +98,31 @@ def test_ngram_join_hot_groups(spark):
     assert [got[i].component_id for i in range(len(texts))] == comp
 
 
+def test_ngram_large_buckets_lose_no_links(spark):
+    """Groups of more distinct near copies than a bucket may hold, and unlike documents that share long passages."""
+    rnd = random.Random(8)
+    texts = []
+    for g in (119, 240):  # groups whose common words are seldom chosen at two levels of a run
+        for i in range(560):
+            v = [f"g{g}h{j}" for j in range(95)]
+            v[rnd.randrange(95)] = f"x{i}"
+            texts.append(" ".join(v))
+    passage = " ".join(f"p{i}" for i in range(60))
+    for i in range(600):
+        own = " ".join(f"u{i // 2}w{j}" for j in range(60))
+        texts.append(f"{passage} {own} {f'end{i}' if i % 2 else ''}")
+    deg, comp = brute(word_sets(texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram_join(docs).collect()}
+    assert [got[i].n_links for i in range(len(texts))] == deg
+    assert [got[i].component_id for i in range(len(texts))] == comp
+
+
+def test_ngram_recall_of_all_levels():
+    once = (1 - np.exp(-1)) * (1 - np.exp(-WIDER))
+    assert 1 - (1 - once) ** runs_for(0.8, 2, 0.99999, WIDER) >= 0.99999
+
+
 def test_ngram_query(spark):
     d = "/root/testdata/sf0.01"
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect())
