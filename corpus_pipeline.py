@@ -24,7 +24,7 @@ from tidemark.llm.queries import TOKENIZER, VOCABULARY
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language: those without letters or unlike every language go."""
+    """Documents in some language: null texts and those without letters go."""
     bounded_batches(spark)
     return keep_identified(docs)
 

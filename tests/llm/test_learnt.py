@@ -62,6 +62,20 @@ def test_language_awkward(spark):
     assert {60, 61, 62}.isdisjoint({r.doc_id for r in kept.collect()}) and kept.where("doc_id < 60").count() == 63
 
 
+def test_language_keeps_all_with_letters(spark):
+    """Single words, codes and texts in scripts without labels stay, as op10 names a language for them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rnd = random.Random(4)
+    words = sorted({w for r in docs.limit(300).collect() for w in (r.text or "").split() if any(c.isalpha() for c in w)})
+    short = rnd.sample(words, 400) + ["".join(rnd.choice("bcdfgklmnprstvwxz") for _ in range(5)) for _ in range(200)]
+    short += [" ".join("".join(chr(rnd.randrange(0x3b1, 0x3c9)) for _ in range(6)) for _ in range(80)) for _ in range(20)]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate([*short, None, "", "12 - 7"])], docs.schema)
+    every = docs.unionByName(more)
+    named = {r.doc_id for r in langid.identify(every).where("lang_pred != 'und'").collect()}
+    assert {r.doc_id for r in langid.keep_identified(every).collect()} == named and {10**9 + i for i in range(len(short))} <= named
+    assert not {10**9 + len(short) + i for i in range(3)} & named
+
+
 def test_language_ignores_held_out_labels(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     other = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))

@@ -169,10 +169,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    min_score: float = 0.03, per_language: int = 400) -> DataFrame:
-    """``docs`` without those that are in no language: no letters, or a cosine below ``min_score``."""
+                    per_language: int = 400) -> DataFrame:
+    """``docs`` without those that are in no language: null, or without a letter.
+
+    The cosine sets no limit: that of a few letters lies within the noise of unrelated vectors (1 / sqrt(DIMENSIONS)).
+    """
     langs, prototypes = learn(docs.where(~held_out(F.col(id_col))), text_col, lang_col, per_language)
     pred, score = fresh(docs, "_pred", "_score")
     out = predict(docs, langs, prototypes, text_col, pred, score)
-    keep = (F.col(pred) != UNDETERMINED) & (F.col(score) >= min_score) if langs else F.lit(True)
-    return out.where(keep).drop(pred, score)
+    return out.where(F.col(pred) != UNDETERMINED if langs else F.lit(True)).drop(pred, score)
