@@ -257,6 +257,35 @@ def test_tagger_finds_shapes_and_adds_checked_spans():
     assert all(b - a <= pii.WINDOW for a, b in zip(every[0], every[0][1:])) and every[0][-1] + pii.WINDOW >= len(long)
 
 
+def test_windows_are_decoded_as_far_as_spans_reach():
+    """The same spans as from all windows, also where names are longer than a window."""
+
+    class Letters:
+        """Tags runs of letters, digits, dots and @ between spaces, which hold any dot, as e-mail."""
+
+        def decode(self, x):
+            inside = (x != 32) & (x != pii.PAD)
+            y = np.where(inside, 2, 0).astype(np.uint8)
+            y[:, 1:][inside[:, 1:] & ~inside[:, :-1]] = 1
+            return y
+
+    rnd = random.Random(6)
+    name = lambda k: "".join(rnd.choice("abcdeüéß") for _ in range(k))
+    texts, truth = [], []
+    for k in [5, 30, 60, 100, 200, 400] * 6:
+        before = " ".join(name(rnd.randrange(2, 9)) for _ in range(rnd.randrange(60)))
+        item = rnd.choice([f"{name(k)}@{name(k)}x.de", f"{name(3)}@{name(k)}x.de", f"{name(k)}.{name(k)}@x.de"])
+        texts.append(f"{before} {item} " + " ".join(name(5) for _ in range(rnd.randrange(60))))
+        truth.append((len(before) + 1, len(before) + 1 + len(item), 0))
+    found = pii.added_spans(Letters(), texts, [[] for _ in texts])
+    assert found == [[t] for t in truth]
+    # as few windows as the spans need: a text of many windows and one mark is not decoded whole
+    seen = []
+    Letters.decode, old = lambda self, x: (seen.append(len(x)), old(self, x))[1], Letters.decode
+    pii.added_spans(Letters(), ["word " * 5000 + "7 " + "word " * 5000], [[]])
+    assert sum(seen) < 10
+
+
 def test_pii_query_and_awkward(spark):
     d = "/root/testdata/sf0.001"
     src = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{d}/documents.parquet").collect()}

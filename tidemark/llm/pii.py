@@ -12,8 +12,9 @@ Viterbi; a character takes the tag of the window in whose middle it lies, and sp
 read off the joined tags of the whole text. A span found so is widened to whole tokens
 and added if it touches no base span and passes the check of its kind (address parts,
 octets, Luhn, number of digits) whatever the separators, which the patterns fix. Every check
-asks for a digit or an @: a window without one cannot give an added span and is not
-decoded; the result is the same.
+asks for a digit or an @: decoding begins with the windows that own one, or a character of
+the token around it, and goes on to the next window while tags reach the edge of what was
+decoded. The result is that of all windows.
 
 The tagger is fitted on a bounded sample: at most ``train_windows`` windows of each kind
 and as many without personal data, those of the lowest hash.
@@ -37,7 +38,8 @@ from tidemark.llm.common import chance, slices, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 TRIGGER = re.compile(rb"[0-9@]")
-TRIGGERS = frozenset("0123456789@")
+MARKS = re.compile(r"[0-9]+|@")
+TOKEN = re.compile(r"[^\W_]*")  # alphanumeric characters, as of str.isalnum
 
 # ---- base patterns --------------------------------------------------------------------
 # Digit runs are matched whole and left to right; a match that fails inside a run fails
@@ -249,27 +251,51 @@ def window_starts(length: int) -> range:
     return range(0, max(1, length - (WINDOW - STRIDE)), STRIDE)
 
 
+def marked_windows(text: str) -> set[int]:
+    """Starts of the windows that own a digit or @, a character of the token around it or one next to that token."""
+    last, margin = window_starts(len(text))[-1], (WINDOW - STRIDE) // 2
+    out: set[int] = set()
+    end = 0
+    for m in MARKS.finditer(text):
+        a, b = m.span()
+        if b <= end:
+            continue
+        if text[a] != "@":
+            while a > end and text[a - 1].isalnum():
+                a -= 1
+            b = TOKEN.match(text, b).end()
+        end = b
+        low, high = (min(max(p - margin, 0) // STRIDE * STRIDE, last) for p in (a - 1, b))
+        out.update(range(low, high + 1, STRIDE))
+    return out
+
+
 def added_spans(tagger: Tagger, texts: list[str], base: list[list], batch: int = 1024) -> list[list[tuple[int, int, int]]]:
     """Spans that the tagger adds to the base spans of each text."""
-    jobs, codes = [], [symbols(t) for t in texts]
-    trigger = np.zeros(SYMBOLS, bool)
-    trigger[[ord(c) for c in TRIGGERS]] = True
-    for i, c in enumerate(codes):
-        marks = np.concatenate([[0], np.cumsum(trigger[c])])
-        jobs += [(i, s) for s in window_starts(len(c)) if marks[min(len(c), s + WINDOW)] > marks[s]]
+    codes = [symbols(t) for t in texts]
     tags = [np.zeros(len(c), np.uint8) for c in codes]
     margin = (WINDOW - STRIDE) // 2
-    for k in range(0, len(jobs), batch):
-        part = jobs[k:k + batch]
-        x = np.full((len(part), WINDOW), PAD, np.uint8)
-        for r, (i, s) in enumerate(part):
-            piece = codes[i][s:s + WINDOW]
-            x[r, :len(piece)] = piece
-        for (i, s), y in zip(part, tagger.decode(x)):
-            # the middle belongs to this window; so does the margin at either end of the text
-            a = 0 if s == 0 else margin
-            b = WINDOW if s + WINDOW >= len(codes[i]) else margin + STRIDE
-            tags[i][s + a:s + b] = y[a:b][:len(tags[i]) - s - a]
+    known = [marked_windows(t) for t in texts]
+    jobs = [(i, s) for i, starts in enumerate(known) for s in sorted(starts)]
+    while jobs:
+        further = []
+        for k in range(0, len(jobs), batch):
+            part = jobs[k:k + batch]
+            x = np.full((len(part), WINDOW), PAD, np.uint8)
+            for r, (i, s) in enumerate(part):
+                piece = codes[i][s:s + WINDOW]
+                x[r, :len(piece)] = piece
+            for (i, s), y in zip(part, tagger.decode(x)):
+                # the middle belongs to this window; so does the margin at either end of the text
+                a = 0 if s == 0 else margin
+                b = WINDOW if s + WINDOW >= len(codes[i]) else margin + STRIDE
+                own = y[a:b][:len(codes[i]) - s - a]
+                tags[i][s + a:s + b] = own
+                for edge, near in ((own[0], s - STRIDE), (own[-1], s + STRIDE)):
+                    if edge and near not in known[i] and 0 <= near <= window_starts(len(codes[i]))[-1]:
+                        known[i].add(near)
+                        further.append((i, near))
+        jobs = further
     out = []
     for text, t, known in zip(texts, tags, base):
         taken = np.zeros(len(text) + 1, bool)
