@@ -81,6 +81,16 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify(table(spark, d, "documents", "doc_id", "text", "lang"))
 
 
+def op11_packing(spark: SparkSession, d: str) -> DataFrame:
+    """All documents as sequences of power-of-two lengths up to 1024."""
+    import public_tokenizers
+
+    from tidemark.llm.packing import pack_sequences
+    rows = pack_sequences(table(spark, d, "documents", "doc_id", "text"), public_tokenizers.path(TOKENIZER))
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                       F.lit(0).cast("long").alias("offset"), "bucket", "batch")
+
+
 def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, d: str) -> DataFrame:
@@ -91,5 +101,6 @@ def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _bounded(f) for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination, op5_toxicity, op6_license_scan,
-                            op7_near_vectors, op8_ngram_join, op9_pii, op10_language_id)}
+                            op7_near_vectors, op8_ngram_join, op9_pii, op10_language_id,
+                            op11_packing)}
 ORACLES: dict[str, str] = {}
