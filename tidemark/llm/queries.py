@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, table
+from tidemark.llm.oracles import DECONTAMINATION, MERKLE_MANIFEST, NEAR_VECTORS, RANKED_SEARCH
 
 #: byte_bpe_50k.json: 50,257 ids with the special one
 TOKENIZER, VOCABULARY = "byte_bpe_50k.json", 50_257
@@ -91,6 +92,18 @@ def op11_packing(spark: SparkSession, d: str) -> DataFrame:
                        F.lit(0).cast("long").alias("offset"), "bucket", "batch")
 
 
+def op12_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    """The 50 best documents for each benchmark item, over all documents."""
+    from tidemark.llm.ranked import ranked_search
+    return ranked_search(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Merkle manifest of all documents by language, with a proof of each."""
+    from tidemark.llm.merkle import merkle_digest
+    return merkle_digest(table(spark, d, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
 def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, d: str) -> DataFrame:
@@ -102,5 +115,7 @@ def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _bounded(f) for f in (op1_sharding, op2_mixing, op3_token_output, op4_decontamination, op5_toxicity, op6_license_scan,
                             op7_near_vectors, op8_ngram_join, op9_pii, op10_language_id,
-                            op11_packing)}
-ORACLES: dict[str, str] = {}
+                            op11_packing, op12_ranked_search, op13_merkle_manifest)}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": DECONTAMINATION, "op7_near_vectors": NEAR_VECTORS,
+    "op12_ranked_search": RANKED_SEARCH, "op13_merkle_manifest": MERKLE_MANIFEST}
