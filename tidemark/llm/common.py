@@ -85,6 +85,22 @@ def slices(batches: Iterable, rows: int = 512):
     give_back()
 
 
+def gathered(batches: Iterable, size: int = 8 << 20):
+    """Arrow batches joined until they hold ``size`` bytes: work done once a batch is done less often."""
+    import pyarrow as pa
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+    held = None
+    give_back()
+
+
 def held_out(doc_id):
     """True for rows whose labels must not be learnt: crc32(doc_id as text) mod 4 = 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -1,14 +1,13 @@
 """Byte-level BPE ids of many texts at once, by the tokenizers library.
 
 A single space between two other characters always begins a piece of byte-level BPE's
-splitting pattern, and merges never cross pieces; so does a single line end, a piece of its
-own, and commas and full stops between a letter and a space. So a text may be cut at such
-spaces, and before such line ends and signs.
+splitting pattern, and merges never cross pieces; a single line end is a piece of its own, as
+is a comma or full stop between a letter and a space. So a text may be cut at such places.
 The texts of an Arrow batch are cut together, equal chunks become one dictionary entry,
-only entries not met before go to the tokenizer (in one call; the tokens that begin with
-the space or line end tell where each chunk begins), and the ids of all texts are gathered in numpy.
-Texts with other white space around a space, of unusual characters or with special tokens
-go to the tokenizer whole; so every text has the ids that the tokenizer gives it.
+only entries not met before go to the tokenizer, many in one call, and the ids of all texts
+are gathered in numpy. Chunks of letters are one piece each and go to the tokenizer's model
+without its pattern. Texts with other white space around a space, of unusual characters or
+with special tokens go to the tokenizer whole; so every text has the ids that it gives it.
 """
 
 from __future__ import annotations
@@ -29,27 +28,36 @@ MIXED = r"(^|[^\pL])[.,] "
 BARE = "\x01"
 #: The byte-level sign of a space at the start of a token.
 SPACE = "Ġ"
-#: The byte-level sign of a line end.
-LINE_END = "Ċ"
+#: Byte-level BPE writes bytes as characters: those of Latin-1 that print stand for themselves,
+#: the others follow from 256 in order.
+PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = np.arange(256, dtype="<u4")
+BYTE_SIGNS[[b for b in range(256) if b not in PRINTED]] = 256 + np.arange(256 - len(PRINTED))
+BYTE_SIGNS[ord("\n")] = ord("\n")     # here it parts the pieces
 
 
 class Memory:
-    """Ids of chunks: a dictionary of entry numbers over one growing array of ids."""
+    """Ids of chunks: their names, and one growing array of ids."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        import pyarrow as pa
+        self.names = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 14, np.int64)   # entry i holds ids bounds[i]..bounds[i + 1]
+        self.bounds = np.zeros(1, np.int64)     # entry i holds ids bounds[i]..bounds[i + 1]
+
+    def find(self, chunks) -> np.ndarray:
+        """Entry numbers, -1 for chunks not kept."""
+        import pyarrow.compute as pc
+        return pc.fill_null(pc.index_in(chunks, value_set=self.names), -1).to_numpy().astype(np.int64)
 
-    def add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, used = len(self.number), int(self.bounds[len(self.number)])
+    def add(self, chunks, ids: np.ndarray, lengths: np.ndarray) -> None:
+        import pyarrow as pa
+        used = int(self.bounds[-1])
         while used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(chunks) >= len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
         self.ids[used:used + len(ids)] = ids
-        self.bounds[n + 1:n + 1 + len(chunks)] = used + np.cumsum(lengths)
-        self.number.update(zip(chunks, range(n, n + len(chunks))))
+        self.bounds = np.concatenate([self.bounds, used + np.cumsum(lengths)])
+        self.names = pa.concat_arrays([self.names, chunks])
 
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the entries one after another, and how many each has."""
@@ -62,53 +70,74 @@ class PieceEncoder:
     """The tokenizer, with the ids of chunks it has met kept.
 
     Memory holds two generations of about ``limit`` chunks: what is not met while that many
-    new ones come is forgotten. Chunks with no space before them are kept under a leading mark;
-    those of a line end begin with it.
+    new ones come is forgotten. Chunks with no space before them are kept under a leading mark.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 400_000):
+    def __init__(self, tokenizer: str, limit: int = 800_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.limit = limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
-        self.line_end = vocabulary[LINE_END]
+        self.pieces = Tokenizer.from_str(tokenizer)
+        self.pieces.pre_tokenizer = CharDelimiterSplit("\n")
         self.young, self.old = Memory(), Memory()
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Keep the ids of chunks that are new to both generations."""
-        firsts = [c for c in chunks if c[:1] == BARE or c == "\n"]
-        lines = [c for c in chunks if c[:1] == "\n" and c != "\n"]
-        rest = [c for c in chunks if c[:1] not in (BARE, "\n")]
-        if firsts:
-            ids = self._whole([c.removeprefix(BARE) for c in firsts])
-            self.young.add(firsts, np.concatenate(ids), np.array([len(x) for x in ids]))
-        for some, mark in ((rest, " "), (lines, "")):
-            for i in range(0, len(some), 20_000):
-                part = some[i:i + 20_000]
-                (ids,) = self._whole([mark + mark.join(part)])
-                start = np.flatnonzero(self.spaced[ids] if mark else ids == self.line_end)
-                if len(start) != len(part):
-                    raise RuntimeError("chunks and the tokens that begin them differ in number")
-                self.young.add(part, ids, np.diff(start, append=len(ids)))
-
-    def _entries(self, chunks: list[str]) -> np.ndarray:
+    def _spaced(self, chunks, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks with a space before them, and how many each has: a token that begins with the space begins a chunk."""
+        text = " " + ("\n " if letters else " ").join(chunks.to_pylist())
+        if letters:
+            signs = BYTE_SIGNS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.array(self.pieces.encode_batch_fast([signs], add_special_tokens=False)[0].ids, np.uint32)
+        else:
+            (ids,) = self._whole([text])
+        lengths = np.diff(np.flatnonzero(self.spaced[ids]), append=len(ids))
+        if len(lengths) != len(chunks):
+            raise RuntimeError("chunks and the tokens that begin them differ in number")
+        return ids, lengths
+
+    def _learn(self, chunks) -> np.ndarray:
+        """Keep the ids of chunks that are new to both generations; their entry numbers."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        letters = pc.utf8_is_alpha(chunks).to_numpy(zero_copy_only=False)
+        bare = pc.starts_with(chunks, BARE).to_numpy(zero_copy_only=False)
+        out = np.empty(len(chunks), np.int64)
+        for kind, mask in (("letters", letters), ("bare", bare), ("mixed", ~letters & ~bare)):
+            at = np.flatnonzero(mask)
+            for i in range(0, len(at), 20_000):
+                own = at[i:i + 20_000]
+                part = chunks.take(pa.array(own))
+                if kind == "bare":
+                    each = self._whole([c[1:] for c in part.to_pylist()])
+                    ids, lengths = np.concatenate(each), np.array([len(x) for x in each])
+                else:
+                    ids, lengths = self._spaced(part, kind == "letters")
+                out[own] = len(self.young.names) + np.arange(len(own))
+                self.young.add(part, ids, lengths)
+        return out
+
+    def _entries(self, chunks) -> np.ndarray:
         """Entry numbers, in the young generation, of distinct chunks."""
-        if len(self.young.number) >= self.limit:
+        import pyarrow as pa
+        if len(self.young.names) >= self.limit:
             self.young, self.old = Memory(), self.young
-        known, old = self.young.number, self.old.number
-        missing = [c for c in chunks if c not in known]
-        again = [c for c in missing if c in old]
-        if again:
-            self.young.add(again, *self.old.gather(np.array([old[c] for c in again])))
-        if len(again) < len(missing):
-            self._learn([c for c in missing if c not in old])
-        return np.array([known[c] for c in chunks], np.int64)
+        found = self.young.find(chunks)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            names = chunks.take(pa.array(missing))
+            before = self.old.find(names)
+            again = before >= 0
+            found[missing[again]] = len(self.young.names) + np.arange(int(again.sum()))
+            self.young.add(names.filter(pa.array(again)), *self.old.gather(before[again]))
+            found[missing[~again]] = self._learn(names.filter(pa.array(~again)))
+        return found
 
     def encode_all(self, texts) -> list[np.ndarray]:
         """The ids of each text of an Arrow string array; null has none."""
@@ -126,24 +155,23 @@ class PieceEncoder:
         even = np.flatnonzero(~odd & ~empty)
         if not len(even):
             return out
-        cut = texts.take(pa.array(even))
-        cut = pc.if_else(pc.match_substring(cut, "\n\n"), cut, pc.replace_substring(cut, "\n", " \n"))
+        cut = texts.take(pa.array(even)) if len(even) < len(texts) else texts
+        cut = pc.if_else(pc.match_substring(cut, "\n\n"), cut, pc.replace_substring(cut, "\n", f" {BARE}\n {BARE}"))
         plain = pc.invert(pc.match_substring_regex(cut, MIXED))
         for sign in ",.":
             cut = pc.if_else(plain, pc.replace_substring(cut, f"{sign} ", f" {BARE}{sign} "), cut)
         lists = pc.split_pattern(cut, " ")
         flat = lists.flatten()
         begin = np.asarray(lists.offsets)[:-1] - np.asarray(lists.offsets)[0]
-        first = flat.take(pa.array(begin))
         none, bare = pa.scalar("", flat.type), pa.scalar(BARE, flat.type)
-        both = pa.concat_arrays([flat, pc.binary_join_element_wise(none, first, bare)]).dictionary_encode()
+        first = pc.binary_join_element_wise(none, flat.take(pa.array(begin)), bare)
+        both = pa.concat_arrays([flat, first]).dictionary_encode()
         codes = np.asarray(both.indices)    # after the chunks, the first ones again with their mark
         at = codes[:len(flat)].copy()
         at[begin] = codes[len(flat):]
-        used = np.unique(at)
-        names = both.dictionary.take(pa.array(used)).to_pylist()
-        entry = np.empty(len(both.dictionary), np.int64)
-        entry[used] = self._entries(names)
+        used = np.bincount(at, minlength=len(both.dictionary)) > 0
+        entry = np.full(len(both.dictionary), -1)
+        entry[used] = self._entries(both.dictionary.filter(pa.array(used)))
         ids, lengths = self.young.gather(entry[at])
         ends = np.cumsum(np.add.reduceat(lengths, begin)).tolist()
         for i, a, b in zip(even.tolist(), [0, *ends], ends):

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import gathered, stage
 from tidemark.llm.encoding import encoder, end_each, ship
 from tidemark.session import work_path
 
@@ -49,7 +49,7 @@ def write_sequences(docs: DataFrame, path: str, tokenizer: str, max_length: int
         from pyspark import TaskContext
         enc, part = encoder(shipped.value), TaskContext.get().partitionId()
         met = np.zeros(max_length.bit_length(), np.int64)   # sequences of each bucket so far
-        for b in slices(batches, 1000):
+        for b in gathered(batches):
             ids, lengths = end_each(enc.encode_all(b.column(1)), end_id)
             pieces, doc = decompose(lengths, max_length)
             ends = np.cumsum(pieces)
@@ -73,7 +73,7 @@ def write_sequences(docs: DataFrame, path: str, tokenizer: str, max_length: int
     rows.write.option("compression", "zstd").parquet(path)
 
 
-def read_sequences(spark: SparkSession, path: str, batch_tokens: int = 1 << 20) -> DataFrame:
+def read_sequences(spark: SparkSession, path: str, batch_tokens: int = 1 << 20, max_broadcast: int = 1_000_000) -> DataFrame:
     """The written sequences: sequence_id (gapless from 0, long buckets first), bucket, batch, doc_id, start, length, doc_tokens, ids.
 
     Batches hold sequences of one length and ``batch_tokens`` ids, the last of a bucket fewer.
@@ -86,7 +86,9 @@ def read_sequences(spark: SparkSession, path: str, batch_tokens: int = 1 << 20)
     sizes = counts.groupBy("bucket").agg(F.sum("n").alias("size"))
     longer = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bucket", F.coalesce(F.sum("size").over(longer), F.lit(0)).alias("base"))
-    counts = counts.join(F.broadcast(sizes), "bucket").drop("n")
+    counts = stage(counts.join(F.broadcast(sizes), "bucket").drop("n"), "sequence-counts")
+    # a dozen rows per part: beside the ids, which then stay where they are, unless there are very many parts
+    counts = F.broadcast(counts) if counts.count() <= max_broadcast else counts
     length = F.expr("shiftleft(1L, bucket)")
     rank = F.col("in_bucket") + F.col("place")
     return seqs.join(counts, ["bucket", "part"]).select(
