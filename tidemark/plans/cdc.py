@@ -11,13 +11,16 @@ key range and only touched parts are rewritten (M6).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import watermark_value
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.gaps import still_open, within
 from tidemark.operators.joins import join_small
 from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import (
@@ -65,8 +68,14 @@ class SnapshotSync:
                                                hist_id=s.hist_id, op=s.op))
         if snap.isEmpty():
             return False
-        self.store.replace(snap, part_col=s.part_col if s.bucket_width else None, key=s.key, fresh=True,
-                           state={"watermark": wm, "table": s.name})
+        # all that was visible when the watermark was read is in the snapshot: a floor for streams
+        state = {"watermark": wm, "floor": wm, "table": s.name}
+        if s.max_gaps and wm is not None:
+            seen = _load(self.history).where(F.col(s.hist_id) <= wm)
+            if s.gap_horizon is not None:
+                seen = seen.where(F.col(s.hist_id) > wm - s.gap_horizon)
+            state["gaps"] = still_open(seen, s.hist_id, [], None, s.gap_horizon, s.max_gaps)
+        self.store.replace(snap, part_col=s.part_col if s.bucket_width else None, key=s.key, fresh=True, state=state)
         self.store.retain(2)
         return True
 
@@ -89,10 +98,16 @@ class SnapshotSync:
     def sync(self, changes: DataFrame | None = None, batch_id: int | None = None, stream: str = "default") -> bool:
         """Apply the history after the watermark, or a micro-batch ``changes`` of ``stream``.
 
-        A micro-batch is new by its stream's offsets, whatever its history ids: no watermark
-        filter applies. Batches may come in any order, so each key's versions are compared and
-        deletes stay in the store as rows with ``op = 0``: an older change cannot bring a
-        deleted key back. Read such a store through ``read``.
+        With ``max_gaps``, ids that were missing below the watermark are read when they appear;
+        of the keys they change, the newest row in the history decides.
+
+        A micro-batch is new by its stream's offsets, whatever its history ids. Batches may come
+        in any order, so each key's versions are compared and deletes stay in the store as rows
+        with ``op = 0``: an older change cannot bring a deleted key back. Read such a store
+        through ``read``. Changes up to the floor are left out and counted (``late_changes``):
+        it begins at the snapshot's watermark, which holds them all, and with ``lateness`` follows
+        the slowest stream that has come so far; deletes up to it are dropped from the parts that
+        are rewritten, and from all by ``purge``.
 
         Changes without a key are left out and counted in the state (``rejected_null_keys``).
         """
@@ -136,6 +151,8 @@ class SnapshotSync:
 
     def _sync_history(self) -> bool:
         s = self.spec
+        if s.max_gaps:
+            return self._sync_gaps()
         wm = self.current_watermark()
         read_from = wm - s.overlap if (s.overlap and wm is not None) else wm
         # Literal watermark: pushed into the Parquet or JDBC scan.
@@ -167,35 +184,140 @@ class SnapshotSync:
         self._publish(merged, staged, touched, state)
         return True
 
+    def _sync_gaps(self) -> bool:
+        """Read what is above the watermark or in a gap below it, each id once."""
+        s = self.spec
+        before = self.store.state()
+        wm, gaps = self.current_watermark(), before.get("gaps") or []
+        history, h = _load(self.history), F.col(s.hist_id)
+        read = self.store.stage(history if wm is None else history.where((h > wm) | within(h, gaps)), "read")
+        # greatest id, rows read, least id that was in a gap: the staged rows are all that counts as seen
+        top, n, late = read.agg(F.max(h), F.count("*"), F.min(F.when(h <= wm, h)) if wm is not None else F.lit(None)).first()
+        if not n:
+            self.store.drop_staging()
+            return False
+        changes = read
+        if late is not None:
+            keys = read.where(h <= wm).select(*s.key).distinct()
+            newer = join_small(history.where((h > late) & (h <= wm)), keys, s.key, "left_semi", max_rows=self.max_broadcast_keys)
+            changes = read.unionByName(newer.select(*read.columns))
+        staged, rejected = self._staged_changes(changes, self.store.read())
+        touched, _ = self._touched(staged)
+        state = {"watermark": top if wm is None else max(top, wm), "rows_read": before.get("rows_read", 0) + n,
+                 "gaps": still_open(read, s.hist_id, gaps, wm, s.gap_horizon, s.max_gaps), **self._counted(rejected)}
+        if touched == []:
+            self.store.drop_staging()
+            self.store.set_state(state)
+            return False
+        merged = cdc_merge(self.store.read(parts=touched), staged, s.key, hist_id=s.hist_id, op=s.op, watermark=None,
+                           max_broadcast_rows=self.max_broadcast_keys, changes_reduced=True)
+        self._publish(merged, staged, touched, state)
+        return True
+
+    def _settled(self, floor: int | None):
+        """Deletes that no change to come can be older than."""
+        s = self.spec
+        return F.lit(False) if floor is None else F.coalesce((F.col(s.op) == 0) & (F.col(s.hist_id) <= floor), F.lit(False))
+
     def _sync_batch(self, changes: DataFrame, batch_id: int | None, stream: str) -> bool:
         s = self.spec
-        batches = dict(self.store.state().get("batches") or {})
+        before = self.store.state()
+        batches = dict(before.get("batches") or {})
         if batch_id is not None and batch_id <= batches.get(stream, -1):
             return False          # re-delivered micro-batch: already applied
-        staged, rejected = self._staged_changes(changes, self.store.read())
+        floor = before.get("floor")
+        late, seen = F.lit(False) if floor is None else F.coalesce(F.col(s.hist_id) <= floor, F.lit(False)), Observation()
+        watched = changes.observe(seen, F.count(F.when(late, 1)).alias("late"))
+        staged, rejected = self._staged_changes(watched.where(~late), self.store.read())
         touched, new_wm = self._touched(staged)
         if batch_id is not None:
             batches[stream] = batch_id
-        state = {"batches": batches, **self._counted(rejected)}
+        n_late = before.get("late_changes", 0) + seen.get["late"]
+        state = {"batches": batches, **self._counted(rejected), **({"late_changes": n_late} if n_late else {})}
         wm = self.current_watermark()
         if new_wm is not None:
             state["watermark"] = new_wm if wm is None else max(wm, new_wm)
+            if s.lateness is not None:
+                progress = dict(before.get("progress") or {})
+                progress[stream] = max(new_wm, progress.get(stream, new_wm))
+                state["progress"] = progress
+                floor = max([x for x in (floor, min(progress.values()) - s.lateness) if x is not None])
+                state["floor"] = floor
+        if new_wm is None:
+            self.store.drop_staging()
+            self.store.set_state(state)
+            return False
         current = self.store.read(parts=touched)
         newer = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
-        if new_wm is None or newer.isEmpty():
+        # an id above all that the store has seen is newer than any row of it: no need to look
+        if wm is not None and new_wm <= wm and newer.isEmpty():
             self.store.drop_staging()
             self.store.set_state(state)
             return False
         merged = newer.unionByName(without_keys(current, newer, s.key, self.max_broadcast_keys, unique=True))
-        self._publish(merged, staged, touched, state)
+        self._publish(merged.where(~self._settled(floor)), staged, touched, state)
         return True
 
+    # M7
+    def purge(self) -> int:
+        """Drop the deletes up to the floor from the parts that hold some; returns how many there were."""
+        s = self.spec
+        with self.store.pinned():
+            dead = self._settled(self.store.state().get("floor"))
+            rows = self.store.read()
+            per_part = rows.where(dead).groupBy(*([s.part_col] if s.bucket_width else [])).count().collect()
+            n = sum(r["count"] for r in per_part)
+            if not n:
+                return 0
+            if s.bucket_width:
+                parts = [r[s.part_col] for r in per_part]
+                self.store.replace_parts(self.store.read(parts=parts).where(~dead), parts, key=s.key, tasks=self.store.write_tasks(parts))
+            else:
+                self.store.replace(rows.where(~dead))
+            self.store.retain(2)
+            return n
+
 
 def _input_path(df: DataFrame) -> str | None:
     files = df.inputFiles()
     return files[0].rsplit("/", 1)[0] if files else None
 
 
-def run_many(jobs: list[SnapshotSync], force_init: bool = False) -> dict[str, str]:
-    """Several tables in one run, one spec each."""
-    return {j.spec.name: j.run(force_init=force_init) for j in jobs}
+def run_many(jobs: list[SnapshotSync], force_init: bool = False, at_once: int = 4) -> dict[str, str]:
+    """Several tables in one run, one spec each (M12), ``at_once`` at a time.
+
+    Every table's jobs run in a scheduler pool and under a tag of its own. A table that fails does
+    not stop the others; when all have ended, ``TablesFailed`` names the failures and the results.
+    """
+    def one(job: SnapshotSync) -> str:
+        sc = job.spark.sparkContext
+        sc.setLocalProperty("spark.scheduler.pool", job.spec.name)
+        sc.addJobTag(f"table-{job.spec.name}")
+        try:
+            return job.run(force_init=force_init)
+        finally:
+            sc.removeJobTag(f"table-{job.spec.name}")
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    done: dict[str, str] = {}
+    failed: dict[str, BaseException] = {}
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # each call has the session's local properties of this thread
+        running = {pool.submit(inheritable_thread_target(j.spark)(one), j): j.spec.name for j in jobs}
+        for task in as_completed(running):
+            error = task.exception()
+            if error is None:
+                done[running[task]] = task.result()
+            else:
+                failed[running[task]] = error
+    if failed:
+        raise TablesFailed(failed, done)
+    return {j.spec.name: done[j.spec.name] for j in jobs}
+
+
+class TablesFailed(RuntimeError):
+    """Some tables of a run failed: ``failed`` has their errors, ``done`` the results of the others."""
+
+    def __init__(self, failed: dict[str, BaseException], done: dict[str, str]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in sorted(failed.items())))
+        self.failed, self.done = failed, done

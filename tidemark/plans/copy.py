@@ -20,16 +20,18 @@ from pyspark.sql import types as T
 from tidemark.functions.cleaning import apply_casing, round_fractional
 from tidemark.operators._util import as_list, typed_lit
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.changes import effective
 from tidemark.operators.control import literal, max_text
-from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
 from tidemark.operators.ranges import page_plan
+from tidemark.plans.increment import Increment
 from tidemark.sinks.parquet import write_files
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
 from tidemark.sources.jdbc import read_query, write_table
 from tidemark.specs import Compression, FileFormat, LoadMode, SourceOptions, TargetOptions
 
+MAX_BROADCAST_KEYS = 1_000_000
 RELOADS = (LoadMode.FULL_REFRESH, LoadMode.TRUNCATE)
 KEYED = (LoadMode.INCREMENTAL, LoadMode.BACKFILL)
 
@@ -166,20 +168,22 @@ def _load(store: VersionedStore, df: DataFrame, job: CopyJob) -> dict:
 
 
 def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob, keys: list[str], part: str | None, how: dict,
-            state: Callable[[DataFrame], dict]) -> dict:
-    """Merge the newest of ``rows`` per key into the store; publish nothing if nothing changes.
+            state: Callable[[Increment], dict], checkpoint: str | None = None) -> dict:
+    """Merge the newest of ``rows`` per key into the store; publish no data if nothing changes.
 
-    A bucketed store has its touched parts rewritten, others the whole table.
+    A row takes effect if its key is new, its version newer than the table's, or the same with
+    other content. A bucketed store has the parts of such rows rewritten, others the whole table.
     """
     o = job.target_options
-    staged = store.stage(keep_latest(rows, keys, [job.update_key]))
+    read = Increment.read(store, rows, keys, job.update_key, checkpoint)
+    staged, after = read.rows, state(read)
     if not store.exists():
-        m = store.replace(staged, part_col=part, fresh=True, state=state(staged), **how)
+        m = store.replace(staged, part_col=part, fresh=True, state=after, **how)
         store.drop_staging()
         return m
     base = store.manifest()
     pc = base["part_col"]
-    touched = [r[0] for r in staged.select(pc).distinct().collect()] if pc and not o.delete_missing else None
+    touched = _parts(staged, pc) if pc and not o.delete_missing else None
     target = store.read(parts=touched)
     wide = target.unionByName(staged.limit(0), allowMissingColumns=True) if o.add_new_columns else target
     if o.adjust_column_type:
@@ -189,49 +193,59 @@ def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob,
         touched, target = None, store.read()
         wide = align_to_schema(target, wide.schema, allow_missing=True)
     new = align_to_schema(staged, wide.schema, allow_missing=o.add_new_columns)
-    merged = merge_upsert(wide, new, keys, [job.update_key], max_broadcast_rows=1_000_000, source_reduced=True)
-    if o.delete_missing:
-        merged = merged.join(df.select(*keys).distinct(), on=keys, how="left_semi")
-    elif not changed:
-        # rows re-read at the watermark that the table holds as they are
-        same = [a.eqNullSafe(b) for a, b in ((new[c], target[c]) for c in [*keys, job.update_key])]
-        if new.join(target, same, "left_anti").isEmpty():
+    new = store.stage(effective(new, wide, keys, job.update_key, MAX_BROADCAST_KEYS), "effective")
+    if not changed and not o.delete_missing:
+        hit = _parts(new, pc) if touched is not None else None
+        if not hit and (hit is not None or new.isEmpty()):
             # nothing to do again: a backfill's mark is only moved on or removed, not begun
             now = base.get("state") or {}
-            after = {k: v for k, v in state(staged).items() if k in now or not k.startswith("backfill")}
+            after = {k: v for k, v in after.items() if k in now or not k.startswith("backfill")}
             store.drop_staging()
             return store.set_state(after) if any(now.get(k) != v for k, v in after.items()) else base
+        if hit is not None:
+            touched, wide = hit, store.read(parts=hit)
+    merged = merge_upsert(wide, new, keys, [job.update_key], max_broadcast_rows=MAX_BROADCAST_KEYS, source_reduced=True)
+    if o.delete_missing:
+        merged = merged.join(df.select(*keys).distinct(), on=keys, how="left_semi")
     if touched is not None:
-        m = store.replace_parts(merged, touched, state=state(staged), tasks=store.write_tasks(touched), **how)
+        m = store.replace_parts(merged, touched, state=after, tasks=store.write_tasks(touched), **how)
     else:
-        m = store.replace(merged, part_col=pc, state=state(staged), **how)
+        m = store.replace(merged, part_col=pc, state=after, **how)
     store.drop_staging()
     return m
 
 
+def _parts(df: DataFrame, part_col: str) -> list:
+    return [r[0] for r in df.select(part_col).distinct().collect()]
+
+
 def _incremental(store, df, job, keys, part, how) -> dict:
-    """Rows above the watermark; at it as well for times and dates, which later rows may share (as in
-    ``VersionUpsert``)."""
+    """Rows above the watermark, and at it: later rows may share its value (as in ``VersionUpsert``).
+
+    A watermark taken from a table that has none recorded is read with ``>`` unless it is a time: the
+    row that carries the number is in the table.
+    """
     dtype, c = df.schema[job.update_key].dataType, F.col(job.update_key)
-    shared = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
-    last = store.state().get("incremental_watermark") if store.exists() else None
+    before = store.state() if store.exists() else {}
+    last = before.get("incremental_watermark")
     if last is None and store.exists():      # no recorded watermark: the target's max (A1)
         last = max_text(store.read(), job.update_key)
-    at = None if last is None else literal(last, dtype)
-    newer = df if at is None else df.where(c >= at if shared else c > at)
+    again = "incremental_watermark" in before or isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    newer = df if last is None else df.where(c >= literal(last, dtype) if again else c > literal(last, dtype))
 
-    def state(staged):
-        wm = max_text(staged, job.update_key)
-        return {"incremental_watermark": wm if wm is not None else last}
+    def state(read):
+        return {"incremental_watermark": read.newest if read.newest is not None else last,
+                **read.rejected(before, newer, keys, job.update_key, last)}
 
-    return _upsert(store, df, newer, job, keys, part, how, state)
+    return _upsert(store, df, newer, job, keys, part, how, state, last)
 
 
 def _backfill(store, df, job, keys, part, how) -> dict:
     """``[start, end)`` of the update column, in windows of ``chunk_size`` if given.
 
     Each window is published with its number, under the range, the window width and the column; a
-    rerun resumes after the last one, and a finished range leaves no trace in the state.
+    rerun resumes after the last one. Of a finished range the state keeps only how many rows without
+    a key it held (``backfill_rejected``). A row repairs the table's if its version is as new or newer.
     """
     lo, hi = job.backfill_range
     step = job.source_options.chunk_size
@@ -245,7 +259,12 @@ def _backfill(store, df, job, keys, part, how) -> dict:
         i += 1
         done = None if end >= hi else i
         window = df.where((c >= literal(start, dtype)) & (c < literal(end, dtype)))
-        m = _upsert(store, df, window, job, keys, part, how, lambda _: {name: done})  # noqa: B023
+
+        def state(read, i=i, done=done):
+            n = read.above + (((store.state() if store.exists() else {}).get("backfill_rejected") or 0) if i > 1 else 0)
+            return {name: done, "backfill_rejected": n or None}
+
+        m = _upsert(store, df, window, job, keys, part, how, state)
         start = end
     return m
 

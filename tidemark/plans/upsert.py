@@ -7,11 +7,12 @@ newest row per key, stages them in the shared folder, rewrites only the touched
 buckets (pruned read of exactly those part directories) and publishes.
 Inserts and updates only; deletes are not visible through a version column.
 
-Timestamp versions are read with ``>=`` by default: several rows may share the
-checkpoint instant (or differ below the microsecond kept in the checkpoint), and
-a strict ``>`` would skip the ones that arrive later. The boundary rows that are
-re-read are already applied, so the upsert is idempotent, and a run that only
-re-reads them publishes nothing.
+Versions are read with ``>=``, for several rows may share the checkpoint's value (or differ
+below the microsecond kept in it) and come later; binary row versions, which a database
+gives once only, with ``>``. What is read again is compared with the table: a row of an older
+version is left out, one of the same version is a no-op if it is the same in all columns and a
+correction if not. A run without any effect publishes no data. Rows without a key are left out
+and counted (see ``increment``).
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from tidemark.functions.encode import (
 )
 from tidemark.operators._util import as_list
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.changes import effective
 from tidemark.operators.control import literal, max_text
-from tidemark.operators.latest import keep_latest
-from tidemark.operators.merge import merge_upsert
+from tidemark.operators.merge import align_to_schema, merge_upsert
+from tidemark.plans.increment import Increment
 from tidemark.sinks.store import VersionedStore
 
 
@@ -91,36 +93,57 @@ class VersionUpsert:
         dtype = source.schema[self.version_col].dataType
         checkpoint = self.store.state().get("checkpoint")
         lit = checkpoint_literal(checkpoint, dtype)
-        inclusive = self.inclusive
-        if inclusive is None:
-            inclusive = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
-        inclusive = inclusive and checkpoint is not None
+        inclusive = not isinstance(dtype, T.BinaryType) if self.inclusive is None else self.inclusive
         v = F.col(self.version_col)
-        newer = source if lit is None else source.where(v >= lit if inclusive else v > lit)
-        latest = self._bucketed(keep_latest(newer, self.key, [self.version_col]))
-        staged = self.store.stage(latest, "upsert")
-        new_cp = max_text(staged, self.version_col)
-        touched = [r[0] for r in staged.select(self.part_col).distinct().collect()]
-        if not touched:
-            self.store.drop_staging()
-            return False
-        state = {"checkpoint": new_cp if new_cp is not None else checkpoint}
+        newer = source if lit is None else source.where(v >= lit if inclusive and checkpoint is not None else v > lit)
+        read = Increment.read(self.store, newer, self.key, self.version_col, checkpoint, "upsert")
+        state = {"checkpoint": read.newest if read.newest is not None else checkpoint,
+                 **read.rejected(self.store.state(), newer, self.key, self.version_col, checkpoint)}
+        return self._apply(read.rows, state)
+
+    def sync_batch(self, changes: DataFrame, batch_id: int, stream: str = "default") -> bool:
+        """Upsert a micro-batch of ``stream``; one that was applied before is skipped.
+
+        Rows may come in any order and more than once: versions are compared per key, then content.
+        """
+        with self.store.pinned():
+            before = self.store.state()
+            batches = dict(before.get("batches") or {})
+            if batch_id <= batches.get(stream, -1):
+                return False
+            read = Increment.read(self.store, changes, self.key, self.version_col, name="upsert")
+            n = before.get("rejected_null_keys", 0) + read.above
+            state = {"batches": {**batches, stream: batch_id}, **({"rejected_null_keys": n} if n else {})}
+            done = self._apply(read.rows, state)
+            if done:
+                self.store.retain(2)
+            return done
+
+    def _apply(self, rows: DataFrame, state: dict) -> bool:
+        """Upsert one row per key. Only parts with a row that alters them are rewritten."""
+        staged = self._bucketed(rows)
+        touched = self._parts(staged)
         if not self.store.exists():
-            self.store.replace(staged, part_col=self.part_col, key=self.key, fresh=True, state=state)
+            if touched:
+                self.store.replace(staged, part_col=self.part_col, key=self.key, fresh=True, state=state)
             self.store.drop_staging()
-            return True
-        current = self.store.read(parts=touched)
-        if inclusive and new_cp == checkpoint:
-            # only boundary rows were re-read by ">=": if all are applied, nothing changed
-            fresh = staged.join(current.select(*self.key, self.version_col),
-                                [*self.key, self.version_col], "left_anti")
-            if fresh.isEmpty():
-                self.store.drop_staging()
-                return False
-        merged = merge_upsert(current, staged, self.key, [self.version_col],
-                              max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
-        staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
-        tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
-        self.store.replace_parts(merged, touched, key=self.key, tasks=tasks, state=state)
+            return bool(touched)
+        if touched:
+            schema = self.store.schema()
+            current = self.store.read(parts=touched)
+            fresh = self.store.stage(effective(align_to_schema(staged, schema), current, self.key, self.version_col,
+                                               self.max_broadcast_keys), "effective")
+            touched = self._parts(fresh)
+        if touched:
+            merged = merge_upsert(self.store.read(parts=touched), fresh, self.key, [self.version_col],
+                                  max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
+            staged_dir = fresh.inputFiles()[0].rsplit("/", 1)[0]
+            tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
+            self.store.replace_parts(merged, touched, key=self.key, tasks=tasks, state=state)
+        elif any(self.store.state().get(k) != x for k, x in state.items()):
+            self.store.set_state(state)
         self.store.drop_staging()
-        return True
+        return bool(touched)
+
+    def _parts(self, staged: DataFrame) -> list:
+        return [r[0] for r in staged.select(self.part_col).distinct().collect()]

@@ -20,6 +20,11 @@ class TableSpec:
     overlap: int = 0                      # re-read history ids in (wm - overlap, wm]: catches
                                           # changes committed out of id order; merges then
                                           # compare versions so re-read rows never win
+    max_gaps: int = 0                     # > 0: ids not seen below the watermark are kept as at most so
+                                          # many stretches and read when they appear
+    gap_horizon: int | None = None        # ids that far below the newest are given up
+    lateness: int | None = None           # streams: changes that far below the newest id are ignored,
+                                          # and deletes older than that are dropped
 
     def __post_init__(self):
         if isinstance(self.key, str):

@@ -875,16 +875,13 @@ def _history_copy(spark, d, path, mode, **kw):
 
 @register("mode_backfill_two_ranges", _SQL_UPSERT.format(hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id >= {fx.SQL_WM}"))
 def q_mode_backfill_two_ranges(spark, d):
-    """The later range first, in windows; then the earlier one must not be taken as done.
-
-    Ranges are disjoint by hist_id, and a key changed in both keeps what was loaded last,
-    so the newer range runs a second time at the end.
-    """
+    """The later range first, in windows; then the earlier one, which must not be taken as done and must not
+    overwrite newer versions."""
     path = work_path(spark, "backfill_two")
     _snapshot_target(spark, d, path)
     lo, mid = _wm_value(spark, d), _wm_value(spark, d, fx.SECOND_NUM, fx.SECOND_DEN)
     hi = _wm_value(spark, d, 1, 1) + 1
-    for a, b in ((mid, hi), (lo, mid), (mid, hi)):
+    for a, b in ((mid, hi), (lo, mid)):
         _history_copy(spark, d, path, LoadMode.BACKFILL, backfill_range=(a, b), source_options=SourceOptions(chunk_size=max(1, (b - a) // 2 + 1)))
     return VersionedStore(spark, path).read()
 
@@ -969,3 +966,6 @@ def q_rates_malformed(spark, d):
     docs = rate_documents(spark, d)
     cut = F.when(F.col("day") % 3 == 0, F.expr("left(xml, length(xml) - 20)")).otherwise(F.col("xml"))
     return count_malformed(docs.withColumn("xml", cut))
+
+
+from tidemark import suite_jobs  # noqa: E402,F401  (registers its queries here)
