@@ -11,8 +11,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cases import awkward
-from tidemark.llm.binpack import PieceEncoder, bits_for, document_ids, make_block, open_block, pack, tokenize_to_files, unpack
+from tidemark.llm.binpack import bits_for, document_ids, make_block, open_block, pack, tokenize_to_files, unpack
 from tidemark.llm.common import words
+from tidemark.llm.encoding import PieceEncoder
 from tidemark.llm.decontam import SuffixAutomaton, contamination, merged, remove_contamination
 from tidemark.llm.queries import QUERIES
 from tidemark.session import work_path
@@ -41,7 +42,7 @@ def test_block_round_trip():
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60) | st.text("ab 'stREre1\n\t.é  ,", max_size=80))
 def test_pieces_equal_whole_text(text):
-    enc = test_pieces_equal_whole_text.__dict__.setdefault("enc", PieceEncoder(PATH, 50))
+    enc = test_pieces_equal_whole_text.__dict__.setdefault("enc", PieceEncoder(open(PATH).read(), 50))
     assert enc.encode(text).tolist() == TOK.encode(text, add_special_tokens=False).ids
 
 
@@ -148,6 +149,18 @@ def test_decontamination_awkward(spark):
     assert contamination(awkward(spark, empty=True), items).count() == 0
 
 
+def test_removal_by_blocks(spark):
+    """A document cut by items of several blocks loses the words of all, as it does in one block."""
+    rnd = random.Random(9)
+    items = [(i, " ".join(f"v{rnd.randrange(500)}" for _ in range(25))) for i in range(12)]
+    docs = [(i, " ".join(f"u{rnd.randrange(900)}" for _ in range(80)) + ", " + items[i % 12][1] + ". " + " ".join(
+        items[(i + 1) % 12][1].split()[:14]) + " " + " ".join(f"u{rnd.randrange(900)}" for _ in range(60))) for i in range(30)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, remove_contamination(d, b).collect()))
+    assert sorted(map(tuple, remove_contamination(d, b, block_bytes=300).collect())) == whole
+    assert len(whole) == 30 and not any("v" in t for _, t in whole)
+
+
 def test_removal_cuts_and_drops(spark):
     item = " ".join(f"w{i}" for i in range(12))
     docs = spark.createDataFrame([(1, f"Some text before, {item.upper()}. And some more after that one, and much more text to keep it whole."),

@@ -18,27 +18,22 @@ empty table gives no blocks; long documents make long blocks of their own.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import gathered, slices
+from tidemark.llm.encoding import encoder, ship
 from tidemark.session import work_path
 
 MAGIC = b"TMP1"
 HEAD = struct.Struct("<4sB3xIQ")
 BLOCK_IDS = 1 << 18
 
-# Texts of other characters than these go to the tokenizer whole.
-PLAIN = r"[^\t\n\r\x20-\x7e\xa1-ʯЀ-ҁ]"
-
-
 def bits_for(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
@@ -87,94 +82,15 @@ def open_block(payload: bytes) -> tuple[int, list, np.ndarray, memoryview]:
     return bits, [None if z else int(d) for d, z in zip(doc_ids, null)], offsets, memoryview(payload)[at + 9 * n + 8 * (n + 1):]
 
 
-def uneven(text: str) -> bool:
-    """White space beside a space, or a space at either end: cuts at spaces would not be cuts of the pattern.
-
-    Of texts that pass ``PLAIN``, which hold no other white space than these four.
-    """
-    return "  " in text or "\n " in text or " \n" in text or "\t" in text or "\r" in text or text[0] == " " or text[-1] == " "
-
-
-class PieceEncoder:
-    """The tokenizer, with the ids of text chunks it has met kept.
-
-    A single space between two other characters always begins a piece of byte-level BPE's
-    splitting pattern, and merges never cross pieces. So a text may be cut at such spaces;
-    the new chunks of a text go to the tokenizer together, and the tokens that begin with
-    the space tell where each begins. Texts with other white space around a space, of
-    unusual characters or with special tokens go to the tokenizer whole.
-
-    Memory holds two generations of about ``limit`` chunks: what is not met while that many
-    new ones come is forgotten.
-    """
-
-    def __init__(self, path: str, limit: int = 150_000):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.odd, self.limit = re.compile(PLAIN).search, limit
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte-level sign of a space
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Keep the ids of chunks, each with a space before it."""
-        ids = self._whole(" " + " ".join(chunks))
-        start = np.flatnonzero(self.spaced[ids]).tolist()
-        if len(start) != len(chunks):
-            raise RuntimeError("chunks and the tokens that begin them differ in number")
-        raw = ids.astype("<u4").tobytes()
-        for c, i, j in zip(chunks, start, [*start[1:], len(ids)]):
-            self.young[c] = raw[4 * i:4 * j]
-
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if self.odd(text) or uneven(text) or any(s in text for s in self.special):
-            return self._whole(text)
-        if len(self.young) >= self.limit:
-            self.young, self.old = {}, self.young
-        first, *rest = text.split(" ")
-        young = self.young
-        out = [young.get(c) for c in rest]      # chunks are kept without the space before them
-        if None in out:
-            missing = dict.fromkeys([c for c, x in zip(rest, out) if x is None])
-            new = []
-            for c in missing:
-                ids = self.old.get(c)
-                if ids is None:
-                    new.append(c)
-                else:
-                    young[c] = ids
-            if new:
-                self._learn(new)
-            out = [young[c] if x is None else x for c, x in zip(rest, out)]
-        return np.frombuffer(b"".join([self._whole(first).astype("<u4").tobytes(), *out]), "<u4")
-
-
-@cache
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per Python worker, which keeps what it has met from task to task."""
-    return PieceEncoder(path)
-
-
 def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
     """Encode all texts in ascending id order and write the block table to ``path``."""
-    bits = bits_for(vocabulary)
+    bits, shipped = bits_for(vocabulary), ship(docs.sparkSession, tokenizer)
 
     def encode(batches: Iterator) -> Iterator:
-        import os
-
         import pyarrow as pa
         from pyspark import TaskContext
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        enc, part, no = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, no = encoder(shipped.value), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         held: list[tuple] = []
         size = 0
@@ -186,9 +102,9 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
                 pa.array([held[-1][0]], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([size], pa.int64()),
                 pa.array([payload], pa.binary())], ["part", "block", "first_id", "last_id", "n_docs", "n_ids", "payload"])
 
-        for b in slices(batches):
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.concatenate([enc.encode(t), end])
+        for b in gathered(batches):
+            for d, x in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1))):
+                ids = np.concatenate([x, end])
                 held.append((d, ids))
                 size += len(ids)
                 if size >= BLOCK_IDS:
