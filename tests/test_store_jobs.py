@@ -8,7 +8,8 @@ from tidemark.plans.cdc import SnapshotSync, run_many
 from tidemark.plans.copy import CopyJob, resumable_load
 from tidemark.plans.upsert import VersionUpsert, checkpoint_literal, encode_checkpoint
 from tidemark.sinks.store import ManifestError, VersionedStore
-from tidemark.specs import LoadMode, TableSpec, TargetOptions
+from tidemark.sources.files import read_files
+from tidemark.specs import LoadMode, SourceOptions, TableSpec, TargetOptions
 
 MAIN = "id long, bal double"
 HIST = "id long, bal double, hist_id long, op int"
@@ -214,10 +215,19 @@ def test_chunked_backfill_resumes_after_last_window(spark, tmp_root):
     assert s.manifest()["seq"] == seq
 
 
-def test_file_max_bytes_splits_output(spark, tmp_root):
-    from tidemark.plans.copy import repartition_for_bytes
-    src = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    assert repartition_for_bytes(src, 20_000).rdd.getNumPartitions() > 1
+@pytest.mark.parametrize("target", [None, "csv", "json"])
+def test_file_max_bytes_bounds_files_of_any_frame(spark, tmp_root, target):
+    """The frame is derived: no input file tells how large its rows are."""
+    src = spark.read.parquet(f"{SF001}/lineitem.parquet").select("*", F.repeat(F.md5(F.col("l_orderkey").cast("string")), 6).alias("wide"))
+    job = CopyJob(target_object=tmp_root, source=src.coalesce(1), tgt_conn=target,
+                  target_options=TargetOptions(file_max_bytes=60_000, compression="zstd" if target is None else "none"))
+    job.run(spark)
+    fs = VersionedStore(spark, tmp_root).fs
+    sizes = [n for f, n in fs.files(tmp_root) if "_manifest" not in f]
+    assert len(sizes) > 3 and max(sizes) <= 60_000
+    out = VersionedStore(spark, tmp_root).read() if target is None else read_files(spark, tmp_root, target, SourceOptions(
+        schema=src.schema.simpleString()[7:-1].replace(":", " ")))
+    assert out.count() == src.count()
 
 
 def test_checkpoint_filter_reaches_the_scan(spark, tmp_root):

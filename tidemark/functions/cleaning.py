@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType
 
 
 def clean_strings(df: DataFrame, *, trim_space: bool = True, empty_as_null: bool = True,
@@ -29,11 +29,14 @@ def clean_strings(df: DataFrame, *, trim_space: bool = True, empty_as_null: bool
 
 
 def round_fractional(df: DataFrame, decimals: int) -> DataFrame:
-    """max_decimals: round every float/double column to ``decimals`` places."""
-    return df.select(*[
-        F.round(F.col(f.name), decimals).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-        for f in df.schema.fields])
+    """max_decimals: round float, double and decimal columns to ``decimals`` places. Decimals keep their type."""
+    def rounded(f):
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            return F.round(F.col(f"`{f.name}`"), decimals).alias(f.name)
+        if isinstance(f.dataType, DecimalType) and f.dataType.scale > decimals:
+            return F.round(F.col(f"`{f.name}`"), decimals).cast(f.dataType).alias(f.name)
+        return F.col(f"`{f.name}`")
+    return df.select(*[rounded(f) for f in df.schema.fields])
 
 
 def cast_columns(df: DataFrame, types: dict[str, str], *, safe: bool = True) -> DataFrame:

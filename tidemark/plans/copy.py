@@ -9,9 +9,8 @@ keep exactly is an error, never a wider load.
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +22,11 @@ from tidemark.operators.buckets import bucket_id
 from tidemark.operators.changes import effective
 from tidemark.operators.control import literal, max_text
 from tidemark.operators.merge import align_to_schema, merge_upsert, widened_schema
-from tidemark.operators.ranges import page_plan
+from tidemark.operators.ranges import assign_pages, page_plan
 from tidemark.plans.increment import Increment
-from tidemark.sinks.parquet import write_files
+from tidemark.plans.reconcile import differing_parts
+from tidemark.session import work_path
+from tidemark.sinks.parquet import rows_for_bytes, write_files
 from tidemark.sinks.store import VersionedStore
 from tidemark.sources.files import apply_source_options, read_files
 from tidemark.sources.jdbc import read_query, write_table
@@ -94,10 +95,17 @@ class CopyJob:
         df = apply_casing(df, o.column_casing)
         if o.max_decimals is not None:
             df = round_fractional(df, o.max_decimals)
-        if o.file_max_bytes:
-            df = repartition_for_bytes(df, o.file_max_bytes)
         return df
 
+    def sized(self, spark: SparkSession, df: DataFrame) -> TargetOptions:
+        """The target's options with ``file_max_bytes`` as rows per file, measured on a written sample."""
+        o = self.target_options
+        if not o.file_max_bytes or self._database:
+            return o
+        o = replace(o, format=FileFormat(self.tgt_conn).value if self.tgt_conn else o.format)
+        rows = rows_for_bytes(df, work_path(spark, "file-sample"), o.file_max_bytes, o)
+        return replace(o, file_max_rows=min(rows, o.file_max_rows or rows))
+
     def stamped(self, df: DataFrame) -> DataFrame:
         """Rows of a snapshot load carry the time of the load."""
         if LoadMode(self.mode) != LoadMode.SNAPSHOT:
@@ -107,12 +115,12 @@ class CopyJob:
     def run(self, spark: SparkSession) -> dict | None:
         self.validate()
         df = self.read_source(spark)
+        o, reload = self.sized(spark, df), LoadMode(self.mode) in RELOADS
         if not self.tgt_conn:
-            return load_into_store(VersionedStore(spark, self.target_object), df, self)
-        o, reload = self.target_options, LoadMode(self.mode) in RELOADS
+            return load_into_store(VersionedStore(spark, self.target_object), df, replace(self, target_options=o))
         mode = "ignore" if o.ignore_existing else "overwrite" if reload else "append"
         if not self._database:
-            o.format = FileFormat(self.tgt_conn).value
+            o = replace(o, format=FileFormat(self.tgt_conn).value)
             write_files(self.stamped(df), self.target_object, o, mode=mode)
             return None
         write_table(self.stamped(df), self.tgt_conn, self.target_object, mode=mode,
@@ -183,7 +191,7 @@ def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob,
         return m
     base = store.manifest()
     pc = base["part_col"]
-    touched = _parts(staged, pc) if pc and not o.delete_missing else None
+    touched = _parts(staged, pc) if pc else None
     target = store.read(parts=touched)
     wide = target.unionByName(staged.limit(0), allowMissingColumns=True) if o.add_new_columns else target
     if o.adjust_column_type:
@@ -194,9 +202,12 @@ def _upsert(store: VersionedStore, df: DataFrame, rows: DataFrame, job: CopyJob,
         wide = align_to_schema(target, wide.schema, allow_missing=True)
     new = align_to_schema(staged, wide.schema, allow_missing=o.add_new_columns)
     new = store.stage(effective(new, wide, keys, job.update_key, MAX_BROADCAST_KEYS), "effective")
-    if not changed and not o.delete_missing:
+    if not changed:
         hit = _parts(new, pc) if touched is not None else None
-        if not hit and (hit is not None or new.isEmpty()):
+        if hit is not None and o.delete_missing:     # parts whose keys are not those of the source have rows to lose
+            wanted = df.select(*keys, pc).distinct()
+            hit = sorted({*hit, *differing_parts(wanted, store.read().select(*keys, pc), pc)}, key=repr)
+        if not hit and (hit is not None or (not o.delete_missing and new.isEmpty())):
             # nothing to do again: a backfill's mark is only moved on or removed, not begun
             now = base.get("state") or {}
             after = {k: v for k, v in after.items() if k in now or not k.startswith("backfill")}
@@ -269,27 +280,25 @@ def _backfill(store, df, job, keys, part, how) -> dict:
     return m
 
 
-def repartition_for_bytes(df: DataFrame, max_bytes: int) -> DataFrame:
-    """file_max_bytes: split output so files stay under about ``max_bytes``, using the
-    size of the input files as the estimate (file sources)."""
-    from tidemark.sinks.fs import HadoopFS
-    fs = HadoopFS(df.sparkSession)
-    # one call per folder; files of a folder that are not read make the estimate larger, the files smaller
-    total = sum(fs.size_bytes(d) for d in {f.rsplit("/", 1)[0] for f in df.inputFiles()})
-    return df.repartition(max(1, -(-total // max_bytes))) if total else df
-
-
 def append_job(store: VersionedStore, source: DataFrame, order_col: str, *, state_key: str = "append_last") -> int:
     """Append-only increment as a job (M8): rows above the last key of the target become new files.
 
+    Rows may come later that share the last key, or have none: of these (and only these) the rows
+    that the target does not hold yet are appended, equal rows as often as they are missing.
     Returns the number of rows appended; nothing is published when there are none.
     """
     with store.pinned():
-        dtype = source.schema[order_col].dataType
+        c, dtype = F.col(order_col), source.schema[order_col].dataType
         last = store.state().get(state_key) if store.exists() else None
         if last is None and store.exists():
             last = max_text(store.read(), order_col)
-        newer = source if last is None else source.where(F.col(order_col) > literal(last, dtype))
+        newer = source
+        if store.exists():
+            held = store.read()
+            shared = c.isNull() if last is None else c.isNull() | (c == literal(last, dtype))
+            ties = align_to_schema(source.where(shared), held.schema).exceptAll(held.where(shared))
+            above = source.where(c.isNotNull() if last is None else c > literal(last, dtype))
+            newer = align_to_schema(above, held.schema).unionByName(ties)
         staged = store.stage(newer, "append")
         n = staged.count()
         if n:
@@ -309,50 +318,89 @@ def resumable_load(spark: SparkSession, store: VersionedStore, source: DataFrame
                    page_rows: int, max_pages: int | None = None, pages_per_job: int = 8) -> int:
     """Bulk load in key-range pages, resumable across runs (M11); returns the pages loaded.
 
-    The page plan (end key of every page, about ``page_rows`` rows each, closed on ties) is
-    computed once and kept in a file beside the store. ``pages_per_job`` neighbouring pages
-    are one range ``(end_a, end_b]``, one Spark job and one version, written together with
-    the last key; a restart continues there. What is loaded stays invisible (K9) until the
-    source holds no key above the last one: used-up plans are followed by new ones, then by
-    one page of rows without a key, and all is published at once. A later run loads what
-    has come since.
+    The pages (about ``page_rows`` rows each, closed on ties) are planned once into a ledger, a
+    small table beside the store with each page's range ``(after, until]`` and rows.
+    ``pages_per_job`` neighbouring pages are one Spark job and one version, written together
+    with the last key; a restart continues there. What is loaded stays invisible (K9) until the
+    source holds no key above the last one: used-up ledgers are followed by new ones, then by one
+    page of the rows without a key, and all is published at once. A later run loads what has
+    come since; of the rows without a key, those that the store does not hold, if there are more
+    than it has loaded.
     """
     dtype, c = source.schema[order_col].dataType, F.col(order_col)
-    side = f"{store.root}/_load"
     pages = 0
     while max_pages is None or pages < max_pages:
         state = store.state() if store.exists() else {}
-        last, name, done = state.get("last_key"), state.get("plan"), state.get("pages_done", 0)
-        ends = json.loads(store.fs.read_text(f"{side}/{name}")) if name else []
-        if done >= len(ends):
-            ends, done = page_plan(source, order_col, page_rows, last), 0
-            if not ends:
+        last, number, done = state.get("last_key"), state.get("ledger"), state.get("pages_done", 0)
+        n = pages_per_job if max_pages is None else min(pages_per_job, max_pages - pages)
+        ahead = _planned(spark, store, number, done, n) if number else []
+        if not ahead:
+            number, done = (number or 0) + 1, 0
+            if not _write_ledger(store, source, order_col, page_rows, last, number):
                 break
-            name = f"plan-{state.get('plans', 0) + 1}.json"
-            store.fs.mkdirs(side)
-            store.fs.delete(f"{side}/{name}", recursive=False)
-            store.fs.write_text_atomic(f"{side}/{name}", json.dumps(ends))
-        n = min(pages_per_job, len(ends) - done)
-        if max_pages is not None:
-            n = min(n, max_pages - pages)
-        until = ends[done + n - 1]
+            ahead = _planned(spark, store, number, done, n)
+        until = ahead[-1]
         cond = c <= literal(until, dtype)
         if last is not None:
             cond = cond & (c > literal(last, dtype))
-        store.append_pending(source.where(cond), state={
-            "last_key": until, "plan": name, "plans": int(name[5:-5]), "pages_done": done + n})
-        pages += n
+        store.append_pending(source.where(cond), state={"last_key": until, "ledger": number, "pages_done": done + len(ahead)})
+        pages += len(ahead)
     else:
         return pages
     # no key above the last one
     state = store.state() if store.exists() else {}
-    if not state.get("null_page"):
-        empty = source.where(c.isNull())
-        if not empty.isEmpty():
-            store.append_pending(empty, state={"null_page": True})
-            pages += 1
-        elif store.exists():
-            store.set_state({"null_page": True})
+    none = source.where(c.isNull())
+    before, now = state.get("null_rows", 0), none.count()
+    if now > before:
+        if before:
+            held = store.read(pending=True)
+            none = align_to_schema(none, held.schema).exceptAll(held.where(c.isNull()))
+        store.append_pending(none, state={"null_rows": now})
+        pages += 1
     if store.exists() and store.manifest().get("pending"):
         store.publish_pending()
     return pages
+
+
+def _ledger_path(store: VersionedStore, number: int) -> str:
+    return f"{store.root}/_load/ledger-{number:06d}"
+
+
+def _write_ledger(store: VersionedStore, source: DataFrame, order_col: str, page_rows: int, last: str | None, number: int) -> int:
+    """Plan the pages above ``last`` as ledger ``number``: page, after, until, n_rows. Returns how many there are."""
+    dtype, c = source.schema[order_col].dataType, F.col(order_col)
+    ends = page_plan(source, order_col, page_rows, last)
+    if not ends:
+        return 0
+    rest = source.where(c.isNotNull() if last is None else c > literal(last, dtype)).select(order_col)
+    counts = assign_pages(rest, order_col, ends).groupBy(F.col("page_id").alias("page")).agg(F.count("*").alias("n_rows"))
+    plan = source.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(zip([last, *ends], ends), 1)], "page long, after string, until string")
+    # rows that came after the plan was made lie in the last page or in a later ledger
+    store.fs.delete(_ledger_path(store, number))
+    plan.join(counts, "page", "left").select("page", "after", "until", F.coalesce("n_rows", F.lit(0)).alias("n_rows")).coalesce(1).write.parquet(
+        _ledger_path(store, number))
+    return len(ends)
+
+
+LEDGER = "page long, after string, until string, n_rows long"
+
+
+def _planned(spark: SparkSession, store: VersionedStore, number: int, done: int, n: int) -> list[str]:
+    """The ends of the next ``n`` pages of a ledger."""
+    rows = spark.read.schema(LEDGER).parquet(_ledger_path(store, number)).where(F.col("page").between(done + 1, done + n))
+    return [r["until"] for r in sorted(rows.select("page", "until").collect())]
+
+
+def load_ledger(store: VersionedStore) -> DataFrame:
+    """All pages of a load: ledger, page, after, until, n_rows, state (loaded or planned); the page without a key is page 0."""
+    spark, state = store.spark, store.state() if store.exists() else {}
+    now, done = state.get("ledger", 0), state.get("pages_done", 0)
+    none = spark.createDataFrame([(0, 0, None, None, state["null_rows"], "loaded")] if state.get("null_rows") else [],
+                                 f"ledger int, {LEDGER}, state string")
+    if not now:
+        return none
+    rows = spark.read.schema(LEDGER).parquet(*[_ledger_path(store, i) for i in range(1, now + 1)])
+    number = F.regexp_extract(F.input_file_name(), "ledger-([0-9]+)/", 1).cast("int")
+    loaded = (F.col("ledger") < now) | (F.col("page") <= done)
+    return none.unionByName(rows.withColumn("ledger", number).withColumn("state", F.when(loaded, "loaded").otherwise("planned")))

@@ -88,6 +88,19 @@ class HadoopFS:
             return 0
         return int(self._fs(p).getContentSummary(self._path(p)).getLength())
 
+    def files(self, p: str) -> list[tuple[str, int]]:
+        """(path below ``p``, bytes) of the data files under ``p``: one listing, however deep."""
+        if not self.exists(p):
+            return []
+        it, out = self._fs(p).listFiles(self._path(p), True), []
+        while it.hasNext():
+            st = it.next()
+            parts = st.getPath().toUri().getPath().rstrip("/").split("/")
+            parts = parts[len(self._path(p).toUri().getPath().rstrip("/").split("/")):]
+            if not parts[-1].startswith(("_", ".")):
+                out.append(("/".join(parts), int(st.getLen())))
+        return out
+
     def file_count(self, p: str) -> int:
         if not self.exists(p):
             return 0

@@ -28,11 +28,13 @@ import datetime as dt
 import json
 import math
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators._util import as_list
 from tidemark.sinks.fs import HadoopFS
 
 ALL = "*"
@@ -177,16 +179,22 @@ class VersionedStore:
                 out += [f"{self.vdir(v)}/{pc}={p}" for p in ps]
         return out
 
-    def read(self, parts=None) -> DataFrame:
+    def read(self, parts=None, pending: bool = False) -> DataFrame:
         """The current table, or only the named parts: the other directories are never listed or
-        opened. One scan however many versions are live; ``part_col`` is a partition column of it."""
+        opened. One scan however many versions are live; ``part_col`` is a partition column of it.
+        With ``pending``, the rows of an unfinished load as well."""
         m = self.manifest()
         if m is None:
             raise ManifestError(f"no table at {self.root}")
         schema = T.StructType.fromJson(json.loads(m["schema"]))
         paths = self.paths(parts, m)
+        if pending:
+            paths += [self.vdir(v) for v in m.get("pending") or []]
         if not paths:
             return self.spark.createDataFrame([], schema)
+        return self._scan(paths, schema)
+
+    def _scan(self, paths: list[str], schema: T.StructType) -> DataFrame:
         whole = T.StructType([*schema.fields, T.StructField(VERSION_COL, T.LongType())])
         return (self.spark.read.schema(whole).option("basePath", self.root).parquet(*paths)
                 .select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
@@ -359,6 +367,61 @@ class VersionedStore:
             df = df.repartition(n)
         return self._replace_clustered(df, pc, {"compacted_from": m["seq"]}, key)
 
+    def compaction_plan(self, target_file_bytes: int = 256 << 20) -> dict[str, tuple[list[int], int]]:
+        """Per part the versions to merge and the files to make of them.
+
+        A version takes part where its files in the part are smaller than half the target on
+        average; a part is planned if its small files, packed to the target, become fewer.
+        """
+        m = self.manifest()
+        if m is None:
+            raise ManifestError(f"no table at {self.root}")
+        pre = f"{m['part_col']}="
+        sizes: dict[tuple[str, int], list[int]] = {}
+        for v in sorted({int(v) for vs in m["parts"].values() for v in vs}):
+            for path, n in self.fs.files(self.vdir(v)):
+                part = path.split("/")[0][len(pre):] if m["part_col"] else ALL
+                sizes.setdefault((part, v), []).append(n)
+        plan = {}
+        for p, versions in m["parts"].items():
+            small = [int(v) for v in versions if 2 * sum(sizes.get((p, int(v)), [])) < target_file_bytes * len(sizes.get((p, int(v)), []))]
+            files = [n for v in small for n in sizes[p, v]]
+            planned = max(1, math.ceil(sum(files) / max(1, target_file_bytes)))
+            if len(files) > planned:
+                plan[p] = (small, planned)
+        return plan
+
+    def compact_small(self, *, target_file_bytes: int = 256 << 20, key=None) -> dict[str, tuple[list[int], int]]:
+        """Merge small files where they are, part by part (K10); returns the plan that was carried out.
+
+        Parts without a plan, and large files of parts with one, keep their versions and are not read.
+        """
+        with self.pinned():
+            plan, base = self.compaction_plan(target_file_bytes), self.manifest()
+            if not plan:
+                return plan
+            pc, schema = base["part_col"], self.schema()
+            paths = [f"{self.vdir(v)}/{pc}={p}" if pc else self.vdir(v) for p, (vs, _) in sorted(plan.items()) for v in vs]
+            df, total = self._scan(paths, schema), sum(n for _, n in plan.values())
+            if pc:
+                # a part's rows are dealt to as many tasks as it is to have files
+                files = self.spark.createDataFrame([(None if p == NULL_PART else unquote(p), n) for p, (_, n) in plan.items()], "p string, n int")
+                files = files.select(F.col("p").alias("__part"), F.col("n").alias("__files"))
+                df = df.join(F.broadcast(files), F.col(pc).cast("string").eqNullSafe(F.col("__part")))     # no larger than the manifest
+                deal = F.pmod(F.xxhash64(*[F.col(c) for c in as_list(key)], F.monotonically_increasing_id()), F.col("__files"))
+                df = df.withColumn("__deal", deal).repartition(total, pc, "__deal").sortWithinPartitions(pc, *as_list(key)).select(*[f.name for f in schema.fields])
+            else:
+                df = df.repartition(total).sortWithinPartitions(*as_list(key)) if key else df.repartition(total)
+            v = self._next_version(base)
+            w = df.write.mode("errorifexists").options(**DEFAULT_WRITE_OPTIONS)
+            (w.partitionBy(pc) if pc else w).parquet(self.vdir(v))
+            parts = {p: [x for x in vs if p not in plan or int(x) not in plan[p][0]] for p, vs in base["parts"].items()}
+            for p in plan:
+                parts[p] = [*parts[p], v]
+            self._publish(parts=parts, schema=schema, part_col=pc, state={"compacted_from": base["seq"]}, base=base,
+                          written={v: len(plan)}, pending=base.get("pending"))
+            return plan
+
     def _replace_clustered(self, df: DataFrame, pc: str | None, state: dict, key) -> dict:
         base = self.manifest()
         v = self._next_version(base)

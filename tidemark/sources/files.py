@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import cast_columns, clean_strings, round_fractional
+from tidemark.operators.slices import rank_slice
 from tidemark.sinks.fs import HadoopFS
 from tidemark.specs import Compression, FileFormat, SourceOptions
 
+#: A limit up to this is taken by merging every task's first rows; beyond it, slices are cut by rank.
+TOP_ROWS = 10_000
+
 
 def read_parquet_dir(spark: SparkSession, path: str, columns=None, where: str | None = None) -> DataFrame:
     """All Parquet files under ``path`` as one table.
@@ -109,11 +113,9 @@ def apply_source_options(df: DataFrame, o: SourceOptions) -> DataFrame:
     if o.offset or o.limit is not None:
         if not o.order_by:
             raise ValueError("limit/offset need order_by for a deterministic slice")
-        df = df.orderBy(*o.order_by)
-        if o.offset:
-            df = df.offset(o.offset)
-        if o.limit is not None:
-            df = df.limit(o.limit)
+        if not o.offset and o.limit <= TOP_ROWS:
+            return df.orderBy(*o.order_by).limit(o.limit)      # each task's first rows, merged
+        df = rank_slice(df, o.order_by, o.offset or 0, o.limit)
     return df
 
 

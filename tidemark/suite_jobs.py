@@ -6,16 +6,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import fixtures as fx
+from tidemark.operators.buckets import bucket_id
 from tidemark.operators.latest import keep_latest
 from tidemark.plans.cdc import SnapshotSync
-from tidemark.plans.copy import CopyJob
+from tidemark.plans.copy import CopyJob, append_job, load_ledger, resumable_load
+from tidemark.plans.reconcile import reconcile
 from tidemark.plans.upsert import VersionUpsert
 from tidemark.session import work_path
+from tidemark.sinks.parquet import write_files
 from tidemark.sinks.store import VersionedStore
-from tidemark.specs import LoadMode, SourceOptions, TableSpec
+from tidemark.sources.files import apply_source_options, read_files
+from tidemark.sources.quarantine import cast_checked, read_checked
+from tidemark.specs import LoadMode, SourceOptions, TableSpec, TargetOptions
 from tidemark.streaming.cdc_stream import start_cdc_stream
 from tidemark.streaming.version_stream import start_version_stream
-from tidemark.suite import EVENTS_CUTOFF, SQL_CDC, _history_copy, _width, _wm_value, register
+from tidemark.suite import _SQL_UPSERT, _VERSION_OF_FILE, EVENTS_CUTOFF, SQL_CDC, _history_copy, _snapshot_target, _width, _wm_value, register
 
 _SQL_LATEST_HIST = f"SELECT id, bal, hist_id FROM {fx.SQL_HIST} h QUALIFY row_number() OVER (PARTITION BY id ORDER BY hist_id DESC) = 1"
 
@@ -149,3 +154,195 @@ def q_cdc_sync_gaps(spark, d):
         job.history = hist.where((F.col("hist_id") <= wm) | (order <= step))
         job.run()
     return job.store.read().withColumn("rows_read", F.lit(job.store.state()["rows_read"]).cast("long"))
+
+
+# ---------------------------------------------------------------- parts: reconciliation, compaction
+_SQL_WIDTH = "w AS (SELECT (max(o_orderkey) - min(o_orderkey)) // 16 + 1 AS w FROM orders)"
+
+
+@register("reconcile_buckets", f"""
+WITH {_SQL_WIDTH}
+SELECT o.*, o_orderkey // w.w AS part_id, CASE WHEN o_orderkey // w.w IN (2, 3, 7) THEN '2' ELSE '1' END AS version,
+  (SELECT count(*) FROM orders, w WHERE o_orderkey // w.w = 2 AND o_orderkey % 5 = 0) AS missing,
+  (SELECT count(*) FROM orders, w WHERE o_orderkey // w.w = 3 AND o_orderkey % 9 = 0) AS extra,
+  (SELECT count(*) FROM orders, w WHERE o_orderkey // w.w = 7 AND o_orderkey % 7 = 0) AS changed
+FROM orders o, w WHERE NOT (o_orderkey // w.w = 3 AND o_orderkey % 9 = 0)""")
+def q_reconcile_buckets(spark, d):
+    """A target that lacks rows in one part, has too many in another and wrong ones in a third: only these are rewritten."""
+    o = fx.table(spark, d, "orders")
+    width = _width(spark, d, "o_orderkey", "orders")
+    part, k = bucket_id("o_orderkey", width), F.col("o_orderkey")
+    drifted = o.where(~((part == 2) & (k % 5 == 0))).withColumn(
+        "o_totalprice", F.when((part == 7) & (k % 7 == 0), F.lit(0.5)).otherwise(F.col("o_totalprice")))
+    target = drifted.withColumn("part_id", part)
+    gone = (part == 3) & (k % 9 == 0)
+    source = o.where(~gone)
+    store = VersionedStore(spark, work_path(spark, "reconcile"))
+    store.replace(target, part_col="part_id", key="o_orderkey")
+    found = reconcile(store, source, "o_orderkey", bucket_width=width, repair=False)
+    assert sorted(found.parts) == [2, 3, 7] and store.manifest()["seq"] == 1
+    found = reconcile(store, source, "o_orderkey", bucket_width=width)
+    assert reconcile(store, source, "o_orderkey", bucket_width=width).parts == []
+    version = F.regexp_extract(F.input_file_name(), _VERSION_OF_FILE, 1)
+    counts = [F.lit(n).cast("long").alias(c) for c, n in (("missing", found.missing), ("extra", found.extra), ("changed", found.changed))]
+    return store.read().select("*", version.alias("version"), *counts)
+
+
+@register("compact_small_parts", f"""
+WITH {_SQL_WIDTH}
+SELECT o.*, CAST(o_orderkey // w.w AS BIGINT) AS chunk, CASE WHEN o_orderkey // w.w < 4 AND o_orderkey % 20 < 4 THEN '6' ELSE '1' END AS version,
+  CAST(CASE WHEN o_orderkey // w.w < 4 THEN 2 ELSE 1 END AS BIGINT) AS n_files FROM orders o, w""")
+def q_compact_small_parts(spark, d):
+    """Four small appends into four of the parts: their files become one each; the large files and other parts stay where they are."""
+    chunk = bucket_id("o_orderkey", _width(spark, d, "o_orderkey", "orders"))
+    o = fx.table(spark, d, "orders").withColumn("chunk", chunk)
+    late = (F.col("chunk") < 4) & (F.col("o_orderkey") % 20 < 4)
+    store = VersionedStore(spark, work_path(spark, "compact_small"))
+    store.replace(o.where(~late), part_col="chunk", key="o_orderkey")
+    for i in range(4):
+        store.append(o.where(late & (F.col("o_orderkey") % 20 == i)), key="o_orderkey")
+    large = [n for _, n in store.fs.files(store.vdir(1))]
+    assert len(store.compact_small(target_file_bytes=sum(large) // len(large), key="o_orderkey")) == 4
+    store.retain(1)
+    file = F.input_file_name()
+    rows = store.read().withColumn("file", file).withColumn("version", F.regexp_extract(file, _VERSION_OF_FILE, 1))
+    files = rows.groupBy("chunk").agg(F.countDistinct("file").alias("n_files"))
+    return rows.drop("file").join(files, "chunk").select(*o.columns, "version", "n_files")
+
+
+# ---------------------------------------------------------------- loads
+@register("bulk_resume_late_nulls", """
+SELECT nullif(o_custkey % 50, 7) AS k, *, (SELECT count(*) FROM orders WHERE o_custkey % 50 = 7) AS ledger_null_rows,
+       (SELECT count(*) FROM orders) AS ledger_rows FROM orders""")
+def q_bulk_resume_late_nulls(spark, d):
+    """Rows without a key that come after the load was published are loaded by the next run, and once."""
+    orders = fx.table(spark, d, "orders").select(F.nullif(F.col("o_custkey") % 50, F.lit(7)).alias("k"), "*")
+    store = VersionedStore(spark, work_path(spark, "bulk_late_nulls"))
+    page = max(1, orders.count() // 5 + 1)
+    late = F.col("k").isNull() & (F.col("o_orderkey") % 3 == 0)
+    for part in (orders.where(~late | F.col("k").isNotNull()), orders, orders):
+        resumable_load(spark, store, part, "k", page)
+    ledger = load_ledger(store)
+    assert not ledger.where("state <> 'loaded'").count()
+    nulls, n = ledger.agg(F.sum(F.when(F.col("page") == 0, F.col("n_rows"))), F.sum("n_rows")).first()
+    return store.read().select("*", F.lit(nulls).cast("long").alias("ledger_null_rows"), F.lit(n).cast("long").alias("ledger_rows"))
+
+
+@register("append_job_ties", "SELECT o_orderkey, o_orderdate FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders)")
+def q_append_job_ties(spark, d):
+    """Rows that share the last date, or have none, arrive in three runs; each is appended once."""
+    date = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate"))
+    o = fx.table(spark, d, "orders").select("o_orderkey", date.alias("o_orderdate"))
+    store = VersionedStore(spark, work_path(spark, "append_ties"))
+    last = o.agg(F.max("o_orderdate")).first()[0]
+    open_ = F.col("o_orderdate").isNull() | (F.col("o_orderdate") == F.lit(last))
+    for n in (0, 1, 2, 2):
+        append_job(store, o.where(~F.coalesce(open_, F.lit(True)) | (F.col("o_orderkey") % 3 <= n)), "o_orderdate")
+    return store.read()
+
+
+@register("delete_missing_bucketed", "SELECT * FROM (" + _SQL_UPSERT.format(
+    hist=fx.SQL_HIST, snap=fx.SQL_SNAPSHOT, cond=f"hist_id > {fx.SQL_WM}") + ") m WHERE id IN (SELECT o_custkey FROM orders)")
+def q_delete_missing_bucketed(spark, d):
+    """Deleted keys are found by key digests of the parts; parts that match are left alone."""
+    path, width = work_path(spark, "delete_missing_parts"), _width(spark, d)
+    target = VersionedStore(spark, path)
+    CopyJob(target_object=path, source=fx.main_table(spark, d).withColumn("hist_id", fx.snapshot_watermark(spark, d)), primary_key=["id"], bucket_width=width).run(spark)
+    _history_copy(spark, d, path, LoadMode.INCREMENTAL, bucket_width=width, target_options=TargetOptions(delete_missing=True))
+    return target.read().drop("part_id")
+
+
+# ---------------------------------------------------------------- formats, options
+def _format_roundtrip(spark, d, fmt, rows=None):
+    """Orders written by a copy job in a few files of many rows, and read back."""
+    o = fx.table(spark, d, "orders")
+    path = work_path(spark, f"orders_{fmt}")
+    CopyJob(target_object=path, source=o.repartition(3), tgt_conn=fmt,
+            target_options=TargetOptions(compression="none" if fmt in ("csv", "json") else "zstd", file_max_rows=rows)).run(spark)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in o.schema.fields)
+    out = read_files(spark, path, fmt, SourceOptions(schema=schema))
+    files = out.select(F.input_file_name().alias("f")).groupBy("f").count()
+    return out, files
+
+
+_SQL_ORDERS_FILES = "SELECT *, TRUE AS many_rows_a_file FROM orders"
+
+
+def _with_files(out, files):
+    return out.withColumn("many_rows_a_file", F.lit(files.agg(F.min("count")).first()[0] > 1))
+
+
+@register("formats_json", _SQL_ORDERS_FILES)
+def q_formats_json(spark, d):
+    """Whole documents: arrays of objects, several thousand rows at most each."""
+    return _with_files(*_format_roundtrip(spark, d, "json", 4000))
+
+
+@register("formats_csv", _SQL_ORDERS_FILES)
+def q_formats_csv(spark, d):
+    return _with_files(*_format_roundtrip(spark, d, "csv"))
+
+
+@register("formats_orc", _SQL_ORDERS_FILES)
+def q_formats_orc(spark, d):
+    return _with_files(*_format_roundtrip(spark, d, "orc"))
+
+
+@register("bytes_capped_export", "SELECT *, TRUE AS file_within_cap FROM lineitem")
+def q_bytes_capped_export(spark, d):
+    """No file larger than a twentieth of the whole, for a frame that no input file describes."""
+    rows = fx.table(spark, d, "lineitem").orderBy("l_orderkey", "l_linenumber")
+    whole, path = work_path(spark, "bytes_whole"), work_path(spark, "bytes_capped")
+    CopyJob(target_object=whole, source=rows, tgt_conn="parquet").run(spark)
+    fs = VersionedStore(spark, path).fs
+    cap = max(20_000, fs.size_bytes(whole) // 20)
+    CopyJob(target_object=path, source=rows, tgt_conn="parquet", target_options=TargetOptions(file_max_bytes=cap)).run(spark)
+    sizes = [n for _, n in fs.files(path)]
+    return spark.read.parquet(path).withColumn("file_within_cap", F.lit(max(sizes) <= cap))
+
+
+@register("source_slice", "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5000 OFFSET 1234")
+def q_source_slice(spark, d):
+    """A slice by rank: one filter on dates, and the dates at its ends cut by key."""
+    return apply_source_options(fx.table(spark, d, "orders"), SourceOptions(order_by=["o_orderdate", "o_orderkey"], offset=1234, limit=5000))
+
+
+@register("quarantine_csv", """
+SELECT o_orderkey, o_orderdate, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderkey % 7 IN (0, 3)) AS n_bad
+FROM orders WHERE o_orderkey % 7 NOT IN (0, 3)""")
+def q_quarantine_csv(spark, d):
+    """Lines with text for a number and lines cut short: kept aside and counted in the pass that reads the rest."""
+    o, k = fx.table(spark, d, "orders"), F.col("o_orderkey")
+    line = F.concat_ws(",", F.when(k % 7 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string")),
+                       F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.when(k % 7 != 3, F.col("o_totalprice").cast("string")).otherwise(F.lit("12a")))
+    path, side = work_path(spark, "csv_bad"), work_path(spark, "csv_side")
+    o.select(line.alias("value")).write.text(path)
+    out = read_checked(spark, path, "csv", side, SourceOptions(
+        schema="o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double", header=False))
+    assert out.bad.count() == out.n_bad
+    return out.good.withColumn("n_bad", F.lit(out.n_bad).cast("long"))
+
+
+@register("quarantine_json", """
+SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 1) AS n_bad FROM orders WHERE o_orderkey % 5 <> 1""")
+def q_quarantine_json(spark, d):
+    """Lines that end inside an object."""
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    text = F.to_json(F.struct(*o.columns))
+    path, side = work_path(spark, "json_bad"), work_path(spark, "json_side")
+    o.select(F.when(F.col("o_orderkey") % 5 == 1, F.expr("left(to_json(struct(o_orderkey, o_totalprice)), 12)")).otherwise(text).alias("value")).write.text(path)
+    out = read_checked(spark, path, "jsonlines", side, SourceOptions(schema="o_orderkey long, o_totalprice double"))
+    return out.good.withColumn("n_bad", F.lit(out.n_bad).cast("long"))
+
+
+@register("quarantine_cast", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  (SELECT count(*) FROM events WHERE event_id % 4 = 1 AND json_extract_string(props, '$.k') IS NOT NULL) AS n_bad
+FROM events WHERE event_id % 4 <> 1 OR json_extract_string(props, '$.k') IS NULL""")
+def q_quarantine_cast(spark, d):
+    """Text that is no number in every fourth row: those rows are kept as they came."""
+    k = F.get_json_object("props", "$.k")
+    e = fx.table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 4 == 1, F.concat(k, F.lit("?"))).otherwise(k).alias("k"))
+    out = cast_checked(e, {"k": "bigint"}, work_path(spark, "cast_side"))
+    assert out.bad.where("k NOT LIKE '%?'").isEmpty()
+    return out.good.withColumn("n_bad", F.lit(out.n_bad).cast("long"))
