@@ -5,13 +5,15 @@ task. Tile bounds only depend on the multiset of sorted values, so we compute th
 exact order statistics instead, without moving the column:
 
 1. approximate quantiles (``percentile_approx``, one pass, partial aggregates; a seeded
-   sample for text and binary) become boundaries. Every boundary is a bucket of its own,
-   what lies between two boundaries is another: a value held by a third of all rows is a
-   boundary and never has to be ranked;
+   sample for text and binary) become boundaries: two about every wanted rank, as far apart
+   as the sketch may err, or evenly spread ones where many ranks are wanted. Every boundary is
+   a bucket of its own, what lies between two boundaries is another: a value held by a third
+   of all rows is a boundary and never has to be ranked;
 2. exact row counts per bucket (one small aggregate);
 3. a wanted rank in a boundary's bucket is that boundary. Only buckets between boundaries
    that hold a wanted rank are ranked, by a running sum over their values; one that still
-   holds more than ``max_bucket_values`` rows is split again.
+   holds more than ``max_bucket_values`` rows is split again. A column of no more rows than
+   that is one bucket from the start.
 
 The column is read three times per level, so the input must not change meanwhile: stage
 the key column of a database first. Only control values reach the driver, as lossless
@@ -33,6 +35,10 @@ _QUANTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatTy
                    T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+#: The sketch errs by at most one part in so many of the rows.
+ACCURACY = 10_000
+
+
 class OrderStatistics:
     """Exact values at global ranks of one column, computed without a global sort."""
 
@@ -48,13 +54,19 @@ class OrderStatistics:
     def total_rows(self) -> int:
         return self.n_rows
 
-    def _boundaries(self, sub: DataFrame, sizes: list[int], level: int) -> list[list[str]]:
+    def _brackets(self, ranks: list[int]) -> list[float]:
+        """Shares just below and above each rank, by twice the sketch's error."""
+        err = 2.0 / ACCURACY
+        return sorted({min(1.0, max(0.0, r / self.n_rows + e)) for r in ranks for e in (-err, err)})
+
+    def _boundaries(self, sub: DataFrame, sizes: list[int], level: int, ranks: list[int]) -> list[list[str]]:
         """Sorted boundaries inside every open interval of a level, as control text."""
         fanout = max(2, self.max_fanout // len(sizes))
         out: list[list[str]] = [[] for _ in sizes]
         if isinstance(self.dtype, _QUANTILE_TYPES):
-            cuts = [i / fanout for i in range(1, fanout)]
-            at = F.percentile_approx(self.v, cuts, 20 * fanout)
+            few = level == 0 and 2 * len(ranks) < fanout
+            cuts = self._brackets(ranks) if few else [i / fanout for i in range(1, fanout)]
+            at = F.percentile_approx(self.v, cuts, ACCURACY if few else 20 * fanout)
             for i, b in sub.groupBy("_iid").agg(F.transform(at, lambda x: to_text(x, self.dtype))).collect():
                 out[i] = list(dict.fromkeys(b))
             return out
@@ -77,6 +89,8 @@ class OrderStatistics:
         """
         ranks = sorted({int(r) for r in ranks if 1 <= r <= self.n_rows})
         result: dict[int, str] = {}
+        if ranks and self.n_rows <= self.max_bucket_values:
+            return self._ranked(self.values.withColumn("_b", F.lit(0).cast("long")), {0: [(r, r) for r in ranks]})
         # open intervals in value order: (bound below, bound above, rows up to its start, rows, ranks)
         todo = [(None, None, 0, self.n_rows, ranks)] if ranks else []
         level = 0
@@ -85,7 +99,7 @@ class OrderStatistics:
             highs = Bounds([t[1] for t in todo if t[1] is not None], self.dtype)
             iid = lows.count_below(self.v) + F.lit(int(todo[0][0] is None) - 1)
             sub = self.values.withColumn("_iid", iid).where(F.col("_iid") == highs.count_below(self.v, strict=False))
-            inner = self._boundaries(sub, [t[3] for t in todo], level)
+            inner = self._boundaries(sub, [t[3] for t in todo], level, ranks)
             first, every = [], []      # boundaries of interval i begin at first[i] in the list of all
             for b in inner:
                 first.append(len(every))
