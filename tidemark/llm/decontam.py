@@ -7,21 +7,26 @@ window, the last ``window`` words are hit, and the items that hold these words a
 off the state. Items shorter than the window count as one window of their own length and
 are found along the suffix links.
 
-The automaton is built in blocks of items of at most ``block_bytes`` text, each sent to
-the executors by itself, so a larger benchmark means more passes, not a larger broadcast.
+The automaton is built in blocks of items of about ``block_bytes`` text, each sent to
+the executors by itself and let go afterwards, so a larger benchmark means more passes, not a
+larger broadcast or automaton.
 
 Defined results: a null text has no words; items without words hit nothing; null item ids
 hit words but are not listed; repeated item ids are one item; an empty benchmark leaves all documents clean; an empty table gives an
-empty result.
+empty result. Equal texts are cut alike; other columns, whatever their names, pass through
+(in ``contamination`` they are not read).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tidemark.llm.common import fresh, slices, stage, text_bytes, words
 
@@ -144,29 +149,27 @@ def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """Items in blocks of bounded text, one after another on the driver."""
-    held, size = [], 0
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    for name, text in rows.toLocalIterator():
-        text = text.encode()
-        if held and size + len(text) > block_bytes:
-            yield held
-            held, size = [], 0
-        held.append((name, text))
-        size += len(text)
-    yield held
+_built: dict[str, SuffixAutomaton] = {}
 
 
-def _scan_block(docs: DataFrame, block: list, window: int, text_col: str, found: str) -> DataFrame:
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-    sent = docs.sparkSession.sparkContext.broadcast(block)  # at most block_bytes of text
+def automaton_of(key: str, items: Callable[[], list], window: int) -> SuffixAutomaton:
+    """The automaton of a block: a Python worker builds it once and holds one at a time."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = SuffixAutomaton([(name, words(t)) for name, t in items()], window)
+    return _built[key]
+
+
+def _scan(docs: DataFrame, block: list, window: int, text_col: str, found: str, every: bool) -> tuple[DataFrame, object]:
+    """``docs`` with column ``found``: n words, at, items; those without hits as well if ``every``."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)  # about block_bytes of text
+    key = uuid.uuid4().hex
     kind = StructType([StructField("n", IntegerType()), StructField("at", ArrayType(IntegerType())),
                        StructField("items", ArrayType(StringType()))])
 
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        automaton = SuffixAutomaton([(name, words(t)) for name, t in sent.value], window)
+        automaton = automaton_of(key, lambda: sent.value, window)
         shape = pa.struct([("n", pa.int32()), ("at", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
         for b in slices(batches):
             rows = []
@@ -175,33 +178,48 @@ def _scan_block(docs: DataFrame, block: list, window: int, text_col: str, found:
                 hits, names = automaton.scan(ws)
                 rows.append({"n": len(ws), "at": [x for s in merged(hits) for x in s],
                              "items": sorted(x for x in names if x is not None)})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, shape)], [*b.schema.names, found])
+            out = pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, shape)], [*b.schema.names, found])
+            yield out if every else out.filter(pa.array([bool(r["at"]) for r in rows], pa.bool_()))
 
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField(found, kind)]))
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, StructField(found, kind)])), sent
 
 
 def find_spans(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id",
-               item_text: str = "text", block_bytes: int = 8 << 20) -> tuple[DataFrame, str]:
+               item_text: str = "text", block_bytes: int = 1 << 20) -> tuple[DataFrame, str]:
     """``docs`` with a column (its name is returned): n words, at = flat list of disjoint hit
-    stretches (start, end in words), items with occurring windows."""
-    (found,) = fresh(docs, "_found")
-    out = None
-    for block in _blocks(items, item_id, item_text, block_bytes):
-        if out is None:
-            out = _scan_block(docs, block, window, text_col, found)
-            continue
-        (more,) = fresh(out, "_more")
-        out = stage(_scan_block(out, block, window, text_col, more), "decontam")
-        both = F.struct(
-            F.col(f"{found}.n").alias("n"),
-            F.udf(union_spans, "array<int>")(F.concat(F.col(f"{found}.at"), F.col(f"{more}.at"))).alias("at"),
-            F.array_sort(F.array_union(f"{found}.items", f"{more}.items")).alias("items"))
-        out = out.withColumn(found, both).drop(more)
-    return out, found
-
-
-def union_spans(at: list[int]) -> list[int]:
-    return [x for s in merged(list(zip(at[::2], at[1::2]))) for x in s]
+    stretches (start, end in words), items with occurring windows.
+
+    Items are dealt into blocks of about ``block_bytes`` of text, whose automaton (some hundred
+    times that) a worker holds one at a time. With several blocks the documents are written
+    once with a row number, each block's hits are written beside them, and met again by row.
+    """
+    (found, row) = fresh(docs, "_found", "_row")
+    asked = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("t")).where(F.col("t").isNotNull())
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_bytes))
+    if blocks == 1:
+        return _scan(docs, [(r[0], r[1].encode()) for r in asked.toLocalIterator()], window, text_col, found, True)[0], found
+    asked = stage(asked.withColumn("key", F.monotonically_increasing_id()), "decontam-items")
+    d = stage(docs.withColumn(row, F.monotonically_increasing_id()), "decontam-docs")
+    texts = d.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    parts = []
+    for i in range(blocks):
+        own = asked.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == i)
+        hits, sent = _scan(texts, [(r[0], r[1].encode()) for r in own.toLocalIterator()], window, "text", "f", i == 0)
+        parts.append(stage(hits.select("row", "f.*"), "decontam-hits"))
+        sent.destroy()
+    every = reduce(DataFrame.unionByName, parts).groupBy("row").agg(
+        F.max("n").alias("n"), F.flatten(F.collect_list("at")).alias("at"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def join_spans(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            at = [[x for s in merged(list(zip(flat[::2], flat[1::2]))) for x in s] for flat in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.list_(pa.int32())), b.column(3)], b.schema.names)
+
+    every = every.mapInArrow(join_spans, every.schema).select(F.col("row").alias(row), F.struct("n", "at", "items").alias(found))
+    return d.join(every, row).drop(row), found
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -245,6 +263,14 @@ def remove_contamination(docs: DataFrame, items: DataFrame, window: int = 10, te
     runs = F.transform(F.sequence(F.lit(1), F.size(at), F.lit(2)), lambda i: F.element_at(at, i + 1) - F.element_at(at, i))
     longest = F.when(F.size(at) > 0, F.array_max(runs)).otherwise(0)
     keep = (n_hit <= F.lit(max_share) * n) & (longest <= max_run)
-    cut = F.udf(cut_spans, "string")
-    text = F.when(F.size(at) > 0, cut(F.col(text_col), at)).otherwise(F.col(text_col))
-    return d.where(keep).withColumn(text_col, text).select(*docs.columns)
+    kept = d.where(keep).select(*docs.columns, at.alias(found))
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in slices(batches):
+            i, spans = b.schema.get_field_index(text_col), b.column(b.num_columns - 1)
+            texts = [t if not at else cut_spans(t, at) for t, at in zip(b.column(i).to_pylist(), spans.to_pylist())]
+            cols = [pa.array(texts, b.column(i).type) if j == i else c for j, c in enumerate(b.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
+
+    return kept.mapInArrow(cut, docs.schema)
