@@ -58,18 +58,18 @@ def align_to_schema(df: DataFrame, schema: StructType, *, add_new_columns: bool
 
 
 def without_keys(target: DataFrame, changes: DataFrame, keys: list[str],
-                 max_broadcast_rows: int | None = None, unique: bool = False) -> DataFrame:
+                 max_broadcast_rows: int | None = None, unique: bool = False, known: tuple[int, int] | None = None) -> DataFrame:
     """Target rows whose key is not among the changed keys (J1). Null target keys
     never match, so they survive. ``unique``: the changes hold one row per key
     already, so no ``distinct`` is needed."""
     changed = changes.select(*keys) if unique else changes.select(*keys).distinct()
     if max_broadcast_rows is not None:
-        return join_small(target, changed, keys, "left_anti", max_rows=max_broadcast_rows)
+        return join_small(target, changed, keys, "left_anti", max_rows=max_broadcast_rows, known=known)
     return target.join(changed, on=keys, how="left_anti")
 
 
 def drop_stale(latest: DataFrame, snapshot: DataFrame, keys: list[str], hist_id: str,
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               max_broadcast_rows: int | None = None, known: tuple[int, int] | None = None) -> DataFrame:
     """Changes that are not newer than the snapshot row of their key are dropped.
 
     Makes re-reading a tail of the history safe: a re-delivered or late-seen older
@@ -79,7 +79,7 @@ def drop_stale(latest: DataFrame, snapshot: DataFrame, keys: list[str], hist_id:
     snap = snapshot.select(*keys, F.col(hist_id).alias("__snap_ver"))
     cur = latest.select(*keys, F.col(hist_id).alias("__chg_ver"))
     if max_broadcast_rows is not None:
-        both = join_small(snap, cur, keys, "inner", max_rows=max_broadcast_rows)
+        both = join_small(snap, cur, keys, "inner", max_rows=max_broadcast_rows, known=known)
     else:
         both = snap.join(cur, keys, "inner")
     stale = both.where(F.col("__snap_ver") >= F.col("__chg_ver")).select(*keys)

@@ -129,13 +129,13 @@ class SnapshotSync:
         staged = self.store.stage(keep_latest(ch, s.key, [s.hist_id]), "changes")
         return self._with_bucket(staged), seen.get["n"]
 
-    def _touched(self, staged: DataFrame) -> tuple[list | None, int | None]:
-        """Touched parts and the newest history id, from one small aggregate."""
+    def _touched(self, staged: DataFrame) -> tuple[list | None, int | None, int]:
+        """Touched parts, the newest history id and the number of staged rows, from one small aggregate."""
         s = self.spec
-        if not s.bucket_width:
-            return None, watermark_value(staged, s.hist_id)
-        per_part = staged.groupBy(s.part_col).agg(F.max(s.hist_id).alias("mx")).collect()
-        return [r[s.part_col] for r in per_part], max((r["mx"] for r in per_part if r["mx"] is not None), default=None)
+        keys = [s.part_col] if s.bucket_width else []
+        per_part = staged.groupBy(*keys).agg(F.max(s.hist_id).alias("mx"), F.count("*").alias("n")).collect()
+        parts = [r[s.part_col] for r in per_part] if keys else None
+        return parts, max((r["mx"] for r in per_part if r["mx"] is not None), default=None), sum(r["n"] for r in per_part)
 
     def _publish(self, merged: DataFrame, staged: DataFrame, touched: list | None, state: dict) -> None:
         if touched is not None:
@@ -157,7 +157,7 @@ class SnapshotSync:
         read_from = wm - s.overlap if (s.overlap and wm is not None) else wm
         # Literal watermark: pushed into the Parquet or JDBC scan.
         staged, rejected = self._staged_changes(changes_after(_load(self.history), s.hist_id, read_from), self.store.read())
-        touched, new_wm = self._touched(staged)
+        touched, new_wm, _ = self._touched(staged)
         if new_wm is None:
             self.store.drop_staging()
             return False
@@ -202,7 +202,7 @@ class SnapshotSync:
             newer = join_small(history.where((h > late) & (h <= wm)), keys, s.key, "left_semi", max_rows=self.max_broadcast_keys)
             changes = read.unionByName(newer.select(*read.columns))
         staged, rejected = self._staged_changes(changes, self.store.read())
-        touched, _ = self._touched(staged)
+        touched, _, _ = self._touched(staged)
         state = {"watermark": top if wm is None else max(top, wm), "rows_read": before.get("rows_read", 0) + n,
                  "gaps": still_open(read, s.hist_id, gaps, wm, s.gap_horizon, s.max_gaps), **self._counted(rejected)}
         if touched == []:
@@ -229,7 +229,7 @@ class SnapshotSync:
         late, seen = F.lit(False) if floor is None else F.coalesce(F.col(s.hist_id) <= floor, F.lit(False)), Observation()
         watched = changes.observe(seen, F.count(F.when(late, 1)).alias("late"))
         staged, rejected = self._staged_changes(watched.where(~late), self.store.read())
-        touched, new_wm = self._touched(staged)
+        touched, new_wm, n_staged = self._touched(staged)
         if batch_id is not None:
             batches[stream] = batch_id
         n_late = before.get("late_changes", 0) + seen.get["late"]
@@ -248,13 +248,15 @@ class SnapshotSync:
             self.store.set_state(state)
             return False
         current = self.store.read(parts=touched)
-        newer = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys)
+        # the staged rows were counted with their parts; of the joins' sides only keys and versions are sent
+        known = (n_staged, 64 * n_staged + 8 * self.store.fs.size_bytes(self._staged_path(staged)))
+        newer = drop_stale(staged, current, s.key, s.hist_id, self.max_broadcast_keys, known)
         # an id above all that the store has seen is newer than any row of it: no need to look
         if wm is not None and new_wm <= wm and newer.isEmpty():
             self.store.drop_staging()
             self.store.set_state(state)
             return False
-        merged = newer.unionByName(without_keys(current, newer, s.key, self.max_broadcast_keys, unique=True))
+        merged = newer.unionByName(without_keys(current, newer, s.key, self.max_broadcast_keys, unique=True, known=known))
         self._publish(merged.where(~self._settled(floor)), staged, touched, state)
         return True
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,7 +99,9 @@ class VersionUpsert:
         read = Increment.read(self.store, newer, self.key, self.version_col, checkpoint, "upsert")
         state = {"checkpoint": read.newest if read.newest is not None else checkpoint,
                  **read.rejected(self.store.state(), newer, self.key, self.version_col, checkpoint)}
-        return self._apply(read.rows, state)
+        # what the table holds is no newer than the checkpoint, but for what streams have brought
+        known = checkpoint is not None and not self.store.state().get("batches")
+        return self._apply(read.rows, state, v > lit if known else F.lit(False))
 
     def sync_batch(self, changes: DataFrame, batch_id: int, stream: str = "default") -> bool:
         """Upsert a micro-batch of ``stream``; one that was applied before is skipped.
@@ -114,30 +116,35 @@ class VersionUpsert:
             read = Increment.read(self.store, changes, self.key, self.version_col, name="upsert")
             n = before.get("rejected_null_keys", 0) + read.above
             state = {"batches": {**batches, stream: batch_id}, **({"rejected_null_keys": n} if n else {})}
-            done = self._apply(read.rows, state)
+            done = self._apply(read.rows, state, F.lit(False))
             if done:
                 self.store.retain(2)
             return done
 
-    def _apply(self, rows: DataFrame, state: dict) -> bool:
-        """Upsert one row per key. Only parts with a row that alters them are rewritten."""
+    def _apply(self, rows: DataFrame, state: dict, surely_new: Column) -> bool:
+        """Upsert one row per key. Only parts with a row that alters them are rewritten; rows known to be
+        new are not compared with the table."""
         staged = self._bucketed(rows)
-        touched = self._parts(staged)
+        new, part = F.coalesce(surely_new, F.lit(False)), F.col(self.part_col)
+        per_part = staged.groupBy(part).agg(F.count(F.when(new, 1)).alias("new"), F.count(F.when(~new, 1)).alias("again")).collect()
+        touched = [r[0] for r in per_part]
         if not self.store.exists():
             if touched:
                 self.store.replace(staged, part_col=self.part_col, key=self.key, fresh=True, state=state)
             self.store.drop_staging()
             return bool(touched)
         if touched:
-            schema = self.store.schema()
-            current = self.store.read(parts=touched)
-            fresh = self.store.stage(effective(align_to_schema(staged, schema), current, self.key, self.version_col,
-                                               self.max_broadcast_keys), "effective")
-            touched = self._parts(fresh)
+            fresh = align_to_schema(staged, self.store.schema())
+            doubtful = [r[0] for r in per_part if r["again"]]
+            if doubtful:
+                altering = self.store.stage(effective(fresh.where(~new), self.store.read(parts=doubtful), self.key, self.version_col,
+                                                      self.max_broadcast_keys), "effective")
+                touched = sorted({*[r[0] for r in per_part if r["new"]], *self._parts(altering)}, key=repr)
+                fresh = fresh.where(new).unionByName(altering)
         if touched:
             merged = merge_upsert(self.store.read(parts=touched), fresh, self.key, [self.version_col],
                                   max_broadcast_rows=self.max_broadcast_keys, source_reduced=True)
-            staged_dir = fresh.inputFiles()[0].rsplit("/", 1)[0]
+            staged_dir = staged.inputFiles()[0].rsplit("/", 1)[0]
             tasks = self.store.write_tasks(touched, self.store.fs.size_bytes(staged_dir))
             self.store.replace_parts(merged, touched, key=self.key, tasks=tasks, state=state)
         elif any(self.store.state().get(k) != x for k, x in state.items()):
