@@ -114,18 +114,23 @@ def _block(bucket: int, diagonal: bool, rows: list[tuple], similar: Callable) ->
     return [(x, c, best[r]) for x, c, r in zip(ids, count.tolist(), root.tolist()) if c]
 
 
-def _met_before(bucket: int, left: list, right: list) -> np.ndarray:
-    """Pairs that meet in a lower bucket as well."""
-    place: dict[int, int] = {}
+def _met_before(bucket: int, left: list, right: list, width: int = 2048) -> np.ndarray:
+    """Pairs that meet in a lower bucket as well. Only buckets of members on both sides count, some at a time."""
+    met = np.zeros((len(left), len(right)), bool)
+    once, again = set(), set()
     for r in left:
         for b in r[3]:
             if b < bucket:
-                place.setdefault(b, len(place))
-    x, y = np.zeros((len(left), len(place) + 1), np.float32), np.zeros((len(right), len(place) + 1), np.float32)
-    for m, side in ((x, left), (y, right)):
-        for i, r in enumerate(side):
-            m[i, [place[b] for b in r[3] if b in place]] = 1
-    return x @ y.T > 0
+                (again if b in once else once).add(b)
+    shared = sorted(again if right is left else once.intersection(b for r in right for b in r[3]))
+    for a in range(0, len(shared), width):
+        place = {b: i for i, b in enumerate(shared[a:a + width])}
+        x, y = np.zeros((len(left), len(place)), np.float32), np.zeros((len(right), len(place)), np.float32)
+        for m, side in ((x, left), (y, right)):
+            for i, r in enumerate(side):
+                m[i, [place[b] for b in r[3] if b in place]] = 1
+        met |= x @ y.T > 0
+    return met
 
 
 def _roots(hit: np.ndarray, diagonal: bool) -> np.ndarray:

@@ -98,8 +98,13 @@ def plan(n: int, d: int, cosine: float, recall: float) -> tuple[int, int]:
     """Hashes per table and number of tables for n vectors of length d."""
     values = 2 * (1 << max(0, d - 1).bit_length())
     k = max(1, int(np.ceil(np.log(max(n, 2)) / np.log(values))))
-    p = min(max(meeting_chance(d, k, cosine), 0.02), 0.999)
-    return k, max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - p))))
+    p = meeting_chance(d, k, cosine)
+    while p < 0.02 and k > 1:       # fewer hashes: larger buckets instead of hundreds of tables
+        k -= 1
+        p = meeting_chance(d, k, cosine)
+    if not p:
+        raise ValueError(f"vectors of length {d} at cosine {cosine} hardly ever meet: this hash does not suit them")
+    return k, max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(p, 0.999)))))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.995, id_col: str = "vec_id",
