@@ -26,11 +26,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import fresh, held_out, lowest, slices, stage, text_bytes, words
+from tidemark.llm.common import chance, fresh, held_out, lowest, slices, stage, text_bytes, words
 
 
 #: Lengths in bytes of the word beginnings that are features.
@@ -86,7 +86,11 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max
     ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id"))).distinct()
     unl = lowest(ids, max_unlabelled, "id").withColumn("y", F.lit(0))
     chosen = F.broadcast(pos.unionByName(unl))  # at most max_positive + max_unlabelled ids
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(chosen, "id").select("t", "y")
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(chosen, "id").withColumn("h", F.xxhash64("t"))
+    # an id may have any number of rows: the bounds hold for rows as well
+    order = Window.partitionBy("y").orderBy(chance("id", "h"), "id", "h")
+    d = d.withColumn("n", F.row_number().over(order)).where(
+        F.col("n") <= F.when(F.col("y") == 1, max_positive).otherwise(max_unlabelled)).select("t", "y")
 
     def found(batches: Iterator) -> Iterator:
         import pyarrow as pa
