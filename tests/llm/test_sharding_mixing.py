@@ -56,6 +56,23 @@ def test_shards_empty_and_uniform(spark):
     assert all(abs(v - 24) < 18 for v in hits.values())
 
 
+def test_every_position_is_equally_likely(spark):
+    """Chi-square over where a row ends up: 4 shards x 5 slots for 20 rows, blocks of 8, over many seeds."""
+    df = spark.range(20).repartition(3).cache()
+    seeds = 100
+    counts = np.zeros((20, 20))
+    for seed in range(seeds):
+        for r in shuffle_to_shards(df, 4, seed, rows_per_block=8).collect():
+            counts[r.id, 5 * r.shard + r.slot] += 1
+    assert (counts.sum(0) == seeds).all() and (counts.sum(1) == seeds).all()
+    want = seeds / 20
+    chi = ((counts - want) ** 2 / want).sum()
+    freedom = 19 * 19
+    assert abs(chi - freedom) < 5 * np.sqrt(2 * freedom)
+    # and for neighbours in the input: they do not stay neighbours
+    assert abs(counts[:10, :10].sum() - 10 * seeds / 2) < 5 * np.sqrt(10 * seeds / 4)
+
+
 def test_op1_query(spark):
     src = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     out = QUERIES["op1_sharding"](spark, SF).collect()

@@ -13,7 +13,8 @@ stand in ascending document order by (part, block).
 
 Defined results: a null text is encoded as empty and holds only the end id; null doc_ids
 come first; repeated doc_ids are separate documents ordered by a hash of the text; an
-empty table gives no blocks; long documents make long blocks of their own.
+empty table gives no blocks; long documents make long blocks of their own; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ distinct findings: 0.6 for a phrase, 0.95 for a sound expression, 0.5 for a brok
 
 Defined results: a null or empty text has no words, no labels and score 0; repeated rows
 are scanned alike; an empty table gives an empty result; long texts are scanned whole.
+Phrases at the same place all count; labels are distinct and sorted. Other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

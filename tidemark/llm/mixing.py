@@ -13,7 +13,8 @@ what is shuffled are histogram rows.
 
 Defined results: a null or empty text has size 0 and gives 0 words; identical rows share
 a hash and give equal parts of what is missing; an empty table gives an empty result; a
-source of size 0 has target 0.
+source of size 0 has target 0; equal sizes and hashes are not told apart; other columns,
+whatever their names, are carried along by the mix of documents and not read by the plan.
 """
 
 from __future__ import annotations

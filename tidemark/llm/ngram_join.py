@@ -18,7 +18,9 @@ Sets are not stored: documents that meet others are shingled again from their te
 Defined results: words are those of ``common.words``; fewer than five words, but not
 none, make one shingle of all; documents without words (null, empty) link with nothing and
 are components of their own; repeated rows are separate documents of one class; an empty
-table gives an empty result.
+table gives an empty result; very long texts are shingled whole. A similarity equal to the
+threshold links; of a component the least id stays, then the least text digest. Other
+columns, whatever their names, are carried along by ``drop_near_copies`` and not read otherwise.
 """
 
 from __future__ import annotations

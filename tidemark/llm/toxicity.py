@@ -17,7 +17,10 @@ confirmed texts among the labelled ones of the training rows.
 
 Defined results: null and empty texts have no features and get the base score; repeated
 rows score alike; null ids and null labels teach nothing; without any confirmed text all
-scores are 0; an empty table gives an empty result; whole texts are scored.
+scores are 0; an empty table gives an empty result; whole texts are scored, very long ones
+too. Rows of one hash in the sample are taken in any order, as they are alike; a score equal
+to the threshold is toxic. Other columns, whatever their names, are not read (``drop_toxic``
+carries them along).
 """
 
 from __future__ import annotations

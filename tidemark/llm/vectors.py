@@ -14,7 +14,9 @@ Equal vectors are one class and are compared once, counted as often as they occu
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing and are components of their own; vectors of different length do not
 link; repeated rows are separate vectors; a null id has a null component only if its
-whole component has null ids, and is not kept; an empty table gives an empty result.
+whole component has null ids, and is not kept; an empty table gives an empty result. A
+cosine equal to the threshold links; of equal ids all rows are kept or none. Other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
