@@ -6,6 +6,13 @@ read again. All stages but the last return the columns of ``documents``.
 
 Rows of ``run``: one per document copy in the mix, in the order of the written files:
 doc_id, start, n_tokens, ids_crc32, part, block.
+
+Defined results of all stages: null texts end at the first stage, so later ones see none,
+though each takes them; equal rows are one document to the second stage and documents of their
+own to the others; very long texts are worked on whole; an empty table gives an empty one;
+other columns than those of ``documents``, whatever their names, are carried along up to the
+last stage, which does not read them. Ties: languages by code point, near copies by least id
+and text digest, mixing by hash, output by id and text hash.
 """
 
 from __future__ import annotations
