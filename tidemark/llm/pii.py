@@ -17,11 +17,13 @@ the token around it, and goes on to the next window while tags reach the edge of
 decoded. The result is that of all windows.
 
 The tagger is fitted on a bounded sample: at most ``train_windows`` windows of each kind
-and as many without personal data, those of the lowest hash.
+and as many without personal data, those of the lowest hash among all windows of the table.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned alike; an
 empty table gives an empty result; without any base span in the table nothing is added;
-texts of any length are scanned whole, in linear time.
+texts of any length are scanned whole, in linear time. Spans that begin together are in the
+order of their kinds; windows of one hash are ranked by their content. Other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chance, slices, text_bytes
+from tidemark.llm.common import slices, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 TRIGGER = re.compile(rb"[0-9@]")
@@ -339,22 +341,29 @@ def labelled_windows(text: str) -> list[tuple[str, bytes, bytes]]:
     return out
 
 
-def training_set(docs: DataFrame, train_documents: int, train_windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Characters and tags of a bounded sample of labelled windows. docs: one column, t."""
+def training_set(docs: DataFrame, train_windows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tags of labelled windows: of each kind the ``train_windows`` of least hash in the table. docs: one column, t.
+
+    All marked documents are cut, so a rare kind is learnt however large the table; a task keeps
+    no more windows of a kind than the table does.
+    """
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        kept: dict[str, dict] = {}
         for b in slices(batches):
-            rows = [r for raw in text_bytes(b, "t") for r in labelled_windows(raw.decode())]
-            kinds, x, y = zip(*rows) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(x, pa.binary()), pa.array(y, pa.binary())],
-                                             ["kind", "x", "y"])
+            for raw in text_bytes(b, "t"):
+                for kind, x, y in labelled_windows(raw.decode()):
+                    kept.setdefault(kind, {})[hashlib.blake2b(x, digest_size=8, salt=b"9").digest(), x, y] = None
+            for kind, own in kept.items():
+                kept[kind] = dict.fromkeys(sorted(own)[:train_windows])
+        rows = [(kind, *w) for kind, own in kept.items() for w in own]
+        kinds, h, x, y = zip(*rows) if rows else ([], [], [], [])
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), *(pa.array(c, pa.binary()) for c in (h, x, y))], ["kind", "h", "x", "y"])
 
     marked = docs.where(F.col("t").rlike("[0-9@]"))
-    n = marked.count()
-    few = marked.where(chance("t", seed=9) < train_documents / max(n, 1))
-    found = few.mapInArrow(cut, "kind string, x binary, y binary").distinct()
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(chance("x", seed=9), "x", "y"))
+    found = marked.mapInArrow(cut, "kind string, h binary, x binary, y binary").distinct()
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("h", "x", "y"))
     rows = found.withColumn("n", rank).where(F.col("n") <= train_windows).orderBy("kind", "n").collect()
     x = np.full((len(rows), WINDOW), PAD, np.uint8)
     y = np.zeros((len(rows), WINDOW), np.uint8)
@@ -377,11 +386,10 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 4, steps: int = 240) -> Tagg
     return tagger
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_documents: int = 1500,
-             train_windows: int = 250) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_windows: int = 250) -> DataFrame:
     """Per document: doc_id, base and added spans as arrays of (start, end, kind)."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    tagger = train(*training_set(d.select("t"), train_documents, train_windows))
+    tagger = train(*training_set(d.select("t"), train_windows))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
