@@ -76,6 +76,18 @@ def test_language_keeps_all_with_letters(spark):
     assert not {10**9 + len(short) + i for i in range(3)} & named
 
 
+def test_language_copies_of_one_text_do_not_fill_the_sample(spark):
+    """50,000 copies of one text beside 400 others: the others are learnt as well."""
+    copies = spark.range(50_000).select("id", F.lit("zzz zzz zzz").alias("text"), F.lit("xx").alias("lang"))
+    rest = spark.range(400).select((F.col("id") + 60_000).alias("id"), F.concat(F.lit("abc bca cab "), F.col("id").cast("string")).alias("text"),
+                                   F.when(F.col("id") < 200, "xx").otherwise("yy").alias("lang"))
+    docs = copies.unionByName(rest).withColumnRenamed("id", "doc_id")
+    langs, prototypes = langid.learn(docs, "text", "lang", 100)
+    assert langs == ["xx", "yy"]
+    near, _ = langid.cosines([b"zzz zzz zzz", b"abc bca cab 7"], prototypes)
+    assert near[0].argmax() == 0 and near[1].argmax() == 1
+
+
 def test_language_ignores_held_out_labels(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     other = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))
@@ -104,6 +116,30 @@ def test_nnpu_recovers_the_posterior():
         assert abs(toxicity.sigmoid(np.array([v * w[0] + b + 0.5 * w[1]]))[0] - want) < 0.07
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark):
+    hot = spark.range(20_000).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("vile text "), F.col("id")).alias("text"))
+    docs = hot.unionByName(spark.range(200).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("good text "), F.col("id")).alias("text")))
+    labels = spark.createDataFrame([(5, 1)] + [(100 + i, 0) for i in range(200)], "id long, toxic int")
+    n = dict(toxicity._sampled(docs, labels, "doc_id", "text", 30, 60).groupBy("y").count().collect())
+    assert n[1] == 30 and n[0] <= 60
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    """Scores recomputed from the learnt weights, one document at a time."""
+    docs = awkward(spark)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    weights, bias = toxicity.learn(docs, labels, least_ratio=0.0, lift=1.01)
+    assert weights
+    got = sorted((repr(r.doc_id), round(r.score, 9), r.predicted)
+                 for r in toxicity.toxicity(docs, labels, least_ratio=0.0, lift=1.01).collect())
+    want = []
+    for r in docs.collect():
+        z = bias + sum(w for f, w in weights.items() if f in toxicity.features(r.text.encode() if r.text is not None else None))
+        score = 1 / (1 + np.exp(-z))
+        want.append((repr(r.doc_id), round(float(score), 9), int(score >= 0.3)))
+    assert got == sorted(want)
+
+
 def test_toxicity_awkward(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(i, i % 2, int(i % 7 == 0)) for i in range(50)] + [(None, 1, 1), (3, None, None), (3, 1, 1)],
@@ -286,6 +322,16 @@ def test_windows_are_decoded_as_far_as_spans_reach():
     assert sum(seen) < 10
 
 
+def test_rare_kinds_are_learnt_on_large_tables(spark):
+    docs = spark.range(10_000).select(F.when(F.col("id") == 4321, "mail to some.one@example.org now").otherwise(
+        F.concat(F.lit("call +49 30 1234567"), F.col("id") % 10, F.lit(" today"))).alias("t"))
+    x, y = pii.training_set(docs, 20)
+    tags = {pii.KINDS[(t - 1) // 2] for t in np.unique(y).tolist() if t}
+    assert {"email", "phone"} <= tags and len(x) <= 20 * 6
+    again, _ = pii.training_set(docs.repartition(7), 20)
+    assert (x == again).all()
+
+
 def test_pii_query_and_awkward(spark):
     d = "/root/testdata/sf0.001"
     src = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{d}/documents.parquet").collect()}

@@ -17,7 +17,8 @@ row per language and trigram reaches the driver.
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is
 everything when no language was learnt; ties go to the first language in code-point
 order; null languages teach nothing; repeated rows are predicted alike; an empty table
-gives an empty result; long texts are counted whole.
+gives an empty result; long texts are counted whole. Other columns, whatever their names, are
+not read (``keep_identified`` carries them along).
 """
 
 from __future__ import annotations
@@ -100,15 +101,15 @@ def cosines(texts: list[bytes | None], prototypes: np.ndarray) -> tuple[np.ndarr
     return out, sizes > 0
 
 
-def learn(docs: DataFrame, text_col: str, lang_col: str, per_language: int) -> tuple[list[str], np.ndarray]:
+def learn(docs: DataFrame, text_col: str, lang_col: str, per_language: int, id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
     """Languages in code-point order and their prototypes."""
-    d = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where("l is not null and t is not null")
+    d = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.col(id_col).alias("i")).where("l is not null and t is not null")
     sizes = d.groupBy("l").count().collect()  # one row per language
     # a hash limit per language lets some 2 x per_language texts into the ranking
     if sizes:
         limit = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, (2.0 * per_language + 100) / n)])
-        d = d.where(chance("t") < limit[F.col("l")])
-    first = Window.partitionBy("l").orderBy(chance("t"), "t")
+        d = d.where(chance("i", "t") < limit[F.col("l")])    # by id as well: copies of a common text do not pass together
+    first = Window.partitionBy("l").orderBy(chance("i", "t"), "i", "t")
     d = d.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
 
     def count(batches: Iterator) -> Iterator:
@@ -174,7 +175,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The cosine sets no limit: that of a few letters lies within the noise of unrelated vectors (1 / sqrt(DIMENSIONS)).
     """
-    langs, prototypes = learn(docs.where(~held_out(F.col(id_col))), text_col, lang_col, per_language)
+    langs, prototypes = learn(docs.where(~held_out(F.col(id_col))), text_col, lang_col, per_language, id_col)
     pred, score = fresh(docs, "_pred", "_score")
     out = predict(docs, langs, prototypes, text_col, pred, score)
     return out.where(F.col(pred) != UNDETERMINED if langs else F.lit(True)).drop(pred, score)
