@@ -34,6 +34,82 @@ def test_components(spark):
     assert got == {x: want[x] for e in edges for x in e if e[0] != e[1]}
 
 
+def test_components_of_a_long_chain(spark, monkeypatch):
+    from tidemark.llm import components as module
+    rounds, write = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: (rounds.append(name), write(df, name))[1])
+    rnd = random.Random(6)
+    names = list(range(5000))
+    rnd.shuffle(names)
+    edges = spark.createDataFrame(list(zip(names, names[1:])), "a long, b long")
+    got = {r.node: r.component for r in components(edges).collect()}
+    assert got == dict.fromkeys(range(5000), 0)
+    assert rounds.count("edges") - 1 <= 20
+
+
+def test_components_of_stars_trees_and_cliques(spark):
+    rnd = random.Random(8)
+    edges = [(0, i) for i in range(1, 400)] + [(i // 2 + 1000, i + 1000) for i in range(1, 500)]
+    edges += [(2000 + i, 2000 + j) for i in range(25) for j in range(i)] + [(rnd.randrange(3000, 3400), rnd.randrange(3000, 3400)) for _ in range(260)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = roots(3400, edges)
+    assert got == {x: want[x] for e in edges for x in e if e[0] != e[1]}
+    assert components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
+
+
+def test_chain_of_versions(spark):
+    """Each text shares most with the next one only: one component, however long the chain."""
+    rnd = random.Random(7)
+    ws = [f"w{rnd.randrange(10**6)}" for _ in range(60 + 6 * 900)]
+    texts = [" ".join(ws[6 * i:6 * i + 60]) for i in range(900)]
+    order = list(range(900))
+    rnd.shuffle(order)
+    docs = spark.createDataFrame([(order[i], t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = word_sets(texts)
+    links, comps = brute(sets)
+    assert len(set(comps)) == 1
+    got = {r.doc_id: (r.n_links, r.component_id) for r in ngram_join(docs).collect()}
+    assert got == {order[i]: (links[i], 0) for i in range(900)}
+
+
+def test_chain_of_vectors(spark):
+    """Each vector is near the next one only. Links are found with the recall that was asked for, so a long
+    chain may break at a few places, but labels run along the rest of it however long it is."""
+    rng = np.random.default_rng(3)
+    n, d = 400, 32
+    x = np.zeros((n, d))
+    x[0] = rng.normal(size=d)
+    x[0] /= np.linalg.norm(x[0])
+    for i in range(1, n):
+        z = rng.normal(size=d)
+        z -= (z @ x[i - 1]) * x[i - 1]
+        x[i] = 0.965 * x[i - 1] + np.sqrt(1 - 0.965**2) * z / np.linalg.norm(z)
+    hit = x @ x.T >= 0.95
+    np.fill_diagonal(hit, False)
+    order = rng.permutation(n)
+    frame = spark.createDataFrame([(int(order[i]), [float(v) for v in x[i]]) for i in range(n)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_vectors(frame).collect()}
+    links = [got[int(order[i])].n_links for i in range(n)]
+    assert sum(links) >= 0.97 * hit.sum() and (np.array(links) <= hit.sum(1)).all()
+    missed = (int(hit.sum()) - sum(links)) // 2
+    parts = defaultdict(set)
+    for r in got.values():
+        parts[r.component_id].add(r.vec_id)
+    assert len(parts) <= 1 + missed and all(k == min(v) for k, v in parts.items())
+
+
+def test_met_before_by_any_width():
+    from tidemark.llm.blocks import _met_before
+    rnd = random.Random(3)
+    left, right = ([(s, i, 1, sorted(rnd.sample(range(60), 6)), b"") for i in range(30)] for s in (0, 1))
+    for other in (left, right):
+        want = [[any(b < 40 and b in y[3] for b in x[3]) for y in other] for x in left]
+        for width in (1, 7, 2048):
+            got = _met_before(40, left, other, width)
+            off = ~np.eye(30, dtype=bool) if other is left else np.ones((30, 30), bool)
+            assert (got == np.array(want))[off].all()
+
+
 def brute(sets, threshold=0.8):
     n = len(sets)
     pairs = [(i, j) for i in range(n) for j in range(i) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9]
