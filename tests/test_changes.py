@@ -96,6 +96,18 @@ def test_version_batches_in_any_order(spark, tmp_root):
     assert job.store.state()["rejected_null_keys"] == 1 and job.store.state()["batches"] == {"default": 1, "other": 0}
 
 
+def test_sources_that_planning_finds_empty(spark, tmp_root):
+    """A filter that contradicts the watermark's, or a source that is false throughout: no rows, no failure."""
+    job = VersionUpsert(spark, tmp_root + "/u", "id", "v", bucket_width=10)
+    data = spark.range(5).select("id", F.col("id").alias("v"))
+    assert job.sync(data) and not job.sync(data.where("v < 3")) and not job.sync(data.where("false"))
+    CopyJob(target_object=tmp_root + "/c", source=data.where("false"), mode=LoadMode.INCREMENTAL, primary_key=["id"], update_key="v").run(spark)
+    hist = spark.range(9).select("id", F.col("id").alias("hist_id"), F.lit(1).alias("op"))
+    for gaps in (0, 5):
+        sync = SnapshotSync(spark, f"{tmp_root}/s{gaps}", TableSpec("t", "id", max_gaps=gaps), hist.select("id"), hist.where("hist_id <= 4"))
+        assert (sync.run(), sync.run()) == ("init", "no-changes")
+
+
 # ---------------------------------------------------------------- gaps
 @settings(max_examples=12, deadline=None)
 @given(st.sets(st.integers(0, 400), min_size=1), st.lists(st.integers(1, 5), min_size=1, max_size=3))

@@ -26,6 +26,7 @@ from tidemark.operators.latest import keep_latest
 from tidemark.operators.merge import (
     align_to_schema, cdc_merge, changes_after, drop_stale, init_snapshot, purge_tombstones, without_keys,
 )
+from tidemark.operators.observed import metrics
 from tidemark.sinks.store import VersionedStore
 from tidemark.specs import TableSpec
 
@@ -127,7 +128,7 @@ class SnapshotSync:
         seen = Observation()
         ch = align_to_schema(changes, data_schema).observe(seen, F.count(F.when(no_key, 1)).alias("n")).where(~no_key)
         staged = self.store.stage(keep_latest(ch, s.key, [s.hist_id]), "changes")
-        return self._with_bucket(staged), seen.get["n"]
+        return self._with_bucket(staged), metrics(seen, n=0)["n"]
 
     def _touched(self, staged: DataFrame) -> tuple[list | None, int | None, int]:
         """Touched parts, the newest history id and the number of staged rows, from one small aggregate."""
@@ -232,7 +233,7 @@ class SnapshotSync:
         touched, new_wm, n_staged = self._touched(staged)
         if batch_id is not None:
             batches[stream] = batch_id
-        n_late = before.get("late_changes", 0) + seen.get["late"]
+        n_late = before.get("late_changes", 0) + metrics(seen, late=0)["late"]
         state = {"batches": batches, **self._counted(rejected), **({"late_changes": n_late} if n_late else {})}
         wm = self.current_watermark()
         if new_wm is not None:

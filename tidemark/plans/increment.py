@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.operators._util import as_list
 from tidemark.operators.control import literal, to_text
 from tidemark.operators.latest import keep_latest
+from tidemark.operators.observed import metrics
 from tidemark.sinks.store import VersionedStore
 
 
@@ -39,7 +40,7 @@ class Increment:
         watched = source.observe(seen, to_text(F.max(v), dtype).alias("newest"),
                                  F.count(F.when(none & ~at, 1)).alias("above"), F.count(F.when(none & at, 1)).alias("at"))
         rows = store.stage(keep_latest(watched.where(~none), keys, [version]), name)
-        return cls(rows, **seen.get)
+        return cls(rows, **metrics(seen, newest=None, above=0, at=0))
 
     def rejected(self, state: dict, source: DataFrame, key, version: str, checkpoint: str | None) -> dict:
         """State of the counts after this increment; empty while there was never such a row."""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.observed import metrics
 from tidemark.sources.files import apply_source_options
 from tidemark.specs import FileFormat, SourceOptions
 
@@ -33,7 +34,7 @@ def _split(df: DataFrame, bad: Column, path: str, drop: list[str], raw: list[str
     flagged.write.mode("errorifexists").partitionBy(BAD).parquet(path)
     whole = T.StructType([*df.schema.fields, T.StructField(BAD, T.IntegerType())])
     rows = spark.read.schema(whole).parquet(path)
-    n = seen.get
+    n = metrics(seen, good=0, bad=0)
     return Checked(rows.where(F.col(BAD) == 0).drop(BAD, *drop), rows.where(F.col(BAD) == 1).select(*raw), n["good"], n["bad"])
 
 

@@ -346,3 +346,83 @@ def q_quarantine_cast(spark, d):
     out = cast_checked(e, {"k": "bigint"}, work_path(spark, "cast_side"))
     assert out.bad.where("k NOT LIKE '%?'").isEmpty()
     return out.good.withColumn("n_bad", F.lit(out.n_bad).cast("long"))
+
+
+@register("csv_options", "SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 4 = 0 THEN 'a;b' ELSE 'c\"d' END AS note FROM orders")
+def q_csv_options(spark, d):
+    """Header, delimiter and time format of a CSV target, read back with the same options; values hold the delimiter and quotes."""
+    note = F.when(F.col("o_orderkey") % 4 == 0, "a;b").otherwise('c"d')
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_orderdate", note.alias("note"))
+    path, form = work_path(spark, "csv_options"), "dd/MM/yyyy HH-mm-ss"
+    target = TargetOptions(header=True, delimiter=";", datetime_format=form, compression="gzip", extra={"timestampNTZFormat": form})
+    CopyJob(target_object=path, source=o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")), tgt_conn="csv", target_options=target).run(spark)
+    out = read_files(spark, path, "csv", SourceOptions(header=True, delimiter=";", datetime_format=form, compression="gzip",
+                                                       schema="o_orderkey long, o_orderdate timestamp, note string"))
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@register("text_blank_lines", "SELECT CAST(c_custkey AS VARCHAR) AS value FROM customer WHERE c_custkey % 3 > 0")
+def q_text_blank_lines(spark, d):
+    """Every third line is empty or holds only spaces: not rows."""
+    k = F.col("c_custkey")
+    lines = fx.table(spark, d, "customer").select(F.when(k % 3 > 0, k.cast("string")).otherwise(F.when(k % 2 == 0, "").otherwise("  ")).alias("value"))
+    path = work_path(spark, "blank_lines")
+    lines.write.text(path)
+    return read_files(spark, path, "text")
+
+
+@register("max_decimals", """
+SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(14, 2)), 1) AS DECIMAL(14, 2))::VARCHAR AS price, l_quantity FROM lineitem""")
+def q_max_decimals(spark, d):
+    """Decimals rounded in place; they keep their type."""
+    rows = fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(14,2)").alias("price"), "l_quantity")
+    out = apply_source_options(rows, SourceOptions(max_decimals=1))
+    return out.withColumn("price", F.col("price").cast("string"))
+
+
+@register("ignore_existing", "SELECT * FROM nation")
+def q_ignore_existing(spark, d):
+    """A second load into a table that exists leaves it as it is."""
+    path, n = work_path(spark, "ignored"), fx.table(spark, d, "nation")
+    for source in (n, n.where("n_nationkey < 3")):
+        CopyJob(target_object=path, source=source, target_options=TargetOptions(ignore_existing=True)).run(spark)
+    return VersionedStore(spark, path).read()
+
+
+@register("table_read", f"SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey <= {fx.SQL_WM} UNION ALL SELECT n_nationkey, CAST(n_regionkey AS DOUBLE) FROM nation")
+def q_table_read(spark, d):
+    """A folder read by what it holds: a store with a dropped version in it, and plain Parquet; two columns of each."""
+    from tidemark.sources.files import read_table
+    o = fx.table(spark, d, "orders")
+    store = VersionedStore(spark, work_path(spark, "table_read"))
+    store.replace(o)
+    store.replace(o.where(F.col("o_orderkey") <= fx.snapshot_watermark(spark, d)))
+    plain = work_path(spark, "table_plain")
+    fx.table(spark, d, "nation").write.parquet(plain)
+    nation = read_table(spark, plain, ["n_nationkey", "n_regionkey"])
+    return read_table(spark, store.root, ["o_orderkey", "o_totalprice"]).unionByName(
+        nation.select(F.col("n_nationkey").cast("long").alias("o_orderkey"), F.col("n_regionkey").cast("double").alias("o_totalprice")))
+
+
+@register("run_many_tables", f"""
+SELECT 'customer' AS name, id, bal FROM ({SQL_CDC}) m
+UNION ALL SELECT 'supplier' AS name, s_suppkey AS id, s_acctbal AS bal FROM supplier""")
+def q_run_many_tables(spark, d):
+    """Three tables side by side, twice; the source of one is away. The others arrive, and the failure is reported."""
+    from tidemark.plans.cdc import TablesFailed, run_many
+
+    def away():
+        raise OSError("source is away")
+    hist, wm = fx.history(spark, d), fx.snapshot_watermark(spark, d)
+    supplier = fx.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("bal"))
+    sources = {"customer": lambda: fx.main_table(spark, d), "part": away, "supplier": supplier}
+    jobs = [SnapshotSync(spark, work_path(spark, name), TableSpec(name, "id"), main, hist.where(F.col("hist_id") <= wm)) for name, main in sources.items()]
+    for step, results in enumerate(({"customer": "init", "supplier": "init"}, {"customer": "sync", "supplier": "no-changes"})):
+        if step:
+            jobs[0].history = hist
+        try:
+            run_many(jobs, at_once=3)
+            raise AssertionError("a failed table was not reported")
+        except TablesFailed as e:
+            assert (e.done, list(e.failed)) == (results, ["part"]), (e, e.done)
+    return jobs[0].read().select(F.lit("customer").alias("name"), "id", "bal").unionByName(jobs[2].read().select(F.lit("supplier").alias("name"), "id", "bal"))
