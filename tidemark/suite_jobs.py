@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixtures as fx
 from tidemark.operators.buckets import bucket_id
+from tidemark.operators.control import literal, max_text
 from tidemark.operators.latest import keep_latest
 from tidemark.plans.cdc import SnapshotSync
 from tidemark.plans.copy import CopyJob, append_job, load_ledger, resumable_load
@@ -58,8 +59,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""")
 def q_version_upsert_same_instant(spark, d):
     """Rows that carry the checkpoint's instant change after it was taken; a third run finds nothing to do."""
     events = fx.table(spark, d, "events").where(F.col("ts") <= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
-    last = events.agg(F.max("ts")).first()[0]
-    at = F.col("ts") == F.lit(last)
+    at = F.col("ts") == literal(max_text(events, "ts"), events.schema["ts"].dataType)
     job = VersionUpsert(spark, work_path(spark, "same_instant"), "user_id", "ts", bucket_width=50)
     job.sync(events.withColumn("event_type", F.when(at, "draft").otherwise(F.col("event_type"))))
     assert job.sync(events) and not job.sync(events)
@@ -76,9 +76,9 @@ def q_incremental_null_keys(spark, d):
     """Rows without a key, many at the watermark's own date: counted once each, whatever is read again."""
     key = F.when(F.col("o_custkey") % 10 != 3, F.col("o_custkey")).alias("id")
     rows = fx.table(spark, d, "orders").select(key, "o_orderdate")
-    half = rows.select(F.to_timestamp_ntz(F.timestamp_seconds(F.percentile_approx(F.unix_seconds(F.col("o_orderdate").cast("timestamp")), 0.5)))).first()[0]
+    half = rows.select(F.percentile_approx("o_orderdate", 0.5).cast("string")).first()[0]
     path = work_path(spark, "null_keys")
-    for part in (rows.where(F.col("o_orderdate") <= F.lit(half)), rows, rows):
+    for part in (rows.where(F.col("o_orderdate") <= literal(half, rows.schema["o_orderdate"].dataType)), rows, rows):
         CopyJob(target_object=path, source=part, mode=LoadMode.INCREMENTAL, primary_key=["id"], update_key="o_orderdate").run(spark)
     store = VersionedStore(spark, path)
     return store.read().withColumn("rejected", F.lit(store.state()["rejected_null_keys"]).cast("long"))
@@ -234,8 +234,8 @@ def q_append_job_ties(spark, d):
     date = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate"))
     o = fx.table(spark, d, "orders").select("o_orderkey", date.alias("o_orderdate"))
     store = VersionedStore(spark, work_path(spark, "append_ties"))
-    last = o.agg(F.max("o_orderdate")).first()[0]
-    open_ = F.col("o_orderdate").isNull() | (F.col("o_orderdate") == F.lit(last))
+    last = literal(max_text(o, "o_orderdate"), o.schema["o_orderdate"].dataType)
+    open_ = F.col("o_orderdate").isNull() | (F.col("o_orderdate") == last)
     for n in (0, 1, 2, 2):
         append_job(store, o.where(~F.coalesce(open_, F.lit(True)) | (F.col("o_orderkey") % 3 <= n)), "o_orderdate")
     return store.read()
