@@ -85,7 +85,7 @@ def slices(batches: Iterable, rows: int = 512):
     give_back()
 
 
-def gathered(batches: Iterable, size: int = 8 << 20):
+def gathered(batches: Iterable, size: int = 3 << 20):
     """Arrow batches joined until they hold ``size`` bytes: work done once a batch is done less often."""
     import pyarrow as pa
     held, n = [], 0

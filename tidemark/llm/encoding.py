@@ -61,9 +61,13 @@ class Memory:
 
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the entries one after another, and how many each has."""
-        lengths = self.bounds[entries + 1] - self.bounds[entries]
-        shift = np.repeat(self.bounds[entries] - (np.cumsum(lengths) - lengths), lengths)
-        return self.ids[shift + np.arange(len(shift))], lengths
+        start = self.bounds[entries]
+        lengths = self.bounds[entries + 1] - start
+        total = int(lengths.sum())
+        small = np.int32 if max(total, len(self.ids)) < 1 << 31 else np.int64
+        place = np.arange(total, dtype=small)
+        place += np.repeat((start - (np.cumsum(lengths) - lengths)).astype(small), lengths)
+        return self.ids[place], lengths
 
 
 class PieceEncoder:
@@ -73,7 +77,7 @@ class PieceEncoder:
     new ones come is forgotten. Chunks with no space before them are kept under a leading mark.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 800_000):
+    def __init__(self, tokenizer: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import CharDelimiterSplit
         self.tokenizer = Tokenizer.from_str(tokenizer)
